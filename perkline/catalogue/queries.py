@@ -175,8 +175,9 @@ class Domain:
             ("gold", "gold_employee_map"): gold.gold_employee_map(self.employees, self.status()),
         })
 
-    def active_dates(self):
-        return C.distinct_dates(self.valid_activities)
+    def grid(self, columns: list[str], window_days: int):
+        daily = timeline.stage_daily(self.activities)
+        return timeline.activity_grid(self.employees.select(*columns), daily, C.distinct_dates(daily), window_days)
 
     def write_messages(self, rounds: int = 1) -> str:
         """Topic messages as files; every further round delivers the same messages again."""
@@ -553,16 +554,14 @@ def join_asof_rule(d):
 
 @query
 def join_interval_lookback(d):
-    grid = timeline.activity_grid(
-        d.employees.select("employee_id"), d.valid_activities, d.active_dates(), I.SHORT_WINDOW)
-    return grid.select("employee_id", "snapshot_date", "activity_count_12m", "sport_days_count_12m",
-                       "last_activity_date", "last_process_date")
+    return d.grid(["employee_id"], I.SHORT_WINDOW).select(
+        "employee_id", "snapshot_date", "activity_count_12m", "sport_days_count_12m",
+        "last_activity_date", "last_process_date")
 
 
 @query
 def join_cross_grid(d):
-    grid = timeline.activity_grid(d.employees.select("employee_id", "business_unit"), d.valid_activities, d.active_dates())
-    return grid.select("employee_id", "business_unit", "snapshot_date")
+    return d.grid(["employee_id", "business_unit"], I.SHORT_WINDOW).select("employee_id", "business_unit", "snapshot_date")
 
 
 @query

@@ -30,8 +30,10 @@ def number_dates(dates: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def rule_per_date(dates: DataFrame, validity: DataFrame, rule_columns: Sequence[str]) -> DataFrame:
-    """Attach the rule in force on each date; dates without a rule are dropped.
+def rule_per_date(
+    dates: DataFrame, validity: DataFrame, rule_columns: Sequence[str], keep_uncovered: bool = False
+) -> DataFrame:
+    """Attach the rule in force on each date; dates without one are dropped or kept with NULLs.
 
     Rule windows are disjoint, so the last non-empty window that started on or before a date is
     the only candidate. Start days and dates are merged and the rule carried forward: no range join.
@@ -45,7 +47,10 @@ def rule_per_date(dates: DataFrame, validity: DataFrame, rule_columns: Sequence[
     carried = marks.withColumn("_rule", F.last("_rule", ignorenulls=True).over(so_far)).filter("_is_date = 1")
     ends = F.col("_rule.effective_to_exclusive")
     active = F.col("_rule").isNotNull() & (ends.isNull() | (F.col("snapshot_date") < ends))
-    return carried.filter(active).select(*dates.columns, *[F.col("_rule")[c].alias(c) for c in rule_columns])
+    found = carried.withColumn("_rule", F.when(active, F.col("_rule")))
+    if not keep_uncovered:
+        found = found.filter(F.col("_rule").isNotNull())
+    return found.select(*dates.columns, *[F.col("_rule")[c].alias(c) for c in rule_columns])
 
 
 def join_asof_rule(df: DataFrame, date_column: str, validity: DataFrame, rule_columns: Sequence[str]) -> DataFrame:

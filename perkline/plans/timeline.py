@@ -10,6 +10,7 @@ from perkline.operators.activity import daily_activity, trailing_intervals
 from perkline.operators.calendar import distinct_dates, materialize_calendar, number_dates, rule_per_date
 from perkline.plans.gold import bonus_reason, potential_bonus, wellbeing_reason
 from perkline.plans.silver import distance_within_rule, mode_is_sportive
+from perkline.session import stage_table
 
 RULE_FIELDS = (
     "rule_version", "bonus_rate", "min_activities_per_year", "wellbeing_days",
@@ -21,16 +22,21 @@ EMPLOYEE_FIELDS = (
 )
 
 
-def activity_grid(employees: DataFrame, valid: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
+def stage_daily(activities: DataFrame) -> DataFrame:
+    """Valid activity per employee and day, computed once and stored: dates and metrics both read it."""
+    return stage_table(daily_activity(activities.filter("is_valid_activity")), "daily_activity")
+
+
+def activity_grid(employees: DataFrame, daily: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
     """Every employee on every snapshot date, with on-date and trailing metrics.
 
-    ``dates`` has one row per distinct activity date and any columns to carry along. Employees are
+    ``dates`` has one row per distinct date of ``daily`` and any columns to carry along. Employees are
     joined to their runs of constant metrics, and the runs are unrolled to dates inside the task:
     the full grid is never shuffled, joined to activities or crossed with anything.
     """
     calendar = materialize_calendar(number_dates(dates, window_days))
     last_pos = calendar.count()
-    runs = trailing_intervals(daily_activity(valid), calendar, window_days, last_pos)
+    runs = trailing_intervals(daily, calendar, window_days, last_pos)
     # an employee's first run also carries the empty dates before it; without any run it is all dates
     begins = F.when(F.coalesce("is_first", F.lit(True)), 1).otherwise(F.col("pos"))
     ends = F.coalesce("next_pos", F.lit(last_pos + 1)) - 1
@@ -58,11 +64,10 @@ def gold_employee_benefit_timeline(
     employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
 ) -> DataFrame:
     """Snapshot rows for every employee and every date on which anyone was validly active."""
-    valid = activities.filter("is_valid_activity")
-    dates = materialize_calendar(distinct_dates(valid))
-    # a date without any rule keeps its position but yields no rows
-    ruled = dates.join(F.broadcast(rule_per_date(dates, validity, RULE_FIELDS)), "snapshot_date", "left")
-    grid = activity_grid(employees.select(*EMPLOYEE_FIELDS), valid, ruled, window_days)
+    daily = stage_daily(activities)
+    # a date without any rule keeps its position in the calendar but yields no rows
+    ruled = rule_per_date(distinct_dates(daily), validity, RULE_FIELDS, keep_uncovered=True)
+    grid = activity_grid(employees.select(*EMPLOYEE_FIELDS), daily, ruled, window_days)
     ruled_grid = grid.filter(F.col("rule_version").isNotNull())
 
     mode = F.col("transport_mode")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing is ever reused or cleared."""
     return f"{shared_root(spark)}/perkline/{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and continue from the stored copy.
+
+    Later steps then neither recompute it nor depend on the executors that produced it, and the
+    optimizer sees its true size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
