@@ -6,11 +6,10 @@ ids, unreadable dates, replays, ties) are built in by key arithmetic on whole ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkline.functions import row_hash
-from perkline.functions.dates import as_date, as_timestamp
 from perkline.plans import rules as R
 from perkline.sources.landing import EMPLOYEE_HEADERS
 
@@ -19,145 +18,120 @@ AS_OF_TS = "2024-01-31 12:00:00"
 RUNS_AS_OF_TS = "2001-08-02 00:00:00"
 SHORT_WINDOW = 7
 
-EMPLOYEE_COLUMNS = [c for c in EMPLOYEE_HEADERS.values()]
+# Schemas as stored, so that reading a table starts no inference job.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def pick(number: Column, values: list[str | None]) -> Column:
-    """The value at position ``number`` of a short list."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (number + 1).cast("int"))
-
-
-def versions(**conditions: Column) -> Column:
-    """Exploded version numbers: 1 always, ``v2`` and ``v3`` where their condition holds."""
-    extra = [F.when(c, F.lit(int(name[1:]))) for name, c in conditions.items()]
-    return F.explode(F.array_compact(F.array(F.lit(1), *extra)))
+    reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+EMPLOYEE_SQL = {
+    "employee_id": "case when k % 97 <> 13 then string(k) end",
+    "last_name": "concat(' Name', k, ' ')",
+    "first_name": "case when k % 11 <> 0 then concat('First', c_nationkey) end",
+    "birth_date_raw": "string(20000 + k % 9000)",
+    "business_unit": "concat(c_mktsegment, ' ')",
+    "hire_date_raw": """case when k % 50 = 7 then '' when k % 4 = 0 then string(40000 + k % 4000)
+        when k % 4 = 1 then date_format(date_add(date'2009-07-06', int(k % 4000)), 'yyyy-MM-dd 00:00:00')
+        when k % 4 = 2 then concat(40000 + k % 4000, '.5') else concat(40000 + k % 4000, '.0') end""",
+    "gross_salary_raw": """case when k % 101 = 5 then '0' when k % 103 = 7 then ''
+        else concat(20000 + k % 400 * 100 + (version - 1) * 500, '.50') end""",
+    "contract_type": """case when k % 89 = 3 then ' Interim'
+        else array('CDI', 'CDD', 'Stage', 'Alternance', 'Freelance')[int(k % 5)] end""",
+    "cp_days_raw": "case when k % 53 = 9 then '' else string(20 + k % 10) end",
+    "home_address": """case when k % 71 = 2 then null when k % 73 = 4 then 'sans code'
+        else concat(' No ', k % 90, ', ', 10000 + (k * 37) % 80000, ' City', c_nationkey) end""",
+    "declared_transport_mode": """array('Vélo', 'Marche/running', ' Trottinette ', 'VÉLO', 'Transports en commun',
+        'Vélo/Trottinette/Autres', '', null)[int((k + version) % 8)]""",
+}
+
+
+def _batch_columns(prefix: str, source_file: str) -> list[str]:
+    """Lineage of the landing batches: version 2 is the later delivery."""
+    return [
+        f"concat('{prefix}-', version) ingestion_id",
+        "case when version = 2 then timestamp'2024-01-20 06:00:00' else timestamp'2024-01-05 06:00:00' end ingested_at",
+        "case when version = 2 then date'2024-01-20' else date'2024-01-05' end process_date",
+        f"'{source_file}' source_file",
+    ]
 
 
 def employees_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows of employees: two batches, with ties inside the first."""
-    k, v = F.col("c_custkey"), F.col("version")
-    base = table(spark, sf_dir, "customer").withColumn("version", versions(v2=k % 3 == 0, v3=k % 7 == 0))
-    serial = (F.lit(40000) + k % 4000).cast("string")
-    hired = F.date_format(F.date_add(as_date("2009-07-06"), (k % 4000).cast("int")), "yyyy-MM-dd 00:00:00")
-    postcode = (F.lit(10000) + (k * 37) % 80000).cast("string")
-    second = v == 2
-    business = {
-        "employee_id": F.when(k % 97 != 13, k.cast("string")),
-        "last_name": F.concat(F.lit(" Name"), k, F.lit(" ")),
-        "first_name": F.when(k % 11 != 0, F.concat(F.lit("First"), F.col("c_nationkey"))),
-        "birth_date_raw": (F.lit(20000) + k % 9000).cast("string"),
-        "business_unit": F.concat("c_mktsegment", F.lit(" ")),
-        "hire_date_raw": F.when(k % 50 == 7, "").when(k % 4 == 0, serial).when(k % 4 == 1, hired)
-                          .when(k % 4 == 2, F.concat(serial, F.lit(".5"))).otherwise(F.concat(serial, F.lit(".0"))),
-        "gross_salary_raw": F.when(k % 101 == 5, "0").when(k % 103 == 7, "").otherwise(
-            F.concat((F.lit(20000) + k % 400 * 100 + (v - 1) * 500).cast("string"), F.lit(".50"))),
-        "contract_type": F.when(k % 89 == 3, " Interim").otherwise(
-            pick(k % 5, ["CDI", "CDD", "Stage", "Alternance", "Freelance"])),
-        "cp_days_raw": F.when(k % 53 == 9, "").otherwise((F.lit(20) + k % 10).cast("string")),
-        "home_address": F.when(k % 71 == 2, F.lit(None)).when(k % 73 == 4, "sans code").otherwise(
-            F.concat(F.lit(" No "), k % 90, F.lit(", "), postcode, F.lit(" City"), F.col("c_nationkey"))),
-        "declared_transport_mode": pick((k + v) % 8, [
-            "Vélo", "Marche/running", " Trottinette ", "VÉLO", "Transports en commun",
-            "Vélo/Trottinette/Autres", "", None]),
-    }
-    landed = base.select(
-        F.concat(F.lit("hr-"), v).alias("ingestion_id"),
-        F.when(second, as_timestamp("2024-01-20 06:00:00")).otherwise(as_timestamp("2024-01-05 06:00:00")).alias("ingested_at"),
-        F.when(second, as_date("2024-01-20")).otherwise(as_date("2024-01-05")).alias("process_date"),
-        F.lit("employees.csv").alias("source_file"),
-        *[c.alias(name) for name, c in business.items()],
-    )
-    return landed.withColumn("row_hash", row_hash([F.col(c) for c in business]))
+    delivered = """explode(case when k % 3 = 0 and k % 7 = 0 then array(1, 2, 3) when k % 3 = 0 then array(1, 2)
+                   when k % 7 = 0 then array(1, 3) else array(1) end) version"""
+    base = table(spark, sf_dir, "customer").selectExpr("c_custkey k", "c_nationkey", "c_mktsegment").selectExpr("*", delivered)
+    landed = base.selectExpr(*_batch_columns("hr", "employees.csv"), *[f"{sql} {name}" for name, sql in EMPLOYEE_SQL.items()])
+    return landed.withColumn("row_hash", row_hash([F.col(c) for c in EMPLOYEE_HEADERS.values()]))
 
 
 def declarations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, v = F.col("c_custkey"), F.col("version")
-    base = table(spark, sf_dir, "customer").withColumn("version", versions(v2=k % 4 == 1))
-    return base.select(
-        F.concat(F.lit("sport-"), v).alias("ingestion_id"),
-        F.when(v == 2, as_timestamp("2024-01-20 06:00:00")).otherwise(as_timestamp("2024-01-05 06:00:00")).alias("ingested_at"),
-        F.when(v == 2, as_date("2024-01-20")).otherwise(as_date("2024-01-05")).alias("process_date"),
-        F.lit("sports.csv").alias("source_file"),
-        F.when(k % 97 != 13, k.cast("string")).alias("employee_id"),
-        pick((k + v) % 6, ["Running ", "", "  ", "Vélo", None, " Natation"]).alias("declared_sport"),
+    base = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey k", "explode(case when c_custkey % 4 = 1 then array(1, 2) else array(1) end) version")
+    return base.selectExpr(
+        *_batch_columns("sport", "sports.csv"),
+        "case when k % 97 <> 13 then string(k) end employee_id",
+        "array('Running ', '', '  ', 'Vélo', null, ' Natation')[int((k + version) % 6)] declared_sport",
     ).withColumn("row_hash", row_hash([F.col("employee_id"), F.col("declared_sport")]))
 
 
-def activities_raw(spark: SparkSession, sf_dir: str, replays: bool = True) -> DataFrame:
+def activities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event landing rows. Replays repeat an id at a later offset with another payload."""
-    e, v = F.col("event_id"), F.col("version")
-    base = table(spark, sf_dir, "events")
-    base = base.withColumn("version", versions(v2=e % 10 == 3)) if replays else base.withColumn("version", F.lit(1))
-    ts = F.col("ts").cast("timestamp")
-    day = F.col("ts").cast("date")
-    replay = v == 2
-    km = F.when(e % 50 == 17, F.lit("-1.00")).otherwise(
-        (F.col("value").cast("decimal(10,2)") + (v - 1).cast("decimal(10,2)")).cast("decimal(10,2)").cast("string"))
-    process_date = F.date_add(day, (e % 3).cast("int"))
-    payload = F.concat_ws(
-        "",
-        F.lit('{"activity_id":"'), e.cast("string"), F.lit('"'),
-        F.when(e % 40 != 11, F.concat(F.lit(',"employee_id":"'), F.col("user_id"), F.lit('"'))),
-        F.lit(',"activity_type":"'), F.upper("event_type"), F.lit('"'),
-        F.when(e % 60 != 29, F.concat(F.lit(',"activity_date":"'), day.cast("string"), F.lit('"'))),
-        F.lit(',"distance_km":'), km,
-        F.lit(',"duration_min":'), F.when(e % 8 == 0, "0").otherwise(F.get_json_object("props", "$.k")),
-        F.lit(',"calories_burned":'), (e % 500 + 100).cast("string"),
-        F.lit(',"source_system":"feed","event_ts":"'), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit('Z"'),
-        F.lit(',"process_date":"'), process_date.cast("string"), F.lit('"}'),
-    )
-    return base.select(
-        e.cast("string").alias("event_id"),
-        process_date.alias("process_date"),
-        F.lit("sport_activities").alias("topic"),
-        (F.col("user_id") % 4).cast("int").alias("partition_id"),
-        F.when(replay, e + 1_000_000_000).otherwise(e).alias("offset_id"),
-        F.when(replay & (e % 20 == 3), F.timestamp_add("SECOND", F.lit(1), ts)).otherwise(ts).alias("event_ts"),
-        F.timestamp_add("MINUTE", F.when(replay, 60).otherwise(1), ts).alias("consumed_at"),
-        payload.alias("payload_json"),
+    base = table(spark, sf_dir, "events").selectExpr(
+        "event_id e", "user_id", "event_type", "timestamp(ts) ts", "date(ts) day",
+        "date_add(date(ts), int(event_id % 3)) process_date", "value", "props",
+        "explode(case when event_id % 10 = 3 then array(1, 2) else array(1) end) version")
+    payload = """concat_ws('', '{"activity_id":"', e, '"', case when e % 40 <> 11 then concat(',"employee_id":"', user_id, '"') end,
+        ',"activity_type":"', upper(event_type), '"', case when e % 60 <> 29 then concat(',"activity_date":"', day, '"') end,
+        ',"distance_km":', case when e % 50 = 17 then '-1.00'
+            else string(cast(cast(value as decimal(10,2)) + cast(version - 1 as decimal(10,2)) as decimal(10,2))) end,
+        ',"duration_min":', case when e % 8 = 0 then '0' else get_json_object(props, '$.k') end,
+        ',"calories_burned":', e % 500 + 100, ',"source_system":"feed","event_ts":"',
+        date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z","process_date":"', process_date, '"}')"""
+    return base.selectExpr(
+        "string(e) event_id",
+        "process_date",
+        "'sport_activities' topic",
+        "int(user_id % 4) partition_id",
+        "case when version = 2 then e + 1000000000 else e end offset_id",
+        "case when version = 2 and e % 20 = 3 then ts + interval 1 second else ts end event_ts",
+        "case when version = 2 then ts + interval 60 minute else ts + interval 1 minute end consumed_at",
+        f"{payload} payload_json",
     )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages: the events with their replays, and some unreadable values."""
-    broken = F.col("offset_id") % 100 == 57
-    return activities_raw(spark, sf_dir).select(
-        F.get_json_object("payload_json", "$.employee_id").alias("key"),
-        F.when(broken, F.concat(F.lit("{bad "), F.col("event_id"))).otherwise(F.col("payload_json")).alias("value"),
-        "topic",
-        F.col("partition_id").alias("partition"),
-        F.col("offset_id").alias("offset"),
-        F.col("consumed_at").alias("timestamp"),
+    return activities_raw(spark, sf_dir).selectExpr(
+        "get_json_object(payload_json, '$.employee_id') key",
+        "case when offset_id % 100 = 57 then concat('{bad ', event_id) else payload_json end value",
+        "topic", "partition_id partition", "offset_id offset", "consumed_at timestamp",
     )
 
 
 def rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested JSON rule document per supplier, effective over about three months."""
-    k = F.col("s_suppkey")
-    modes = pick(k % 3, [
-        '["velo","marche/running"]', '["velo","vélo","marche/running","trottinette"]', '["marche/running","trottinette"]'])
-    effective = F.date_add(as_date("2023-11-10"), ((k * 13) % 97).cast("int"))
-    document = F.concat_ws(
-        "",
-        F.lit('{"rule_version":"r'), k.cast("string"), F.lit('","effective_from":"'), effective.cast("string"),
-        F.lit('","office_address":"Site '), k.cast("string"), F.lit('","bonus_rate":0.0'), (k % 5 + 3).cast("string"),
-        F.lit(',"wellbeing_days":'), (k % 4 + 3).cast("string"),
-        F.lit(',"min_activities_per_year":'), (k % 20 + 5).cast("string"),
-        F.lit(',"max_km_walk_run":'), (k % 10 + 8).cast("string"),
-        F.lit(',"max_km_cycle_scooter_other":'), (k % 12 + 15).cast("string"),
-        F.when(k % 10 != 9, F.concat(F.lit(',"sportive_transport_modes":'), modes)),
-        F.lit(',"limits":{"city":{"max":'), (k % 7).cast("string"),
-        F.lit('},"note":null,"ratio":1.5,"empty":{}},"active":true}'),
-    )
-    return table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("r"), k).alias("rule_version"),
-        document.alias("document"),
-        F.timestamp_add("MINUTE", k.cast("int"), as_timestamp("2024-01-01 00:00:00")).alias("loaded_at"),
-    )
+    document = """concat_ws('', '{"rule_version":"r', k, '","effective_from":"', date_add(date'2023-11-10', int((k * 13) % 97)),
+        '","office_address":"Site ', k, '","bonus_rate":0.0', k % 5 + 3, ',"wellbeing_days":', k % 4 + 3,
+        ',"min_activities_per_year":', k % 20 + 5, ',"max_km_walk_run":', k % 10 + 8,
+        ',"max_km_cycle_scooter_other":', k % 12 + 15,
+        case when k % 10 <> 9 then concat(',"sportive_transport_modes":', array('["velo","marche/running"]',
+            '["velo","vélo","marche/running","trottinette"]', '["marche/running","trottinette"]')[int(k % 3)]) end,
+        ',"limits":{"city":{"max":', k % 7, '},"note":null,"ratio":1.5,"empty":{}},"active":true}')"""
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey k").selectExpr(
+        "concat('r', k) rule_version", f"{document} document",
+        "timestampadd(MINUTE, int(k), timestamp'2024-01-01 00:00:00') loaded_at")
 
 
 def rules_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,47 +151,40 @@ def parameters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a run log."""
-    k = F.col("o_orderkey")
-    scheduled = F.col("o_orderdate").cast("timestamp")
-    start = F.when(k % 37 != 0, F.timestamp_add("SECOND", (k % 3600).cast("int"), scheduled))
-    state = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("running")
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("dag_"), k % 5).alias("dag_id"),
-        k.cast("string").alias("run_id"),
-        F.lit("scheduled").alias("run_type"),
-        state.alias("state"),
-        (F.col("o_custkey") % 2 == 0).alias("external_trigger"),
-        scheduled.alias("execution_date"),
-        scheduled.alias("data_interval_start"),
-        F.timestamp_add("DAY", F.lit(1), scheduled).alias("data_interval_end"),
-        F.timestamp_add("MINUTE", F.lit(1), scheduled).alias("queued_at"),
-        start.alias("start_date"),
-        F.when(F.col("o_orderstatus") != "P",
-               F.timestamp_add("SECOND", (F.col("o_custkey") % 5000).cast("int"), start)).alias("end_date"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('dag_', o_orderkey % 5) dag_id",
+        "string(o_orderkey) run_id",
+        "'scheduled' run_type",
+        "case o_orderstatus when 'F' then 'success' when 'O' then 'failed' else 'running' end state",
+        "o_custkey % 2 = 0 external_trigger",
+        "timestamp(o_orderdate) execution_date",
+        "timestamp(o_orderdate) data_interval_start",
+        "timestamp(o_orderdate) + interval 1 day data_interval_end",
+        "timestamp(o_orderdate) + interval 1 minute queued_at",
+        "case when o_orderkey % 37 <> 0 then timestampadd(SECOND, int(o_orderkey % 3600), timestamp(o_orderdate)) end start_date",
+        """case when o_orderkey % 37 <> 0 and o_orderstatus <> 'P'
+           then timestampadd(SECOND, int(o_orderkey % 3600 + o_custkey % 5000), timestamp(o_orderdate)) end end_date""",
     )
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as task instances of the runs."""
-    k, line, flag = F.col("l_orderkey"), F.col("l_linestatus"), F.col("l_returnflag")
-    state = (
-        F.when((line == "F") & (flag != "R"), "success").when(line == "F", "failed")
-        .when(flag == "A", "running").when(flag == "N", "queued").otherwise("skipped")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('dag_', l_orderkey % 5) dag_id",
+        "string(l_orderkey) run_id",
+        """case when l_linestatus = 'F' and l_returnflag <> 'R' then 'success' when l_linestatus = 'F' then 'failed'
+           when l_returnflag = 'A' then 'running' when l_returnflag = 'N' then 'queued' else 'skipped' end state""",
     )
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("dag_"), k % 5).alias("dag_id"), k.cast("string").alias("run_id"), state.alias("state"))
 
 
 def long_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as silver activities: more than six years, so the 365-day window moves."""
-    k = F.col("o_orderkey")
-    day = F.col("o_orderdate").cast("date")
-    return table(spark, sf_dir, "orders").select(
-        k.cast("string").alias("activity_id"),
-        F.col("o_custkey").cast("string").alias("employee_id"),
-        F.date_add(day, (k % 3).cast("int")).alias("process_date"),
-        day.alias("activity_date"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("distance_km"),
-        (k % 120).cast("int").alias("duration_min"),
-        (k % 120 > 0).alias("is_valid_activity"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "string(o_orderkey) activity_id",
+        "string(o_custkey) employee_id",
+        "date_add(date(o_orderdate), int(o_orderkey % 3)) process_date",
+        "date(o_orderdate) activity_date",
+        "cast(o_totalprice as decimal(10,2)) distance_km",
+        "int(o_orderkey % 120) duration_min",
+        "o_orderkey % 120 > 0 is_valid_activity",
     )

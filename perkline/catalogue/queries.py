@@ -719,8 +719,7 @@ def union_all_counts(d):
 
 @query
 def topk_recent(d):
-    moment = F.coalesce("start_date", "execution_date")
-    return d.runs.orderBy(moment.desc_nulls_first(), "dag_id", "run_id").limit(20).select("dag_id", "run_id", "state")
+    return monitoring.recent_runs(d.runs).select("dag_id", "run_id", "state")
 
 
 @query
@@ -867,7 +866,7 @@ def monitoring_table_row_counts(d):
 
 @query
 def dash_failed_runs_7d(d):
-    return monitoring.dash_failed_runs_7d(d.run_log(), I.RUNS_AS_OF_TS)
+    return monitoring.dash_failed_runs_7d(d.runs, I.RUNS_AS_OF_TS)
 
 
 @query
@@ -887,7 +886,7 @@ def dash_active_series(d):
 
 @query
 def dash_recent_runs(d):
-    return monitoring.dash_recent_runs(d.run_log())
+    return monitoring.dash_recent_runs(d.runs, d.tasks, I.RUNS_AS_OF_TS)
 
 
 @query

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkline.session import ensure_checkpoint_dir
+from perkline.session import stage_table
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -17,16 +17,14 @@ def total_order_rank(df: DataFrame, order: Sequence[Column], name: str = "rank")
 
     Rows are range-partitioned and sorted, numbered inside their slice, and shifted by the size of
     the slices before. ``order`` must end in a unique column: equal rows cannot be split. The
-    numbered table is checkpointed, since slice bounds are sampled and both uses must agree.
+    numbered table is stored, since slice bounds are sampled and both uses must agree.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = stage_table(
         df.repartitionByRange(slices, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "ranked",
     )
     slice_of = F.shiftrightunsigned(F.col("_id"), 33)
     before = (

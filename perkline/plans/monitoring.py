@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkline.functions.dates import as_timestamp, duration_seconds
@@ -81,10 +81,15 @@ def monitoring_table_row_counts(tables: Mapping[tuple[str, str], DataFrame]) ->
 
 # --- dashboard queries -----------------------------------------------------------------------
 
+def _moment() -> Column:
+    return F.coalesce("start_date", "execution_date")
+
+
 def dash_failed_runs_7d(runs: DataFrame, as_of_ts: str, days: int = 7) -> DataFrame:
+    """Failed runs of the trailing days. Reads the run log only: task counts play no part."""
     since = as_timestamp(as_of_ts) - F.make_dt_interval(F.lit(days))
-    recent = F.coalesce("start_date", "execution_date") >= since
-    return runs.filter((F.col("dag_state") == "failed") & recent).agg(F.count("*").alias("failed_runs_last_7d"))
+    return runs.filter((F.col("state") == "failed") & (_moment() >= since)).agg(
+        F.count("*").alias("failed_runs_last_7d"))
 
 
 def dash_latest_day_volume(volumes: DataFrame) -> DataFrame:
@@ -117,11 +122,21 @@ def dash_active_series(volumes: DataFrame) -> DataFrame:
         "active_employee_count": "active_employees", "wellbeing_eligible_employee_count": "wellbeing_eligible"})
 
 
-def dash_recent_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
-    """Most recent runs; run keys settle equal times."""
-    moment = F.coalesce("start_date", "execution_date")
+def recent_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
+    """The latest rows of the run log; run keys settle equal times."""
+    return runs.orderBy(_moment().desc_nulls_first(), "dag_id", "run_id").limit(limit)
+
+
+def dash_recent_runs(runs: DataFrame, tasks: DataFrame, as_of_ts: str, limit: int = 20) -> DataFrame:
+    """Most recent runs with their task counts.
+
+    The runs are cut first, and only their tasks are counted: at most ``limit`` keys are broadcast.
+    """
+    chosen = recent_runs(runs, limit)
+    own_tasks = tasks.join(F.broadcast(chosen.select("dag_id", "run_id")), ["dag_id", "run_id"], "left_semi")
+    log = monitoring_runs(chosen, own_tasks, as_of_ts)
     return (
-        runs.orderBy(moment.desc_nulls_first(), "dag_id", "run_id").limit(limit)
+        log.orderBy(_moment().desc_nulls_first(), "dag_id", "run_id")
         .select("dag_id", "run_id", "dag_state", "start_date", "end_date",
                 F.round(F.coalesce("duration_seconds", F.lit(0))).alias("duration_seconds"),
                 "task_count", "task_failed_count")

@@ -79,8 +79,12 @@ def latest_declarations(bronze: DataFrame) -> DataFrame:
 
 
 def latest_activities(bronze: DataFrame) -> DataFrame:
-    """Partition and payload only decide between copies with equal time and offset."""
-    return latest_per_key(bronze, ["activity_id"], ["event_ts", "offset_id", "partition_id", "payload_json"])
+    """Partition and payload only decide between copies with equal time and offset.
+
+    The payload enters as a hash, so its text need not travel through the shuffle.
+    """
+    copies = bronze.withColumn("_copy", F.xxhash64("payload_json"))
+    return latest_per_key(copies, ["activity_id"], ["event_ts", "offset_id", "partition_id", "_copy"]).drop("_copy")
 
 
 def sil_employees(bronze: DataFrame, validity: DataFrame, office: tuple[Decimal, Decimal] = OFFICE,

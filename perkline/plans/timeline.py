@@ -9,12 +9,12 @@ from perkline.defaults import WINDOW_DAYS
 from perkline.operators.activity import daily_activity, trailing_intervals
 from perkline.operators.calendar import distinct_dates, materialize_calendar, number_dates, rule_per_date
 from perkline.plans.gold import bonus_reason, potential_bonus, wellbeing_reason
-from perkline.plans.silver import distance_within_rule, mode_is_sportive
+from perkline.plans.silver import distance_within_rule
 from perkline.session import stage_table
 
 RULE_FIELDS = (
     "rule_version", "bonus_rate", "min_activities_per_year", "wellbeing_days",
-    "max_km_walk_run", "max_km_cycle_scooter_other", "sportive_transport_modes",
+    "max_km_walk_run", "max_km_cycle_scooter_other", "modes",
 )
 EMPLOYEE_FIELDS = (
     "employee_id", "full_name", "business_unit", "contract_type", "gross_salary", "transport_mode",
@@ -66,12 +66,14 @@ def gold_employee_benefit_timeline(
     """Snapshot rows for every employee and every date on which anyone was validly active."""
     daily = stage_daily(activities)
     # a date without any rule keeps its position in the calendar but yields no rows
-    ruled = rule_per_date(distinct_dates(daily), validity, RULE_FIELDS, keep_uncovered=True)
+    # the mode lists are parsed here, per version, and not per snapshot row
+    parsed = validity.withColumn("modes", F.from_json("sportive_transport_modes", "array<string>"))
+    ruled = rule_per_date(distinct_dates(daily), parsed, RULE_FIELDS, keep_uncovered=True)
     grid = activity_grid(employees.select(*EMPLOYEE_FIELDS), daily, ruled, window_days)
     ruled_grid = grid.filter(F.col("rule_version").isNotNull())
 
     mode = F.col("transport_mode")
-    sportive = mode_is_sportive(mode, F.col("sportive_transport_modes"))
+    sportive = F.array_contains("modes", mode)
     within = distance_within_rule(
         mode, F.col("distance_km_to_office"), F.col("max_km_walk_run"), F.col("max_km_cycle_scooter_other"))
     decided = ruled_grid.select(
