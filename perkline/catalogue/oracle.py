@@ -501,9 +501,9 @@ ORACLE: dict[str, str] = {
         home_address=null::varchar; declared_transport_mode=null::varchar;
         row_hash=sha256(concat_ws('|', c_custkey, c_name, '', c_custkey, c_mktsegment, '', c_custkey % 400 + 20000, '', '', '', ''))
         """, "from customer"),
-    "clean_numeric_key_table": build(
+    "clean_numeric_key": build(
         "o_orderkey; employee_id=if(o_orderkey % 2 = 0, o_orderkey::varchar, o_orderkey || '.05')", "from orders"),
-    "row_hash_table": build(
+    "row_hash": build(
         "c_custkey; row_hash=sha256(concat_ws('|', c_custkey, if(c_custkey % 5 = 0, '', c_name), c_mktsegment))", "from customer"),
     "tag_process_date": build("o_orderkey; o_orderstatus; process_date='2024-01-31'", "from orders"),
     "replace_batch": build("ingestion_id; process_date:d; source_file; employee_id; gross_salary_raw", """
@@ -525,9 +525,10 @@ ORACLE: dict[str, str] = {
                             "from parameters where k % 5 <> 0 or rule_path <> 'limits.ratio'"),
     "insert_if_absent": build("event_id; offset_id; process_date:d",
                               "from act_raw where event_id::bigint % 2 = 1 and offset_id < 1000000000"),
-    "jsonl_round_trip": build("""
+    "read_jsonl": build("""
         activity_id=event_id; employee_id; activity_type; activity_date:d; distance_km:n; duration_min:i;
         calories_burned:i; source_system='feed'; event_ts:t=date_trunc('millisecond', event_ts); process_date:d""", "from act_raw"),
+    "write_jsonl": build("process_date:d; lines=count(*); known_employees=count(employee_id)", "from act_raw group by process_date"),
     "publish_rows": build("""
         key=o_custkey::varchar; value=concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey, ',"o_orderstatus":"',
         o_orderstatus, '","o_orderpriority":"', o_orderpriority, '"}')""", "from orders"),
@@ -557,24 +558,24 @@ ORACLE: dict[str, str] = {
         f"{ID} hire_date:d={serial_date('hire_date_raw')}; birth_date:d={serial_date('birth_date_raw')}", "from emp_raw"),
     "strict_cast_nullif": build(f"""{ID} gross_salary:n=cast(nullif(gross_salary_raw, '') as decimal(12,2));
         cp_days:i=nullif(cp_days_raw, ''); lenient_salary:i=if(gross_salary_raw = '0', 0, null)""", "from emp_raw"),
-    "full_names": build(f"{ID} full_name=concat_ws(' ', first_name, trim(last_name))", "from emp_raw"),
-    "nullif_trim_table": build(f"{ID} declared_sport=nullif(trim(declared_sport), '')", "from decl_raw"),
+    "full_name": build(f"{ID} full_name=concat_ws(' ', first_name, trim(last_name))", "from emp_raw"),
+    "nullif_trim": build(f"{ID} declared_sport=nullif(trim(declared_sport), '')", "from decl_raw"),
     "pseudo_geocode": build(
         f"{ID} home_lat:n={axis('home_address', 1, 434000, 1)}; home_lon:n={axis('home_address', 9, 37000, 10)}", "from emp_raw"),
     "pseudo_geocode_sha": build(f"""{ID} home_lat:n={sha_axis('home_address', 1, 434000, 1, '43.5652')};
         home_lon:n={sha_axis('home_address', 9, 37000, 10, '3.9029')}""", "from emp_raw"),
-    "haversine_asin": build(f"{ID} distance_km_to_office:n={great_circle('lat', 'lon')}", f"""
+    "haversine_km": build(f"{ID} distance_km_to_office:n={great_circle('lat', 'lon')}", f"""
         from (select employee_id, ingestion_id, {axis('home_address', 1, 434000, 1)} as lat, {axis('home_address', 9, 37000, 10)} as lon from emp_raw)"""),
-    "haversine_atan2": build(f"{ID} distance_km_to_office:n={great_circle('lat', 'lon')}", f"""
+    "haversine_km_atan2": build(f"{ID} distance_km_to_office:n={great_circle('lat', 'lon')}", f"""
         from (select employee_id, ingestion_id, {axis('home_address', 1, 434000, 1)} as lat, {axis('home_address', 9, 37000, 10)} as lon from emp_raw)"""),
-    "city_from_address_table": build(
+    "city_from_address": build(
         f"{ID} home_city=regexp_replace(trim(split_part(home_address, ',', 2)), '^[0-9]{{5}}\\s+', '')", "from emp_raw"),
     "render_message": build("""
         activity_id=event_id; offset_id; message_text=concat('activity ', lower(activity_type), ' of ', employee_id, ' on ',
         activity_date, ': ', distance_km, ' km')""", "from act_raw"),
     "anomaly_id": build(f"{ID} anomaly_id=md5(employee_id || '-distance')", "from emp_raw"),
-    "duration_seconds_table": build("dag_id; run_id; duration_seconds:n", "from run_log"),
-    "reference_year_table": build("reference_year:i=year(process_date); events=count(*)", "from act_raw group by year(process_date)"),
+    "duration_seconds": build("dag_id; run_id; duration_seconds:n", "from run_log"),
+    "reference_year": build("reference_year:i=year(process_date); events=count(*)", "from act_raw group by year(process_date)"),
     "validity_flag": build("""
         activity_id=event_id; offset_id; is_valid_activity=employee_id is not null and activity_date is not null
         and distance_km >= 0 and duration_min > 0""", "from act_raw"),
@@ -659,7 +660,8 @@ ORACLE: dict[str, str] = {
     "dedup_latest_activity": build("activity_id=event_id; event_ts:t; offset_id; distance_km:n", "from act_latest"),
     "rank_recency": build(
         "rule_version; recency_rank=row_number() over (order by effective_from desc, loaded_at desc, rule_version desc)", "from rules"),
-    "rank_chronology": build("rule_version; chronology_rank=pos; next_effective_from:d=effective_to_exclusive", "from windows"),
+    "rank_chronology": build("rule_version; chronology_rank=pos", "from windows"),
+    "lead_next": build("rule_version; effective_from:d; next_effective_from:d=effective_to_exclusive", "from windows"),
     "rank_runs_by_time": build(
         "run_id; execution_date:t; position=row_number() over (order by execution_date, run_id::bigint)", "from runs"),
     # set operations, sort, limit
@@ -755,8 +757,8 @@ ORACLE: dict[str, str] = {
         eligible_bonus_employees=count(case when is_bonus_eligible then 1 end);
         eligible_wellbeing_employees=count(case when is_wellbeing_eligible then 1 end); total_bonus_cost:n=sum(bonus_amount);
         total_wellbeing_days:i=sum(wellbeing_days_awarded)""", "from status"),
-    "bi_distribution_contract": build("contract_type; " + DISTRIBUTION, "from status group by contract_type"),
-    "bi_distribution_mode": build("transport_mode; " + DISTRIBUTION, "from status group by transport_mode"),
+    "bi_distribution": build("contract_type; " + DISTRIBUTION, "from status group by contract_type"),
+    "bi_distribution_by_mode": build("transport_mode; " + DISTRIBUTION, "from status group by transport_mode"),
     "bi_eligibility_trend": build("""
         snapshot_date:d; bonus_eligible_employees=count(distinct case when sportive and within_limit then employee_id end);
         wellbeing_eligible_employees=count(distinct case when enough then employee_id end)""", "from decided_7 group by snapshot_date"),
@@ -790,7 +792,7 @@ ORACLE: dict[str, str] = {
         event_id=if(offset_id % 100 = 57, null, event_id); process_date:d=if(offset_id % 100 = 57, null, process_date); topic;
         partition_id; offset_id; event_ts:t=if(offset_id % 100 = 57, null, date_trunc('second', ts)); is_readable=offset_id % 100 <> 57""",
                                 "from (select *, cast(substr(payload_json, strpos(payload_json, '\"event_ts\":\"') + 12, 19) as timestamp) as ts from act_raw)"),
-    "stream_dead_letters": build("partition_id; offset_id; payload_json='{bad ' || event_id", "from act_raw where offset_id % 100 = 57"),
+    "stream_skip_errors": build("partition_id; offset_id; payload_json='{bad ' || event_id", "from act_raw where offset_id % 100 = 57"),
     "stream_dedup_first": build("event_id; process_date:d", "from landed"),
     "stream_drain": build("event_id; process_date:d; partition_id; offset_id", "from landed"),
     "stream_notify_once": build(MESSAGE.format(extra="process_date:d;"), "from landed"),

@@ -47,14 +47,19 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[neutral(f) for f in df.schema.fields])
 
 
-def query(fn: Callable[["Domain"], DataFrame]):
-    """Register ``fn(domain)`` under its own name."""
-    @wraps(fn)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(fn(Domain(spark, sf_dir)))
+def query(name_or_fn: str | Callable[["Domain"], DataFrame]):
+    """Register ``fn(domain)`` under the given name, or under its own."""
+    def register(fn, name):
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return portable(fn(Domain(spark, sf_dir)))
 
-    QUERIES[fn.__name__] = run
-    return fn
+        QUERIES[name] = run
+        return fn
+
+    if isinstance(name_or_fn, str):
+        return lambda fn: register(fn, name_or_fn)
+    return register(name_or_fn, name_or_fn.__name__)
 
 
 class Domain:
@@ -205,14 +210,14 @@ def land_table(d):
     return landing.land_table(source, landing.EMPLOYEE_HEADERS, "employees.csv", "2024-01-05", "run-1", "2024-01-05 06:00:00")
 
 
-@query
+@query("clean_numeric_key")
 def clean_numeric_key_table(d):
     k = F.col("o_orderkey")
     raw = F.when(k % 2 == 0, F.concat(k, F.lit(".0"))).otherwise(F.concat(k, F.lit(".05")))
     return d.table("orders").select("o_orderkey", clean_numeric_key(raw).alias("employee_id"))
 
 
-@query
+@query("row_hash")
 def row_hash_table(d):
     columns = ["c_custkey", "c_name", "c_mktsegment"]
     blank = F.when(F.col("c_custkey") % 5 != 0, F.col("c_name"))
@@ -284,13 +289,25 @@ def insert_if_absent(d):
     return accepted.select("event_id", "offset_id", "process_date")
 
 
-@query
-def jsonl_round_trip(d):
+def _write_event_lines(d) -> str:
     path = d.scratch("jsonl")
     jsonl.write_jsonl(d.activities_bronze.select(
         "activity_id", "employee_id", "activity_type", "activity_date", "distance_km", "duration_min",
         "calories_burned", "source_system", "event_ts", "process_date"), path)
-    return jsonl.read_jsonl(d.spark, path)
+    return path
+
+
+@query
+def read_jsonl(d):
+    return jsonl.read_jsonl(d.spark, _write_event_lines(d))
+
+
+@query
+def write_jsonl(d):
+    """Lines written per processing date, as text."""
+    lines = d.spark.read.text(_write_event_lines(d))
+    return lines.groupBy("process_date").agg(
+        F.count("*").alias("lines"), F.count(F.get_json_object("value", "$.employee_id")).alias("known_employees"))
 
 
 @query
@@ -337,7 +354,8 @@ def json_extract_typed(d):
 def json_array_explode_in(d):
     """Employees against the exploded mode lists of all versions: how many versions reward their mode."""
     exploded = d.rules_raw.select(F.explode(F.from_json("sportive_transport_modes", "array<string>")).alias("transport_mode"))
-    rewarded = exploded.groupBy("transport_mode").agg(F.count("*").alias("rule_count"))
+    # modes are few and one may cover most employees: broadcast after counting them
+    rewarded = J.broadcast_within(exploded.groupBy("transport_mode").agg(F.count("*").alias("rule_count")))
     return d.employees.join(rewarded, "transport_mode", "left").select(
         "employee_id", "transport_mode", F.coalesce("rule_count", F.lit(0)).alias("rule_count"))
 
@@ -376,13 +394,13 @@ def strict_cast_nullif(d):
         strict_cast(F.col("gross_salary_raw"), "int", strict=False).alias("lenient_salary"))
 
 
-@query
+@query("full_name")
 def full_names(d):
     return d.employees_raw.select(
         "employee_id", "ingestion_id", full_name(F.col("first_name"), F.trim("last_name")).alias("full_name"))
 
 
-@query
+@query("nullif_trim")
 def nullif_trim_table(d):
     return d.declarations_raw.select(
         "employee_id", "ingestion_id", nullif_trim(F.col("declared_sport")).alias("declared_sport"))
@@ -404,17 +422,17 @@ def _distances(d, form):
     return silver.add_distance(located, form).select("employee_id", "ingestion_id", "distance_km_to_office")
 
 
-@query
+@query("haversine_km")
 def haversine_asin(d):
     return _distances(d, "asin")
 
 
-@query
+@query("haversine_km_atan2")
 def haversine_atan2(d):
     return _distances(d, "atan2")
 
 
-@query
+@query("city_from_address")
 def city_from_address_table(d):
     return d.employees_raw.select(
         "employee_id", "ingestion_id", city_from_address(F.col("home_address")).alias("home_city"))
@@ -433,13 +451,13 @@ def anomaly_id(d):
         "employee_id", "ingestion_id", stable_id(F.col("employee_id"), "distance").alias("anomaly_id"))
 
 
-@query
+@query("duration_seconds")
 def duration_seconds_table(d):
     return d.runs.select("dag_id", "run_id", duration_seconds(
         F.col("start_date"), F.col("end_date"), I.RUNS_AS_OF_TS).alias("duration_seconds"))
 
 
-@query
+@query("reference_year")
 def reference_year_table(d):
     return d.activities_bronze.groupBy(reference_year(F.col("process_date")).alias("reference_year")).agg(
         F.count("*").alias("events"))
@@ -692,11 +710,19 @@ def rank_recency(d):
     return ranking.total_order_rank(d.rules_raw, _recency(), "recency_rank").select("rule_version", "recency_rank")
 
 
+def _chronology():
+    return [F.asc(c) for c in ("effective_from", "loaded_at", "rule_version")]
+
+
 @query
 def rank_chronology(d):
-    order = [F.asc(c) for c in ("effective_from", "loaded_at", "rule_version")]
-    return ranking.lead_in_order(d.rules_raw, order, "effective_from", "next_effective_from", "chronology_rank").select(
-        "rule_version", "chronology_rank", "next_effective_from")
+    return ranking.total_order_rank(d.rules_raw, _chronology(), "chronology_rank").select("rule_version", "chronology_rank")
+
+
+@query
+def lead_next(d):
+    return ranking.lead_in_order(d.rules_raw, _chronology(), "effective_from", "next_effective_from").select(
+        "rule_version", "effective_from", "next_effective_from")
 
 
 @query
@@ -899,12 +925,12 @@ def bi_program_kpis(d):
     return bi.bi_program_kpis(d.status())
 
 
-@query
+@query("bi_distribution")
 def bi_distribution_contract(d):
     return bi.bi_distribution(d.status(), "contract_type")
 
 
-@query
+@query("bi_distribution_by_mode")
 def bi_distribution_mode(d):
     return bi.bi_distribution(d.status(), "transport_mode")
 
@@ -1017,7 +1043,7 @@ def stream_parse_event(d):
         "event_id", "process_date", "topic", "partition_id", "offset_id", "event_ts", "is_readable")
 
 
-@query
+@query("stream_skip_errors")
 def stream_dead_letters(d):
     dead = S.dead_letters(S.parse_events(S.stream_source(d.spark, path=d.write_messages())))
     return _collect_stream(d, dead, "dead").select("partition_id", "offset_id", "payload_json")

@@ -55,15 +55,29 @@ def write_batches(df: DataFrame, path: str, keys: Sequence[str] = BATCH_KEYS) ->
        .partitionBy(*keys).parquet(path))
 
 
-def materialize_layer(tables: dict[str, DataFrame], layer: str, path: str) -> dict[str, DataFrame]:
-    """Silver and gold are stored and read back; bronze and monitoring stay lazy views."""
+# Date partitions of the stored tables that grow with time.
+PARTITIONS = {
+    "sil_sport_activities": ("process_date",),
+    "gold_employee_benefit_timeline": ("snapshot_date",),
+}
+
+
+def materialize_layer(
+    tables: dict[str, DataFrame], layer: str, path: str, partitions: dict[str, Sequence[str]] = PARTITIONS
+) -> dict[str, DataFrame]:
+    """Silver and gold are stored and read back; bronze and monitoring stay lazy views.
+
+    Partitioned tables are rebalanced on their partition columns before the write: AQE splits hot
+    dates and merges small ones, so there is neither one huge task nor a file per task and date.
+    """
     if layer in ("bronze", "monitoring"):
         for name, df in tables.items():
             df.createOrReplaceTempView(name)
         return tables
     stored = {}
     for name, df in tables.items():
-        target = f"{path}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(target)
+        target, columns = f"{path}/{layer}/{name}", list(partitions.get(name, ()))
+        ready = df.hint("rebalance", *columns) if columns else df
+        ready.write.mode("overwrite").partitionBy(*columns).parquet(target)
         stored[name] = df.sparkSession.read.schema(df.schema).parquet(target)
     return stored
