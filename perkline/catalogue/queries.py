@@ -151,11 +151,27 @@ class Domain:
     def anomalies(self):
         return gold.gold_quality_anomalies(self.employees, self.activities, self.validity, I.AS_OF, I.AS_OF_TS)
 
+    @cached_property
+    def stored(self):
+        """Silver tables written once, for models that read them several times."""
+        silver_tables = {"sil_employees": self.employees, "sil_sport_activities": self.activities}
+        return tables.materialize_layer(silver_tables, "silver", self.scratch("layers"))
+
+    def stored_status(self):
+        joined = silver.sil_employee_activity_joined(
+            self.stored["sil_employees"], self.declarations,
+            silver.sil_employee_activity_yearly(self.stored["sil_sport_activities"], I.AS_OF))
+        return gold.employee_status(joined, self.validity, I.AS_OF)
+
+    def stored_timeline(self, window_days: int = 365):
+        return timeline.gold_employee_benefit_timeline(
+            self.stored["sil_employees"], self.stored["sil_sport_activities"], self.validity, window_days)
+
     def volumes(self, window_days: int = I.SHORT_WINDOW):
         return monitoring.monitoring_activity_volumes_daily(
             monitoring.raw_volumes(self.activities_bronze),
-            monitoring.silver_volumes(self.activities),
-            monitoring.timeline_volumes(self.timeline(window_days)))
+            monitoring.silver_volumes(self.stored["sil_sport_activities"]),
+            monitoring.timeline_volumes(self.stored_timeline(window_days)))
 
     @cached_property
     def runs(self):
@@ -173,11 +189,11 @@ class Domain:
             ("raw", "rh_employees_raw"): self.employees_raw,
             ("raw", "sport_declarations_raw"): self.declarations_raw,
             ("raw", "sport_activities_stream_raw"): self.activities_raw,
-            ("silver", "sil_employees"): self.employees,
-            ("silver", "sil_sport_activities"): self.activities,
-            ("gold", "gold_kpi_employee_status"): self.status(),
-            ("gold", "gold_employee_benefit_timeline"): self.timeline(),
-            ("gold", "gold_employee_map"): gold.gold_employee_map(self.employees, self.status()),
+            ("silver", "sil_employees"): self.stored["sil_employees"],
+            ("silver", "sil_sport_activities"): self.stored["sil_sport_activities"],
+            ("gold", "gold_kpi_employee_status"): self.stored_status(),
+            ("gold", "gold_employee_benefit_timeline"): self.stored_timeline(),
+            ("gold", "gold_employee_map"): gold.gold_employee_map(self.stored["sil_employees"], self.stored_status()),
         })
 
     def grid(self, columns: list[str], window_days: int):
@@ -997,8 +1013,7 @@ def check_in_set(d):
 
 
 def _suite_results(d):
-    return quality.validation_suite({
-        "sil_employees": d.employees, "sil_sport_activities": d.activities, "gold_kpi_employee_status": d.status()})
+    return quality.validation_suite({**d.stored, "gold_kpi_employee_status": d.stored_status()})
 
 
 @query

@@ -93,15 +93,14 @@ def dash_failed_runs_7d(runs: DataFrame, as_of_ts: str, days: int = 7) -> DataFr
 
 
 def dash_latest_day_volume(volumes: DataFrame) -> DataFrame:
-    """Raw, valid and invalid counts of the latest metric day, zero when there is none."""
-    last_day = volumes.agg(F.max("metric_date")).scalar()
+    """Raw, valid and invalid counts of the latest metric day, zero when there is none: one pass."""
     names = {
         "raw_event_count": "raw_events_last_day",
         "valid_activity_count": "valid_activities_last_day",
         "invalid_activity_count": "invalid_activities_last_day",
     }
-    return volumes.filter(F.col("metric_date") == last_day).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in names.items()])
+    per_day = volumes.groupBy("metric_date").agg(*[F.sum(c).alias(c) for c in names])
+    return per_day.agg(*[F.coalesce(F.max_by(c, "metric_date"), F.lit(0)).alias(name) for c, name in names.items()])
 
 
 def _series(volumes: DataFrame, metrics: Mapping[str, str]) -> DataFrame:

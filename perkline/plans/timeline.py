@@ -1,8 +1,13 @@
-"""Daily snapshot timeline: employee x activity date with trailing activity and the rule in force."""
+"""Daily snapshot timeline: employee x activity date with trailing activity and the rule in force.
+
+The output has one row per employee and date, so everything that can be decided on something smaller is:
+metrics per run of dates on which they do not change, rule decisions per run and rule, and only the
+date itself (and what happened on it) per row.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkline.defaults import WINDOW_DAYS
@@ -20,6 +25,9 @@ EMPLOYEE_FIELDS = (
     "employee_id", "full_name", "business_unit", "contract_type", "gross_salary", "transport_mode",
     "distance_km_to_office",
 )
+ON_DATE = {"activity_count": "activity_count_on_date", "distance_km": "distance_km_on_date", "duration_min": "duration_min_on_date"}
+TRAILING_COUNTS = ("activity_count_12m", "sport_days_count_12m")
+TRAILING_DATES = ("last_activity_date", "last_process_date")
 
 
 def stage_daily(activities: DataFrame) -> DataFrame:
@@ -27,37 +35,75 @@ def stage_daily(activities: DataFrame) -> DataFrame:
     return stage_table(daily_activity(activities.filter("is_valid_activity")), "daily_activity")
 
 
-def activity_grid(employees: DataFrame, daily: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
-    """Every employee on every snapshot date, with on-date and trailing metrics.
+def employee_runs(employees: DataFrame, daily: DataFrame, calendar: DataFrame, window_days: int) -> DataFrame:
+    """Every employee's dates as runs ``begins..ends`` of calendar positions with constant trailing metrics.
 
-    ``dates`` has one row per distinct date of ``daily`` and any columns to carry along. Employees are
-    joined to their runs of constant metrics, and the runs are unrolled to dates inside the task:
-    the full grid is never shuffled, joined to activities or crossed with anything.
+    Dates before the first activity, or all dates of an idle employee, form a run of zeros. What
+    happened on the first date of a run (``on_pos``) rides along.
     """
-    calendar = materialize_calendar(number_dates(dates, window_days))
     last_pos = calendar.count()
     runs = trailing_intervals(daily, calendar, window_days, last_pos)
-    # an employee's first run also carries the empty dates before it; without any run it is all dates
-    begins = F.when(F.coalesce("is_first", F.lit(True)), 1).otherwise(F.col("pos"))
-    ends = F.coalesce("next_pos", F.lit(last_pos + 1)) - 1
-    unrolled = (
-        employees.join(runs, "employee_id", "left")
-        .filter(F.lit(last_pos > 0))
-        .withColumn("date_pos", F.explode(F.sequence(begins, ends)))
+
+    def piece(begins, ends, active: bool):
+        return F.struct(begins.alias("begins"), ends.alias("ends"), F.lit(active).alias("active"))
+
+    pos, none = F.col("pos"), F.lit(1)
+    own = piece(pos, F.col("next_pos") - 1, True)
+    pieces = (
+        F.when(pos.isNull(), F.array(piece(none, F.lit(last_pos), False)))
+        .when(F.col("is_first") & (pos > 1), F.array(piece(none, pos - 1, False), own))
+        .otherwise(F.array(own))
     )
-    on_date = (F.col("date_pos") == F.col("pos")) & (F.col("entering") == 1)
-    started = F.col("date_pos") >= F.col("pos")
-    return unrolled.join(F.broadcast(calendar), "date_pos").select(
-        *employees.columns,
-        *[c for c in calendar.columns if c not in ("date_pos", "expiry_pos")],
-        F.when(on_date, F.col("activity_count")).otherwise(0).alias("activity_count_on_date"),
-        F.coalesce(F.when(on_date, F.col("distance_km")), F.lit(0)).cast("decimal(20,2)").alias("distance_km_on_date"),
-        F.coalesce(F.when(on_date, F.col("duration_min")), F.lit(0)).alias("duration_min_on_date"),
-        F.when(started, F.col("activity_count_12m")).otherwise(0).alias("activity_count_12m"),
-        F.when(started, F.col("sport_days_count_12m")).otherwise(0).alias("sport_days_count_12m"),
-        F.when(started, F.col("last_activity_date")).alias("last_activity_date"),
-        F.when(started, F.col("last_process_date")).alias("last_process_date"),
+    spread = (
+        employees.join(runs, "employee_id", "left").filter(F.lit(last_pos > 0))
+        .withColumn("piece", F.explode(pieces))
+    )
+    active = F.col("piece.active")
+    return spread.select(
+        *employees.columns, "piece.begins", "piece.ends",
+        F.when(active & (F.col("entering") == 1), pos).alias("on_pos"),
+        *ON_DATE,
+        *[F.when(active, F.col(c)).otherwise(0).alias(c) for c in TRAILING_COUNTS],
+        *[F.when(active, F.col(c)).alias(c) for c in TRAILING_DATES],
+    )
+
+
+def unroll(runs: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Runs as one row per date, inside the task: no shuffle, only a lookup of the date by position."""
+    days = calendar.select("date_pos", "snapshot_date")
+    rows = runs.withColumn("date_pos", F.explode(F.sequence("begins", "ends"))).join(F.broadcast(days), "date_pos")
+    today = F.col("date_pos") == F.col("on_pos")
+    return rows.withColumns({
+        name: F.coalesce(F.when(today, F.col(measure)), F.lit(0)) for measure, name in ON_DATE.items()
+    }).drop("date_pos", "begins", "ends", "on_pos", *ON_DATE)
+
+
+def activity_grid(employees: DataFrame, daily: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
+    """Every employee on every distinct date of ``daily``, with on-date and trailing metrics."""
+    calendar = materialize_calendar(number_dates(dates, window_days))
+    return unroll(employee_runs(employees, daily, calendar, window_days), calendar)
+
+
+def split_by_rule(runs: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Cut runs where the rule changes and attach the rule; stretches without a rule are dropped.
+
+    Consecutive dates under one rule form a span. A run covers the spans between those of its first
+    and last date, so spans are found by number and joined by equality.
+    """
+    spans = calendar.groupBy("span").agg(
+        F.min("date_pos").alias("span_from"), F.max("date_pos").alias("span_to"),
+        *[F.any_value(c).alias(c) for c in RULE_FIELDS])
+    of_position = calendar.select("date_pos", "span")
+    first = F.broadcast(of_position.toDF("begins", "first_span"))
+    last = F.broadcast(of_position.toDF("ends", "last_span"))
+    cut = (
+        runs.join(first, "begins").join(last, "ends")
+        .withColumn("span", F.explode(F.sequence("first_span", "last_span")))
+        .join(F.broadcast(spans.filter("rule_version is not null")), "span")
     )
+    return cut.withColumns({
+        "begins": F.greatest("begins", "span_from"), "ends": F.least("ends", "span_to"),
+    }).drop("first_span", "last_span", "span", "span_from", "span_to")
 
 
 def gold_employee_benefit_timeline(
@@ -65,33 +111,36 @@ def gold_employee_benefit_timeline(
 ) -> DataFrame:
     """Snapshot rows for every employee and every date on which anyone was validly active."""
     daily = stage_daily(activities)
-    # a date without any rule keeps its position in the calendar but yields no rows
-    # the mode lists are parsed here, per version, and not per snapshot row
+    # mode lists are parsed here, per version; a date without any rule keeps its position
     parsed = validity.withColumn("modes", F.from_json("sportive_transport_modes", "array<string>"))
     ruled = rule_per_date(distinct_dates(daily), parsed, RULE_FIELDS, keep_uncovered=True)
-    grid = activity_grid(employees.select(*EMPLOYEE_FIELDS), daily, ruled, window_days)
-    ruled_grid = grid.filter(F.col("rule_version").isNotNull())
+    by_day = Window.orderBy("snapshot_date")
+    changed = ~F.col("rule_version").eqNullSafe(F.lag("rule_version").over(by_day))
+    spans = ruled.withColumn("changed", changed.cast("int")).withColumn("span", F.sum("changed").over(by_day)).drop("changed")
+    calendar = materialize_calendar(number_dates(spans, window_days))
 
+    runs = employee_runs(employees.select(*EMPLOYEE_FIELDS), daily, calendar, window_days)
     mode = F.col("transport_mode")
     sportive = F.array_contains("modes", mode)
     within = distance_within_rule(
         mode, F.col("distance_km_to_office"), F.col("max_km_walk_run"), F.col("max_km_cycle_scooter_other"))
-    decided = ruled_grid.select(
-        "*",
-        F.coalesce(sportive & within, F.lit(False)).alias("is_bonus_eligible"),
-        potential_bonus(F.col("gross_salary"), F.col("bonus_rate")).alias("potential_bonus_amount"),
-        bonus_reason(sportive, within).alias("bonus_reason"),
-        (F.col("activity_count_12m") >= F.col("min_activities_per_year")).alias("is_wellbeing_eligible"),
-    )
+    decided = split_by_rule(runs, calendar).withColumns({
+        "is_bonus_eligible": F.coalesce(sportive & within, F.lit(False)),
+        "potential_bonus_amount": potential_bonus(F.col("gross_salary"), F.col("bonus_rate")),
+        "bonus_reason": bonus_reason(sportive, within),
+        "is_wellbeing_eligible": F.col("activity_count_12m") >= F.col("min_activities_per_year"),
+    })
     bonus, wellbeing = F.col("is_bonus_eligible"), F.col("is_wellbeing_eligible")
-    return decided.select(
+    final = decided.withColumns({
+        "bonus_amount": F.when(bonus, F.col("potential_bonus_amount")).otherwise(F.lit(0).cast("decimal(18,2)")),
+        "wellbeing_days_awarded": F.when(wellbeing, F.col("wellbeing_days")).otherwise(0),
+        "wellbeing_reason": wellbeing_reason(wellbeing),
+    })
+    return unroll(final, calendar).select(
         "employee_id", "full_name", "business_unit", "contract_type", "snapshot_date", "transport_mode",
-        "distance_km_to_office", "activity_count_on_date", "distance_km_on_date", "duration_min_on_date",
+        "distance_km_to_office", "activity_count_on_date",
+        F.col("distance_km_on_date").cast("decimal(20,2)").alias("distance_km_on_date"), "duration_min_on_date",
         "activity_count_12m", "sport_days_count_12m", "last_activity_date", "last_process_date",
-        "is_bonus_eligible", "potential_bonus_amount",
-        F.when(bonus, F.col("potential_bonus_amount")).otherwise(F.lit(0).cast("decimal(18,2)")).alias("bonus_amount"),
-        "bonus_reason", "is_wellbeing_eligible",
-        F.when(wellbeing, F.col("wellbeing_days")).otherwise(0).alias("wellbeing_days_awarded"),
-        wellbeing_reason(wellbeing).alias("wellbeing_reason"),
-        "rule_version",
+        "is_bonus_eligible", "potential_bonus_amount", "bonus_amount", "bonus_reason", "is_wellbeing_eligible",
+        "wellbeing_days_awarded", "wellbeing_reason", "rule_version",
     )
