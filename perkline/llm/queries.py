@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perkline.llm import near_dup
+from perkline.llm import near_dup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +21,17 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of each document without passages of 100 bytes that start earlier."""
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
 }
 
 _OP1 = r"""

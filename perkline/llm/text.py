@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 21
-_ODD = 0x9E3779B97F4A7C15
+ODD = 0x9E3779B97F4A7C15
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -30,15 +30,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def seeded(x: np.ndarray, seed: int) -> np.ndarray:
-    return mix(x + np.uint64((seed * _ODD) & 0xFFFFFFFFFFFFFFFF))
+    return mix(x + np.uint64((seed * ODD) & 0xFFFFFFFFFFFFFFFF))
 
 
-_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))[_LOWER]
-_BASE = np.uint64(0xD6E8FEB86659FD93)
-_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))[_LOWER]
+BASE = np.uint64(0xD6E8FEB86659FD93)
+INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
@@ -96,9 +96,9 @@ def words(raw: np.ndarray, bounds: np.ndarray) -> Words:
     start = np.flatnonzero(solid & opens[:n])
     end = np.flatnonzero(solid & (opens[1:] | np.append(~solid[1:], True))) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[raw] * _powers(_BASE, n), out=total[1:])
-    prints = (total[end] - total[start]) * _powers(_INVERSE, n)[start]
-    prints = mix(prints + (end - start).astype(np.uint64) * np.uint64(_ODD))
+    np.cumsum(_BYTE_CODE[raw] * powers(BASE, n), out=total[1:])
+    prints = (total[end] - total[start]) * powers(INVERSE, n)[start]
+    prints = mix(prints + (end - start).astype(np.uint64) * np.uint64(ODD))
     return Words(prints, np.searchsorted(start, bounds), start, end)
 
 
@@ -113,7 +113,7 @@ def shingles(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     whole = np.zeros(max(n, 1), np.uint64)
     for k in range(width):
         if n > k:
-            whole[:n - k] = mix(whole[:n - k] * np.uint64(_ODD) + prints[k:])
+            whole[:n - k] = mix(whole[:n - k] * np.uint64(ODD) + prints[k:])
     pieces, bounds = [], np.zeros(len(counts) + 1, np.int64)
     for i, (size, count) in enumerate(zip(sizes.tolist(), counts.tolist(), strict=True)):
         if count >= width:
@@ -121,7 +121,7 @@ def shingles(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         elif count:
             own = np.full(1, count, np.uint64)
             for k in range(first[i], first[i] + count):
-                own = mix(own * np.uint64(_ODD) + prints[k:k + 1])
+                own = mix(own * np.uint64(ODD) + prints[k:k + 1])
         else:
             own = np.zeros(0, np.uint64)
         pieces.append(own)
