@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import near_dup, suffix_dedup
+from perkline.llm import embed_dedup, near_dup, suffix_dedup, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +29,21 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of vectors of one label, links from a cosine of 0.98."""
+    return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for each vector whose id is divisible by 20."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op7_exact_top_k": op7_exact_top_k,
 }
 
 _OP1 = r"""
@@ -57,6 +69,36 @@ select sets.doc_id, len(s)::bigint as n_shingles, c.component_id, sets.doc_id =
 from sets join (select node, min(other) as component_id from reach group by node) c on c.node = sets.doc_id
 """
 
+_OP3 = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e,
+    coalesce(label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and list_sum(list_transform(embedding, lambda x: x::double * x::double)) > 0, false) as ok from embeddings),
+links as (
+  select l.vec_id as a, r.vec_id as b from v l join v r on l.ok and r.ok and l.label = r.label and l.vec_id <> r.vec_id
+  where list_cosine_similarity(l.e, r.e) >= 0.98),
+reach as (
+  select vec_id as node, vec_id as other from embeddings
+  union select reach.node, links.b from reach join links on reach.other = links.a)
+select v.vec_id, (select count(*) from links where a = v.vec_id) as n_links, c.component_id,
+  v.vec_id = c.component_id as kept
+from v join (select node, min(other) as component_id from reach group by node) c on c.node = v.vec_id
+"""
+
+_OP7 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, rank, vec_id, score from (
+  select *, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank from scored)
+where rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": _OP1,
+    "op3_embedding_near_dedup": _OP3,
+    "op7_exact_top_k": _OP7,
 }
