@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import embed_dedup, near_dup, suffix_dedup, topk
+from perkline.llm import embed_dedup, mixing, near_dup, pieces, quality, suffix_dedup, topk
+
+#: Vocabulary file of the last operator; a path every driver can read.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,16 +37,38 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated by Poisson counts towards tempered source shares, in global random order."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("position")
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for each vector whose id is divisible by 20."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence, site posterior and decision for each document; sources are hosts, languages their paths."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select(
+        "doc_id", "source", "lang", "evidence", "site", "probability", "kept")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document and whether they decode to its text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_decode(docs, pieces.PieceModel.load(PIECES)).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_source_mixing": op4_source_mixing,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 _OP1 = r"""
@@ -85,6 +110,27 @@ select v.vec_id, (select count(*) from links where a = v.vec_id) as n_links, c.c
 from v join (select node, min(other) as component_id from reach group by node) c on c.node = v.vec_id
 """
 
+_OP4 = """
+with sizes as (select source, count(*) as n from documents group by source),
+means as (
+  select source, sqrt(n::double) * (select sum(n) from sizes) / (select sum(sqrt(n::double)) from sizes) / n as mean
+  from sizes),
+rates as (
+  select source, greatest(1, ceil(mean / 16))::integer as parts, mean / greatest(1, ceil(mean / 16)) as rate from means),
+steps as (
+  select source, parts, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) over (partition by source order by k) as s
+  from rates, (select unnest(range(0, 97)) as k)),
+draws as (
+  select doc_id, documents.source, unnest(range(1, parts + 1)) as part
+  from documents join rates on documents.source is not distinct from rates.source),
+counts as (
+  select doc_id, sum((select count(*) from steps where steps.source is not distinct from draws.source and s <=
+      (('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':7:' || part), 1, 13))::bigint + 0.5) / 4503599627370496)
+    ) as n from draws group by doc_id)
+select documents.*, unnest(range(1, counts.n::bigint + 1))::integer as copy
+from documents join counts on documents.doc_id is not distinct from counts.doc_id
+"""
+
 _OP7 = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
@@ -100,5 +146,6 @@ where rank <= 20
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": _OP1,
     "op3_embedding_near_dedup": _OP3,
+    "op4_source_mixing": _OP4,
     "op7_exact_top_k": _OP7,
 }

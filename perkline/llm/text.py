@@ -16,6 +16,9 @@ CHUNK_BYTES = 1 << 21
 ODD = 0x9E3779B97F4A7C15
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: Word bytes of another kind: letters, digits and all bytes beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -33,7 +36,8 @@ def seeded(x: np.ndarray, seed: int) -> np.ndarray:
     return mix(x + np.uint64((seed * ODD) & 0xFFFFFFFFFFFFFFFF))
 
 
-_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))[_LOWER]
+_CASE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
+_BYTE_CODE = _CASE_CODE[_LOWER]
 BASE = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
@@ -80,14 +84,25 @@ def chunks(bounds: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         low = high
 
 
-def words(raw: np.ndarray, bounds: np.ndarray) -> Words:
-    """Fingerprints of the words of consecutive texts; words never cross texts."""
+def fingerprints(raw: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Fingerprints of some strings raw[low:high], with their case."""
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_CASE_CODE[raw] * powers(BASE, max(len(raw), 1))[:len(raw)], out=total[1:])
+    prints = (total[high] - total[low]) * powers(INVERSE, len(raw) + 1)[low]
+    return mix(prints + (high - low).astype(np.uint64) * np.uint64(ODD))
+
+
+def words(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray | None = None) -> Words:
+    """Fingerprints of the words of consecutive texts; words never cross texts.
+
+    ``inside`` flags the bytes words are made of, by default all that aren't white space.
+    """
     raw, bounds = raw[bounds[0]:bounds[-1]], bounds - bounds[0]
     n = len(raw)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), none, none)
-    solid = ~_WHITE[raw]
+    solid = ~_WHITE[raw] if inside is None else inside[raw]
     opens = np.empty(n + 1, bool)
     opens[0] = True
     opens[1:] = True
