@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from perkline.llm.graph import components
+from perkline.llm.graph import components, spanning_forest
 from perkline.session import stage_table
 
 SAMPLE = 8192
@@ -66,26 +66,6 @@ def _assign(centres: np.ndarray, margin: float) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def _spread(adjacent: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest of a bipartite graph, rows first and then columns, as (root, member)."""
-    rows, columns = adjacent.shape
-    left, right = np.ones(rows, bool), np.ones(columns, bool)
-    out = []
-    for start in np.flatnonzero(adjacent.any(axis=1)):
-        if not left[start]:
-            continue
-        left[start] = False
-        reached = np.array([start])
-        while len(reached):
-            fresh = np.flatnonzero(adjacent[reached].any(axis=0) & right)
-            right[fresh] = False
-            out += [(start, rows + int(x)) for x in fresh]
-            reached = np.flatnonzero(adjacent[:, fresh].any(axis=1) & left) if len(fresh) else fresh
-            left[reached] = False
-            out += [(start, int(x)) for x in reached]
-    return out
-
-
 def _compare(least: float) -> Callable[[tuple, pa.Table], pa.Table]:
     """Cosines of two blocks of a cell: link counts and a spanning forest of the links.
 
@@ -111,7 +91,7 @@ def _compare(least: float) -> Callable[[tuple, pa.Table], pa.Table]:
             counts[b] = linked.T @ copies[a]
         some = np.flatnonzero(counts)
         both = np.concatenate([ids[a], ids[b]])
-        pairs = [(both[s], both[t]) for s, t in _spread(linked)]
+        pairs = [(both[s], both[t]) for s, t in spanning_forest(linked)]
         left, right = [int(p[0]) for p in pairs], [int(p[1]) for p in pairs]
         return pa.table({
             "kind": pa.array([0] * len(some) + [1] * len(pairs), pa.int32()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,3 +61,23 @@ def components(links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("to", "label").alias("label")), "labels")
     least = stage_table(labels.groupBy("label").agg(F.min("node").alias("component")), "components")
     return labels.join(least, "label").select("node", "component")
+
+
+def spanning_forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest of a bipartite graph, rows first and then columns, as (root, member)."""
+    rows, columns = adjacent.shape
+    left, right = np.ones(rows, bool), np.ones(columns, bool)
+    out = []
+    for start in np.flatnonzero(adjacent.any(axis=1)):
+        if not left[start]:
+            continue
+        left[start] = False
+        reached = np.array([start])
+        while len(reached):
+            fresh = np.flatnonzero(adjacent[reached].any(axis=0) & right)
+            right[fresh] = False
+            out += [(start, rows + int(x)) for x in fresh]
+            reached = np.flatnonzero(adjacent[:, fresh].any(axis=1) & left) if len(fresh) else fresh
+            left[reached] = False
+            out += [(start, int(x)) for x in reached]
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,11 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perkline.llm.graph import components
+from perkline.llm.graph import components, spanning_forest
 from perkline.llm.text import as_bytes, chunks, mix, seeded, shingles, words
 from perkline.session import stage_table
 
 BANDS, ROWS = 24, 4
+BLOCK_ITEMS = 1 << 18
+SLAB = 2048
+MANY = 1 << 40
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -108,6 +112,67 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b").distinct())
 
 
+def _block_links(percent: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Links between two blocks of sets, as a spanning forest of those between different components.
+
+    Sizes of all intersections come from products of 0/1 matrices over the items that occur more than once.
+    """
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        block, node, c = (table[x].to_numpy() for x in ("block", "node", "c"))
+        lists = table["items"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        _, item, seen = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(node)), sizes)
+        often = seen[item] > 1
+        number = np.cumsum(seen > 1) - 1
+        owner, item = owner[often], number[item[often]]
+        order = np.argsort(item, kind="stable")
+        owner, item = owner[order], item[order]
+        a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        common = np.zeros((len(a), len(b)), np.float32)
+        for start in range(0, int(item[-1]) + 1 if len(item) else 0, SLAB):
+            i, j = np.searchsorted(item, [start, start + SLAB])
+            has = np.zeros((len(node), SLAB), np.float32)
+            has[owner[i:j], item[i:j] - start] = 1
+            common += has[a] @ has[b].T
+        either = sizes[a][:, None] + sizes[b][None, :] - common
+        linked = (100 * common.astype(np.float64) >= percent * either) & (c[a][:, None] != c[b][None, :])
+        both = np.concatenate([node[a], node[b]])
+        pairs = spanning_forest(linked)
+        return pa.table({"a": pa.array([int(both[x]) for x, _ in pairs], pa.int64()),
+                         "b": pa.array([int(both[y]) for _, y in pairs], pa.int64())})
+    return run
+
+
+def _compare_groups(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside groups whose buckets hold several components (key, node, n, pivot, c).
+
+    A group is what such buckets connect. It is cut into classes of sizes, of which only equal and adjacent
+    ones can hold links, and these into blocks of a bounded number of items; a task compares two blocks.
+    """
+    edges = crowd.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct()
+    group = components(edges).withColumnRenamed("component", "grp")
+    one = crowd.select("node", "n", "c").distinct()
+    size_class = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("long")
+    members = stage_table(one.join(group, "node").withColumn("size_class", size_class), "members")
+    blocks = stage_table(
+        members.groupBy("grp", "size_class").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("long").alias("blocks")),
+        "blocks")
+    counted = blocks.withColumnRenamed("size_class", "own").withColumnRenamed("blocks", "own_blocks")
+    near = stage_table(
+        counted.join(blocks, "grp").filter(F.abs(F.col("own") - F.col("size_class")) <= 1)
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("grp", F.col("own").alias("size_class"), "own_blocks", (F.col("size_class") * MANY + F.col("part")).alias("other")),
+        "near")
+    dealt = (
+        members.join(near, ["grp", "size_class"])
+        .withColumn("block", F.col("size_class") * MANY + F.pmod(F.xxhash64("node"), "own_blocks"))
+        .select("node", "c", "grp", "block", F.least("block", "other").alias("low"),
+                F.greatest("block", "other").alias("high")))
+    return dealt.join(sets, "node").groupBy("grp", "low", "high").applyInArrow(_block_links(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of near-duplicate documents: (doc_id, n_shingles, component_id, kept).
@@ -118,8 +183,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     probability of 2e-8, at 0.8 of 4e-6.
 
     Equal sets become one node before anything is compared. In a bucket every node is compared with the
-    smallest node only; links merge nodes into components, and only nodes outside the main component of a
-    bucket are compared further, so a large group of copies costs its size and not its square.
+    smallest node only, and links merge nodes into components. Only where a bucket still holds several
+    components are its nodes compared further, block by block, which yields at most a forest of links.
 
     Null or empty texts and texts of white space have no shingles and link with nothing. Rows that repeat an
     id are results of their own with the same component if their texts are equal. An empty table gives an
@@ -154,35 +219,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     sets = stage_table(texts.mapInArrow(_sets(width), "node long, items array<long>"), "sets")
     links = stage_table(_confirm(first, sets, percent), "links")
     groups = components(links)
-    crowd = buckets.filter("members > 2").select("key", "node", "n")
-    for pivots in (8, None):
-        named = stage_table(
-            crowd.join(groups, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c")),
-            "named")
-        mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-        crowd = stage_table(named.join(mixed.select("key"), "key", "left_semi"), "mixed")
-        if crowd.isEmpty():
-            break
-        if pivots:
-            part = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(pivots))
-            chosen = stage_table(
-                crowd.groupBy("key", part.alias("part")).agg(F.min(F.struct("node", "n", "c")).alias("x"))
-                .select("key", F.col("x.node").alias("a"), F.col("x.n").alias("an"), F.col("x.c").alias("ac")), "pivots")
-        else:
-            sizes = crowd.groupBy("key", "c").agg(F.count("*").alias("size"))
-            main = stage_table(
-                sizes.groupBy("key").agg(F.max_by("c", F.struct("size", "c")).alias("main")), "main")
-            chosen = stage_table(
-                crowd.join(main, "key").filter("c <> main")
-                .select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac")), "outside")
-        pairs = near(chosen.join(crowd, "key").filter("ac <> c")
-                     .select("a", "an", F.col("node").alias("b"), F.col("n").alias("bn")))
-        more = stage_table(_confirm(pairs, sets, percent), "links")
-        if more.isEmpty():
-            continue
-        links = links.union(more)
-        groups = components(links)
-        crowd = crowd.select("key", "node", "n")
+    named = stage_table(
+        buckets.filter("members > 2").join(groups, "node", "left")
+        .select("key", "node", "n", "pivot", F.coalesce("component", "node").alias("c")), "named")
+    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+    crowd = stage_table(named.join(mixed.select("key"), "key", "left_semi"), "mixed")
+    if not crowd.isEmpty():
+        more = stage_table(_compare_groups(crowd, sets, percent), "links")
+        groups = components(links.union(more))
     groups = stage_table(groups, "groups")
     copied = stage_table(
         nodes.join(groups, "node", "left").filter("copies > 1 or component is not null")

@@ -34,25 +34,30 @@ class DoubleArray:
                     children.append({})
                 node = children[node][byte]
             ends[node] = value
-        size = 2 * len(children) + 1024
+        size = 4 * len(children) + 4096
         self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
         self.value = np.full(size, -1, np.int32)
-        taken = bytearray(size)
-        taken[0] = 1
-        free, queue = 1, [(0, 0)]
+        free = np.ones(size, bool)
+        free[0] = False
+        hints = [0] * 257
+        queue = [(0, 0)]
         for node, state in queue:
             self.value[state] = ends.get(node, -1)
             codes = sorted(children[node])
             if not codes:
                 continue
-            while taken[free]:
-                free += 1
-            at = max(free - codes[0] - 1, 0)
-            while any(taken[at + c + 1] for c in codes):
-                at += 1
+            at = hints[len(codes)]
+            while True:  # the first place from the hint on where all successors fit
+                width = min(1024, size - 257 - at)
+                fits = np.logical_and.reduce([free[at + c + 1:at + c + 1 + width] for c in codes])
+                if fits.any():
+                    at += int(np.argmax(fits))
+                    break
+                at += width
+            hints[len(codes)] = at
             self.base[state] = at
             for c in codes:
-                taken[at + c + 1] = 1
+                free[at + c + 1] = False
                 self.check[at + c + 1] = state
                 queue.append((children[node][c], at + c + 1))
 
