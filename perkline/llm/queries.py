@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import embed_dedup, mixing, near_dup, pieces, quality, suffix_dedup, topk
+from perkline.llm import embed_dedup, html_text, mixing, near_dup, pieces, quality, suffix_dedup, topk, warc
 
 #: Vocabulary file of the last operator; a path every driver can read.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -42,6 +42,18 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("position")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records read back from the archives written of the pages."""
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for each vector whose id is divisible by 20."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -66,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_source_mixing": op4_source_mixing,
+    "op5_warc": op5_warc,
+    "op6_html_extraction": op6_html_extraction,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
@@ -131,6 +145,16 @@ select documents.*, unnest(range(1, counts.n::bigint + 1))::integer as copy
 from documents join counts on documents.doc_id is not distinct from counts.doc_id
 """
 
+_OP5 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as digest from pages),
+first as (select digest, min(page_id) as page_id from p where n >= 100 group by digest)
+select p.page_id, n::bigint as payload_bytes, p.digest as payload_digest,
+  case when first.page_id <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when first.page_id <> p.page_id then first.page_id end as refers_to
+from p left join first on p.n >= 100 and p.digest = first.digest
+"""
+
 _OP7 = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
@@ -147,5 +171,6 @@ ORACLE: dict[str, str] = {
     "op1_near_duplicates": _OP1,
     "op3_embedding_near_dedup": _OP3,
     "op4_source_mixing": _OP4,
+    "op5_warc": _OP5,
     "op7_exact_top_k": _OP7,
 }

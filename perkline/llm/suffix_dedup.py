@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkline.llm.text import BASE, INVERSE, ODD, as_bytes, chunks, mix, powers, seeded
@@ -32,6 +32,12 @@ _PLACE = np.uint64((1 << 26) - 1)
 _NO_ID = -(1 << 63)
 ENTRY = np.dtype([("f", "<u8"), ("c", "<u8"), ("d", "<i8"), ("o", "<u4")])
 PLACE = np.dtype([("d", "<i8"), ("o", "<u4")])
+PART = np.dtype([("d", "<i8"), ("o", "<u4"), ("f", "<u8")])
+RUN = np.dtype([("f", "<u8"), ("d", "<i8"), ("p", "<u4"), ("n", "<u1")])
+WINDOW = np.dtype([("f", "<u8"), ("w", "<u8"), ("d", "<i8"), ("p", "<u4")])
+SPAN = np.dtype([("d", "<i8"), ("p", "<u4"), ("q", "<u4")])
+CHUNK = 1 << 19
+HOT = 1 << 15
 _CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
 
 
@@ -116,9 +122,10 @@ def _starts(rows: np.ndarray, *names: str) -> np.ndarray:
     return new
 
 
-def _places(rows: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(rows), PLACE)
-    out["d"], out["o"] = rows["d"], rows["o"]
+def _places(rows: np.ndarray, kind: np.dtype = PLACE) -> np.ndarray:
+    out = np.zeros(len(rows), kind)
+    for name in kind.names:
+        out[name] = rows[name]
     return out
 
 
@@ -135,7 +142,7 @@ def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = [Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in chunks(bounds)]
+            parts = [Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in chunks(bounds, CHUNK)]
             rows = _sorted(np.concatenate(parts)) if parts else np.zeros(0, ENTRY)
             new = _starts(rows, "f", "c")
             again, rows = rows[~new], rows[new]
@@ -180,29 +187,30 @@ def _merge(ranks: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
             whole[owner[same]] = True
             out.append(_row(bucket, "mark", _places(batch[whole])))
             partial[owner] = True
-            out.append(_row(bucket, "part", _places(level[np.unique(other[~same])])))
+            out.append(_row(bucket, "part", _places(level[np.unique(other[~same])], PART)))
             batch, partial = batch[~whole], partial[~whole]
         new = _starts(batch, "f")
         group = np.cumsum(new) - 1
         partial |= np.bincount(group, minlength=1)[group] > 1 if len(batch) else False
-        out.append(_row(bucket, "part", _places(batch[partial])))
+        out.append(_row(bucket, "part", _places(batch[partial], PART)))
         merged = _sorted(np.concatenate([batch, *(x for rank in ranks for x in found.get(rank, []))]))
         out.append(_row(bucket, "level", merged))
         return pa.Table.from_pylist([x for x in out if x["data"]], _SCHEMA)
     return run
 
 
-def _explode(data: DataFrame, kind: str) -> DataFrame:
-    """Stored places of a kind as rows (doc_id, run)."""
+def _explode(data: DataFrame, kind: str, dtype: np.dtype, schema: str) -> DataFrame:
+    """Stored blobs of a kind as rows; fields in order of ``dtype``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                rows = unpack(blob, PLACE)
+                rows = unpack(blob, dtype)
                 for i in range(0, len(rows), 100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows["d"][i:i + 100_000]), pa.array(rows["o"][i:i + 100_000].astype(np.int32))],
-                        names=["doc_id", "run"])
-    return data.filter(F.col("kind") == kind).select("data").mapInArrow(run, "doc_id long, run int")
+                    part = rows[i:i + 100_000]
+                    columns = [part[n].view(np.int64) if part.dtype[n] == np.uint64 else part[n].astype(np.int64)
+                               for n in dtype.names]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list(dtype.names))
+    return data.filter(F.col("kind") == kind).select("data").mapInArrow(run, schema)
 
 
 class SuffixIndex:
@@ -228,32 +236,101 @@ class SuffixIndex:
         return found
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of the runs to be compared; those that repeat inside the Arrow batch come marked."""
-    for batch in batches:
-        raw, bounds = as_bytes(batch.column(1))
-        ids, asked = batch.column(0).to_numpy(), batch.column(2)
-        parts = []
-        for a, b in chunks(bounds):
-            runs = Runs(raw, bounds[a:b + 1])
-            own = asked.slice(a, b - a)
-            text = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
-            wanted = runs.first[text] + own.flatten().to_numpy()
-            wanted = np.unique(wanted[wanted < runs.first[text + 1]])
-            size = runs.high[wanted] - runs.low[wanted] + 1
-            at = np.arange(size.sum()) + np.repeat(runs.low[wanted] - np.cumsum(size) + size, size)
-            text = np.repeat(runs.text[wanted], size)
-            rows = np.zeros(len(at), [("w", "<u8"), ("d", "<i8"), ("v", "<u4"), ("p", "<u4")])
-            rows["w"] = runs.prints(at, LENGTH)
-            rows["v"] = seeded(runs.prints(at, LENGTH // 2), 14) >> np.uint64(32)
-            rows["d"], rows["p"] = ids[a:b][text], at - runs.bounds[text]
-            parts.append(rows)
-        rows = np.concatenate(parts) if parts else np.zeros(0, [("w", "<u8"), ("d", "<i8"), ("v", "<u4"), ("p", "<u4")])
-        rows = rows[np.lexsort((rows["p"], rows["d"], rows["v"], rows["w"]))]
-        new = _starts(rows, "w", "v")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["w"].view(np.int64)), pa.array(rows["v"].view(np.int32)), pa.array(rows["d"]),
-             pa.array(rows["p"].view(np.int32)), pa.array(~new)], names=["w", "v", "doc_id", "place", "again"])
+def _spans(rows: np.ndarray) -> np.ndarray:
+    """Places (d, p) of windows as spans of consecutive ones."""
+    rows = rows[np.lexsort((rows["p"], rows["d"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["d"][1:] != rows["d"][:-1]) | (rows["p"][1:] > rows["p"][:-1] + 1)
+    at = np.flatnonzero(new)
+    out = np.zeros(len(at), SPAN)
+    out["d"], out["p"] = rows["d"][at], rows["p"][at]
+    out["q"] = rows["p"][np.append(at[1:], len(rows)) - 1] if len(at) else 0
+    return out
+
+
+def _first_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that repeat none of the others' earlier ones, and those that do."""
+    rows = rows[np.lexsort((rows["p"], rows["d"], rows["w"], rows["f"]))]
+    new = _starts(rows, "f", "w")
+    return rows[new], rows[~new]
+
+
+def _explode_windows(name: np.ndarray, ids: np.ndarray, place: np.ndarray, prints: Callable, low: np.ndarray,
+                     count: np.ndarray) -> np.ndarray:
+    """All windows of some runs; ``prints`` gives fingerprints at places of the runs' bytes."""
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    rows = np.zeros(len(step), WINDOW)
+    rows["f"], rows["d"] = np.repeat(name, count), np.repeat(ids, count)
+    rows["w"], rows["p"] = prints(np.repeat(low, count) + step), np.repeat(place, count) + step
+    return rows
+
+
+def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The bytes of the runs to be compared, by bucket of their names; of hot names the single windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, bounds = as_bytes(batch.column(1))
+            ids, asked = batch.column(0).to_numpy(), batch.column(2)
+            for a, b in chunks(bounds, 4 * CHUNK):
+                runs = Runs(raw, bounds[a:b + 1])
+                own = asked.slice(a, b - a)
+                text = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
+                wanted = runs.first[text] + own.flatten().field("run").to_numpy()
+                valid = wanted < runs.first[text + 1]
+                wanted, hot = wanted[valid], own.flatten().field("hot").to_numpy(zero_copy_only=False)[valid]
+                out = []
+                name = runs.name[wanted] if len(wanted) else np.zeros(0, np.uint64)
+                low, text = runs.low[wanted], runs.text[wanted]
+                count = runs.high[wanted] - low + 1
+                place = low - runs.bounds[text]
+                at = np.flatnonzero(hot)
+                if len(at):
+                    first, again = _first_windows(_explode_windows(
+                        name[at], ids[a:b][text[at]], place[at], lambda x, r=runs: r.prints(x, LENGTH), low[at], count[at]))
+                    out.append(_row(int(ids[a]) % buckets, "again", _spans(again)))
+                    key = (seeded(first["w"], 21) >> np.uint64(64 - _bits(buckets))).astype(np.int64)
+                    order = np.argsort(key, kind="stable")
+                    cuts = np.searchsorted(key[order], np.arange(1, buckets))
+                    out += [_row(k, "windows", first[x]) for k, x in enumerate(np.split(order, cuts)) if len(x)]
+                at = np.flatnonzero(~hot)
+                key = (name[at] >> np.uint64(64 - _bits(buckets))).astype(np.int64)
+                order = at[np.argsort(key, kind="stable")]
+                cuts = np.searchsorted(np.sort(key), np.arange(1, buckets))
+                for k, x in enumerate(np.split(order, cuts)):
+                    if len(x):
+                        rows = np.zeros(len(x), RUN)
+                        rows["f"], rows["d"], rows["p"], rows["n"] = name[x], ids[a:b][text[x]], place[x], count[x]
+                        size = count[x] + LENGTH - 1
+                        inside = np.arange(size.sum()) + np.repeat(low[x] - np.cumsum(size) + size, size)
+                        out.append({"bucket": k, "kind": "runs",
+                                    "data": len(x).to_bytes(4, "little") + pack(rows) + runs.raw[inside].tobytes()})
+                yield pa.RecordBatch.from_pylist([x for x in out if x["data"]], _SCHEMA)
+    return run
+
+
+def _resolve(key: tuple, table: pa.Table) -> pa.Table:
+    """Windows of a bucket that start earlier elsewhere, as spans (doc_id, low, high)."""
+    again, parts = [], []
+    for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
+        if kind == "again":
+            again.append(unpack(data, SPAN))
+        elif kind == "windows":
+            parts.append(unpack(data, WINDOW))
+        else:
+            n = int.from_bytes(data[:4], "little")
+            end = 4 + n * RUN.itemsize
+            rows = unpack(data[4:end], RUN)
+            raw = np.frombuffer(data, np.uint8, offset=end)
+            size = rows["n"].astype(np.int64) + LENGTH - 1
+            bytes_of = Runs(raw, np.array([0, len(raw)]), len(raw) + 1)
+            parts.append(_explode_windows(
+                rows["f"], rows["d"], rows["p"], lambda x, r=bytes_of: r.prints(x, LENGTH), np.cumsum(size) - size,
+                rows["n"].astype(np.int64)))
+    if parts:
+        again.append(_spans(_first_windows(np.concatenate(parts))[1]))
+    found = np.concatenate(again)
+    return pa.table({"doc_id": pa.array(found["d"]), "low": pa.array(found["p"].astype(np.int64)),
+                     "high": pa.array(found["q"].astype(np.int64))})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +353,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(edge, runs.low[own], 1)
                 np.add.at(edge, runs.high[own] + LENGTH, -1)
             if at:
-                at = np.asarray(at)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + LENGTH, -1)
+                at = np.array([(x["low"], x["high"]) for x in at])
+                np.add.at(edge, at[:, 0], 1)
+                np.add.at(edge, at[:, 1] + LENGTH, -1)
             gone = np.cumsum(edge[:len(text)]) > 0
             turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
             kept.append(text[~gone].tobytes())
@@ -319,15 +396,17 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_i
             part = part.filter(F.col("doc_id") <= high)
         rows = index.add(part).filter("kind <> 'level'")
         found = rows if found is None else found.union(rows)
-    marks = _explode(found, "mark").groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
-    asked = _explode(found, "part").groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
-    windows = base.join(asked, "doc_id").select("doc_id", "text", "runs").mapInArrow(
-        _windows, "w long, v int, doc_id long, place int, again boolean")
-    windows = stage_table(windows, "windows")
-    across = windows.filter("not again").select(
-        "doc_id", "place", (F.row_number().over(Window.partitionBy("w", "v").orderBy("doc_id", "place")) > 1).alias("again"))
-    repeated = windows.select("doc_id", "place", "again").union(across).filter("again")
-    places = repeated.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    marks = _explode(found, "mark", PLACE, "doc_id long, run long").groupBy("doc_id").agg(
+        F.collect_set("run").alias("runs"))
+    parts = _explode(found, "part", PART, "doc_id long, run long, name long")
+    hot = stage_table(parts.groupBy("name").count().filter(F.col("count") > HOT).select(
+        "name", F.lit(True).alias("hot")), "hot")
+    asked = parts.join(hot, "name", "left").groupBy("doc_id").agg(F.collect_set(
+        F.struct("run", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
+    contents = base.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(
+        _contents(buckets), "bucket int, kind string, data binary")
+    places = contents.groupBy("bucket").applyInArrow(_resolve, "doc_id long, low long, high long").groupBy(
+        "doc_id").agg(F.collect_set(F.struct("low", "high")).alias("places"))
     return (
         base.join(marks, "doc_id", "left").join(places, "doc_id", "left").select("doc_id", "text", "runs", "places")
         .mapInArrow(_cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")

@@ -42,10 +42,17 @@ BASE = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
+_TABLES: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first ``n`` powers of ``base``; the longest table so far is kept by the worker."""
+    table = _TABLES.get(int(base))
+    if table is None or len(table) < n:
+        table = np.full(max(n, 1 << 16), base, np.uint64)
+        table[0] = 1
+        table = _TABLES[int(base)] = np.cumprod(table, dtype=np.uint64)
+    return table[:n]
 
 
 @dataclass
@@ -65,11 +72,11 @@ class Words:
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the bounds of each text (length n + 1); null counts as empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     _, offsets, data = column.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    bounds = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[bounds[0]:bounds[-1]] if len(bounds) else raw, bounds - bounds[0]
 
