@@ -16,6 +16,7 @@ from perkline.session import stage_table
 
 BANDS, ROWS = 24, 4
 BLOCK_ITEMS = 1 << 18
+BLOCK_ROWS = 1024
 SLAB = 2048
 MANY = 1 << 40
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -149,7 +150,7 @@ def _compare_groups(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFram
     """Links inside groups whose buckets hold several components (key, node, n, pivot, c).
 
     A group is what such buckets connect. It is cut into classes of sizes, of which only equal and adjacent
-    ones can hold links, and these into blocks of a bounded number of items; a task compares two blocks.
+    ones can hold links, and these into blocks of a bounded number of items and rows; a task compares two blocks.
     """
     edges = crowd.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct()
     group = components(edges).withColumnRenamed("component", "grp")
@@ -157,7 +158,8 @@ def _compare_groups(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFram
     size_class = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("long")
     members = stage_table(one.join(group, "node").withColumn("size_class", size_class), "members")
     blocks = stage_table(
-        members.groupBy("grp", "size_class").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("long").alias("blocks")),
+        members.groupBy("grp", "size_class").agg(F.ceil(
+            F.greatest(F.sum("n") / BLOCK_ITEMS, F.count("*") / BLOCK_ROWS)).cast("long").alias("blocks")),
         "blocks")
     counted = blocks.withColumnRenamed("size_class", "own").withColumnRenamed("blocks", "own_blocks")
     near = stage_table(
