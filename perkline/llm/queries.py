@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import embed_dedup, html_text, mixing, near_dup, pieces, quality, suffix_dedup, topk, warc
+from perkline.llm import embed_dedup, html_text, lm, mixing, near_dup, pieces, quality, suffix_dedup, topk, warc
 
 #: Vocabulary file of the last operator; a path every driver can read.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -67,6 +67,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "lang", "evidence", "site", "probability", "kept")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of each document, learnt from six sevenths of them."""
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document and whether they decode to its text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
