@@ -84,8 +84,8 @@ class Model:
         return self.bias + np.bincount(text, self.weight[feature], minlength=len(bounds) - 1)
 
 
-def fit(rows: list[np.ndarray], good: np.ndarray, least: float = 4.0, ridge: float = 2.0, rounds: int = 300) -> Model:
-    """Logistic regression on the features whose presence tells the classes apart (a z-score over ``least``)."""
+def fit(rows: list[np.ndarray], good: np.ndarray, least: float = 14.0, ridge: float = 0.5, rounds: int = 300) -> Model:
+    """Logistic regression on the features whose presence tells the classes apart (a G statistic of ``least``)."""
     size = BUCKETS + LEVELS * SHAPES
     weight = np.zeros(size)
     n, positive = len(good), int(good.sum())
@@ -94,9 +94,12 @@ def fit(rows: list[np.ndarray], good: np.ndarray, least: float = 4.0, ridge: flo
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
     feature = np.concatenate(rows).astype(np.int64)
     seen = np.bincount(feature, good[owner], minlength=size), np.bincount(feature, 1.0 - good[owner], minlength=size)
-    odds = [np.log((s + 0.5) / (t - s + 0.5)) for s, t in zip(seen, (positive, n - positive), strict=True)]
-    spread = sum(1 / (s + 0.5) + 1 / (t - s + 0.5) for s, t in zip(seen, (positive, n - positive), strict=True))
-    chosen = (np.abs(odds[0] - odds[1]) >= least * np.sqrt(spread)) | (np.arange(size) >= BUCKETS)
+    tells = np.zeros(size)
+    for own, other, total in ((seen[0], seen[1], positive), (seen[1], seen[0], n - positive)):
+        for count in (own, total - own):
+            expected = (own + other if count is own else n - own - other) * (total / n)
+            tells += 2 * count * np.log(np.maximum(count, 1e-9) / np.maximum(expected, 1e-9))
+    chosen = (tells >= least) | (np.arange(size) >= BUCKETS)
     use = chosen[feature]
     owner, feature = owner[use], feature[use]
     bias, step = float(np.log(positive / (n - positive))), np.zeros(size + 1)
