@@ -1,33 +1,76 @@
 """The corpus pipeline: each stage reads what its predecessor wrote.
 
 ``STAGES`` names the stages in order; ``run`` applies them to ``documents`` and cuts between them at tables
-in the shared folder, so a lost executor costs one stage at most.
+in the shared folder, so a lost executor costs one stage at most. All stages but the last return the columns
+of ``documents``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import near_dup
+from perkline.llm import mixing, near_dup, pieces, quality, suffix_dedup
 from perkline.session import stage_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps. It learns from ``labels`` of the documents at hand."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = quality.classify(docs, model)
+    return judged.filter("kept").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
     groups = near_dup.near_duplicates(docs)
-    return docs.join(groups.filter("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    gone = groups.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes as text; a character that a cut has parted goes."""
+    for batch in batches:
+        texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "_text"])
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 100 bytes or more that start earlier; what is left empty goes."""
+    cut = suffix_dedup.remove_repeats(docs).filter("size(spans) > 0").select("doc_id", "kept")
+    texts = stage_table(cut.mapInArrow(_decode, "_id long, _text string").dropDuplicates(["_id"]), "cut")
+    joined = docs.join(texts, F.col("doc_id") == F.col("_id"), "left")
+    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
+    size = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+    left = joined.filter(F.col("_id").isNull() | F.col("_text").rlike(r"\S"))
+    return left.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated towards tempered source shares, in global random order."""
+    return mixing.mix_sources(docs).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids."""
+    return pieces.encode_decode(docs, pieces.PieceModel.load(VOCABULARY))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", drop_rejected),
     ("minhash_near_dedup", drop_near_copies),
+    ("suffix_array_dedup", cut_repeats),
+    ("source_mixing", mix),
+    ("sentencepiece", encode),
 ]
 
-#: The stages are compared with brute-force versions in the tests.
+#: Stages 1 to 3 and 5 are beyond SQL; the tests compare them with brute-force versions.
 ORACLE_SQL: str | None = None
 
 
