@@ -137,20 +137,21 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("data", pa.
 
 
 def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Suffix arrays of an Arrow batch, one per bucket. Runs that repeat inside it are marked at once."""
+    """Suffix arrays of some 8 MB of texts, one per bucket. Runs that repeat inside are marked at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = [Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in chunks(bounds, CHUNK)]
-            rows = _sorted(np.concatenate(parts)) if parts else np.zeros(0, ENTRY)
-            new = _starts(rows, "f", "c")
-            again, rows = rows[~new], rows[new]
-            out = [_row(int(again["d"][i]) % buckets, "mark", _places(again[i:i + 100_000]))
-                   for i in range(0, len(again), 100_000)]
-            cuts = np.searchsorted(rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
-            out += [_row(k, "new", part) for k, part in enumerate(np.split(rows, cuts)) if len(part)]
-            yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+            for low, high in chunks(bounds, 8 << 20):
+                cuts = ((low + a, low + b) for a, b in chunks(bounds[low:high + 1], CHUNK))
+                rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in cuts]))
+                new = _starts(rows, "f", "c")
+                again, rows = rows[~new], rows[new]
+                out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
+                cuts = np.searchsorted(
+                    rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
+                out += [_row(k, "new", part) for k, part in enumerate(np.split(rows, cuts)) if len(part)]
+                yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
 
 
