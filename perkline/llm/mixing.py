@@ -41,10 +41,10 @@ def rates(docs: DataFrame, source_col: str, weights: Mapping[str, float] | None,
         weighted = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(temperature))))
     else:
         named = docs.sparkSession.createDataFrame(
-            [(k, float(w)) for k, w in weights.items()], "source string, w double")
-        weighted = (sizes.withColumn("source", F.col("source").cast("string"))
-                    .join(named, F.col("source").eqNullSafe(named["source"]), "left")
-                    .select(sizes["source"].cast("string").alias("source"), "n", F.coalesce("w", F.lit(0.0)).alias("w")))
+            [(k, float(w)) for k, w in weights.items()], "name string, w double")
+        text = F.col("source").cast("string")
+        weighted = sizes.join(named, text.eqNullSafe(F.col("name")), "left").select(
+            text.alias("source"), "n", F.coalesce("w", F.lit(0.0)).alias("w"))
     sums = weighted.agg(F.sum("w").alias("w"), F.sum("n").alias("n")).first()
     size = float(total if total is not None else sums["n"] or 0)
     scale = size / sums["w"] if sums["w"] else 0.0

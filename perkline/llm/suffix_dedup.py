@@ -355,6 +355,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(edge, runs.high[own] + LENGTH, -1)
             if at:
                 at = np.array([(x["low"], x["high"]) for x in at])
+                at = at[at[:, 1] + LENGTH <= len(text)]
                 np.add.at(edge, at[:, 0], 1)
                 np.add.at(edge, at[:, 1] + LENGTH, -1)
             gone = np.cumsum(edge[:len(text)]) > 0
@@ -377,7 +378,8 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_i
 
     Null or empty texts give empty bytes, and texts under 100 bytes stay whole. Null ids count as the
     smallest id and come back as null. Rows that repeat an id are taken as the same document read again: equal
-    rows get equal results and don't repeat each other. An empty table gives an empty result; other columns
+    rows get equal results and don't repeat each other; repeats found in rows of one id but other texts are cut
+    at the same places of all of them, as far as they have these places. An empty table gives an empty result; other columns
     are ignored. Strings are compared by fingerprints of 96 bits or more.
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"),
