@@ -159,6 +159,28 @@ def _bits(buckets: int) -> int:
     return buckets.bit_length() - 1
 
 
+def _scan(level: np.ndarray, batch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One merged pass over two sorted arrays: which entries of the batch the level has as a whole, which share only
+    their first name with it, and which entries of the level such ones meet."""
+    whole, part, met = np.zeros(len(batch), bool), np.zeros(len(batch), bool), np.zeros(len(level), bool)
+    if not len(level) or not len(batch):
+        return whole, part, met
+    rows = np.concatenate([level, batch])
+    fresh = np.arange(len(rows)) >= len(level)
+    order = np.lexsort((fresh, rows["c"], rows["f"]))
+    rows, fresh = rows[order], fresh[order]
+    names, contents = _starts(rows, "f"), _starts(rows, "f", "c")
+    name, content = np.cumsum(names) - 1, np.cumsum(contents) - 1
+    again = fresh & ~fresh[np.flatnonzero(contents)][content]
+    at = np.flatnonzero(names)
+    mixed = np.logical_or.reduceat(~fresh, at) & np.logical_or.reduceat(fresh & ~again, at)
+    shared = mixed[name]
+    whole[order[again] - len(level)] = True
+    part[order[fresh & ~again & shared] - len(level)] = True
+    met[order[~fresh & shared]] = True
+    return whole, part, met
+
+
 def _merge(ranks: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
     """Scan a bucket of a batch against that bucket of all levels, and merge it with the ``ranks`` levels."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -179,16 +201,10 @@ def _merge(ranks: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
         partial = np.zeros(len(batch), bool)
         for arrays in found.values():
             level = np.concatenate(arrays)
-            left = np.searchsorted(level["f"], batch["f"], "left")
-            size = np.searchsorted(level["f"], batch["f"], "right") - left
-            owner = np.repeat(np.arange(len(batch)), size)
-            other = np.arange(len(owner)) + np.repeat(left - np.cumsum(size) + size, size)
-            same = level["c"][other] == batch["c"][owner]
-            whole = np.zeros(len(batch), bool)
-            whole[owner[same]] = True
+            whole, part, met = _scan(level, batch)
             out.append(_row(bucket, "mark", _places(batch[whole])))
-            partial[owner] = True
-            out.append(_row(bucket, "part", _places(level[np.unique(other[~same])], PART)))
+            out.append(_row(bucket, "part", _places(level[met], PART)))
+            partial |= part
             batch, partial = batch[~whole], partial[~whole]
         new = _starts(batch, "f")
         group = np.cumsum(new) - 1
