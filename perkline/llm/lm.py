@@ -13,17 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkline.llm.text import ODD, as_bytes, chunks, mix, seeded, words
 from perkline.session import stage_table
 
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
-SAMPLE = 4096
+SAMPLE = 16_384
 CHUNK = 4 << 20
+SCORE_CHUNK = 1 << 20
 BUCKET_BYTES = 12 << 20
 BITS = 10
 PROBES = 7
@@ -172,7 +173,7 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
 
 
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
+_SCHEMA = pa.schema([("bucket", pa.int64()), ("kind", pa.string()), ("data", pa.binary())])
 
 
 def _split(key: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -182,8 +183,12 @@ def _split(key: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bigram counts of the training texts and the rarer words of all texts, by bucket."""
+    """Bigram counts of the training texts and the rarer words of all texts, by bucket.
+
+    Texts go in chunks with a number of their own; a word asks for its count by chunk and place of the text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 24
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
             ids = batch.column(0).fill_null(0).to_numpy()
@@ -211,12 +216,12 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 word, place = np.unique(tokens[rare], return_inverse=True)
                 pair, times = np.unique(place * (b - a) + text, return_counts=True)
                 word, text = word[pair // (b - a)], pair % (b - a)
-                prints = _text_prints(raw, tokens, cuts)
                 for k, x in _split(top(word, plan.buckets), plan.buckets):
-                    own, index = np.unique(text[x], return_inverse=True)
                     out.append({"bucket": k, "kind": "asks", "data": pack(
-                        ids[a:b][own].astype(np.int64), prints[own], word[x], index.astype(np.uint32),
-                        times[x].astype(np.uint32))})
+                        np.array([chunk]), word[x], text[x].astype(np.uint32), times[x].astype(np.uint32))})
+                out.append({"bucket": chunk % plan.buckets, "kind": "texts", "data": pack(
+                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(raw, tokens, cuts))})
+                chunk += 1
                 yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
 
@@ -225,10 +230,12 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
     """A bucket's exact counts: its part of the filter, answers to the documents, and statistics."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        parts, asks = [], []
+        parts, asks, out = [], [], []
         for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
             if kind == "asks":
                 asks.append(unpack(data))
+            elif kind == "texts":
+                out.append({"bucket": int(unpack(data)[0][0]), "kind": "texts", "data": data})
             else:
                 h, runs, low, high, count = unpack(data)
                 parts.append((np.repeat(h, runs), low | (high.astype(np.uint64) << np.uint64(32)), count))
@@ -246,35 +253,32 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
         hot = _inside(plan.hot, names)
         keys = np.concatenate([mix(names[number] + low * np.uint64(ODD)), seeded(names[~hot], 61), seeded(names[~hot], 62)])
         bits = build_filter(keys, np.concatenate([count, total[~hot], kinds[~hot]]))
-        out = [{"bucket": bucket, "kind": "filter", "data": bits.tobytes()},
-               {"bucket": bucket, "kind": "hot", "data": pack(names[hot], total[hot], kinds[hot])}]
+        out += [{"bucket": bucket, "kind": "filter", "data": bits.tobytes()},
+                {"bucket": bucket, "kind": "hot", "data": pack(names[hot], total[hot], kinds[hot])}]
         often = _inside(plan.frequent, names) & ~hot
         out.append({"bucket": bucket, "kind": "frequent", "data": pack(names[often], total[often])})
         out.append({"bucket": bucket, "kind": "sums", "data": pack(np.array(
             [total[~hot].sum(), (~hot).sum(), (count == 1).sum(), (count == 2).sum()], np.int64))})
-        seen: dict[str, list[np.ndarray]] = {"id": [], "print": [], "known": [], "logs": []}
-        for ids, prints, word, index, times in asks:
-            found = _find(names, word)
-            c = np.append(total, 0)[found]
-            seen["id"].append(ids)
-            seen["print"].append(prints)
-            seen["known"].append(np.bincount(index, times * (c > 0), minlength=len(ids)).astype(np.int64))
-            seen["logs"].append(np.bincount(index, times * np.log10(c + 1.0), minlength=len(ids)))
-        if asks:
-            columns = [np.concatenate(x) for x in seen.values()]
-            _, one = np.unique(np.stack([columns[0].view(np.uint64), columns[1]], axis=1), axis=0, return_index=True)
-            out.append({"bucket": bucket, "kind": "answers", "data": pack(*(c[one] for c in columns))})
+        for chunk, word, text, times in asks:
+            c = np.append(total, 0)[_find(names, word)]
+            own, place = np.unique(text, return_inverse=True)
+            out.append({"bucket": int(chunk[0]), "kind": "answers", "data": pack(
+                own, np.bincount(place, times * (c > 0)).astype(np.uint32), np.bincount(place, times * np.log10(c + 1.0)))})
         return pa.Table.from_pylist(out, _SCHEMA)
     return run
 
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data in batch.column(0).to_pylist():
-            ids, prints, known, logs = unpack(data)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(prints.view(np.int64)), pa.array(known), pa.array(logs)],
-                names=["id", "print", "known", "logs"])
+def _gather(key: tuple, table: pa.Table) -> pa.Table:
+    """The answers of all buckets to a chunk: known rarer words and sums of logarithms of each text."""
+    kinds, blobs = table["kind"].to_pylist(), table["data"].to_pylist()
+    _, ids, prints = next(unpack(data) for kind, data in zip(kinds, blobs, strict=True) if kind == "texts")
+    known, logs = np.zeros(len(ids), np.int64), np.zeros(len(ids))
+    for kind, data in zip(kinds, blobs, strict=True):
+        if kind == "answers":
+            own, count, part = unpack(data)
+            known[own] += count
+            logs[own] += part
+    return pa.table({"id": ids, "print": prints.view(np.int64), "known": known, "logs": logs})
 
 
 @dataclass
@@ -299,10 +303,11 @@ class Model:
 
     def probe(self, tokens: np.ndarray, history: np.ndarray, part: Filter) -> np.ndarray:
         """Levels of each token's bigram, count and kinds of followers, from the filters at hand."""
+        names, place = np.unique(tokens, return_inverse=True)
         bucket, _ = self.plan.history_bucket(history, tokens)
-        own = top(tokens, self.plan.buckets)
+        own = top(names, self.plan.buckets)
         return np.stack([part.levels(bigram_key(history, tokens), bucket),
-                         part.levels(seeded(tokens, 61), own), part.levels(seeded(tokens, 62), own)])
+                         part.levels(seeded(names, 61), own)[place], part.levels(seeded(names, 62), own)[place]])
 
     def score(self, tokens: np.ndarray, history: np.ndarray, cuts: np.ndarray, levels: np.ndarray) -> np.ndarray:
         """Sum of log10 P(token | history) of each text, with absolute discounting."""
@@ -334,7 +339,7 @@ def _scores(model: Model, shards: Broadcast, last: bool) -> Callable[[Iterator[p
         part: Filter = shards.value
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
-            for a, b in chunks(bounds, CHUNK):
+            for a, b in chunks(bounds, SCORE_CHUNK):
                 tokens, history, cuts = _sequence(raw, bounds[a:b + 1])
                 levels = model.probe(tokens, history, part)
                 count, exact = model.base(tokens)
@@ -376,14 +381,12 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
     parts = max(1, known["n"] // SAMPLE)
     sample = docs.filter(~F.col("held_out") & (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(parts)) == 0))
     often = sample.select("text").mapInArrow(_sample_counts, "word long, n long").groupBy("word").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent).collect()
-    total = sum(r["n"] for r in often)
-    hot = [r["word"] for r in often if r["n"] >= HOT_SHARE * total]
-    plan = Plan(np.sort(np.array([r["word"] for r in often], np.int64).view(np.uint64)),
-                np.sort(np.append(np.array(hot, np.int64).view(np.uint64), START)),
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    word, seen = often["word"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy()
+    plan = Plan(np.sort(word), np.sort(np.append(word[seen >= HOT_SHARE * seen.sum()], START)),
                 1 << max(2, int(known["size"] // BUCKET_BYTES).bit_length()))
-    found = stage_table(docs.mapInArrow(_count(plan), "bucket int, kind string, data binary").groupBy(
-        "bucket").applyInArrow(_merge(plan), "bucket int, kind string, data binary"), "bigrams")
+    found = stage_table(docs.mapInArrow(_count(plan), "bucket long, kind string, data binary").groupBy(
+        "bucket").applyInArrow(_merge(plan), "bucket long, kind string, data binary"), "bigrams")
     counts, hot_counts, hot_kinds = (np.zeros(len(x), np.int64) for x in (plan.frequent, plan.hot, plan.hot))
     sums = np.zeros(4, np.int64)
     for row in found.filter("kind in ('hot', 'frequent', 'sums')").toLocalIterator():
@@ -474,9 +477,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.col("row.doc_id").alias("d"), F.col("row.print").alias("p"), "score")
         rows = base.mapInArrow(_scores(model, load[0], False), f"{fields}, levels binary").drop("levels")
         scored = rows.join(finished, rows["doc_id"].eqNullSafe(finished["d"]) & (rows["print"] == finished["p"]))
-    answers = found.filter("kind = 'answers'").select("data").mapInArrow(
-        _answers, "id long, print long, known long, logs double").groupBy(F.col("id").alias("a"), F.col("print").alias("t")).agg(
-        F.sum("known").alias("more"), F.sum("logs").alias("more_logs"))
+    answers = found.filter("kind in ('answers', 'texts')").groupBy("bucket").applyInArrow(
+        _gather, "id long, print long, known long, logs double").dropDuplicates(["id", "print"]).select(
+        F.col("id").alias("a"), F.col("print").alias("t"), F.col("known").alias("more"), F.col("logs").alias("more_logs"))
     size = float(np.log10(model.tokens + model.distinct + 1))
     return scored.join(
         answers, (F.coalesce("doc_id", F.lit(0).cast("long")) == F.col("a")) & (F.col("print") == F.col("t")), "left").select(
