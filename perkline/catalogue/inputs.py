@@ -17,6 +17,10 @@ AS_OF = "2024-01-31"
 AS_OF_TS = "2024-01-31 12:00:00"
 RUNS_AS_OF_TS = "2001-08-02 00:00:00"
 SHORT_WINDOW = 7
+INGEST_DATE = "2024-01-20"
+# a rule nested twelve levels deep, and numbers of every kind
+DEEP = '{"l1":{"l2":{"l3":{"l4":{"l5":{"l6":{"l7":{"l8":{"l9":{"l10":{"l11":"é}"}}}}}}}}}}}'
+NUMBERS = '"one":1.0,"thousand":1e3,"big":12345678901234567890,"under":-0.25,"list":[[1,{"a":2.5}],"é"]'
 
 # Schemas as stored, so that reading a table starts no inference job.
 TABLES = {
@@ -122,13 +126,13 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested JSON rule document per supplier, effective over about three months."""
-    document = """concat_ws('', '{"rule_version":"r', k, '","effective_from":"', date_add(date'2023-11-10', int((k * 13) % 97)),
+    document = f"""concat_ws('', '{{"rule_version":"r', k, '","effective_from":"', date_add(date'2023-11-10', int((k * 13) % 97)),
         '","office_address":"Site ', k, '","bonus_rate":0.0', k % 5 + 3, ',"wellbeing_days":', k % 4 + 3,
         ',"min_activities_per_year":', k % 20 + 5, ',"max_km_walk_run":', k % 10 + 8,
         ',"max_km_cycle_scooter_other":', k % 12 + 15,
         case when k % 10 <> 9 then concat(',"sportive_transport_modes":', array('["velo","marche/running"]',
             '["velo","vélo","marche/running","trottinette"]', '["marche/running","trottinette"]')[int(k % 3)]) end,
-        ',"limits":{"city":{"max":', k % 7, '},"note":null,"ratio":1.5,"empty":{}},"active":true}')"""
+        ',"limits":{{"city":{{"max":', k % 7, '}},"note":null,"ratio":1.5,{NUMBERS},"deep":{DEEP},"empty":{{}}}},"active":true}}')"""
     return table(spark, sf_dir, "supplier").selectExpr("s_suppkey k").selectExpr(
         "concat('r', k) rule_version", f"{document} document",
         "timestampadd(MINUTE, int(k), timestamp'2024-01-01 00:00:00') loaded_at")
@@ -188,3 +192,13 @@ def long_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
         "int(o_orderkey % 120) duration_min",
         "o_orderkey % 120 > 0 is_valid_activity",
     )
+
+
+def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders and customers with planted failures of every kind of check."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "case when o_orderkey % 40 <> 1 then o_orderkey - o_orderkey % 3 end order_id",
+        "case when o_orderkey % 50 <> 2 then o_custkey end customer_id", "o_orderstatus status",
+        "cast(o_totalprice as decimal(12,2)) - 20000 amount", "case when o_orderkey % 7 <> 0 then o_orderkey % 5 end priority")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey customer_id").filter("customer_id % 10 <> 3")
+    return {"orders": orders, "customers": customers}

@@ -199,9 +199,10 @@ FRAGMENTS: dict[str, str] = {
                    ',"min_activities_per_year":', min_activities_per_year, ',"max_km_walk_run":', max_km_walk_run,
                    ',"max_km_cycle_scooter_other":', max_km_cycle_scooter_other,
                    case when k % 10 <> 9 then ',"sportive_transport_modes":["' || array_to_string(modes, '","') || '"]' end,
-                   ',"limits":{"city":{"max":', k % 7, '},"note":null,"ratio":1.5,"empty":{}},"active":true',
+                   ',"limits":{"city":{"max":', k % 7, '},"note":null,"ratio":1.5,' || numbers || ',"deep":' || deep || ',"empty":{}},"active":true',
                    case when k % 10 = 9 then ',"sportive_transport_modes":[]' end, '}') as rules_payload
-        from docs
+        from docs, (select '"one":1.0,"thousand":1e3,"big":12345678901234567890,"under":-0.25,"list":[[1,{"a":2.5}],"é"]' as numbers,
+            '{"l1":{"l2":{"l3":{"l4":{"l5":{"l6":{"l7":{"l8":{"l9":{"l10":{"l11":"é}"}}}}}}}}}}}' as deep)
     """,
     "windows": f"""
         select *, {AS_OF} >= effective_from and {AS_OF} < coalesce(effective_to_exclusive, date '9999-12-31') as is_current
@@ -225,6 +226,12 @@ FRAGMENTS: dict[str, str] = {
                  {'p': 'limits.city.max', 'j': (k % 7)::varchar, 't': 'int'},
                  {'p': 'limits.note', 'j': 'null', 't': 'NoneType'},
                  {'p': 'limits.ratio', 'j': '1.5', 't': 'float'},
+                 {'p': 'limits.one', 'j': '1.0', 't': 'float'},
+                 {'p': 'limits.thousand', 'j': '1000.0', 't': 'float'},
+                 {'p': 'limits.big', 'j': '12345678901234567890', 't': 'int'},
+                 {'p': 'limits.under', 'j': '-0.25', 't': 'float'},
+                 {'p': 'limits.list', 'j': '[[1,{"a":2.5}],"é"]', 't': 'array'},
+                 {'p': 'limits.deep.l1.l2.l3.l4.l5.l6.l7.l8.l9.l10.l11', 'j': '"é}"', 't': 'str'},
                  {'p': 'active', 'j': 'true', 't': 'bool'}]) as entry, loaded_at, k
         from rules
     """,
@@ -349,10 +356,20 @@ FRAGMENTS: dict[str, str] = {
         from sil_acts group by 1
     """,
     "vol_gold": """
+        select snapshot_date, count(case when activity_count_on_date > 0 then 1 end) as employee_snapshots_with_activity,
+               sum(activity_count_on_date) as total_activities_on_date, count(case when enough then 1 end) as wellbeing_eligible_employee_count
+        from decided_365 group by 1
+    """,
+    "vol_gold_7": """
         select snapshot_date, count(case when activity_count_on_date > 0 then 1 end) as employee_snapshots_with_activity,
                sum(activity_count_on_date) as total_activities_on_date, count(case when enough then 1 end) as wellbeing_eligible_employee_count
         from decided_7 group by 1
     """,
+    "vol_gold_long": """
+        select snapshot_date, count(case when activity_count_on_date > 0 then 1 end) as employee_snapshots_with_activity,
+               sum(activity_count_on_date) as total_activities_on_date, count(case when enough then 1 end) as wellbeing_eligible_employee_count
+        from decided_long group by 1
+    """,
     "volumes": """
         select days.day as metric_date, coalesce(r.n, 0) as raw_event_count,
                coalesce(s.silver_activity_count, 0) as silver_activity_count, coalesce(s.valid_activity_count, 0) as valid_activity_count,
@@ -360,11 +377,23 @@ FRAGMENTS: dict[str, str] = {
                coalesce(g.employee_snapshots_with_activity, 0) as employee_snapshots_with_activity,
                coalesce(g.total_activities_on_date, 0) as total_activities_on_date,
                coalesce(g.wellbeing_eligible_employee_count, 0) as wellbeing_eligible_employee_count
-        from (select process_date as day from act_raw union select process_date from sil_acts union select snapshot_date from decided_7) days
+        from (select process_date as day from act_raw union select process_date from sil_acts union select snapshot_date from decided_365) days
         left join (select process_date, count(*) as n from act_raw group by 1) r on r.process_date = days.day
         left join vol_silver s on s.process_date = days.day
         left join vol_gold g on g.snapshot_date = days.day
     """,
+    "volumes_7": """
+        select days.day as metric_date, coalesce(r.n, 0) as raw_event_count,
+               coalesce(s.silver_activity_count, 0) as silver_activity_count, coalesce(s.valid_activity_count, 0) as valid_activity_count,
+               coalesce(s.invalid_activity_count, 0) as invalid_activity_count, coalesce(s.active_employee_count, 0) as active_employee_count,
+               coalesce(g.employee_snapshots_with_activity, 0) as employee_snapshots_with_activity,
+               coalesce(g.total_activities_on_date, 0) as total_activities_on_date,
+               coalesce(g.wellbeing_eligible_employee_count, 0) as wellbeing_eligible_employee_count
+        from (select process_date as day from act_raw union select process_date from sil_acts union select snapshot_date from decided_7) days
+        left join (select process_date, count(*) as n from act_raw group by 1) r on r.process_date = days.day
+        left join vol_silver s on s.process_date = days.day
+        left join vol_gold_7 g on g.snapshot_date = days.day
+    """,
     "anomalies": f"""
         select md5(employee_id || '-distance') as anomaly_id, 'sil_employees' as table_name, employee_id as record_id,
                'distance_rule_issue' as anomaly_type, 'Distance negative ou hors seuil reglementaire' as anomaly_detail
@@ -393,17 +422,78 @@ FRAGMENTS: dict[str, str] = {
         select distinct on (event_id) * from act_raw where offset_id % 100 <> 57
         order by event_id, partition_id, offset_id
     """,
+    "fault_orders": """
+        select case when o_orderkey % 40 <> 1 then o_orderkey - o_orderkey % 3 end as order_id,
+               case when o_orderkey % 50 <> 2 then o_custkey end as customer_id, o_orderstatus as status,
+               o_totalprice::decimal(12,2) - 20000 as amount, case when o_orderkey % 7 <> 0 then o_orderkey % 5 end as priority
+        from orders
+    """,
+    "repeated_orders": "select order_id from fault_orders where order_id is not null group by order_id having count(*) > 1",
+    "faults": """
+        select 'orders' as table_name, unnest([
+                 {'c': 'not_null', 'f': 'order_id', 'n': count(case when order_id is null then 1 end)},
+                 {'c': 'unique', 'f': 'order_id', 'n': count(case when order_id in (select order_id from repeated_orders) then 1 end)},
+                 {'c': 'not_null', 'f': 'customer_id', 'n': count(case when customer_id is null then 1 end)},
+                 {'c': 'relationships', 'f': 'customer_id', 'n': count(case when customer_id is not null and customer_id not in
+                     (select c_custkey from customer where c_custkey % 10 <> 3) then 1 end)},
+                 {'c': 'accepted_values', 'f': 'status', 'n': count(case when status not in ('F', 'O') then 1 end)},
+                 {'c': 'in_set', 'f': 'priority', 'n': count(case when priority not in (1, 2, 4) then 1 end)},
+                 {'c': 'non_negative', 'f': 'amount', 'n': count(case when amount < 0 then 1 end)},
+                 {'c': 'positive_value', 'f': 'priority', 'n': count(case when priority <= 0 then 1 end)},
+                 {'c': 'between', 'f': 'amount', 'n': count(case when amount <= 0 or amount > 100000 then 1 end)}
+               ]) as r, count(*) as row_count from fault_orders
+        union all
+        select 'customers', {'c': 'unique', 'f': 'customer_id', 'n': count(*) - count(distinct c_custkey)}, count(*)
+        from customer where c_custkey % 10 <> 3
+    """,
+    "model_checks": """
+        select 'business_rules_history' as table_name, unnest([{'c': 'not_null', 'f': 'rule_version', 'n': count(*) - count(rule_version)}, {'c': 'unique', 'f': 'rule_version', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from rules where rule_version is not null group by rule_version having count(*) > 1))}]) as r, count(*) as row_count from rules
+        union all
+        select 'business_rules_validity' as table_name, unnest([{'c': 'not_null', 'f': 'rule_version', 'n': count(*) - count(rule_version)}, {'c': 'not_null', 'f': 'effective_from', 'n': count(*) - count(effective_from)}, {'c': 'unique', 'f': 'rule_version', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from windows where rule_version is not null group by rule_version having count(*) > 1))}]) as r, count(*) as row_count from windows
+        union all
+        select 'business_rules' as table_name, unnest([{'c': 'not_null', 'f': 'rule_version', 'n': count(*) - count(rule_version)}, {'c': 'unique', 'f': 'rule_version', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from current_rule where rule_version is not null group by rule_version having count(*) > 1))}]) as r, count(*) as row_count from current_rule
+        union all
+        select 'business_rule_parameters_history' as table_name, unnest([{'c': 'not_null', 'f': 'rule_version', 'n': count(*) - count(rule_version)}, {'c': 'not_null', 'f': 'rule_path', 'n': count(*) - count(rule_path)}, {'c': 'not_null', 'f': 'rule_value_json', 'n': count(*) - count(rule_value_json)}]) as r, count(*) as row_count from parameters
+        union all
+        select 'business_rule_parameters' as table_name, unnest([{'c': 'not_null', 'f': 'rule_version', 'n': count(*) - count(rule_version)}, {'c': 'not_null', 'f': 'rule_path', 'n': count(*) - count(rule_path)}, {'c': 'not_null', 'f': 'rule_value_json', 'n': count(*) - count(rule_value_json)}]) as r, count(*) as row_count from parameters join current_rule using (rule_version)
+        union all
+        select 'brz_rh_employees' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}]) as r, count(*) as row_count from emp_raw
+        union all
+        select 'brz_sport_declarations' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}]) as r, count(*) as row_count from decl_raw
+        union all
+        select 'brz_sport_activities' as table_name, unnest([{'c': 'not_null', 'f': 'activity_id', 'n': count(*) - count(event_id)}, {'c': 'unique', 'f': 'activity_id', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from act_raw where event_id is not null group by event_id having count(*) > 1))}]) as r, count(*) as row_count from act_raw
+        union all
+        select 'sil_employees' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}, {'c': 'not_null', 'f': 'gross_salary', 'n': count(*) - count(gross_salary)}, {'c': 'not_null', 'f': 'distance_km_to_office', 'n': count(*) - count(distance_km_to_office)}, {'c': 'unique', 'f': 'employee_id', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from sil_emp where employee_id is not null group by employee_id having count(*) > 1))}, {'c': 'positive_value', 'f': 'gross_salary', 'n': count(case when gross_salary <= 0 then 1 end)}, {'c': 'non_negative', 'f': 'distance_km_to_office', 'n': count(case when distance_km_to_office < 0 then 1 end)}, {'c': 'accepted_values', 'f': 'contract_type', 'n': count(case when contract_type not in ('CDI', 'CDD', 'Stage', 'Alternance', 'Freelance') then 1 end)}]) as r, count(*) as row_count from sil_emp
+        union all
+        select 'sil_sport_activities' as table_name, unnest([{'c': 'not_null', 'f': 'activity_id', 'n': count(*) - count(activity_id)}, {'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}, {'c': 'unique', 'f': 'activity_id', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from sil_acts where activity_id is not null group by activity_id having count(*) > 1))}, {'c': 'relationships', 'f': 'employee_id', 'n': count(case when employee_id is not null and employee_id not in (select employee_id from sil_emp where employee_id is not null) then 1 end)}, {'c': 'non_negative', 'f': 'distance_km', 'n': count(case when distance_km < 0 then 1 end)}]) as r, count(*) as row_count from sil_acts
+        union all
+        select 'sil_employee_activity_yearly' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}]) as r, count(*) as row_count from year_365
+        union all
+        select 'gold_eligible_sport_bonus' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}, {'c': 'relationships', 'f': 'employee_id', 'n': count(case when employee_id is not null and employee_id not in (select employee_id from sil_emp where employee_id is not null) then 1 end)}]) as r, count(*) as row_count from bonus
+        union all
+        select 'gold_eligible_wellbeing_days' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}]) as r, count(*) as row_count from well_365
+        union all
+        select 'gold_kpi_employee_status' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}]) as r, count(*) as row_count from status
+        union all
+        select 'gold_employee_benefit_timeline' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}, {'c': 'not_null', 'f': 'snapshot_date', 'n': count(*) - count(snapshot_date)}]) as r, count(*) as row_count from decided_365
+        union all
+        select 'gold_employee_map' as table_name, unnest([{'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)}, {'c': 'not_null', 'f': 'home_lat', 'n': count(*) - count(home_lat)}, {'c': 'not_null', 'f': 'home_lon', 'n': count(*) - count(home_lon)}, {'c': 'unique', 'f': 'employee_id', 'n': (select coalesce(sum(n), 0) from (select count(*) as n from sil_emp where employee_id is not null group by employee_id having count(*) > 1))}]) as r, count(*) as row_count from sil_emp
+        union all
+        select 'monitoring_runs' as table_name, unnest([{'c': 'not_null', 'f': 'dag_id', 'n': count(*) - count(dag_id)}, {'c': 'not_null', 'f': 'run_id', 'n': count(*) - count(run_id)}]) as r, count(*) as row_count from run_log
+        union all
+        select 'monitoring_activity_volumes_daily' as table_name, unnest([{'c': 'not_null', 'f': 'metric_date', 'n': count(*) - count(metric_date)}]) as r, count(*) as row_count from volumes
+    """,
     "suite": """
         select 'sil_employees' as table_name, unnest([
                  {'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)},
-                 {'c': 'unique', 'f': 'employee_id', 'n': count(employee_id) - count(distinct employee_id)},
+                 {'c': 'unique', 'f': 'employee_id', 'n': (select count(*) from sil_emp x where (select count(*) from sil_emp y where y.employee_id = x.employee_id) > 1)},
                  {'c': 'between', 'f': 'gross_salary', 'n': count(case when gross_salary <= 0 then 1 end)},
                  {'c': 'between', 'f': 'distance_km_to_office', 'n': count(case when distance_km_to_office < 0 then 1 end)}
                ]) as r, count(*) as row_count from sil_emp
         union all
         select 'sil_sport_activities', unnest([
                  {'c': 'not_null', 'f': 'activity_id', 'n': count(*) - count(activity_id)},
-                 {'c': 'unique', 'f': 'activity_id', 'n': count(activity_id) - count(distinct activity_id)},
+                 {'c': 'unique', 'f': 'activity_id', 'n': (select count(*) from sil_acts x where (select count(*) from sil_acts y where y.activity_id = x.activity_id) > 1)},
                  {'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)},
                  {'c': 'not_null', 'f': 'activity_date', 'n': count(*) - count(activity_date)},
                  {'c': 'between', 'f': 'distance_km', 'n': count(case when distance_km < 0 then 1 end)}
@@ -411,9 +501,9 @@ FRAGMENTS: dict[str, str] = {
         union all
         select 'gold_kpi_employee_status', unnest([
                  {'c': 'not_null', 'f': 'employee_id', 'n': count(*) - count(employee_id)},
-                 {'c': 'unique', 'f': 'employee_id', 'n': count(employee_id) - count(distinct employee_id)},
-                 {'c': 'in_set', 'f': 'is_bonus_eligible', 'n': 0},
-                 {'c': 'in_set', 'f': 'is_wellbeing_eligible', 'n': 0},
+                 {'c': 'unique', 'f': 'employee_id', 'n': (select count(*) from status x where (select count(*) from status y where y.employee_id = x.employee_id) > 1)},
+                 {'c': 'in_set', 'f': 'is_bonus_eligible', 'n': count(case when lower(is_bonus_eligible::varchar) not in ('true', 'false') then 1 end)},
+                 {'c': 'in_set', 'f': 'is_wellbeing_eligible', 'n': count(case when lower(is_wellbeing_eligible::varchar) not in ('true', 'false') then 1 end)},
                  {'c': 'between', 'f': 'bonus_amount', 'n': count(case when bonus_amount < 0 then 1 end)},
                  {'c': 'between', 'f': 'wellbeing_days_awarded', 'n': count(case when wellbeing_days_awarded < 0 then 1 end)}
                ]), count(*) from status
@@ -647,6 +737,10 @@ ORACLE: dict[str, str] = {
         process_date:d; silver_activity_count; valid_activity_count; invalid_activity_count; active_employee_count""", "from vol_silver"),
     "agg_timeline_daily": build("""
         snapshot_date:d; employee_snapshots_with_activity; total_activities_on_date:i; wellbeing_eligible_employee_count""", "from vol_gold"),
+    "agg_timeline_daily_long": build("""
+        snapshot_date:d; employee_snapshots_with_activity; total_activities_on_date:i; wellbeing_eligible_employee_count""", "from vol_gold_long"),
+    "agg_timeline_daily_7d": build("""
+        snapshot_date:d; employee_snapshots_with_activity; total_activities_on_date:i; wellbeing_eligible_employee_count""", "from vol_gold_7"),
     "agg_state_pivot": build("""
         dag_id; run_id; task_count; task_success_count:i; task_failed_count:i; task_running_count:i; task_queued_count:i""", "from task_counts"),
     "distinct_values": build("snapshot_date:d=activity_date", "from sil_acts where is_valid_activity group by activity_date"),
@@ -730,6 +824,9 @@ ORACLE: dict[str, str] = {
     "monitoring_activity_volumes_daily": build("""
         metric_date:d; raw_event_count; silver_activity_count; valid_activity_count; invalid_activity_count; active_employee_count;
         employee_snapshots_with_activity; total_activities_on_date:i; wellbeing_eligible_employee_count""", "from volumes"),
+    "monitoring_activity_volumes_daily_7d": build("""
+        metric_date:d; raw_event_count; silver_activity_count; valid_activity_count; invalid_activity_count; active_employee_count;
+        employee_snapshots_with_activity; total_activities_on_date:i; wellbeing_eligible_employee_count""", "from volumes_7"),
     "monitoring_runs": build("""
         dag_id; run_id; run_type; dag_state; external_trigger; execution_date:t; data_interval_start:t; data_interval_end:t;
         queued_at:t; start_date:t; end_date:t; duration_seconds:n; task_count; task_success_count:i; task_failed_count:i;
@@ -748,6 +845,9 @@ ORACLE: dict[str, str] = {
     "dash_active_series": build("time:d=metric_date; value; metric", """
         from (select metric_date, active_employee_count as value, 'active_employees' as metric from volumes
         union all select metric_date, wellbeing_eligible_employee_count, 'wellbeing_eligible' from volumes) order by metric_date, metric"""),
+    "dash_active_series_7d": build("time:d=metric_date; value; metric", """
+        from (select metric_date, active_employee_count as value, 'active_employees' as metric from volumes_7
+        union all select metric_date, wellbeing_eligible_employee_count, 'wellbeing_eligible' from volumes_7) order by metric_date, metric"""),
     "dash_recent_runs": build("""
         dag_id; run_id; dag_state; start_date:t; end_date:t; duration_seconds:n=round(coalesce(duration_seconds, 0)); task_count;
         task_failed_count:i""", """
@@ -760,6 +860,9 @@ ORACLE: dict[str, str] = {
     "bi_distribution": build("contract_type; " + DISTRIBUTION, "from status group by contract_type"),
     "bi_distribution_by_mode": build("transport_mode; " + DISTRIBUTION, "from status group by transport_mode"),
     "bi_eligibility_trend": build("""
+        snapshot_date:d; bonus_eligible_employees=count(distinct case when sportive and within_limit then employee_id end);
+        wellbeing_eligible_employees=count(distinct case when enough then employee_id end)""", "from decided_365 group by snapshot_date"),
+    "bi_eligibility_trend_7d": build("""
         snapshot_date:d; bonus_eligible_employees=count(distinct case when sportive and within_limit then employee_id end);
         wellbeing_eligible_employees=count(distinct case when enough then employee_id end)""", "from decided_7 group by snapshot_date"),
     "bi_activity_trend": build("snapshot_date:d; contract_type; activity_count:i=sum(activity_count_on_date)",
@@ -784,7 +887,17 @@ ORACLE: dict[str, str] = {
         table_name; row_count=max(row_count); success=bool_and(r.n = 0); evaluated_checks=count(*);
         successful_checks=count(case when r.n = 0 then 1 end); unsuccessful_checks=count(case when r.n <> 0 then 1 end);
         success_percent:n=round(100.0 * count(case when r.n = 0 then 1 end) / count(*), 2);
-        generated_at='2024-01-31 12:00:00.000000'""", "from suite group by table_name"),
+        generated_at='2024-01-31 12:00:00.000000'; report_success=(select bool_and(r.n = 0) from suite);
+        details=string_agg(r.c || ':' || r.f || ':' || r.n || ':' || (r.n = 0)::varchar, ',' order by r.c, r.f)""",
+                               "from suite group by table_name /* suite */"),
+    "validation_suite_faults": build("table_name; check_name=r.c; column_name=r.f; row_count; failing_rows:i=r.n; success=r.n = 0", "from faults"),
+    "model_tests": build("table_name; check_name=r.c; column_name=r.f; row_count; failing_rows:i=r.n; success=r.n = 0", "from model_checks"),
+    "lenient_cast_rejects": """
+        select c_custkey::varchar as employee_id, 'gross_salary_raw' as column_name, 'x' || c_custkey as raw_value,
+               'not a decimal(12,2)' as reason from customer where c_custkey % 9 = 0
+        union all select c_custkey::varchar, 'cp_days_raw', 'soon', 'not a int' from customer where c_custkey % 7 = 0
+        union all select c_custkey::varchar, 'hire_date_raw', '2020-02-31', 'not a date' from customer where c_custkey % 11 = 0
+    """,
     # streaming: replays and repeated deliveries change nothing
     "stream_source": build("topic; partition:i=partition_id; messages=count(*); last_offset=max(offset_id)",
                            "from act_raw group by topic, partition_id"),
@@ -793,11 +906,12 @@ ORACLE: dict[str, str] = {
         partition_id; offset_id; event_ts:t=if(offset_id % 100 = 57, null, date_trunc('second', ts)); is_readable=offset_id % 100 <> 57""",
                                 "from (select *, cast(substr(payload_json, strpos(payload_json, '\"event_ts\":\"') + 12, 19) as timestamp) as ts from act_raw)"),
     "stream_skip_errors": build("partition_id; offset_id; payload_json='{bad ' || event_id", "from act_raw where offset_id % 100 = 57"),
-    "stream_dedup_first": build("event_id; process_date:d", "from landed"),
+    "stream_dedup_first": build("event_id; process_date:d; partition_id; offset_id; payload_json", "from landed"),
     "stream_drain": build("event_id; process_date:d; partition_id; offset_id", "from landed"),
     "stream_notify_once": build(MESSAGE.format(extra="process_date:d;"), "from landed"),
     "stream_progress_metrics": build("""
         consumed=2 * count(*); accepted=count(distinct case when ok then event_id end);
         duplicates=2 * count(case when ok then 1 end) - count(distinct case when ok then event_id end);
-        unreadable=2 * count(case when not ok then 1 end)""", "from (select *, offset_id % 100 <> 57 as ok from act_raw)"),
+        unreadable=2 * count(case when not ok then 1 end);
+        other_process_date=2 * count(case when ok and process_date <> date '2024-01-20' then 1 end)""", "from (select *, offset_id % 100 <> 57 as ok from act_raw)"),
 }

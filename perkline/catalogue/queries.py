@@ -16,6 +16,7 @@ from perkline.functions import (
     render, row_hash, stable_id, strict_cast,
 )
 from perkline.functions.dates import duration_seconds
+from perkline.functions.dates import excel_serial_to_date as excel_serial
 from perkline.operators import calendar as C
 from perkline.operators import joins as J
 from perkline.operators import ranking
@@ -157,6 +158,12 @@ class Domain:
         silver_tables = {"sil_employees": self.employees, "sil_sport_activities": self.activities}
         return tables.materialize_layer(silver_tables, "silver", self.scratch("layers"))
 
+    @cached_property
+    def stored_joined(self):
+        """Employees with their declarations and yearly activity, written once."""
+        return tables.materialize_layer(
+            {"sil_employee_activity_joined": self.joined()}, "silver", self.scratch("layers"))["sil_employee_activity_joined"]
+
     def stored_status(self):
         joined = silver.sil_employee_activity_joined(
             self.stored["sil_employees"], self.declarations,
@@ -167,12 +174,24 @@ class Domain:
         return timeline.gold_employee_benefit_timeline(
             self.stored["sil_employees"], self.stored["sil_sport_activities"], self.validity, window_days)
 
-    def volumes(self, window_days: int = I.SHORT_WINDOW):
+    def volumes(self, window_days: int = 365):
         return monitoring.monitoring_activity_volumes_daily(
             monitoring.raw_volumes(self.activities_bronze),
             monitoring.silver_volumes(self.stored["sil_sport_activities"]),
             monitoring.timeline_volumes(self.stored_timeline(window_days)))
 
+    def long_timeline(self):
+        """The timeline of more than six years of activity."""
+        return timeline.gold_employee_benefit_timeline(
+            self.employees, I.long_activities(self.spark, self.sf_dir), self.validity, 365)
+
+    def event_volumes(self):
+        """Daily event counts on the same dates, without building the timeline."""
+        activities = self.stored["sil_sport_activities"]
+        return monitoring.monitoring_activity_volumes_daily(
+            monitoring.raw_volumes(self.activities_bronze), monitoring.silver_volumes(activities),
+            timeline.timeline_dates(activities, self.validity))
+
     @cached_property
     def runs(self):
         return I.runs(self.spark, self.sf_dir)
@@ -200,18 +219,26 @@ class Domain:
         daily = timeline.stage_daily(self.activities)
         return timeline.activity_grid(self.employees.select(*columns), daily, C.distinct_dates(daily), window_days)
 
-    def write_messages(self, rounds: int = 1) -> str:
-        """Topic messages as files; every further round delivers the same messages again."""
+    def write_messages(self, rounds: int = 1, altered: bool = False) -> str:
+        """Topic messages as files; every further round delivers the same messages again.
+
+        ``altered`` gives later rounds later offsets and another payload, so that it shows which copy won.
+        """
         path = self.scratch("messages")
-        for _ in range(rounds):
-            I.messages(self.spark, self.sf_dir).write.mode("append").json(path)
+        for again in range(rounds):
+            batch = I.messages(self.spark, self.sf_dir)
+            if altered and again:
+                batch = batch.withColumns({
+                    "offset": F.col("offset") + again * 10_000_000,
+                    "value": F.regexp_replace("value", r"\}\s*$", f',"round":{again}}}')})
+            batch.write.mode("append").json(path)
         return path
 
     def ingest(self, on_batch=None) -> str:
         """Run the ingestion stream over the messages delivered twice; returns the sink folder."""
         root = self.scratch("landed")
         source = S.stream_source(self.spark, path=self.write_messages(rounds=2), max_files=8)
-        S.drain(S.start_ingest(source, root, self.scratch("progress"), on_batch=on_batch))
+        S.drain(S.start_ingest(source, root, self.scratch("progress"), process_date=I.INGEST_DATE, on_batch=on_batch))
         return root
 
 
@@ -371,7 +398,7 @@ def json_array_explode_in(d):
     """Employees against the exploded mode lists of all versions: how many versions reward their mode."""
     exploded = d.rules_raw.select(F.explode(F.from_json("sportive_transport_modes", "array<string>")).alias("transport_mode"))
     # modes are few and one may cover most employees: broadcast after counting them
-    rewarded = J.broadcast_within(exploded.groupBy("transport_mode").agg(F.count("*").alias("rule_count")))
+    rewarded = exploded.groupBy("transport_mode").agg(F.count("*").alias("rule_count"))
     return d.employees.join(rewarded, "transport_mode", "left").select(
         "employee_id", "transport_mode", F.coalesce("rule_count", F.lit(0)).alias("rule_count"))
 
@@ -380,7 +407,7 @@ def json_array_explode_in(d):
 def json_array_contains(d):
     return d.rules_raw.select(
         "rule_version",
-        *[silver.mode_is_sportive(F.lit(m), F.col("sportive_transport_modes")).alias(n)
+        *[silver.mode_is_sportive(F.lit(m), silver.parsed_modes(F.col("sportive_transport_modes"))).alias(n)
           for m, n in (("velo", "has_velo"), ("vélo", "has_accented"), ("trottinette", "has_scooter"))])
 
 
@@ -410,6 +437,20 @@ def strict_cast_nullif(d):
         strict_cast(F.col("gross_salary_raw"), "int", strict=False).alias("lenient_salary"))
 
 
+@query
+def lenient_cast_rejects(d):
+    """Customers' balances and keys as raw text, some of it unreadable."""
+    raw = d.table("customer").selectExpr(
+        "string(c_custkey) employee_id",
+        "case when c_custkey % 9 = 0 then concat('x', c_custkey) when c_custkey % 9 = 1 then '' else string(cast(c_acctbal as decimal(12,2))) end gross_salary_raw",
+        "case when c_custkey % 7 = 0 then 'soon' when c_custkey % 7 = 1 then null else string(c_custkey % 30) end cp_days_raw",
+        "case when c_custkey % 11 = 0 then '2020-02-31' else '44000' end hire_date_raw")
+    return silver.cast_rejects(raw, ["employee_id"], {
+        "gross_salary_raw": (strict_cast(F.col("gross_salary_raw"), "decimal(12,2)", False), "decimal(12,2)"),
+        "cp_days_raw": (strict_cast(F.col("cp_days_raw"), "int", False), "int"),
+        "hire_date_raw": (excel_serial(F.col("hire_date_raw"), False), "date")})
+
+
 @query("full_name")
 def full_names(d):
     return d.employees_raw.select(
@@ -564,7 +605,10 @@ def join_left_equi(d):
 
 @query
 def join_left_status(d):
-    return gold.gold_kpi_employee_status(d.joined(), d.bonus(), d.wellbeing())
+    joined = d.stored_joined
+    return gold.gold_kpi_employee_status(
+        joined, gold.gold_eligible_sport_bonus(joined, d.validity, I.AS_OF),
+        gold.gold_eligible_wellbeing_days(joined, d.validity, I.AS_OF))
 
 
 @query
@@ -606,10 +650,8 @@ def join_cross_rules(d):
 
 @query
 def join_cross_scalars(d):
-    wells = d.wellbeing().agg(F.count_if("eligibility_status").alias("n"))
-    valid = d.activities.agg(F.count_if("is_valid_activity").alias("n"))
-    return gold.bonus_totals(d.bonus()).select(
-        "*", wells.scalar().alias("eligible_wellbeing_employees"), valid.scalar().alias("activity_count_total"))
+    valid = d.stored["sil_sport_activities"].agg(F.count_if("is_valid_activity").alias("n"))
+    return gold.decision_totals(d.stored_status()).select("*", valid.scalar().alias("activity_count_total"))
 
 
 @query
@@ -624,16 +666,10 @@ def join_full_outer_chain(d):
 
 @query
 def in_subquery_flag(d):
-    d.employees.select("employee_id", "transport_mode").createOrReplaceTempView("perkline_modes_employees")
-    R.rules_current(d.validity).createOrReplaceTempView("perkline_modes_rule")
-    return d.spark.sql("""
-        with modes as (
-            select explode(from_json(sportive_transport_modes, 'array<string>')) as mode from perkline_modes_rule
-        )
-        select employee_id, transport_mode,
-               case when transport_mode in (select mode from modes) then true else false end as is_sportive
-        from perkline_modes_employees
-    """)
+    modes = R.rules_current(d.validity).select(F.explode(
+        F.from_json("sportive_transport_modes", "array<string>")).alias("mode")).distinct()
+    flagged = d.employees.join(modes, F.col("transport_mode") == F.col("mode"), "left")
+    return flagged.select("employee_id", "transport_mode", F.col("mode").isNotNull().alias("is_sportive"))
 
 
 @query
@@ -661,7 +697,7 @@ def agg_yearly_activity(d):
 
 @query
 def agg_filtered_global(d):
-    return gold.bonus_totals(d.bonus())
+    return gold.decision_totals(d.status()).drop("eligible_wellbeing_employees")
 
 
 @query
@@ -676,9 +712,20 @@ def agg_daily_counts(d):
 
 @query
 def agg_timeline_daily(d):
+    return monitoring.timeline_volumes(d.timeline())
+
+
+@query
+def agg_timeline_daily_7d(d):
     return monitoring.timeline_volumes(d.timeline(I.SHORT_WINDOW))
 
 
+@query
+def agg_timeline_daily_long(d):
+    """A trailing year over more than six years of orders, so that the window moves."""
+    return monitoring.timeline_volumes(d.long_timeline())
+
+
 @query
 def agg_state_pivot(d):
     return monitoring.task_state_counts(d.tasks)
@@ -853,7 +900,7 @@ def gold_employee_map(d):
 
 @query
 def gold_kpi_finance(d):
-    return gold.gold_kpi_finance(d.bonus(), d.wellbeing(), d.activities, I.AS_OF)
+    return gold.gold_kpi_finance(d.stored_status(), d.stored["sil_sport_activities"], I.AS_OF)
 
 
 @query
@@ -869,7 +916,7 @@ def gold_employee_benefit_timeline_7d(d):
 @query
 def timeline_long_history(d):
     """The whole employee x date grid over six years of activity, rolled up per date."""
-    grid = timeline.gold_employee_benefit_timeline(d.employees, I.long_activities(d.spark, d.sf_dir), d.validity, 365)
+    grid = d.long_timeline()
     return grid.groupBy("snapshot_date").agg(
         F.count("*").alias("employees"),
         F.sum("activity_count_on_date").alias("on_date"),
@@ -894,6 +941,11 @@ def monitoring_activity_volumes_daily(d):
     return d.volumes()
 
 
+@query
+def monitoring_activity_volumes_daily_7d(d):
+    return d.volumes(I.SHORT_WINDOW)
+
+
 @query
 def monitoring_runs(d):
     return d.run_log()
@@ -913,12 +965,12 @@ def dash_failed_runs_7d(d):
 
 @query
 def dash_latest_day_volume(d):
-    return monitoring.dash_latest_day_volume(d.volumes())
+    return monitoring.dash_latest_day_volume(d.event_volumes())
 
 
 @query
 def dash_flow_series(d):
-    return monitoring.dash_flow_series(d.volumes())
+    return monitoring.dash_flow_series(d.event_volumes())
 
 
 @query
@@ -926,6 +978,11 @@ def dash_active_series(d):
     return monitoring.dash_active_series(d.volumes())
 
 
+@query
+def dash_active_series_7d(d):
+    return monitoring.dash_active_series(d.volumes(I.SHORT_WINDOW))
+
+
 @query
 def dash_recent_runs(d):
     return monitoring.dash_recent_runs(d.runs, d.tasks, I.RUNS_AS_OF_TS)
@@ -953,6 +1010,11 @@ def bi_distribution_mode(d):
 
 @query
 def bi_eligibility_trend(d):
+    return bi.bi_eligibility_trend(d.timeline())
+
+
+@query
+def bi_eligibility_trend_7d(d):
     return bi.bi_eligibility_trend(d.timeline(I.SHORT_WINDOW))
 
 
@@ -1021,15 +1083,59 @@ def validation_suite(d):
     return _suite_results(d)
 
 
+@query
+def validation_suite_faults(d):
+    """Every kind of check on tables in which some rows fail it."""
+    C = quality.Check
+    suites = (
+        quality.Suite("orders", (
+            C("not_null", "order_id"), C("unique", "order_id"), C("not_null", "customer_id"),
+            C("relationships", "customer_id", parent=("customers", "customer_id")),
+            C("accepted_values", "status", values=("F", "O")), C("in_set", "priority", values=(1, 2, 4)),
+            C("non_negative", "amount"), C("positive_value", "priority"),
+            C("between", "amount", min_value=0, max_value=100_000, strict_min=True))),
+        quality.Suite("customers", (C("unique", "customer_id"),)),
+    )
+    return quality.validation_suite(I.faulty_tables(d.spark, d.sf_dir), suites)
+
+
+@query
+def model_tests(d):
+    """The tests of all models, layer by layer."""
+    history, parameters = R.rules_history(d.rules_raw), R.rule_parameters_history(d.parameters_raw, d.validity)
+    joined = d.stored_joined
+    models = {
+        **d.stored,
+        "business_rules_history": history, "business_rules_validity": d.validity, "business_rules": R.rules_current(d.validity),
+        "business_rule_parameters_history": parameters,
+        "business_rule_parameters": R.rule_parameters_current(parameters),
+        "brz_rh_employees": d.employees_bronze, "brz_sport_declarations": d.declarations_bronze,
+        "brz_sport_activities": d.activities_bronze,
+        "sil_employee_activity_yearly": silver.sil_employee_activity_yearly(d.stored["sil_sport_activities"], I.AS_OF),
+        "gold_eligible_sport_bonus": gold.gold_eligible_sport_bonus(joined, d.validity, I.AS_OF),
+        "gold_eligible_wellbeing_days": gold.gold_eligible_wellbeing_days(joined, d.validity, I.AS_OF),
+        "gold_kpi_employee_status": gold.employee_status(joined, d.validity, I.AS_OF),
+        "gold_employee_benefit_timeline": d.stored_timeline(),
+        "gold_employee_map": gold.gold_employee_map(d.stored["sil_employees"], gold.employee_status(joined, d.validity, I.AS_OF)),
+        "monitoring_runs": d.run_log(), "monitoring_activity_volumes_daily": d.volumes(),
+    }
+    return quality.validation_suite(models, [s for layer in quality.MODEL_SUITES.values() for s in layer])
+
+
 @query
 def validation_report(d):
+    """The published report document, one row per table with its single results as text."""
     report = quality.validation_report(_suite_results(d), I.AS_OF_TS)
+    document = quality.report_document(report)
     folder = d.scratch("reports")
     quality.publish_report(report, folder, "20240131T120000Z", fail=False)
-    published = d.spark.read.schema(report.schema).json(f"{folder}/latest")
-    return published.select(
-        "table_name", "row_count", "success", "evaluated_checks", "successful_checks",
-        "unsuccessful_checks", "success_percent", "generated_at")
+    published = d.spark.read.schema(document.schema).json(f"{folder}/latest")
+    rows = published.select("generated_at", F.col("success").alias("report_success"), F.inline("validations"))
+    details = F.transform("details", lambda x: F.concat_ws(
+        ":", x["check_name"], x["column_name"], x["failing_rows"].cast("string"), x["success"].cast("string")))
+    return rows.select(
+        "table_name", "row_count", "success", "evaluated_checks", "successful_checks", "unsuccessful_checks",
+        "success_percent", "generated_at", "report_success", F.array_join(details, ",").alias("details"))
 
 
 # --- streaming -------------------------------------------------------------------------------
@@ -1066,8 +1172,9 @@ def stream_dead_letters(d):
 
 @query
 def stream_dedup_first(d):
-    events = S.readable_events(S.parse_events(S.stream_source(d.spark, path=d.write_messages(rounds=2))))
-    return _collect_stream(d, S.stream_dedup_first(events), "deduped").select("event_id", "process_date")
+    events = S.readable_events(S.parse_events(S.stream_source(d.spark, path=d.write_messages(rounds=2, altered=True))))
+    return _collect_stream(d, S.stream_dedup_first(events), "deduped").select(
+        "event_id", "process_date", "partition_id", "offset_id", "payload_json")
 
 
 @query
@@ -1083,9 +1190,6 @@ def stream_notify_once(d):
 
 @query
 def stream_progress_metrics(d):
-    """Consumed, accepted, duplicate and unreadable totals; the batch counts come from the running stream."""
-    counts: list[dict[str, int]] = []
-    d.ingest(on_batch=lambda _, c: counts.append(c))
-    names = ("consumed", "accepted", "duplicates", "unreadable")
-    rows = [tuple(c[n] for n in names) for c in counts]
-    return d.spark.createDataFrame(rows, ", ".join(f"{n} bigint" for n in names)).agg(*[F.sum(n).alias(n) for n in names])
+    """Totals of the counts that the running stream wrote batch by batch."""
+    names = ("consumed", "accepted", "duplicates", "unreadable", "other_process_date")
+    return S.read_sink(d.spark, d.ingest(), "progress").agg(*[F.sum(n).alias(n) for n in names])

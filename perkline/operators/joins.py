@@ -1,4 +1,4 @@
-"""Join helpers with an explicit size policy."""
+"""Join helpers."""
 
 from __future__ import annotations
 
@@ -7,20 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkline.session import ensure_checkpoint_dir
+from perkline.session import stage_table
 
-BROADCAST_ROWS = 500_000
 
-
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the strategy to Catalyst.
-
-    The side is computed once (reliable checkpoint) and counted. Beyond the bound the caller's
-    equi-join runs as a shuffled join, with AQE splitting skewed partitions.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    stored = df.checkpoint()
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+def stored_keys(df: DataFrame, keys: Sequence[str], name: str = "keys") -> DataFrame:
+    """The distinct keys of a side, stored, so that the optimizer picks the join by their true size."""
+    return stage_table(df.select(*keys).distinct(), name)
 
 
 def with_single_row(df: DataFrame, single: DataFrame, name: str) -> DataFrame:

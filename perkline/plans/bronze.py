@@ -54,4 +54,6 @@ def brz_sport_activities(raw: DataFrame) -> DataFrame:
 
 
 def brz_slack_messages(raw: DataFrame) -> DataFrame:
-    return raw.select(*[part.split()[0] for part in schemas.MESSAGES_RAW.strip().split(",")])
+    return raw.select(
+        "message_id", "process_date", "activity_id", "employee_id", "channel_name", "message_text", "generated_at",
+        "status")

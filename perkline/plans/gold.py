@@ -17,7 +17,14 @@ from perkline.plans.rules import rules_active_at
 
 def with_active_rule(df: DataFrame, validity: DataFrame, as_of: str | date) -> DataFrame:
     """Rows combined with the one rule in force, as struct ``_rule``; no rule, no rows."""
-    return with_single_row(df, rules_active_at(validity, as_of), "_rule").filter(F.col("_rule").isNotNull())
+    return with_single_row(df, _decisive(validity, as_of), "_rule").filter(F.col("_rule").isNotNull())
+
+
+def _decisive(validity: DataFrame, as_of: str | date) -> DataFrame:
+    """What decisions need of the rule in force; its documents stay behind."""
+    return rules_active_at(validity, as_of).select(
+        "rule_version", "bonus_rate", "wellbeing_days", "min_activities_per_year", "max_km_walk_run",
+        "max_km_cycle_scooter_other")
 
 
 def potential_bonus(salary: Column, rate: Column) -> Column:
@@ -115,7 +122,7 @@ def employee_status(joined: DataFrame, validity: DataFrame, as_of: str | date) -
 
     Without a rule in force the decision columns are NULL.
     """
-    base = with_single_row(joined, rules_active_at(validity, as_of), "_rule")
+    base = with_single_row(joined, _decisive(validity, as_of), "_rule")
     rule = F.col("_rule")
     bonus, wellbeing = _bonus_columns(rule), _wellbeing_columns(rule)
     decisions = {
@@ -144,41 +151,46 @@ def gold_slack_messages(bronze: DataFrame) -> DataFrame:
     return bronze.drop("process_date")
 
 
-def bonus_totals(bonus: DataFrame) -> DataFrame:
-    granted = F.when(F.col("eligibility_status"), F.col("bonus_amount"))
+def decision_totals(status: DataFrame) -> DataFrame:
+    """Counts and costs of both decisions in one row and one pass over the status rows."""
+    granted = F.when(F.col("is_bonus_eligible"), F.col("bonus_amount"))
     cost = F.coalesce(F.sum(granted).cast("decimal(28,2)"), F.lit(0).cast("decimal(28,2)"))
     # avg() keeps six decimals only, too few to round to cents without double rounding
     average = F.try_divide(cost, F.count(granted).cast("decimal(19,0)"))
-    return bonus.agg(
-        F.count_if("eligibility_status").alias("eligible_bonus_employees"),
+    return status.agg(
+        F.count_if("is_bonus_eligible").alias("eligible_bonus_employees"),
+        F.count_if("is_wellbeing_eligible").alias("eligible_wellbeing_employees"),
         cost.alias("total_bonus_cost"),
         F.round(F.coalesce(average, F.lit(0)), 2).alias("avg_bonus_amount"),
     )
 
 
-def gold_kpi_finance(bonus: DataFrame, wellbeing: DataFrame, activities: DataFrame, as_of: str | date) -> DataFrame:
-    """Executive KPIs in exactly one row: three global aggregates, put together by scalar subqueries."""
-    eligible = wellbeing.agg(F.count_if("eligibility_status").alias("n"))
+def gold_kpi_finance(status: DataFrame, activities: DataFrame, as_of: str | date) -> DataFrame:
+    """Executive KPIs in exactly one row: one pass over the status rows and one over the activities."""
     valid = activities.agg(F.count_if("is_valid_activity").alias("n"))
-    return bonus_totals(bonus).select(
+    return decision_totals(status).select(
         reference_year(as_of).alias("reference_year"),
         "eligible_bonus_employees",
-        eligible.scalar().alias("eligible_wellbeing_employees"),
+        "eligible_wellbeing_employees",
         "total_bonus_cost",
         "avg_bonus_amount",
         valid.scalar().alias("activity_count_total"),
     )
 
 
-def _anomalies(df: DataFrame, key: str, suffix: str, table: str, kind: str, detail: str, detected_at: str) -> DataFrame:
-    return df.select(
-        stable_id(F.col(key), suffix).alias("anomaly_id"),
-        as_timestamp(detected_at).alias("detected_at"),
-        F.lit(table).alias("table_name"),
-        F.col(key).alias("record_id"),
-        F.lit(kind).alias("anomaly_type"),
-        F.lit(detail).alias("anomaly_detail"),
-    )
+def _anomaly(key: str, suffix: str, kind: str, detail: str) -> Column:
+    return F.struct(
+        stable_id(F.col(key), suffix).alias("anomaly_id"), F.col(key).alias("record_id"),
+        F.lit(kind).alias("anomaly_type"), F.lit(detail).alias("anomaly_detail"))
+
+
+def _findings(df: DataFrame, table: str, detected_at: str, found: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """One row for each condition that holds, in one pass."""
+    chosen = F.filter(F.array(*[F.when(holds, finding) for holds, finding in found]), lambda x: x.isNotNull())
+    rows = df.select(F.inline(chosen))
+    return rows.select(
+        "anomaly_id", as_timestamp(detected_at).alias("detected_at"), F.lit(table).alias("table_name"), "record_id",
+        "anomaly_type", "anomaly_detail")
 
 
 def gold_quality_anomalies(
@@ -186,20 +198,17 @@ def gold_quality_anomalies(
     walk_modes: Sequence[str] = WALK_MODES, cycle_modes: Sequence[str] = ANOMALY_CYCLE_MODES,
 ) -> DataFrame:
     """Distance, salary and invalid-activity findings in one feed. The labels are fixed values."""
-    ruled = with_active_rule(employees, validity, as_of)
+    ruled = with_single_row(employees, _decisive(validity, as_of), "_rule")
     distance, mode, rule = F.col("distance_km_to_office"), F.col("transport_mode"), F.col("_rule")
-    off_limits = (
+    off_limits = rule.isNotNull() & (
         (distance < 0)
         | (mode.isin(*walk_modes) & (distance > rule["max_km_walk_run"]))
         | (mode.isin(*cycle_modes) & (distance > rule["max_km_cycle_scooter_other"]))
     )
-    return (
-        _anomalies(ruled.filter(off_limits), "employee_id", "distance", "sil_employees", "distance_rule_issue",
-                   "Distance negative ou hors seuil reglementaire", detected_at)
-        .unionByName(_anomalies(
-            employees.filter("gross_salary <= 0"), "employee_id", "salary", "sil_employees", "salary_issue",
-            "Salaire brut non positif", detected_at))
-        .unionByName(_anomalies(
-            activities.filter("not is_valid_activity"), "activity_id", "activity", "sil_sport_activities",
-            "invalid_activity", "Activite invalide detectee dans le flux", detected_at))
-    )
+    return _findings(ruled, "sil_employees", detected_at, [
+        (off_limits, _anomaly("employee_id", "distance", "distance_rule_issue",
+                              "Distance negative ou hors seuil reglementaire")),
+        (F.col("gross_salary") <= 0, _anomaly("employee_id", "salary", "salary_issue", "Salaire brut non positif")),
+    ]).unionByName(_findings(activities, "sil_sport_activities", detected_at, [
+        (~F.col("is_valid_activity"), _anomaly("activity_id", "activity", "invalid_activity",
+                                               "Activite invalide detectee dans le flux"))]))

@@ -41,7 +41,10 @@ def timeline_volumes(timeline: DataFrame) -> DataFrame:
 
 
 def monitoring_activity_volumes_daily(raw: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """Full outer chain of the three daily roll-ups; missing counts are zero."""
+    """Full outer chain of the three daily roll-ups; missing counts are zero.
+
+    ``gold`` may hold the snapshot dates alone, if its counts are not asked for.
+    """
     raw = raw.withColumnRenamed("process_date", "metric_date")
     silver = silver.withColumnRenamed("process_date", "metric_date")
     gold = gold.withColumnRenamed("snapshot_date", "metric_date")
@@ -129,10 +132,10 @@ def recent_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
 def dash_recent_runs(runs: DataFrame, tasks: DataFrame, as_of_ts: str, limit: int = 20) -> DataFrame:
     """Most recent runs with their task counts.
 
-    The runs are cut first, and only their tasks are counted: at most ``limit`` keys are broadcast.
+    The runs are cut first, and only their tasks are counted.
     """
     chosen = recent_runs(runs, limit)
-    own_tasks = tasks.join(F.broadcast(chosen.select("dag_id", "run_id")), ["dag_id", "run_id"], "left_semi")
+    own_tasks = tasks.join(chosen.select("dag_id", "run_id"), ["dag_id", "run_id"], "left_semi")
     log = monitoring_runs(chosen, own_tasks, as_of_ts)
     return (
         log.orderBy(_moment().desc_nulls_first(), "dag_id", "run_id")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perkline.defaults import CONTRACT_TYPES
 from perkline.functions.dates import as_timestamp
 from perkline.operators.joins import orphan_rows
-from perkline.session import ensure_checkpoint_dir
+from perkline.session import stage_table
 
 
 # --- failing rows ----------------------------------------------------------------------------
@@ -64,7 +65,12 @@ def check_between(df: DataFrame, column: str, min_value=None, max_value=None,
 
 @dataclass(frozen=True)
 class Check:
-    """One expectation on a column: not_null, unique, in_set or between."""
+    """One expectation on a column.
+
+    not_null, in_set, accepted_values, non_negative, positive_value and between fail single rows and let NULL
+    pass (but for not_null). unique fails every row whose key occurs more than once, relationships every row
+    whose key the ``parent`` (table, column) lacks; both ignore NULL keys.
+    """
 
     kind: str
     column: str
@@ -72,18 +78,26 @@ class Check:
     min_value: float | None = None
     max_value: float | None = None
     strict_min: bool = False
+    parent: tuple[str, str] = ("", "")
 
     def failure(self) -> Column:
         value = F.col(self.column)
         if self.kind == "not_null":
             return value.isNull()
-        if self.kind == "in_set":
+        if self.kind in ("in_set", "accepted_values"):
             return ~value.isin(*self.values)
+        if self.kind == "non_negative":
+            return value < 0
+        if self.kind == "positive_value":
+            return value <= 0
         if self.kind == "between":
             return _out_of_range(value, self.min_value, self.max_value, self.strict_min)
         raise ValueError(f"{self.kind} is not a row check")
 
 
+KEY_CHECKS = ("unique", "relationships")
+
+
 @dataclass(frozen=True)
 class Suite:
     """Checks of one table."""
@@ -95,6 +109,11 @@ class Suite:
         return list(dict.fromkeys(c.column for c in self.checks))
 
 
+def _required(table: str, *columns: str) -> Suite:
+    return Suite(table, tuple(Check("not_null", c) for c in columns))
+
+
+# Expectations of the validation run.
 SUITES = (
     Suite("sil_employees", (
         Check("not_null", "employee_id"),
@@ -119,39 +138,92 @@ SUITES = (
     )),
 )
 
-
-def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
+# Tests of the models, by layer.
+MODEL_SUITES = {
+    "bronze": (
+        Suite("business_rules_history", (Check("not_null", "rule_version"), Check("unique", "rule_version"))),
+        Suite("business_rules_validity", (
+            Check("not_null", "rule_version"), Check("unique", "rule_version"), Check("not_null", "effective_from"))),
+        Suite("business_rules", (Check("not_null", "rule_version"), Check("unique", "rule_version"))),
+        _required("business_rule_parameters_history", "rule_version", "rule_path", "rule_value_json"),
+        _required("business_rule_parameters", "rule_version", "rule_path", "rule_value_json"),
+        _required("brz_rh_employees", "employee_id"),
+        _required("brz_sport_declarations", "employee_id"),
+        Suite("brz_sport_activities", (Check("not_null", "activity_id"), Check("unique", "activity_id"))),
+    ),
+    "silver": (
+        Suite("sil_employees", (
+            Check("not_null", "employee_id"), Check("unique", "employee_id"),
+            Check("not_null", "gross_salary"), Check("positive_value", "gross_salary"),
+            Check("not_null", "distance_km_to_office"), Check("non_negative", "distance_km_to_office"),
+            Check("accepted_values", "contract_type", values=CONTRACT_TYPES))),
+        Suite("sil_sport_activities", (
+            Check("not_null", "activity_id"), Check("unique", "activity_id"), Check("not_null", "employee_id"),
+            Check("relationships", "employee_id", parent=("sil_employees", "employee_id")),
+            Check("non_negative", "distance_km"))),
+        _required("sil_employee_activity_yearly", "employee_id"),
+    ),
+    "gold": (
+        Suite("gold_eligible_sport_bonus", (
+            Check("not_null", "employee_id"),
+            Check("relationships", "employee_id", parent=("sil_employees", "employee_id")))),
+        _required("gold_eligible_wellbeing_days", "employee_id"),
+        _required("gold_kpi_employee_status", "employee_id"),
+        _required("gold_employee_benefit_timeline", "employee_id", "snapshot_date"),
+        Suite("gold_employee_map", (
+            Check("not_null", "employee_id"), Check("unique", "employee_id"), Check("not_null", "home_lat"),
+            Check("not_null", "home_lon"))),
+    ),
+    "monitoring": (
+        _required("monitoring_runs", "dag_id", "run_id"),
+        _required("monitoring_activity_volumes_daily", "metric_date"),
+    ),
+}
+
+
+def _key_failures(check: Check, per_key: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Failing rows of a check on keys, from the rows per key: one row (row_count, failing_rows)."""
+    if check.kind == "unique":
+        bad = F.col(check.column).isNotNull() & (F.col("n") > 1)
+        return per_key.agg(F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("failing_rows"))
+    table, column = check.parent
+    parents = tables[table].select(F.col(column).alias(check.column)).distinct()
+    return per_key.join(parents, check.column, "left_anti").filter(F.col(check.column).isNotNull()).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"))
+
+
+def run_suite(df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """(table, check, column, rows, failing rows, success) for one table.
 
-    All row checks share one aggregation pass; a uniqueness check counts keys with partial
-    aggregation. Nothing but the totals leaves the executors.
+    All row checks share one aggregation pass; checks on keys count rows per key with partial aggregation
+    first. Nothing but the totals leaves the executors.
     """
-    row_checks = [c for c in suite.checks if c.kind != "unique"]
+    row_checks = [c for c in suite.checks if c.kind not in KEY_CHECKS]
     totals = df.select(*suite.columns()).agg(
         F.count("*").alias("row_count"),
         *[F.count_if(c.failure()).alias(f"check_{i}") for i, c in enumerate(row_checks)],
     )
-    labelled = F.array(*[
-        F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
-                 F.col(f"check_{i}").alias("failing_rows"))
-        for i, c in enumerate(row_checks)
-    ])
-    parts = [totals.select("row_count", F.inline(labelled))]
-    for check in (c for c in suite.checks if c.kind == "unique"):
+    parts = []
+    if row_checks:
+        labelled = F.array(*[
+            F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
+                     F.col(f"check_{i}").alias("failing_rows"))
+            for i, c in enumerate(row_checks)
+        ])
+        parts.append(totals.select("row_count", F.inline(labelled)))
+    for check in (c for c in suite.checks if c.kind in KEY_CHECKS):
         per_key = df.groupBy(check.column).agg(F.count("*").alias("n"))
-        repeated = F.col(check.column).isNotNull() & (F.col("n") > 1)
-        parts.append(per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("failing_rows"),
-        ).withColumns({"check_name": F.lit(check.kind), "column_name": F.lit(check.column)}))
+        parts.append(_key_failures(check, per_key, tables or {}).select(
+            totals.select("row_count").scalar().alias("row_count"), F.lit(check.kind).alias("check_name"),
+            F.lit(check.column).alias("column_name"), "failing_rows"))
     results = reduce(DataFrame.unionByName, parts)
     return results.select(
         F.lit(suite.table).alias("table_name"), "check_name", "column_name", "row_count", "failing_rows",
         (F.col("failing_rows") == 0).alias("success"))
 
 
-def validation_suite(tables: dict[str, DataFrame], suites: Sequence[Suite] = SUITES) -> DataFrame:
-    return reduce(DataFrame.unionByName, [run_suite(tables[s.table], s) for s in suites])
+def validation_suite(tables: Mapping[str, DataFrame], suites: Sequence[Suite] = SUITES) -> DataFrame:
+    return reduce(DataFrame.unionByName, [run_suite(tables[s.table], s, tables) for s in suites])
 
 
 def validation_report(results: DataFrame, generated_at: str) -> DataFrame:
@@ -168,20 +240,28 @@ def validation_report(results: DataFrame, generated_at: str) -> DataFrame:
     ).withColumn("generated_at", as_timestamp(generated_at))
 
 
+def report_document(report: DataFrame) -> DataFrame:
+    """The whole report as one row: when, whether all passed, and one entry per checked table."""
+    entries = F.struct(*[c for c in report.columns if c != "generated_at"])
+    return report.agg(
+        F.max("generated_at").alias("generated_at"), F.coalesce(F.every("success"), F.lit(True)).alias("success"),
+        F.array_sort(F.collect_list(entries)).alias("validations"))
+
+
 class ValidationFailed(RuntimeError):
     """At least one check found failing rows."""
 
 
 def publish_report(report: DataFrame, folder: str, run_label: str, fail: bool = True) -> bool:
-    """Write the report as latest and archived JSON, then raise if any table failed.
+    """Write the report document as latest and archived JSON, then raise if any table failed.
 
-    A report has one row per checked table, so it is written from one task.
+    A report has one entry per checked table, so its one document is written from one task.
     """
-    ensure_checkpoint_dir(report.sparkSession)
-    stored = report.coalesce(1).checkpoint()
+    stored = stage_table(report_document(report), "report")
     stored.write.mode("overwrite").json(f"{folder}/archive/{run_label}")
     stored.write.mode("overwrite").json(f"{folder}/latest")
-    failed = [r.table_name for r in stored.filter("not success").select("table_name").collect()]
+    failed = [r.name for r in stored.select(F.inline("validations")).filter("not success").select(
+        F.col("table_name").alias("name")).collect()]
     if failed and fail:
         raise ValidationFailed(f"validation failed for {', '.join(sorted(failed))}")
     return not failed

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +13,6 @@ from perkline.defaults import CORE_RULE_KEYS, OPEN_START
 from perkline.functions.dates import as_date
 
 MODES_KEY = "sportive_transport_modes"
-MAX_DEPTH = 8
 
 RULE_COLUMNS = (
     "rule_version", "effective_from", "office_address", "bonus_rate", "wellbeing_days",
@@ -22,49 +21,66 @@ RULE_COLUMNS = (
 )
 
 
-def _value_type(value: Column) -> Column:
+def _value_type(value: Column, text: Column) -> Column:
+    """Type names as fixed by the parameter table; numbers are told by their text."""
     kind = F.schema_of_variant(value)
     return (
         F.when(value.isNull() | (kind == "VOID"), "NoneType")
         .when(kind.startswith("ARRAY"), "array")
         .when(kind == "STRING", "str")
         .when(kind == "BOOLEAN", "bool")
-        .when(kind == "BIGINT", "int")
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE") | (kind == "FLOAT"), "float")
-        .otherwise(kind)
+        .when(text.rlike(r"^-?[0-9]+$"), "int")
+        .otherwise("float")
     )
 
 
-def flatten_rules(
-    docs: DataFrame, keys: Sequence[str] = ("rule_version",), payload: str = "rules_payload", max_depth: int = MAX_DEPTH
-) -> DataFrame:
+def nesting_depth(document: Column) -> Column:
+    """How deep the objects of a JSON text nest; braces inside strings don't count."""
+    strings = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    braces = F.regexp_replace(F.regexp_replace(document, strings, ""), r"[^{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, brace: Column) -> Column:
+        now = state["now"] + F.when(brace == "{", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.split(braces, "(?<=.)(?=.)"), start, step, lambda state: state["most"])
+
+
+def flatten_rules(docs: DataFrame, keys: Sequence[str] = ("rule_version",), payload: str = "rules_payload") -> DataFrame:
     """Flatten a table of JSON documents into (path, JSON value, type) rows.
 
-    Objects recurse with dotted paths, lists are leaves, empty objects vanish. Every level is one
-    narrow generate step, so the work stays next to the scan; a document nested deeper than
-    ``max_depth`` raises instead of losing rows.
+    Objects recurse with dotted paths, lists are leaves, empty objects vanish. One aggregate finds how deep
+    the documents nest; then every level is one narrow generate step next to the scan. Numbers keep what
+    their text says: ``1.0`` is a float, and an integer of any size an int.
     """
-    nodes = docs.select(*keys, F.lit("").alias("path"), F.parse_json(payload).alias("value"))
+    depth = docs.agg(F.max(nesting_depth(F.col(payload)))).first()[0] or 0
+    nodes = docs.select(*keys, F.lit("").alias("path"), F.parse_json(payload).alias("value"), F.col(payload).alias("text"))
 
     def members(value: Column) -> Column:
         return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
 
-    for _ in range(max_depth):
-        path, value = F.col("path"), F.col("value")
-        leaf = F.array(F.struct(path.alias("path"), value.alias("value")))
-        inner = F.transform(members(value), lambda m: F.struct(
-            F.concat(path, F.when(path == "", "").otherwise("."), m["key"]).alias("path"), m["value"].alias("value")))
+    def named(prefix: Column, texts: Column) -> Callable[[Column], Column]:
+        return lambda m: F.struct(
+            F.concat(prefix, m["key"]).alias("path"), m["value"].alias("value"),
+            F.try_element_at(texts, m["key"]).alias("text"))
+
+    for _ in range(depth):
+        path, value, text = F.col("path"), F.col("value"), F.col("text")
+        texts = F.from_json(text, "map<string,string>")
+        leaf = F.array(F.struct(path.alias("path"), value.alias("value"), text.alias("text")))
+        prefix = F.concat(path, F.when(path == "", "").otherwise("."))
+        inner = F.transform(members(value), named(prefix, texts))
         step = F.when(members(value).isNull(), leaf).otherwise(inner)
-        nodes = nodes.select(*keys, F.explode(step).alias("node")).select(*keys, "node.path", "node.value")
+        nodes = nodes.select(*keys, F.explode(step).alias("node")).select(*keys, "node.path", "node.value", "node.text")
 
-    too_deep = F.raise_error(F.concat(F.lit("rule document nested too deeply at "), F.col("path"))).cast("string")
-    value = F.col("value")
-    text = F.coalesce(F.to_json(value), F.lit("null"))
+    value, text = F.col("value"), F.col("text")
+    kind = _value_type(value, text)
     return nodes.select(
         *keys,
         F.col("path").alias("rule_path"),
-        F.when(F.size(members(value)) > 0, too_deep).otherwise(text).alias("rule_value_json"),
-        _value_type(value).alias("value_type"),
+        F.when(kind == "str", F.to_json(value)).otherwise(F.coalesce(text, F.lit("null"))).alias("rule_value_json"),
+        kind.alias("value_type"),
     )
 
 
@@ -77,7 +93,7 @@ def missing_rule_keys(document: Column, required: Sequence[str] = CORE_RULE_KEYS
 def require_rule_keys(docs: DataFrame, payload: str = "document", required: Sequence[str] = CORE_RULE_KEYS) -> DataFrame:
     """Fail the job on the first document that lacks required keys, naming them."""
     missing = missing_rule_keys(F.col(payload), required)
-    message = F.concat(F.lit("Missing required business rule keys: "), F.array_join(missing, ", "))
+    message = F.concat(F.lit("rule document without its mandatory keys: "), F.array_join(missing, ", "))
     checked = F.when(F.size(missing) == 0, F.col(payload)).otherwise(F.raise_error(message).cast("string"))
     return docs.withColumn(payload, checked)
 
@@ -99,10 +115,10 @@ def normalize_rules_payload(document: Column) -> Column:
 
 def rules_wide(docs: DataFrame, payload: str = "document", loaded_at: str = "loaded_at") -> DataFrame:
     """Typed core columns plus the whole normalised document, one row per document."""
-    core = F.from_json(F.col(payload), schemas.RULE_DOCUMENT)
-    modes = F.coalesce(core[MODES_KEY], F.array().cast("array<string>"))
-    return docs.select(
-        *[core[k].alias(k) for k in CORE_RULE_KEYS],
+    parsed = docs.withColumn("_core", F.from_json(F.col(payload), schemas.RULE_DOCUMENT))
+    modes = F.coalesce(F.col("_core")[MODES_KEY], F.array().cast("array<string>"))
+    return parsed.select(
+        *[F.col("_core")[k].alias(k) for k in CORE_RULE_KEYS],
         F.to_json(modes).alias(MODES_KEY),
         normalize_rules_payload(F.col(payload)).alias("rules_payload"),
         F.col(loaded_at).alias("loaded_at"),

@@ -53,9 +53,14 @@ def add_distance(df: DataFrame, form: str = "atan2") -> DataFrame:
 
 # --- rule predicates shared by silver and gold -----------------------------------------------
 
-def mode_is_sportive(mode: Column, modes_json: Column) -> Column:
-    """Membership in the rule's JSON list of modes; NULL only without a rule."""
-    return F.array_contains(F.from_json(modes_json, "array<string>"), mode)
+def parsed_modes(modes_json: Column) -> Column:
+    """The rule's JSON list of modes as an array, to be parsed where there is one row per rule."""
+    return F.from_json(modes_json, "array<string>")
+
+
+def mode_is_sportive(mode: Column, modes: Column) -> Column:
+    """Membership in the rule's modes; NULL only without a rule."""
+    return F.array_contains(modes, mode)
 
 
 def distance_within_rule(mode: Column, distance: Column, walk_limit: Column, cycle_limit: Column,
@@ -68,6 +73,26 @@ def distance_within_rule(mode: Column, distance: Column, walk_limit: Column, cyc
     )
 
 
+def cast_rejects(df: DataFrame, keys: Sequence[str], parsed: dict[str, tuple[Column, str]]) -> DataFrame:
+    """What lenient casts turn into NULL: (keys, column_name, raw_value, reason), one row per lost value.
+
+    ``parsed`` maps a raw column to its lenient value and the wanted type. One pass over ``df``.
+    """
+    lost = [
+        F.when(F.nullif(F.col(raw), F.lit("")).isNotNull() & value.isNull(), F.struct(
+            F.lit(raw).alias("column_name"), F.col(raw).alias("raw_value"), F.lit(f"not a {kind}").alias("reason")))
+        for raw, (value, kind) in parsed.items()]
+    return df.select(*keys, F.inline(F.filter(F.array(*lost), lambda x: x.isNotNull())))
+
+
+def employee_rejects(bronze: DataFrame) -> DataFrame:
+    """Values of the latest employee rows that ``sil_employees(strict=False)`` reads as NULL."""
+    dates = {c: (excel_serial_to_date(F.col(c), False), "date") for c in ("birth_date_raw", "hire_date_raw")}
+    return cast_rejects(latest_employees(bronze), ["employee_id"], dates | {
+        "gross_salary_raw": (strict_cast(F.col("gross_salary_raw"), "decimal(12,2)", False), "decimal(12,2)"),
+        "cp_days_raw": (strict_cast(F.col("cp_days_raw"), "int", False), "int")})
+
+
 # --- models ----------------------------------------------------------------------------------
 
 def latest_employees(bronze: DataFrame) -> DataFrame:
@@ -104,9 +129,11 @@ def sil_employees(bronze: DataFrame, validity: DataFrame, office: tuple[Decimal,
         normalize_text_mode(F.col("declared_transport_mode")).alias("transport_mode"),
     )
     located = typed.transform(geocode_addresses, office=office).transform(add_office, office).transform(add_distance)
-    ruled = with_single_row(located, rules_current(validity), "_rule")
+    current = rules_current(validity).select(
+        "max_km_walk_run", "max_km_cycle_scooter_other", parsed_modes(F.col("sportive_transport_modes")).alias("modes"))
+    ruled = with_single_row(located, current, "_rule")
     mode, rule = F.col("transport_mode"), F.col("_rule")
-    sportive = F.coalesce(mode_is_sportive(mode, rule["sportive_transport_modes"]), F.lit(False))
+    sportive = F.coalesce(mode_is_sportive(mode, rule["modes"]), F.lit(False))
     within = distance_within_rule(
         mode, F.col("distance_km_to_office"), rule["max_km_walk_run"], rule["max_km_cycle_scooter_other"])
     return ruled.select(

@@ -21,6 +21,7 @@ RULE_FIELDS = (
     "rule_version", "bonus_rate", "min_activities_per_year", "wellbeing_days",
     "max_km_walk_run", "max_km_cycle_scooter_other", "modes",
 )
+ROWS_PER_TASK = 500_000
 EMPLOYEE_FIELDS = (
     "employee_id", "full_name", "business_unit", "contract_type", "gross_salary", "transport_mode",
     "distance_km_to_office",
@@ -78,6 +79,15 @@ def unroll(runs: DataFrame, calendar: DataFrame) -> DataFrame:
     }).drop("date_pos", "begins", "ends", "on_pos", *ON_DATE)
 
 
+def spread_runs(runs: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Stored runs, dealt to as many tasks as their dates need: about ``rows_per_task`` output rows each.
+
+    Partitions are sized by what the unrolling makes of them, and not by their bytes before it.
+    """
+    rows = runs.agg(F.sum(F.col("ends") - F.col("begins") + 1)).first()[0] or 0
+    return runs.repartition(max(1, -(-int(rows) // rows_per_task)), "employee_id", "begins")
+
+
 def activity_grid(employees: DataFrame, daily: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
     """Every employee on every distinct date of ``daily``, with on-date and trailing metrics."""
     calendar = materialize_calendar(number_dates(dates, window_days))
@@ -106,6 +116,12 @@ def split_by_rule(runs: DataFrame, calendar: DataFrame) -> DataFrame:
     }).drop("first_span", "last_span", "span", "span_from", "span_to")
 
 
+def timeline_dates(activities: DataFrame, validity: DataFrame) -> DataFrame:
+    """The snapshot dates of the timeline, without its rows: days of valid activity with a rule in force."""
+    days = distinct_dates(activities.filter("is_valid_activity"))
+    return rule_per_date(days, validity, ["rule_version"]).select("snapshot_date")
+
+
 def gold_employee_benefit_timeline(
     employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
 ) -> DataFrame:
@@ -136,7 +152,7 @@ def gold_employee_benefit_timeline(
         "wellbeing_days_awarded": F.when(wellbeing, F.col("wellbeing_days")).otherwise(0),
         "wellbeing_reason": wellbeing_reason(wellbeing),
     })
-    return unroll(final, calendar).select(
+    return unroll(spread_runs(stage_table(final, "runs")), calendar).select(
         "employee_id", "full_name", "business_unit", "contract_type", "snapshot_date", "transport_mode",
         "distance_km_to_office", "activity_count_on_date",
         F.col("distance_km_on_date").cast("decimal(20,2)").alias("distance_km_on_date"), "duration_min_on_date",

@@ -1,44 +1,7 @@
-"""Explicit schemas (DDL strings) of the landing tables, the event message and the rule document."""
+"""Explicit schemas (DDL strings) of the event message and the rule document."""
 
 from __future__ import annotations
 
-EMPLOYEES_RAW = """
-    ingestion_id string not null, ingested_at timestamp not null, process_date date not null,
-    source_file string not null, employee_id string, last_name string, first_name string,
-    birth_date_raw string, business_unit string, hire_date_raw string, gross_salary_raw string,
-    contract_type string, cp_days_raw string, home_address string, declared_transport_mode string,
-    row_hash string not null
-"""
-
-DECLARATIONS_RAW = """
-    ingestion_id string not null, ingested_at timestamp not null, process_date date not null,
-    source_file string not null, employee_id string, declared_sport string, row_hash string not null
-"""
-
-ACTIVITIES_RAW = """
-    event_id string not null, process_date date not null, topic string not null,
-    partition_id int not null, offset_id bigint not null, event_ts timestamp not null,
-    consumed_at timestamp not null, payload_json string not null
-"""
-
-MESSAGES_RAW = """
-    message_id string not null, process_date date not null, activity_id string not null,
-    employee_id string not null, channel_name string not null, message_text string not null,
-    generated_at timestamp not null, status string not null
-"""
-
-RULES_RAW = """
-    rule_version string not null, effective_from date not null, office_address string not null,
-    bonus_rate decimal(8,4) not null, wellbeing_days int not null, min_activities_per_year int not null,
-    max_km_walk_run decimal(10,2) not null, max_km_cycle_scooter_other decimal(10,2) not null,
-    sportive_transport_modes string not null, rules_payload string not null, loaded_at timestamp not null
-"""
-
-RULE_PARAMETERS_RAW = """
-    rule_version string not null, rule_path string not null, rule_value_json string not null,
-    value_type string not null, loaded_at timestamp not null
-"""
-
 EVENT_MESSAGE = """
     activity_id string, employee_id string, activity_type string, activity_date date,
     distance_km decimal(10,2), duration_min int, calories_burned int, source_system string,

@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keeps the event-id state of the streaming dedup on local disk instead of the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -45,7 +46,8 @@ def shared_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="perkline-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="perkline-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -55,8 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; nothing is ever reused or cleared."""
-    return f"{shared_root(spark)}/perkline/{name}-{uuid.uuid4().hex}"
+    """A new path under the application's own part of the shared folder."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it stores on the way; dead once the application has ended."""
+    return f"{shared_root(spark)}/perkline/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has stored on the way; results not yet written are lost with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

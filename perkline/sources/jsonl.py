@@ -17,7 +17,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = schemas.EVENT_MESSA
 
 def write_jsonl(df: DataFrame, path: str, partition: str = "process_date") -> None:
     """JSON lines, one set of files per processing date; a rewritten date replaces itself."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition).json(path))
 
 

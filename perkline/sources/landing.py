@@ -62,7 +62,7 @@ def backfill_dates(spark: SparkSession, start: str | date, end: str | date) -> D
     """Inclusive list of processing days; a reversed range is an error."""
     first, last = date.fromisoformat(str(start)), date.fromisoformat(str(end))
     if first > last:
-        raise ValueError(f"Invalid backfill range: {first} > {last}")
+        raise ValueError(f"the range to refill ends on {last}, before it starts on {first}")
     days = (last - first + timedelta(days=1)).days
     return spark.range(days).select(F.date_add(as_date(first), F.col("id").cast("int")).alias("process_date"))
 
@@ -71,5 +71,5 @@ def backfill_slice(df: DataFrame, start: str | date, end: str | date, column: st
     """Rows of the backfill range in one job: a range filter, so partitions are pruned at the scan."""
     first, last = date.fromisoformat(str(start)), date.fromisoformat(str(end))
     if first > last:
-        raise ValueError(f"Invalid backfill range: {first} > {last}")
+        raise ValueError(f"the range to refill ends on {last}, before it starts on {first}")
     return df.filter(F.col(column).between(as_date(first), as_date(last)))

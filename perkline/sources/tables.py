@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from perkline.operators.joins import broadcast_within, null_safe_equal
+from perkline.operators.joins import null_safe_equal, stored_keys
 from perkline.operators.latest import first_per_key, latest_per_key
 
 BATCH_KEYS = ("source_file", "process_date")
@@ -18,7 +18,7 @@ def evolve_schema(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def _without_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    replaced = broadcast_within(incoming.select(*keys).distinct())
+    replaced = stored_keys(incoming, keys)
     return existing.join(replaced, null_safe_equal(existing, replaced, keys), "left_anti")
 
 
@@ -44,14 +44,14 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str, arrival
     one batch worth of target keys is carried on, and only the key column of the target is read.
     """
     first = first_per_key(incoming, [key], arrival)
-    batch_keys = broadcast_within(incoming.select(key).distinct())
+    batch_keys = stored_keys(incoming, [key])
     present = existing.select(key).join(batch_keys, key, "left_semi").distinct()
     return first.join(present, key, "left_anti")
 
 
 def write_batches(df: DataFrame, path: str, keys: Sequence[str] = BATCH_KEYS) -> None:
     """Parquet sink in which writing a batch again replaces exactly that batch."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*keys).parquet(path))
 
 
@@ -69,6 +69,7 @@ def materialize_layer(
 
     Partitioned tables are rebalanced on their partition columns before the write: AQE splits hot
     dates and merges small ones, so there is neither one huge task nor a file per task and date.
+    A run may bring the touched dates only: partitions it brings are replaced, the others stay.
     """
     if layer in ("bronze", "monitoring"):
         for name, df in tables.items():
@@ -78,6 +79,7 @@ def materialize_layer(
     for name, df in tables.items():
         target, columns = f"{path}/{layer}/{name}", list(partitions.get(name, ()))
         ready = df.hint("rebalance", *columns) if columns else df
-        ready.write.mode("overwrite").partitionBy(*columns).parquet(target)
+        (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if columns else "static")
+         .partitionBy(*columns).parquet(target))
         stored[name] = df.sparkSession.read.schema(df.schema).parquet(target)
     return stored

@@ -1,19 +1,23 @@
-"""Event stream: source, parsing, first-wins dedup, one notification per accepted event."""
+"""Event stream: source, parsing, first-wins dedup, one notification per accepted event.
+
+Which ids have been accepted is kept in the state store of the stream, one key each, so a micro-batch looks up
+its own ids and never reads what earlier batches have landed.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from perkline.defaults import CHANNEL, TOPIC
 from perkline.functions import activity_message
 from perkline.functions.dates import as_date
-from perkline.session import ensure_checkpoint_dir
-from perkline.sources.tables import insert_if_absent
 
 # Columns of a Kafka-protocol source, as strings.
 MESSAGE_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
@@ -80,19 +84,100 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.filter("not is_readable").select("topic", "partition_id", "offset_id", "consumed_at", "payload_json")
 
 
+def _messages(parsed: DataFrame, process_date: str | date | None) -> DataFrame:
+    """What deciding needs: the message, its place, and its key. Unreadable messages are keys of their own."""
+    expected = as_date(process_date) if process_date else F.col("process_date")
+    place = F.concat_ws(":", F.lit("unreadable"), "topic", F.col("partition_id").cast("string"), F.col("offset_id").cast("string"))
+    return parsed.select(
+        F.when(F.col("is_readable"), F.concat(F.lit("id:"), F.col("event_id"))).otherwise(place).alias("id"),
+        F.col("payload_json").alias("value"), "topic", F.col("partition_id").cast("long").alias("partition"),
+        F.col("offset_id").cast("long").alias("offset"), F.unix_micros("consumed_at").alias("micros"), "is_readable",
+        F.coalesce(F.col("is_readable") & (F.col("process_date") != expected), F.lit(False)).alias("other_date"))
+
+
+_DECIDED = (
+    "value string, topic string, partition long, offset long, micros long, is_readable boolean, accepted boolean, "
+    "copies long, other_dates long"
+)
+
+
+def _decide(horizon_ms: int | None) -> Callable:
+    """First row of a key by partition and offset; accepted if no earlier batch had the key."""
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["partition", "offset"], kind="stable")
+        readable = bool(rows["is_readable"].iloc[0])
+        kept = rows.iloc[:1] if readable else rows
+        new = readable and not state.exists
+        if new:
+            state.update((True,))
+        if readable and horizon_ms is not None and (new or state.exists):
+            latest = int(rows["event_ms"].max())
+            state.setTimeoutTimestamp(max(latest + horizon_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({
+            **{c: kept[c] for c in ("value", "topic", "partition", "offset", "micros", "is_readable")}, "accepted": new,
+            "copies": len(rows) if readable else 1, "other_dates": int(rows["other_date"].sum()) if readable else 0})
+    return run
+
+
+def _as_messages(decided: DataFrame) -> DataFrame:
+    """Decided rows as messages again, to be parsed like any others."""
+    return decided.select(
+        F.lit(None).cast("string").alias("key"), "value", "topic", F.col("partition").cast("int").alias("partition"), "offset",
+        F.timestamp_micros("micros").alias("timestamp"))
+
+
+def first_arrivals(parsed: DataFrame, process_date: str | date | None = None) -> DataFrame:
+    """Stream of parsed messages -> one decided row per id and micro-batch, and every unreadable message.
+
+    Inside a micro-batch the smallest partition and offset is first; over batches the state store knows the ids.
+    ``copies`` counts the rows a decided row stands for.
+    """
+    return _messages(parsed, process_date).groupBy("id").applyInPandasWithState(
+        _decide(None), _DECIDED, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
+
+def first_arrivals_of_batch(parsed: DataFrame, process_date: str | date | None = None) -> DataFrame:
+    """The same decision about one batch that stands alone, without any state."""
+    rows = _messages(parsed, process_date)
+    order = Window.partitionBy("id").orderBy("partition", "offset")
+    whole = Window.partitionBy("id")
+    ranked = rows.withColumns({
+        "at": F.row_number().over(order),
+        "copies": F.when(F.col("is_readable"), F.count("*").over(whole)).otherwise(F.lit(1).cast("long")),
+        "other_dates": F.count_if("other_date").over(whole)})
+    return ranked.filter((F.col("at") == 1) | ~F.col("is_readable")).withColumn("accepted", F.col("is_readable")).select(
+        "value", "topic", "partition", "offset", "micros", "is_readable", "accepted", "copies", "other_dates")
+
+
 def stream_dedup_first(events: DataFrame, event_time: str | None = None, horizon: str | None = None) -> DataFrame:
-    """First event per id through the state store, which holds ids only.
+    """First event per id, by partition and offset inside a micro-batch and by batches otherwise.
 
-    Without a horizon ids are remembered forever. With one, state is bounded: duplicates are
-    guaranteed to be caught only if they arrive within ``horizon`` of event time.
+    The state store holds ids only. Without a horizon they are remembered forever; with one, an id is
+    forgotten ``horizon`` of event time after its last copy, so state is bounded.
     """
+    rows = events.withColumn("is_readable", F.lit(True))
     if horizon is None:
-        return events.dropDuplicates(["event_id"])
-    return events.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(["event_id"])
+        decided = first_arrivals(rows)
+    else:
+        timed = rows.withWatermark(event_time, horizon).select(
+            F.concat(F.lit("id:"), F.col("event_id")).alias("id"), F.col("payload_json").alias("value"), "topic",
+            F.col("partition_id").cast("long").alias("partition"), F.col("offset_id").cast("long").alias("offset"),
+            F.unix_micros("consumed_at").alias("micros"), "is_readable", F.lit(False).alias("other_date"),
+            F.unix_millis(event_time).alias("event_ms"), event_time)
+        decided = timed.groupBy("id").applyInPandasWithState(
+            _decide(int(pd.Timedelta(horizon).total_seconds() * 1000)), _DECIDED, "seen boolean", "append",
+            GroupStateTimeout.EventTimeTimeout)
+    return readable_events(parse_events(_as_messages(decided.filter("accepted"))))
 
 
 def notifications(accepted: DataFrame, channel: str = CHANNEL) -> DataFrame:
-    """One message per event, with an id derived from the event id so that retries repeat it exactly."""
+    """One message per event, with an id derived from the event id so that retries repeat it exactly.
+
+    An event without an employee is notified too; its ``employee_id`` is NULL.
+    """
     fields = "employee_id string, activity_type string, activity_date string, distance_km string, duration_min string"
     event = F.from_json("payload_json", fields)
     rows = accepted.withColumn("_event", event)
@@ -114,83 +199,105 @@ def _sink(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _store(df: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
-    """Overwrite exactly this micro-batch's partition, so a retried batch replaces itself."""
+SINK_KEYS = {"events": "process_date", "messages": "process_date"}
+
+
+def _store(df: DataFrame, root: str, name: str, stream_id: str, batch_id: int) -> None:
+    """Overwrite exactly this micro-batch's partitions, so a retried batch replaces itself."""
+    keys = ["stream_id", *([SINK_KEYS[name]] if name in SINK_KEYS else []), "batch_id"]
     (df.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")})
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("stream_id", "batch_id").parquet(path))
+       .hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*keys).parquet(_sink(root, name)))
+
+
+def _empty_sinks(spark: SparkSession) -> dict[str, DataFrame]:
+    parsed = parse_events(spark.createDataFrame([], MESSAGE_COLUMNS))
+    events = readable_events(parsed)
+    counts = "consumed long, unreadable long, other_process_date long, accepted long, duplicates long"
+    return {"events": events, "messages": notifications(events), "dead_letters": dead_letters(parsed),
+            "progress": spark.createDataFrame([], counts)}
 
 
 def prepare_sinks(spark: SparkSession, root: str) -> None:
-    """Create the three empty tables if they are missing."""
-    empty = spark.createDataFrame([], MESSAGE_COLUMNS)
-    events = readable_events(parse_events(empty))
-    frames = {"events": events, "messages": notifications(events), "dead_letters": dead_letters(parse_events(empty))}
-    for name, df in frames.items():
-        (df.withColumns({"stream_id": F.lit(""), "batch_id": F.lit(0).cast("bigint")})
-           .write.mode("ignore").partitionBy("stream_id", "batch_id").parquet(_sink(root, name)))
+    """Create the empty tables if they are missing."""
+    for name, df in _empty_sinks(spark).items():
+        df.withColumns({"stream_id": F.lit(""), "batch_id": F.lit(0).cast("bigint")}).write.mode("ignore").partitionBy(
+            "stream_id", *([SINK_KEYS[name]] if name in SINK_KEYS else []), "batch_id").parquet(_sink(root, name))
 
 
 def read_sink(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the landed tables, with the stream and batch that wrote each row."""
-    empty = spark.createDataFrame([], MESSAGE_COLUMNS)
-    parsed = parse_events(empty)
-    like = {
-        "events": readable_events, "messages": lambda p: notifications(readable_events(p)), "dead_letters": dead_letters,
-    }[name](parsed)
-    schema = like.schema.add("stream_id", "string").add("batch_id", "long")
+    """One of the landed tables, with the stream and batch that wrote each row.
+
+    Folders are by stream, processing date and batch; all readers filter on the date.
+    """
+    schema = _empty_sinks(spark)[name].schema.add("stream_id", "string").add("batch_id", "long")
     return spark.read.schema(schema).parquet(_sink(root, name))
 
 
-def land_batch(batch: DataFrame, root: str, stream_id: str, batch_id: int,
-               process_date: str | date | None = None) -> dict[str, int]:
-    """Land one micro-batch: accepted events, their notifications, and unreadable messages.
+def _other_streams(spark: SparkSession, root: str, stream_id: str) -> DataFrame | None:
+    """Ids that streams with another checkpoint have landed; None, and nothing is listed further, if there are none."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_sink(root, "events"))
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("stream_id=")]
+    others = [p.toString() for p in names if p.getName() != f"stream_id={stream_id}"]
+    return spark.read.schema("event_id string").parquet(*others) if others else None
+
 
-    An event is accepted if no other batch holds its id and it arrived first within this one.
-    Ids, contents and target partitions depend on the input only, so any retry gives the same files.
+def land_batch(decided: DataFrame, root: str, stream_id: str, batch_id: int) -> dict[str, int]:
+    """Land one micro-batch of decided rows: accepted events, their notifications, and unreadable messages.
+
+    The stream's state has already sorted out what the stream itself has seen. Only what streams with other
+    checkpoints have landed is compared here; that is fixed while this stream runs, so the work of a batch
+    does not grow with the batches before it. Ids, contents and target partitions depend on the input only, so
+    any retry gives the same files.
     """
-    spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
-    counts = Observation()
-    expected = as_date(process_date) if process_date else F.col("process_date")
-    parsed = parse_events(batch).observe(
-        counts,
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(~F.col("is_readable")).alias("unreadable"),
-        F.count_if(F.col("is_readable") & (F.col("process_date") != expected)).alias("other_process_date"),
-    ).checkpoint()
-    events = readable_events(parsed)
-    others = read_sink(spark, root, "events").filter(
-        (F.col("stream_id") != stream_id) | (F.col("batch_id") != batch_id))
-    arrival = [F.col("partition_id").asc(), F.col("offset_id").asc()]
-    accepted = insert_if_absent(others, events, "event_id", arrival).checkpoint()
-    _store(accepted, _sink(root, "events"), stream_id, batch_id)
-    _store(notifications(accepted), _sink(root, "messages"), stream_id, batch_id)
-    _store(dead_letters(parsed), _sink(root, "dead_letters"), stream_id, batch_id)
-    seen = counts.get
-    taken = accepted.count()
-    return {**seen, "accepted": taken, "duplicates": seen["consumed"] - seen["unreadable"] - taken}
+    spark = decided.sparkSession
+    rows = decided.persist()
+    try:
+        others = _other_streams(spark, root, stream_id)
+        accepted = readable_events(parse_events(_as_messages(rows.filter("accepted"))))
+        if others is not None:
+            accepted = accepted.join(others.select("event_id").distinct(), "event_id", "left_anti")
+        accepted = accepted.persist()
+        dead = dead_letters(parse_events(_as_messages(rows.filter("not is_readable"))))
+        taken = accepted.agg(F.count("*").alias("accepted"))
+        counts = rows.agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("consumed"), F.count_if(~F.col("is_readable")).alias("unreadable"),
+            F.coalesce(F.sum("other_dates"), F.lit(0)).alias("other_process_date"),
+        ).withColumn("accepted", taken.scalar())
+        counts = counts.withColumn("duplicates", F.col("consumed") - F.col("unreadable") - F.col("accepted")).persist()
+        _store(accepted, root, "events", stream_id, batch_id)
+        _store(notifications(accepted), root, "messages", stream_id, batch_id)
+        _store(dead, root, "dead_letters", stream_id, batch_id)
+        _store(counts, root, "progress", stream_id, batch_id)
+        seen = counts.first().asDict()
+        accepted.unpersist()
+        counts.unpersist()
+    finally:
+        rows.unpersist()
+    return seen
 
 
 def start_ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str | date | None = None,
                  on_batch: Callable[[int, dict[str, int]], None] | None = None) -> StreamingQuery:
-    """Consume everything available, batch by batch, then stop. Offsets persist in ``checkpoint``.
+    """Consume everything available, batch by batch, then stop. Offsets and seen ids persist in ``checkpoint``.
 
-    ``on_batch`` receives the counts of each batch. Rows of another processing date than expected
-    are counted, never dropped.
+    The counts of each batch go to the ``progress`` table and to ``on_batch``. Rows of another processing date
+    than expected are counted, never dropped.
     """
     prepare_sinks(messages.sparkSession, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # the query id is stable over restarts and changes with a new checkpoint
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        counts = land_batch(batch, root, stream_id, batch_id, process_date)
+        counts = land_batch(batch, root, stream_id, batch_id)
         if on_batch:
             on_batch(batch_id, counts)
 
     return (
-        messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        first_arrivals(parse_events(messages), process_date).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 

@@ -1,6 +1,5 @@
 """Small hand-written tables."""
 
-from perkline import schemas
 
 THREE_RULES = """
     select * from values
@@ -60,5 +59,3 @@ def messages(spark, records):
     return df.selectExpr("'k' key", "value", "'sport_activities' topic", "0 partition", "offset",
                          "timestamp'2024-01-01 00:00:00' timestamp")
 
-
-SCHEMAS = schemas

@@ -45,7 +45,7 @@ def test_mode_lookup(spark, text, expected):
 
 
 @pytest.mark.parametrize("address, lat, lon, km", [
-    ("53 Av. de la Gare, 34970 Lattes", 43.6067, 3.9059, 4.62),
+    ("8 Quai des Tilleuls, 34000 Montpellier", 43.5238, 3.8964, 4.63),
     ("1 Rue A, 1234567 Ville", 43.535, 3.7397, 13.57),
     ("sans code", 43.5794, 3.987, 6.96),
     (None, 43.6093, 3.943, 5.87),
@@ -60,7 +60,7 @@ def test_geocode_md5_and_distance(spark, address, lat, lon, km):
 
 
 @pytest.mark.parametrize("address, lat, lon", [
-    ("53 Av. de la Gare, 34970 Lattes", 43.6162, 3.9244),
+    ("8 Quai des Tilleuls, 34000 Montpellier", 43.5377, 3.8088),
     ("1 Rue A, 1234567 Ville", 43.5711, 3.9885),
     (None, 43.5652, 3.9029), ("", 43.5652, 3.9029),
 ])

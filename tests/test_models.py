@@ -80,7 +80,7 @@ def test_no_rule_empties_decisions_but_not_status(spark):
     for status in (gold.gold_kpi_employee_status(base, bonus, wellbeing), gold.employee_status(base, v, as_of)):
         assert status.count() == 4
         assert status.filter("is_bonus_eligible is not null or bonus_reason is not null or wellbeing_days_awarded is not null").count() == 0
-    totals = gold.gold_kpi_finance(bonus, wellbeing, silver_activities(spark, [("a", "1", "2024-01-01", "1", 1, "2024-01-01", True)]), as_of)
+    totals = gold.gold_kpi_finance(gold.employee_status(base, v, as_of), silver_activities(spark, [("a", "1", "2024-01-01", "1", 1, "2024-01-01", True)]), as_of)
     assert [tuple(r) for r in totals.collect()] == [(2022, 0, 0, Decimal("0.00"), Decimal("0.00"), 1)]
 
 
@@ -216,17 +216,22 @@ def test_suite_and_report(spark, tmp_path):
     df = spark.sql("select * from values ('1', 5.0), ('1', 0.0), (null, null), (null, -1.0), ('2', 1.0) as t(k, v)")
     suite = quality.Suite("t", (
         quality.Check("not_null", "k"), quality.Check("unique", "k"),
-        quality.Check("between", "v", min_value=0, strict_min=True), quality.Check("in_set", "k", values=("1", "2"))))
-    results = quality.run_suite(df, suite)
+        quality.Check("between", "v", min_value=0, strict_min=True), quality.Check("in_set", "k", values=("1", "2")),
+        quality.Check("non_negative", "v"), quality.Check("positive_value", "v"),
+        quality.Check("accepted_values", "k", values=("1",)), quality.Check("relationships", "k", parent=("p", "x"))))
+    results = quality.run_suite(df, suite, {"p": spark.sql("select '2' x")})
     assert {(r.check_name): (r.row_count, r.failing_rows, r.success) for r in results.collect()} == {
-        "not_null": (5, 2, False), "unique": (5, 2, False), "between": (5, 2, False), "in_set": (5, 0, True)}
+        "not_null": (5, 2, False), "unique": (5, 2, False), "between": (5, 2, False), "in_set": (5, 0, True),
+        "non_negative": (5, 1, False), "positive_value": (5, 2, False), "accepted_values": (5, 1, False),
+        "relationships": (5, 2, False)}
     report = quality.validation_report(results, "2024-01-31 00:00:00")
     row = report.first()
-    assert (row.row_count, row.success, row.evaluated_checks, row.successful_checks) == (5, False, 4, 1)
+    assert (row.row_count, row.success, row.evaluated_checks, row.successful_checks) == (5, False, 8, 1)
     import pytest
     with pytest.raises(quality.ValidationFailed, match="t"):
         quality.publish_report(report, str(tmp_path / "r"), "run1")
-    assert spark.read.json(str(tmp_path / "r" / "latest")).count() == 1
+    document = spark.read.json(str(tmp_path / "r" / "latest")).first()
+    assert document.success is False and len(document.validations) == 1 and len(document.validations[0].details) == 8
     assert spark.read.json(str(tmp_path / "r" / "archive" / "run1")).count() == 1
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from perkline.catalogue.queries import QUERIES, Domain
-from perkline.plans import bi
+from perkline.plans import bi, timeline
 from perkline.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +61,55 @@ def test_stored_timeline_prunes_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(snapshot_date" in text
     assert re.search(r"ReadSchema: struct<activity_count_on_date:bigint>", text)
     assert chosen.count() == 2
+
+
+@pytest.mark.parametrize("name", ["replace_batch", "upsert_by_key", "replace_by_key", "insert_if_absent", "json_array_explode_in"])
+def test_no_funnel_into_one_task(spark, name):
+    assert "SinglePartition" not in plan(QUERIES[name](spark, SF))
+
+
+@pytest.mark.parametrize(("name", "table", "reads"), [
+    ("gold_kpi_finance", "customer", 1), ("join_cross_scalars", "customer", 1), ("join_left_status", "customer", 0),
+    ("gold_quality_anomalies", "customer", 1), ("gold_quality_anomalies", "events", 1), ("dash_flow_series", "customer", 0)])
+def test_inputs_are_built_once(spark, name, table, reads):
+    assert len(re.findall(rf"FileScan parquet .*/{table}\.parquet", plan(QUERIES[name](spark, SF)))) <= reads
+
+
+def test_rule_documents_are_parsed_once(spark):
+    assert plan(QUERIES["rules_wide"](spark, SF)).count("from_json(") == 1
+    lines = plan(QUERIES["sil_employees"](spark, SF)).splitlines()
+    assert not any("array_contains(from_json" in line for line in lines)
+
+
+def test_lead_needs_no_second_copy(spark):
+    text = plan(QUERIES["lead_next"](spark, SF))
+    assert text.count("SortMergeJoin") == 0
+
+
+def test_unrolled_tasks_have_bounded_output(spark):
+    """Tasks follow employees x dates: ten times the dates, ten times the tasks."""
+    sizes = []
+    for dates in (300, 3000):
+        runs = spark.range(200).selectExpr("string(id) employee_id", "1 begins", f"{dates} ends")
+        dealt = timeline.spread_runs(runs, 10_000)
+        rows = [sum(r.ends - r.begins + 1 for r in part) for part in dealt.rdd.glom().collect()]
+        sizes.append(len(rows))
+        assert max(rows) <= 4 * 10_000
+    assert sizes == [6, 60]
+
+
+def test_a_second_run_rewrites_touched_dates_only(spark, tmp_path):
+    def run(query):
+        tables.materialize_layer({"sil_sport_activities": spark.sql(query)}, "silver", str(tmp_path))
+        return {f.parent.name: f.name for f in tmp_path.rglob("*.parquet")}
+
+    first = run("select id, date_add(date'2024-01-01', int(id % 3)) process_date from range(9)")
+    second = run("select id, date'2024-01-02' process_date from range(4)")
+    changed = {d for d in first if first[d] != second[d]}
+    assert changed == {"process_date=2024-01-02"} and len(second) == 3
+
+
+def test_batches_are_written_without_a_file_per_task(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 40).selectExpr("id", "concat('f', id % 2) source_file", "date'2024-01-01' process_date")
+    tables.write_batches(df, str(tmp_path / "b"))
+    assert len(list((tmp_path / "b").rglob("*.parquet"))) <= 4

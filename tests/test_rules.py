@@ -76,11 +76,17 @@ def test_flatten(spark, rows):
         ("h", "true", "bool"), ("i", '"x"', "str"), ("j", '"1"', "str")]
 
 
-def test_flatten_refuses_to_lose_depth(spark):
-    deep = docs(spark, '{"a":{"b":{"c":{"d":1}}}}')
-    assert R.flatten_rules(deep, ["id"], "document", max_depth=4).count() == 1
-    with pytest.raises(Exception, match="nested too deeply"):
-        R.flatten_rules(deep, ["id"], "document", max_depth=2).collect()
+def test_flatten_has_no_depth_limit(spark, rows):
+    deep = '{"k":' * 30 + '"}{"' + "}" * 30
+    assert rows(R.flatten_rules(docs(spark, deep), ["id"], "document").drop("id")) == [(".".join("k" * 30), '"}{"', "str")]
+    assert R.flatten_rules(docs(spark, "{}"), ["id"], "document").count() == 0
+
+
+def test_flatten_keeps_numbers(spark, rows):
+    text = '{"a":1.0,"b":1e3,"c":12345678901234567890,"d":-0.0,"e":[1,[2.5,{"x":1.0}]],"f":"é","g":-7,"h":"12"}'
+    assert rows(R.flatten_rules(docs(spark, text), ["id"], "document").drop("id")) == [
+        ("a", "1.0", "float"), ("b", "1000.0", "float"), ("c", "12345678901234567890", "int"), ("d", "-0.0", "float"),
+        ("e", '[1,[2.5,{"x":1.0}]]', "array"), ("f", '"é"', "str"), ("g", "-7", "int"), ("h", '"12"', "str")]
 
 
 def test_missing_keys(spark):
@@ -89,7 +95,7 @@ def test_missing_keys(spark):
     assert complete.count() == 1
     found = {r.id: r.missing_keys for r in rejects.collect()}
     assert found["1"] == ["bonus_rate", "wellbeing_days"] and len(found["2"]) == 8
-    with pytest.raises(Exception, match="Missing required business rule keys: bonus_rate, wellbeing_days"):
+    with pytest.raises(Exception, match="without its mandatory keys: bonus_rate, wellbeing_days"):
         R.require_rule_keys(broken.filter("id < 2")).collect()
 
 

@@ -138,7 +138,7 @@ def test_batch_split_and_restart_do_not_matter(spark, tmp_path):
 def test_retried_batch_replaces_itself(spark, tmp_path):
     root = str(tmp_path / "sinks")
     S.prepare_sinks(spark, root)
-    batch = messages(spark, [(event(1), 1), (event(2), 2), (event(1), 3)])
+    batch = S.first_arrivals_of_batch(S.parse_events(messages(spark, [(event(1), 1), (event(2), 2), (event(1), 3)])))
     first = S.land_batch(batch, root, "q", 0)
     before = landed(spark, root)
     assert S.land_batch(batch, root, "q", 0) == first == {
@@ -159,3 +159,27 @@ def test_stream_dedup_with_and_without_horizon(spark, tmp_path):
                  .option("checkpointLocation", str(tmp_path / f"{name}-cp")).trigger(availableNow=True).start())
         S.drain(query)
         assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [f"a{i}" for i in range(5)]
+
+
+def test_a_batch_reads_nothing_that_its_stream_has_landed(spark, tmp_path):
+    """The only earlier rows a batch may read are those of streams with another checkpoint."""
+    chunks = [[(event(10 * k + i), 10 * k + i) for i in range(3)] for k in range(4)]
+    root, counts = run_stream(spark, tmp_path, chunks, "s")
+    streams = [p.name.split("=")[1] for p in (tmp_path / "s-out" / "events").iterdir() if p.name.startswith("stream_id=")]
+    assert len(streams) == 1 and sum(c["accepted"] for c in counts) == 12
+    assert S._other_streams(spark, root, streams[0]) is None
+    assert S._other_streams(spark, root, "new").count() == 12
+    paths = {"/".join(p.relative_to(tmp_path / "s-out" / "events").parts[1:2]) for p in (tmp_path / "s-out" / "events").rglob("*.parquet")}
+    assert paths == {"process_date=2024-01-02"}
+
+
+def test_first_copy_wins_inside_a_batch(spark, tmp_path):
+    copies = [(event(1, distance_km=float(k)), k) for k in (7, 3, 9, 5)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    messages(spark, copies).write.json(source)
+    for name, horizon in (("plain", None), ("bounded", "1 day")):
+        events = S.readable_events(S.parse_events(S.stream_source(spark, path=source)))
+        query = (S.stream_dedup_first(events, "event_ts", horizon).writeStream.format("parquet").option("path", f"{out}-{name}")
+                 .option("checkpointLocation", str(tmp_path / f"{name}-cp")).trigger(availableNow=True).start())
+        S.drain(query)
+        assert [(r.offset_id, json.loads(r.payload_json)["distance_km"]) for r in spark.read.parquet(f"{out}-{name}").collect()] == [(3, 3.0)]
