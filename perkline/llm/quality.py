@@ -129,14 +129,18 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
           text_col: str = "text") -> Model:
-    """Fit on the at most ``sample`` labelled documents of least hash; good is quality 1 and not toxic."""
+    """Fit on the at most ``sample`` labelled documents of least hash; good is quality 1 and not toxic.
+
+    Labels that lack a value are left out; of labels that repeat an id the worst counts, of documents any one.
+    Without both classes the model knows nothing but the class there is.
+    """
     known = (
         labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col(id_col).cast("long").alias("_id"))
         .agg(((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("good"))
         .orderBy(F.xxhash64("_id"), "_id").limit(sample))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    few = texts.join(F.broadcast(stage_table(known, "labelled")), "_id").select("good", "text").limit(2 * sample)
+    few = texts.join(F.broadcast(stage_table(known, "labelled")), "_id").dropDuplicates(["_id"]).select("good", "text")
     rows = few.mapInArrow(_extract, "good boolean, features binary").collect()
     return fit([np.frombuffer(r["features"], np.int32) for r in rows], np.array([r["good"] for r in rows], float))
 
