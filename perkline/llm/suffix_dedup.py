@@ -350,38 +350,40 @@ def _resolve(key: tuple, table: pa.Table) -> pa.Table:
                      "high": pa.array(found["q"].astype(np.int64))})
 
 
+def _without(text: np.ndarray, own: list | None, at: list | None) -> tuple[bytes, list[dict]]:
+    """A text without its marked runs and windows, and the maximal removed spans."""
+    if not own and not at:
+        return text.tobytes(), []
+    edge = np.zeros(len(text) + LENGTH + 1, np.int32)
+    if own:
+        runs = Runs(text, np.array([0, len(text)]))
+        own = np.unique(np.asarray(own))
+        own = own[own < len(runs.low)]
+        np.add.at(edge, runs.low[own], 1)
+        np.add.at(edge, runs.high[own] + LENGTH, -1)
+    if at:
+        at = np.array([(x["low"], x["high"]) for x in at])
+        at = at[at[:, 1] + LENGTH <= len(text)]
+        np.add.at(edge, at[:, 0], 1)
+        np.add.at(edge, at[:, 1] + LENGTH, -1)
+    gone = np.cumsum(edge[:len(text)]) > 0
+    turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
+    return text[~gone].tobytes(), [{"start": int(x), "end": int(y)} for x, y in zip(turns[::2], turns[1::2], strict=True)]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove marked runs and windows from the texts: bytes kept and maximal removed spans."""
+    """Remove marked runs and windows from the texts, some 8 MB of them at a time."""
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         raw, bounds = as_bytes(batch.column(1))
-        marks, places = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        kept, spans = [], []
-        for i, (own, at) in enumerate(zip(marks, places, strict=True)):
-            text = raw[bounds[i]:bounds[i + 1]]
-            if not own and not at:
-                kept.append(text.tobytes())
-                spans.append([])
-                continue
-            edge = np.zeros(len(text) + LENGTH + 1, np.int32)
-            if own:
-                runs = Runs(raw, bounds[i:i + 2])
-                own = np.unique(np.asarray(own))
-                own = own[own < len(runs.low)]
-                np.add.at(edge, runs.low[own], 1)
-                np.add.at(edge, runs.high[own] + LENGTH, -1)
-            if at:
-                at = np.array([(x["low"], x["high"]) for x in at])
-                at = at[at[:, 1] + LENGTH <= len(text)]
-                np.add.at(edge, at[:, 0], 1)
-                np.add.at(edge, at[:, 1] + LENGTH, -1)
-            gone = np.cumsum(edge[:len(text)]) > 0
-            turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-            kept.append(text[~gone].tobytes())
-            spans.append([{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2], strict=True)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(bounds)), pa.array(kept, pa.binary()),
-             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-            names=["doc_id", "n_bytes", "kept", "spans"])
+        for a, b in chunks(bounds, 8 << 20):
+            marks, places = (batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3))
+            left = [_without(raw[bounds[a + i]:bounds[a + i + 1]], own, at)
+                    for i, (own, at) in enumerate(zip(marks, places, strict=True))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds[a:b + 1])),
+                 pa.array([x for x, _ in left], pa.binary()), pa.array([x for _, x in left], spans)],
+                names=["doc_id", "n_bytes", "kept", "spans"])
 
 
 def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id",
