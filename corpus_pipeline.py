@@ -37,8 +37,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes as text; a character that a cut has parted goes."""
     for batch in batches:
-        texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "_text"])
+        for low in range(0, batch.num_rows, 1000):
+            part = batch.slice(low, 1000)
+            texts = [b.as_py().decode("utf-8", "ignore") for b in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["_id", "_text"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
