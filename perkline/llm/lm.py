@@ -24,10 +24,12 @@ FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
 CHUNK = 4 << 20
-SCORE_CHUNK = 1 << 20
+SCORE_CHUNK = 1 << 19
 BUCKET_BYTES = 12 << 20
 BITS = 10
 PROBES = 7
+#: The probes of a level in the groups after which the failed keys are dropped.
+DROPS = ((0,), (1,), (2, 3), (4, 5, 6))
 BROADCAST_BYTES = 192 << 20
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOW = np.uint64((1 << 40) - 1)
@@ -75,51 +77,64 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def bloom_places(key: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
-    """The bits of a key at a level in a filter of ``size`` bits."""
-    first, step = seeded(key, 31 + 2 * level), seeded(key, 32 + 2 * level) | np.uint64(1)
-    for k in range(PROBES):
-        yield mix(first + np.uint64(k) * step) % size
+def _block(key: np.ndarray, level: int, blocks: np.ndarray) -> np.ndarray:
+    """The block of 512 bits that holds a key's bits of four levels in a row."""
+    return ((seeded(key, 500 + (level - 1) // 4) >> np.uint64(32)) * blocks) >> np.uint64(32)
+
+
+def _bit(prints: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of the bits in its block that a fingerprint names."""
+    return (prints >> np.uint64(9 * k)) & np.uint64(511)
 
 
 def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Log-frequency Bloom filter: a key of level q is a member with each of the levels 1 to q."""
+    """Log-frequency Bloom filter: a key of level q is a member with each of the levels 1 to q. Words of 64 bits.
+
+    All bits of a member lie in one block, so a probe touches one line of memory.
+    """
     levels = level_of(counts)
-    bits = np.zeros(max(int(BITS * levels.sum()) + 7 & ~7, 8), bool)
+    blocks = np.uint64(max(-(-int(BITS * levels.sum()) // 512), 1))
+    bits = np.zeros(int(blocks) * 512, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         own = keys[levels >= level]
-        for place in bloom_places(own, level, np.uint64(len(bits))):
-            bits[place] = True
-    return np.packbits(bits, bitorder="little")
+        base = _block(own, level, blocks) * np.uint64(512)
+        prints = seeded(own, level)
+        for k in range(PROBES):
+            bits[base + _bit(prints, k)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
 @dataclass
 class Filter:
-    """Filters of some buckets in one array: bucket b has ``size[b]`` bits from byte ``start[b]`` on."""
+    """Filters of some buckets in one array: bucket b has ``blocks[b]`` blocks from word ``start[b]`` on."""
 
     data: np.ndarray
     start: np.ndarray
-    size: np.ndarray
+    blocks: np.ndarray
 
     def levels(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         """The level of each key: membership is probed level by level until it fails."""
         out = np.zeros(len(key), np.uint8)
-        live = np.flatnonzero(self.size[bucket] > 0)
-        level = 0
-        while len(live):
-            level += 1
-            own, at = key[live], self.start[bucket[live]]
-            size = self.size[bucket[live]].astype(np.uint64)
+        live = np.flatnonzero(self.blocks[bucket] > 0)
+        key, bucket = key[live], bucket[live]
+        base = np.zeros(0, np.uint64)
+        for level in range(1, len(STEPS) + 1):
+            if not len(live):
+                break
+            if level % 4 == 1:
+                base = self.start[bucket] + _block(key, level, self.blocks[bucket]) * np.uint64(8)
+            prints = seeded(key, level)
             stay = np.arange(len(live))
-            first, step = seeded(own, 31 + 2 * level), seeded(own, 32 + 2 * level) | np.uint64(1)
-            for k in range(PROBES):
-                place = (mix(first[stay] + np.uint64(k) * step[stay]) % size[stay]).astype(np.int64)
-                hit = self.data[at[stay] + (place >> 3)] >> (place & 7).astype(np.uint8) & 1
-                stay = stay[hit > 0]
-            live = live[stay]
+            left, place = prints, base
+            for together in DROPS:
+                hit = np.uint64(1)
+                for k in together:
+                    bit = _bit(left, k)
+                    hit = hit & (self.data[place + (bit >> np.uint64(6))] >> (bit & np.uint64(63)))
+                hit = hit.astype(bool)
+                stay, left, place = stay[hit], left[hit], place[hit]
+            live, key, bucket, base = live[stay], key[stay], bucket[stay], base[stay]
             out[live] = level
-            if level == len(STEPS):
-                break
         return out
 
 
@@ -159,12 +174,28 @@ def _sequence(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tokens, history, cuts
 
 
-def _text_prints(raw: np.ndarray, tokens: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def _text_prints(tokens: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """A fingerprint of each token sequence."""
     order = (np.arange(len(tokens)) - np.repeat(cuts[:-1], np.diff(cuts))).astype(np.uint64)
     return mix(np.add.reduceat(mix(tokens + order * np.uint64(ODD)), cuts[:-1])) if len(tokens) else np.zeros(0, np.uint64)
 
 
+@dataclass
+class Sequence:
+    """Tokens of some texts, each with its history, as places in a list of distinct names."""
+
+    tokens: np.ndarray
+    history: np.ndarray
+    cuts: np.ndarray
+    names: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, raw: np.ndarray, bounds: np.ndarray) -> Sequence:
+        tokens, history, cuts = _sequence(raw, bounds)
+        return cls(tokens, history, cuts, *np.unique(tokens, return_inverse=True))
+
+
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, bounds = as_bytes(batch.column(0))
@@ -220,7 +251,7 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                     out.append({"bucket": k, "kind": "asks", "data": pack(
                         np.array([chunk]), word[x], text[x].astype(np.uint32), times[x].astype(np.uint32))})
                 out.append({"bucket": chunk % plan.buckets, "kind": "texts", "data": pack(
-                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(raw, tokens, cuts))})
+                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(tokens, cuts))})
                 chunk += 1
                 yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
@@ -294,43 +325,46 @@ class Model:
     ends: int
     discount: float
 
-    def base(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact counts of the frequent tokens and the ends (0 for others), and which tokens these are."""
-        at = _find(self.plan.frequent, tokens)
-        count = np.append(self.counts, 0)[at]
-        end = tokens == END
-        return np.where(end, self.ends, count), end | (at < len(self.plan.frequent))
+    def base(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact counts of the frequent words and the end (0 for others), and which words these are."""
+        at = _find(self.plan.frequent, names)
+        end = names == END
+        return np.where(end, self.ends, np.append(self.counts, 0)[at]), end | (at < len(self.plan.frequent))
 
-    def probe(self, tokens: np.ndarray, history: np.ndarray, part: Filter) -> np.ndarray:
+    def probe(self, text: Sequence, part: Filter) -> np.ndarray:
         """Levels of each token's bigram, count and kinds of followers, from the filters at hand."""
-        names, place = np.unique(tokens, return_inverse=True)
-        bucket, _ = self.plan.history_bucket(history, tokens)
-        own = top(names, self.plan.buckets)
-        return np.stack([part.levels(bigram_key(history, tokens), bucket),
-                         part.levels(seeded(names, 61), own)[place], part.levels(seeded(names, 62), own)[place]])
-
-    def score(self, tokens: np.ndarray, history: np.ndarray, cuts: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        own, place = top(text.names, self.plan.buckets), text.place
+        hot = _inside(self.plan.hot, text.names)
+        known = np.ones(len(place), bool)
+        known[1:] = hot[place[:-1]]
+        known[text.cuts[:-1]] = True
+        key = bigram_key(text.history, text.tokens)
+        bucket = np.where(known, top(key, self.plan.buckets), top(text.history, self.plan.buckets))
+        return np.stack([part.levels(key, bucket), part.levels(seeded(text.names, 61), own)[place],
+                         part.levels(seeded(text.names, 62), own)[place]])
+
+    def score(self, text: Sequence, levels: np.ndarray) -> np.ndarray:
         """Sum of log10 P(token | history) of each text, with absolute discounting."""
-        size = float(self.tokens + self.distinct + 1)
-        count, kinds = value_of(levels[1]), value_of(levels[2])
-        at = _find(self.plan.hot, tokens)
-        hot = at < len(self.plan.hot)
-        count = np.where(hot, np.append(self.hot_counts, 0)[at], count)
-        kinds = np.where(hot, np.append(self.hot_kinds, 0)[at], kinds)
-        count = np.where(tokens == END, self.ends, count)
-        single = (count + 1) / size
-        opening = history == START
+        if not len(text.tokens):
+            return np.zeros(0)
+        place, n = text.place, len(text.tokens)
+        at = _find(self.plan.hot, text.names)
+        hot = (at < len(self.plan.hot))[place]
+        count = np.where(hot, np.append(self.hot_counts, 0)[at][place], value_of(levels[1]))
+        kinds = np.where(hot, np.append(self.hot_kinds, 0)[at][place], value_of(levels[2]))
+        count[text.cuts[1:] - 1] = self.ends
+        single = (count + 1) / float(self.tokens + self.distinct + 1)
         start = _find(self.plan.hot, np.array([START]))[0]
-        before, follow = np.empty(len(tokens)), np.empty(len(tokens))
+        before, follow = np.empty(n), np.empty(n)
         before[1:], follow[1:] = count[:-1], kinds[:-1]
-        before[opening] = np.append(self.hot_counts, 0)[start]
-        follow[opening] = np.append(self.hot_kinds, 0)[start]
+        before[text.cuts[:-1]] = np.append(self.hot_counts, 0)[start]
+        follow[text.cuts[:-1]] = np.append(self.hot_kinds, 0)[start]
         both = np.minimum(value_of(levels[0]), before)
         follow = np.minimum(follow, before)
         known = (before > 0) & (follow > 0)
-        share = np.where(known, self.discount * follow / np.where(known, before, 1), 1.0)
-        chance = np.where(known, np.maximum(both - self.discount, 0) / np.where(known, before, 1), 0.0) + share * single
-        return np.add.reduceat(np.log10(np.minimum(chance, 1.0)), cuts[:-1]) if len(tokens) else np.zeros(0)
+        whole = np.where(known, before, 1)
+        chance = np.where(known, (np.maximum(both - self.discount, 0) + self.discount * follow * single) / whole, single)
+        return np.add.reduceat(np.log10(np.minimum(chance, 1.0)), text.cuts[:-1])
 
 
 def _scores(model: Model, shards: Broadcast, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -340,17 +374,19 @@ def _scores(model: Model, shards: Broadcast, last: bool) -> Callable[[Iterator[p
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
             for a, b in chunks(bounds, SCORE_CHUNK):
-                tokens, history, cuts = _sequence(raw, bounds[a:b + 1])
-                levels = model.probe(tokens, history, part)
-                count, exact = model.base(tokens)
-                prints = _text_prints(raw, tokens, cuts)
-                columns = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(prints.view(np.int64)),
-                           pa.array(np.diff(cuts)), pa.array(np.add.reduceat((count > 0).astype(np.int64), cuts[:-1])),
-                           pa.array(np.add.reduceat(np.where(exact, np.log10(count + 1.0), 0), cuts[:-1]))]
+                text = Sequence.of(raw, bounds[a:b + 1])
+                levels = model.probe(text, part)
+                count, exact = model.base(text.names)
+                logs = np.where(exact, np.log10(count + 1.0), 0)
+                starts = text.cuts[:-1]
+                columns = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                           pa.array(_text_prints(text.tokens, text.cuts).view(np.int64)), pa.array(np.diff(text.cuts)),
+                           pa.array(np.add.reduceat((count > 0).astype(np.int64)[text.place], starts)),
+                           pa.array(np.add.reduceat(logs[text.place], starts))]
                 if last:
-                    columns.append(pa.array(model.score(tokens, history, cuts, levels)))
+                    columns.append(pa.array(model.score(text, levels)))
                 else:
-                    columns.append(pa.array([levels[:, x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]))
+                    columns.append(pa.array([levels[:, x:y].tobytes() for x, y in zip(starts, text.cuts[1:], strict=True)]))
                 yield pa.RecordBatch.from_arrays(columns, names=[
                     "doc_id", "held_out", "print", "n_tokens", "known", "logs", "score" if last else "levels"])
     return run
@@ -363,9 +399,8 @@ def _finish(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             raw, bounds = as_bytes(batch.column(1))
             out = []
             for i, passes in enumerate(batch.column(2).to_pylist()):
-                tokens, history, cuts = _sequence(raw, bounds[i:i + 2])
                 levels = np.max([np.frombuffer(p, np.uint8).reshape(3, -1) for p in passes], axis=0)
-                out.append(model.score(tokens, history, cuts, levels)[0])
+                out.append(model.score(Sequence.of(raw, bounds[i:i + 2]), levels)[0])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["row", "score"])
     return run
 
@@ -421,15 +456,15 @@ def filter_groups(found: DataFrame, most: int) -> list[list[tuple[int, int]]]:
 
 
 def _load(found: DataFrame, group: list[tuple[int, int]], buckets: int) -> Filter:
-    start, size = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    data, at = np.zeros(max(sum(n for _, n in group), 1), np.uint8), 0
+    start, blocks = np.zeros(buckets, np.uint64), np.zeros(buckets, np.uint64)
+    data, at = np.zeros(max(sum(n for _, n in group) // 8, 1), np.uint64), 0
     rows = found.filter((F.col("kind") == "filter") & F.col("bucket").isin([b for b, _ in group])).select("bucket", "data")
     for row in rows.toLocalIterator():
-        bits = np.frombuffer(row["data"], np.uint8)
-        start[row["bucket"]], size[row["bucket"]] = at, 8 * len(bits)
-        data[at:at + len(bits)] = bits
-        at += len(bits)
-    return Filter(data, start, size)
+        part = np.frombuffer(row["data"], np.uint64)
+        start[row["bucket"]], blocks[row["bucket"]] = at, len(part) // 8
+        data[at:at + len(part)] = part
+        at += len(part)
+    return Filter(data, start, blocks)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -439,7 +474,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The model learns from the rows whose crc32 of the id, as text, leaves no 2 modulo 7. Tokens are the words
     and one end. ``base_score`` sums log10((c + 1) / (N + V + 1)) over exact counts. ``score`` is the bigram
     model's log10 probability: absolute discounting of the quantised counts of the filter, backed off to
-    single words; a false member (about 1 in 100 probes) lends an unseen bigram the least count.
+    single words; a false member (about 1 in 50 probes) lends an unseen bigram the least count.
 
     All bigrams are counted and held, none is pruned. The filter is about ten bits an entry, so it grows with
     the corpus; it is broadcast whole while it has at most ``broadcast_bytes``, and beyond that in groups of
@@ -494,5 +529,5 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in chunks(bounds, CHUNK):
             tokens, _, cuts = _sequence(raw, bounds[a:b + 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(_text_prints(raw, tokens, cuts).view(np.int64)),
+                [batch.column(0).slice(a, b - a), pa.array(_text_prints(tokens, cuts).view(np.int64)),
                  batch.column(1).slice(a, b - a)], names=["doc_id", "print", "text"])

@@ -60,7 +60,7 @@ def test_filter_never_underestimates_and_seldom_errs():
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
     counts = rng.geometric(0.4, 20_000)
     data = lm.build_filter(keys, counts)
-    found = lm.Filter(data, np.zeros(1, np.int64), np.array([8 * len(data)]))
+    found = lm.Filter(data, np.zeros(1, np.uint64), np.array([len(data) // 8], np.uint64))
     levels = found.levels(keys, np.zeros(len(keys), np.int64))
     assert (levels >= lm.level_of(counts)).all()
     assert (levels == lm.level_of(counts)).mean() > 0.97
