@@ -12,6 +12,7 @@ import re
 AS_OF = "date '2024-01-31'"
 RUNS_AS_OF = "timestamp '2001-08-02 00:00:00'"
 
+# Modes by the limit that applies to them. Accents, labels and messages below are fixed as well.
 WALK = "('marche', 'running', 'marche/running')"
 CYCLE = "('velo', 'trottinette', 'roller', 'skate', 'velo/trottinette/autres')"
 

@@ -7,6 +7,7 @@ from decimal import Decimal
 # The accent folding map applied to transport modes (lowercase letters only).
 ACCENTED = "éèêëàâäîïôöùûüç"
 PLAIN = "eeeeaaaiioouuuc"
+# Fixed value: what a missing mode is called.
 UNKNOWN_MODE = "inconnu"
 
 # Exact replacements of the lookup vocabulary.
@@ -30,7 +31,7 @@ EARTH_RADIUS_KM = 6371
 # Activity cohorts and their weights.
 COHORTS = (("dormant", 0.18), ("occasional", 0.32), ("regular", 0.33), ("intense", 0.17))
 
-# Contract types accepted by the employee checks, and the notification channel.
+# Contract types accepted by the employee checks, the notification channel and the topic.
 CONTRACT_TYPES = ("CDI", "CDD", "Stage", "Alternance", "Freelance")
 CHANNEL = "#sport-avantages"
 TOPIC = "sport_activities"
@@ -47,5 +48,6 @@ CORE_RULE_KEYS = (
     "max_km_cycle_scooter_other",
 )
 
+# Length of the trailing window, and the first day of the first rule's window.
 WINDOW_DAYS = 365
 OPEN_START = "1900-01-01"

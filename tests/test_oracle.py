@@ -16,6 +16,9 @@ CROSS_SECTION = (
     "land_table", "replace_batch", "excel_serial_to_date", "pseudo_geocode_sha", "flatten_rules", "rules_history",
     "sil_employees", "sil_sport_activities", "gold_kpi_employee_status", "gold_employee_benefit_timeline_7d",
     "gold_quality_anomalies", "monitoring_runs", "dash_recent_runs", "bi_distribution", "stream_notify_once",
+    "flatten_event_props", "rules_wide", "validation_suite_faults", "validation_report", "lenient_cast_rejects",
+    "gold_kpi_finance", "join_cross_scalars", "lead_next", "dash_flow_series", "stream_dedup_first", "stream_progress_metrics",
+    "agg_timeline_daily_long", "monitoring_activity_volumes_daily", "upsert_by_key",
 )
 
 
