@@ -16,7 +16,7 @@ from perkline.llm.text import as_bytes, chunks, fingerprints
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNKNOWN_PENALTY = 10.0
 MARK = "▁".encode()
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 FEW = 12
 
 

@@ -27,7 +27,7 @@ from perkline.session import stage_table
 LENGTH = 100
 ANCHOR = 24
 BATCHES = 3
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _NO_ID = -(1 << 63)
 ENTRY = np.dtype([("f", "<u8"), ("c", "<u8"), ("d", "<i8"), ("o", "<u4")])
@@ -137,12 +137,12 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("data", pa.
 
 
 def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Suffix arrays of some 8 MB of texts, one per bucket. Runs that repeat inside are marked at once."""
+    """Suffix arrays of some 4 MB of texts, one per bucket. Runs that repeat inside are marked at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for low, high in chunks(bounds, 8 << 20):
+            for low, high in chunks(bounds, 4 << 20):
                 cuts = ((low + a, low + b) for a, b in chunks(bounds[low:high + 1], CHUNK))
                 rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in cuts]))
                 new = _starts(rows, "f", "c")
@@ -372,11 +372,11 @@ def _without(text: np.ndarray, own: list | None, at: list | None) -> tuple[bytes
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove marked runs and windows from the texts, some 8 MB of them at a time."""
+    """Remove marked runs and windows from the texts, some 4 MB of them at a time."""
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         raw, bounds = as_bytes(batch.column(1))
-        for a, b in chunks(bounds, 8 << 20):
+        for a, b in chunks(bounds, 4 << 20):
             marks, places = (batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3))
             left = [_without(raw[bounds[a + i]:bounds[a + i + 1]], own, at)
                     for i, (own, at) in enumerate(zip(marks, places, strict=True))]
