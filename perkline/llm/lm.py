@@ -24,12 +24,13 @@ FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
 CHUNK = 4 << 20
-SCORE_CHUNK = 1 << 19
+SCORE_CHUNK = 1 << 21
 BUCKET_BYTES = 12 << 20
 BITS = 10
 PROBES = 7
 #: The probes of a level in the groups after which the failed keys are dropped.
 DROPS = ((0,), (1,), (2, 3), (4, 5, 6))
+SLICE = 1 << 14
 BROADCAST_BYTES = 192 << 20
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOW = np.uint64((1 << 40) - 1)
@@ -113,28 +114,40 @@ class Filter:
     blocks: np.ndarray
 
     def levels(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """The level of each key: membership is probed level by level until it fails."""
+        """The level of each key: membership is probed level by level until it fails.
+
+        Four levels share a block. Keys go in slices whose blocks stay in the processor's cache from probe to probe.
+        """
         out = np.zeros(len(key), np.uint8)
         live = np.flatnonzero(self.blocks[bucket] > 0)
-        key, bucket = key[live], bucket[live]
-        base = np.zeros(0, np.uint64)
-        for level in range(1, len(STEPS) + 1):
+        for first in range(1, len(STEPS) + 1, 4):
             if not len(live):
                 break
-            if level % 4 == 1:
-                base = self.start[bucket] + _block(key, level, self.blocks[bucket]) * np.uint64(8)
-            prints = seeded(key, level)
-            stay = np.arange(len(live))
-            left, place = prints, base
+            passed = np.concatenate([
+                self._four(key[part], bucket[part], first) for part in np.split(live, range(SLICE, len(live), SLICE))])
+            out[live] += passed
+            live = live[passed == 4]
+        return out
+
+    def _four(self, key: np.ndarray, bucket: np.ndarray, first: int) -> np.ndarray:
+        """How many of four levels in a row the keys are members with, until one fails."""
+        out = np.zeros(len(key), np.uint8)
+        base = (self.start[bucket] + _block(key, first, self.blocks[bucket]) * np.uint64(8)).astype(np.int64)
+        live = np.arange(len(key))
+        for level in range(first, first + 4):
+            left, place = seeded(key, level), base
             for together in DROPS:
                 hit = np.uint64(1)
                 for k in together:
                     bit = _bit(left, k)
-                    hit = hit & (self.data[place + (bit >> np.uint64(6))] >> (bit & np.uint64(63)))
-                hit = hit.astype(bool)
-                stay, left, place = stay[hit], left[hit], place[hit]
-            live, key, bucket, base = live[stay], key[stay], bucket[stay], base[stay]
-            out[live] = level
+                    word = np.take(self.data, place + (bit >> np.uint64(6)).view(np.int64))
+                    hit = hit & (word >> (bit & np.uint64(63)))
+                kept = np.flatnonzero(hit.view(np.int64))
+                if len(kept) < len(left):
+                    left, place, live, key, base = left[kept], place[kept], live[kept], key[kept], base[kept]
+            if not len(live):
+                break
+            out[live] += 1
         return out
 
 
@@ -225,13 +238,14 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             ids = batch.column(0).fill_null(0).to_numpy()
             held = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in chunks(bounds, CHUNK):
-                tokens, history, cuts = _sequence(raw, bounds[a:b + 1])
-                sizes, out = np.diff(cuts), []
+                found, out = Sequence.of(raw, bounds[a:b + 1]), []
+                sizes, names = np.diff(found.cuts), np.append(found.names, START)
+                history = np.empty_like(found.place)
+                history[1:] = found.place[:-1]
+                history[found.cuts[:-1]] = len(found.names)
                 learn = np.repeat(~held[a:b], sizes)
-                names, number = np.unique(np.concatenate([tokens[learn], history[learn]]), return_inverse=True)
-                n = int(learn.sum())
-                pair, count = np.unique(number[n:] * len(names) + number[:n], return_counts=True)
-                before, after = names[pair // max(len(names), 1)], names[pair % max(len(names), 1)]
+                pair, count = np.unique(history[learn] * len(names) + found.place[learn], return_counts=True)
+                before, after = names[pair // len(names)], names[pair % len(names)]
                 bucket, _ = plan.history_bucket(before, after)
                 for k, x in _split(bucket, plan.buckets):
                     h = before[x]
@@ -242,16 +256,15 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                     out.append({"bucket": k, "kind": "bigrams", "data": pack(
                         h[at], np.diff(np.append(at, len(x))).astype(np.uint32), low.astype(np.uint32),
                         (low >> np.uint64(32)).astype(np.uint8), count[x].astype(np.uint32))})
-                rare = ~_inside(plan.frequent, tokens) & (tokens != END)
+                rare = (~_inside(plan.frequent, found.names) & (found.names != END))[found.place]
                 text = np.repeat(np.arange(b - a), sizes)[rare]
-                word, place = np.unique(tokens[rare], return_inverse=True)
-                pair, times = np.unique(place * (b - a) + text, return_counts=True)
-                word, text = word[pair // (b - a)], pair % (b - a)
+                pair, times = np.unique(found.place[rare] * (b - a) + text, return_counts=True)
+                word, text = names[pair // (b - a)], pair % (b - a)
                 for k, x in _split(top(word, plan.buckets), plan.buckets):
                     out.append({"bucket": k, "kind": "asks", "data": pack(
                         np.array([chunk]), word[x], text[x].astype(np.uint32), times[x].astype(np.uint32))})
                 out.append({"bucket": chunk % plan.buckets, "kind": "texts", "data": pack(
-                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(tokens, cuts))})
+                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(found.tokens, found.cuts))})
                 chunk += 1
                 yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
