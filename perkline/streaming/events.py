@@ -87,7 +87,8 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 def _messages(parsed: DataFrame, process_date: str | date | None) -> DataFrame:
     """What deciding needs: the message, its place, and its key. Unreadable messages are keys of their own."""
     expected = as_date(process_date) if process_date else F.col("process_date")
-    place = F.concat_ws(":", F.lit("unreadable"), "topic", F.col("partition_id").cast("string"), F.col("offset_id").cast("string"))
+    numbers = (F.col(c).cast("string") for c in ("partition_id", "offset_id"))
+    place = F.concat_ws(":", F.lit("unreadable"), "topic", *numbers)
     return parsed.select(
         F.when(F.col("is_readable"), F.concat(F.lit("id:"), F.col("event_id"))).otherwise(place).alias("id"),
         F.col("payload_json").alias("value"), "topic", F.col("partition_id").cast("long").alias("partition"),
@@ -101,24 +102,35 @@ _DECIDED = (
 )
 
 
+def _verdict(rows: pd.DataFrame, accepted: bool, copies: int, other_dates: int) -> pd.DataFrame:
+    names = ["value", "topic", "partition", "offset", "micros", "is_readable"]
+    return rows[names].assign(accepted=accepted, copies=copies, other_dates=other_dates)
+
+
 def _decide(horizon_ms: int | None) -> Callable:
     """First row of a key by partition and offset; accepted if no earlier batch had the key."""
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches)).sort_values(["partition", "offset"], kind="stable")
-        readable = bool(rows["is_readable"].iloc[0])
-        kept = rows.iloc[:1] if readable else rows
-        new = readable and not state.exists
+        best, copies, other_dates, latest = None, 0, 0, None
+        for rows in batches:  # a key with many copies comes in pieces, of which only the first row is kept
+            if not rows["is_readable"].iloc[0]:
+                yield _verdict(rows, False, 1, 0)
+                continue
+            copies, other_dates = copies + len(rows), other_dates + int(rows["other_date"].sum())
+            if horizon_ms is not None:
+                latest = max(int(rows["event_ms"].max()), latest or 0)
+            rows = rows if best is None else pd.concat([best, rows])
+            best = rows.sort_values(["partition", "offset"], kind="stable").iloc[:1]
+        if best is None:
+            return
+        new = not state.exists
         if new:
             state.update((True,))
-        if readable and horizon_ms is not None and (new or state.exists):
-            latest = int(rows["event_ms"].max())
+        if latest is not None:
             state.setTimeoutTimestamp(max(latest + horizon_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({
-            **{c: kept[c] for c in ("value", "topic", "partition", "offset", "micros", "is_readable")}, "accepted": new,
-            "copies": len(rows) if readable else 1, "other_dates": int(rows["other_date"].sum()) if readable else 0})
+        yield _verdict(best, new, copies, other_dates)
     return run
 
 
