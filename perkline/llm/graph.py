@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from perkline.session import stage_table
 
+#: Links that one task's union-find may hold; a bound on its memory.
+TASK_LINKS = 1 << 17
+
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Union-find over a task's links: every node with its root, a forest of the same components."""
@@ -34,12 +37,17 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b long) -> (node, component): the smallest node reachable, for each linked node.
 
-    Each round every label joins the neighbour of least random priority, which contracts any graph by a
+    Every task reduces its links to a forest. If no more than ``TASK_LINKS`` are left, one task joins these
+    forests; else they are contracted by rounds, with the same result. Each round every label joins the neighbour of least random priority, which contracts any graph by a
     constant factor. Links and labels stay distributed; each round is cut at a stored table.
     """
     edges = stage_table(
         links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
         .mapInPandas(_forest, "a long, b long").distinct(), "links")
+    if edges.count() <= TASK_LINKS:
+        whole = stage_table(edges.coalesce(1).mapInPandas(_forest, "a long, b long"), "forest")
+        return whole.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
+            whole.select("a", F.col("a").alias("b")).distinct())
     labels = stage_table(
         edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")),
         "labels")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from perkline.llm import near_dup
+from perkline.llm import graph, near_dup
 from perkline.llm.text import as_bytes, shingles, words
 
 SCHEMA = "doc_id long, text string, n_shingles string, node string, key int"
@@ -54,8 +54,9 @@ def corpus(seed=1):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
-def test_groups_equal_brute_force(spark, width, percent):
+@pytest.mark.parametrize(("width", "percent", "task_links"), [(3, 85, 1 << 17), (5, 80, 0)])
+def test_groups_equal_brute_force(spark, monkeypatch, width, percent, task_links):
+    monkeypatch.setattr(graph, "TASK_LINKS", task_links)
     rows = corpus()
     docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], SCHEMA).repartition(5)
     got = {r["doc_id"]: r for r in near_dup.near_duplicates(docs, width, percent).collect()}
