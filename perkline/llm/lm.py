@@ -27,9 +27,9 @@ CHUNK = 4 << 20
 SCORE_CHUNK = 1 << 21
 BUCKET_BYTES = 12 << 20
 BITS = 10
-PROBES = 7
+PROBES = 5
 #: The probes of a level in the groups after which the failed keys are dropped.
-DROPS = ((0,), (1,), (2, 3), (4, 5, 6))
+DROPS = ((0,), (1, 2), (3, 4))
 SLICE = 1 << 14
 BROADCAST_BYTES = 192 << 20
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
