@@ -122,6 +122,14 @@ def _starts(rows: np.ndarray, *names: str) -> np.ndarray:
     return new
 
 
+def _repeats(rows: np.ndarray, new: np.ndarray, *place: str) -> np.ndarray:
+    """Which entries of sorted groups lie elsewhere than the first one of their group; a row read twice does not."""
+    if not len(rows):
+        return new
+    first = rows[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return np.logical_or.reduce([rows[x] != first[x] for x in place])
+
+
 def _places(rows: np.ndarray, kind: np.dtype = PLACE) -> np.ndarray:
     out = np.zeros(len(rows), kind)
     for name in kind.names:
@@ -146,7 +154,7 @@ def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 cuts = ((low + a, low + b) for a, b in chunks(bounds[low:high + 1], CHUNK))
                 rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in cuts]))
                 new = _starts(rows, "f", "c")
-                again, rows = rows[~new], rows[new]
+                again, rows = rows[_repeats(rows, new, "d", "o")], rows[new]
                 out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
                 cuts = np.searchsorted(
                     rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
@@ -194,7 +202,7 @@ def _merge(ranks: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
         if "new" in found:
             batch = _sorted(np.concatenate(found.pop("new")))
             first = _starts(batch, "f", "c")
-            out.append(_row(bucket, "mark", _places(batch[~first])))
+            out.append(_row(bucket, "mark", _places(batch[_repeats(batch, first, "d", "o")])))
             batch = batch[first]
         else:
             batch = np.zeros(0, ENTRY)
@@ -269,7 +277,7 @@ def _first_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows that repeat none of the others' earlier ones, and those that do."""
     rows = rows[np.lexsort((rows["p"], rows["d"], rows["w"], rows["f"]))]
     new = _starts(rows, "f", "w")
-    return rows[new], rows[~new]
+    return rows[new], rows[_repeats(rows, new, "d", "p")]
 
 
 def _explode_windows(name: np.ndarray, ids: np.ndarray, place: np.ndarray, prints: Callable, low: np.ndarray,

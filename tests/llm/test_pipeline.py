@@ -55,3 +55,14 @@ def test_null_rows_pass_all_stages(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert "token_ids" in corpus_pipeline.run(spark, str(tmp_path)).columns
+
+
+def test_repeated_row_survives_all_stages(spark, tmp_path):
+    text = "a plain sentence about the weather of last week and the harvest that followed it, " + " ".join(map(str, range(60)))
+    docs = spark.createDataFrame([(3, text, "en", "s", len(text)), (3, text, "en", "s", len(text)), (4, "short", "en", "s", 5)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    cut = dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, docs, str(tmp_path)).collect()
+    assert [r["text"] for r in cut if r["doc_id"] == 3] == [text, text]
+    assert text in {r["text"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}

@@ -66,6 +66,17 @@ def test_edge_cases(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeated_row_keeps_its_text(spark, monkeypatch):
+    rng = random.Random(11)
+    alone, shared, tail = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
+    rows = [(3, alone), (3, alone), (5, shared), (5, shared), (8, shared[150:] + tail), (8, shared[150:] + tail)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA).repartition(4)
+    for hot in (1 << 15, 1):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        got = sorted((r["doc_id"], bytes(r["kept"]).decode()) for r in suffix_dedup.remove_repeats(docs).collect())
+        assert got == sorted([(3, alone), (3, alone), (5, shared), (5, shared), (8, tail), (8, tail)])
+
+
 def test_runs_cover_all_windows_and_depend_on_content_only():
     rng = np.random.default_rng(2)
     shared = rng.integers(97, 101, 400).astype(np.uint8)
