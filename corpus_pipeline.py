@@ -7,9 +7,8 @@ of ``documents``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,24 +33,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes as text; a character that a cut has parted goes."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, 1000):
-            part = batch.slice(low, 1000)
-            texts = [b.as_py().decode("utf-8", "ignore") for b in part.column(1)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["_id", "_text"])
-
-
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 100 bytes or more that start earlier; what is left empty goes."""
-    cut = suffix_dedup.remove_repeats(docs).filter("size(spans) > 0").select("doc_id", "kept")
-    texts = stage_table(cut.mapInArrow(_decode, "_id long, _text string").dropDuplicates(["_id"]), "cut")
-    joined = docs.join(texts, F.col("doc_id") == F.col("_id"), "left")
-    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
-    size = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
-    left = joined.filter(F.col("_id").isNull() | F.col("_text").rlike(r"\S"))
-    return left.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+    cut = suffix_dedup.cut_repeats(docs).filter(~F.col("cut") | F.col("text").rlike(r"\S"))
+    size = F.when(F.col("cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

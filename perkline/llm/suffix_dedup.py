@@ -18,8 +18,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from perkline.llm.text import BASE, INVERSE, ODD, as_bytes, chunks, mix, powers, seeded
 from perkline.session import stage_table
@@ -30,12 +32,14 @@ BATCHES = 3
 BUCKET_BYTES = 4 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _NO_ID = -(1 << 63)
-ENTRY = np.dtype([("f", "<u8"), ("c", "<u8"), ("d", "<i8"), ("o", "<u4")])
-PLACE = np.dtype([("d", "<i8"), ("o", "<u4")])
-PART = np.dtype([("d", "<i8"), ("o", "<u4"), ("f", "<u8")])
-RUN = np.dtype([("f", "<u8"), ("d", "<i8"), ("p", "<u4"), ("n", "<u1")])
-WINDOW = np.dtype([("f", "<u8"), ("w", "<u8"), ("d", "<i8"), ("p", "<u4")])
-SPAN = np.dtype([("d", "<i8"), ("p", "<u4"), ("q", "<u4")])
+#: A document is its id (d) and a key (h): the fingerprint of the text if the id has several texts, else 0.
+DOC = [("d", "<i8"), ("h", "<i8")]
+ENTRY = np.dtype([("f", "<u8"), ("c", "<u8"), *DOC, ("o", "<u4")])
+PLACE = np.dtype([*DOC, ("o", "<u4")])
+PART = np.dtype([*DOC, ("o", "<u4"), ("f", "<u8")])
+RUN = np.dtype([("f", "<u8"), *DOC, ("p", "<u4"), ("n", "<u1")])
+WINDOW = np.dtype([("f", "<u8"), ("w", "<u8"), *DOC, ("p", "<u4")])
+SPAN = np.dtype([*DOC, ("p", "<u4"), ("q", "<u4")])
 CHUNK = 1 << 19
 HOT = 1 << 15
 _CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
@@ -80,14 +84,14 @@ class Runs:
         """Fingerprints of the strings of ``size`` bytes at some places."""
         return mix((self.total[at + size] - self.total[at]) * self.back[at])
 
-    def entries(self, ids: np.ndarray) -> np.ndarray:
+    def entries(self, ids: np.ndarray, keys: np.ndarray | None = None) -> np.ndarray:
         out = np.zeros(len(self.low), ENTRY)
         if len(out):
             size = self.high - self.low + self.length
             out["f"] = self.name
             out["c"] = seeded(self.prints(self.low, size), 12) + seeded(
                 ((self.anchor - self.low) * 1024 + size).astype(np.uint64), 13)
-            out["d"] = ids[self.text]
+            out["d"], out["h"] = ids[self.text], 0 if keys is None else keys[self.text]
             out["o"] = np.arange(len(out)) - self.first[self.text]
         return out
 
@@ -111,7 +115,7 @@ def unpack(data: bytes, kind: np.dtype) -> np.ndarray:
 
 
 def _sorted(rows: np.ndarray) -> np.ndarray:
-    return rows[np.lexsort((rows["o"], rows["d"], rows["c"], rows["f"]))]
+    return rows[np.lexsort((rows["o"], rows["h"], rows["d"], rows["c"], rows["f"]))]
 
 
 def _starts(rows: np.ndarray, *names: str) -> np.ndarray:
@@ -137,6 +141,13 @@ def _places(rows: np.ndarray, kind: np.dtype = PLACE) -> np.ndarray:
     return out
 
 
+def _docs(batch: pa.RecordBatch) -> np.ndarray:
+    """The documents of a batch, whose first columns are d and h."""
+    out = np.zeros(batch.num_rows, DOC)
+    out["d"], out["h"] = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    return out
+
+
 def _row(bucket: int, kind: str, data: np.ndarray) -> dict:
     return {"bucket": bucket, "kind": kind, "data": pack(data)}
 
@@ -148,13 +159,13 @@ def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     """Suffix arrays of some 4 MB of texts, one per bucket. Runs that repeat inside are marked at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, bounds = as_bytes(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            raw, bounds = as_bytes(batch.column(2))
+            docs = _docs(batch)
             for low, high in chunks(bounds, 4 << 20):
                 cuts = ((low + a, low + b) for a, b in chunks(bounds[low:high + 1], CHUNK))
-                rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(ids[a:b]) for a, b in cuts]))
+                rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(docs["d"][a:b], docs["h"][a:b]) for a, b in cuts]))
                 new = _starts(rows, "f", "c")
-                again, rows = rows[_repeats(rows, new, "d", "o")], rows[new]
+                again, rows = rows[_repeats(rows, new, "d", "h", "o")], rows[new]
                 out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
                 cuts = np.searchsorted(
                     rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
@@ -202,7 +213,7 @@ def _merge(ranks: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
         if "new" in found:
             batch = _sorted(np.concatenate(found.pop("new")))
             first = _starts(batch, "f", "c")
-            out.append(_row(bucket, "mark", _places(batch[_repeats(batch, first, "d", "o")])))
+            out.append(_row(bucket, "mark", _places(batch[_repeats(batch, first, "d", "h", "o")])))
             batch = batch[first]
         else:
             batch = np.zeros(0, ENTRY)
@@ -239,17 +250,20 @@ def _explode(data: DataFrame, kind: str, dtype: np.dtype, schema: str) -> DataFr
 
 
 class SuffixIndex:
-    """The family of levels. ``add`` takes batches in order of ids and tells what they repeat."""
+    """The family of levels. ``add`` takes batches in order of ids and tells what they repeat; all texts of an id
+    belong in one batch."""
 
     def __init__(self, buckets: int) -> None:
         self.buckets = buckets
         self.levels: dict[int, DataFrame] = {}
 
     def add(self, docs: DataFrame) -> DataFrame:
-        """Index ``docs`` (doc_id, text): rows (bucket, kind, data), stored, with the repeated places."""
+        """Index ``docs`` (d, h, text) or (d, text): rows (bucket, kind, data), stored, with the repeated places."""
         rank = 0
         while rank in self.levels:
             rank += 1
+        if len(docs.columns) == 2:
+            docs = docs.select(docs.columns[0], F.lit(0).cast("long").alias("h"), docs.columns[1])
         rows = docs.mapInArrow(_arrays(self.buckets), "bucket int, kind string, data binary")
         for other, level in self.levels.items():
             rows = rows.union(level.select("bucket", F.lit(f"level {other}").alias("kind"), "data"))
@@ -262,30 +276,31 @@ class SuffixIndex:
 
 
 def _spans(rows: np.ndarray) -> np.ndarray:
-    """Places (d, p) of windows as spans of consecutive ones."""
-    rows = rows[np.lexsort((rows["p"], rows["d"]))]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows["d"][1:] != rows["d"][:-1]) | (rows["p"][1:] > rows["p"][:-1] + 1)
+    """Places (d, h, p) of windows as spans of consecutive ones."""
+    rows = rows[np.lexsort((rows["p"], rows["h"], rows["d"]))]
+    new = _starts(rows, "d", "h")
+    new[1:] |= rows["p"][1:] > rows["p"][:-1] + 1
     at = np.flatnonzero(new)
     out = np.zeros(len(at), SPAN)
-    out["d"], out["p"] = rows["d"][at], rows["p"][at]
+    for name in ("d", "h", "p"):
+        out[name] = rows[name][at]
     out["q"] = rows["p"][np.append(at[1:], len(rows)) - 1] if len(at) else 0
     return out
 
 
 def _first_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows that repeat none of the others' earlier ones, and those that do."""
-    rows = rows[np.lexsort((rows["p"], rows["d"], rows["w"], rows["f"]))]
+    rows = rows[np.lexsort((rows["p"], rows["h"], rows["d"], rows["w"], rows["f"]))]
     new = _starts(rows, "f", "w")
-    return rows[new], rows[_repeats(rows, new, "d", "p")]
+    return rows[new], rows[_repeats(rows, new, "d", "h", "p")]
 
 
-def _explode_windows(name: np.ndarray, ids: np.ndarray, place: np.ndarray, prints: Callable, low: np.ndarray,
+def _explode_windows(name: np.ndarray, docs: np.ndarray, place: np.ndarray, prints: Callable, low: np.ndarray,
                      count: np.ndarray) -> np.ndarray:
     """All windows of some runs; ``prints`` gives fingerprints at places of the runs' bytes."""
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     rows = np.zeros(len(step), WINDOW)
-    rows["f"], rows["d"] = np.repeat(name, count), np.repeat(ids, count)
+    rows["f"], rows["d"], rows["h"] = (np.repeat(x, count) for x in (name, docs["d"], docs["h"]))
     rows["w"], rows["p"] = prints(np.repeat(low, count) + step), np.repeat(place, count) + step
     return rows
 
@@ -294,8 +309,8 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """The bytes of the runs to be compared, by bucket of their names; of hot names the single windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, bounds = as_bytes(batch.column(1))
-            ids, asked = batch.column(0).to_numpy(), batch.column(2)
+            raw, bounds = as_bytes(batch.column(2))
+            docs, asked = _docs(batch), batch.column(3)
             for a, b in chunks(bounds, 4 * CHUNK):
                 runs = Runs(raw, bounds[a:b + 1])
                 own = asked.slice(a, b - a)
@@ -311,8 +326,8 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 at = np.flatnonzero(hot)
                 if len(at):
                     first, again = _first_windows(_explode_windows(
-                        name[at], ids[a:b][text[at]], place[at], lambda x, r=runs: r.prints(x, LENGTH), low[at], count[at]))
-                    out.append(_row(int(ids[a]) % buckets, "again", _spans(again)))
+                        name[at], docs[a:b][text[at]], place[at], lambda x, r=runs: r.prints(x, LENGTH), low[at], count[at]))
+                    out.append(_row(int(docs["d"][a]) % buckets, "again", _spans(again)))
                     key = (seeded(first["w"], 21) >> np.uint64(64 - _bits(buckets))).astype(np.int64)
                     order = np.argsort(key, kind="stable")
                     cuts = np.searchsorted(key[order], np.arange(1, buckets))
@@ -324,7 +339,8 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 for k, x in enumerate(np.split(order, cuts)):
                     if len(x):
                         rows = np.zeros(len(x), RUN)
-                        rows["f"], rows["d"], rows["p"], rows["n"] = name[x], ids[a:b][text[x]], place[x], count[x]
+                        rows["f"], rows["p"], rows["n"] = name[x], place[x], count[x]
+                        rows["d"], rows["h"] = docs["d"][a:b][text[x]], docs["h"][a:b][text[x]]
                         size = count[x] + LENGTH - 1
                         inside = np.arange(size.sum()) + np.repeat(low[x] - np.cumsum(size) + size, size)
                         out.append({"bucket": k, "kind": "runs",
@@ -334,7 +350,7 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def _resolve(key: tuple, table: pa.Table) -> pa.Table:
-    """Windows of a bucket that start earlier elsewhere, as spans (doc_id, low, high)."""
+    """Windows of a bucket that start earlier elsewhere, as spans (d, h, low, high)."""
     again, parts = [], []
     for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
         if kind == "again":
@@ -349,12 +365,12 @@ def _resolve(key: tuple, table: pa.Table) -> pa.Table:
             size = rows["n"].astype(np.int64) + LENGTH - 1
             bytes_of = Runs(raw, np.array([0, len(raw)]), len(raw) + 1)
             parts.append(_explode_windows(
-                rows["f"], rows["d"], rows["p"], lambda x, r=bytes_of: r.prints(x, LENGTH), np.cumsum(size) - size,
+                rows["f"], rows, rows["p"], lambda x, r=bytes_of: r.prints(x, LENGTH), np.cumsum(size) - size,
                 rows["n"].astype(np.int64)))
     if parts:
         again.append(_spans(_first_windows(np.concatenate(parts))[1]))
     found = np.concatenate(again)
-    return pa.table({"doc_id": pa.array(found["d"]), "low": pa.array(found["p"].astype(np.int64)),
+    return pa.table({"d": pa.array(found["d"]), "h": pa.array(found["h"]), "low": pa.array(found["p"].astype(np.int64)),
                      "high": pa.array(found["q"].astype(np.int64))})
 
 
@@ -391,52 +407,92 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds[a:b + 1])),
                  pa.array([x for x, _ in left], pa.binary()), pa.array([x for _, x in left], spans)],
-                names=["doc_id", "n_bytes", "kept", "spans"])
-
-
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """Texts without repeated passages: (doc_id, n_bytes long, kept binary, spans array of [start, end)).
+                names=["rest", "n_bytes", "kept", "spans"])
 
-    A byte goes if it lies in a string of 100 bytes that also starts earlier: in a document of smaller id, or
-    earlier in the same one; overlaps count, and strings are judged on the input. Matches never cross
-    documents. Texts are UTF-8 bytes; a cut may part a character, so ``kept`` is binary.
 
-    Null or empty texts give empty bytes, and texts under 100 bytes stay whole. Null ids count as the
-    smallest id and come back as null. Rows that repeat an id are taken as the same document read again: equal
-    rows get equal results and don't repeat each other; repeats found in rows of one id but other texts are cut
-    at the same places of all of them, as far as they have these places. An empty table gives an empty result; other columns
-    are ignored. Strings are compared by fingerprints of 96 bits or more.
-    """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without marked runs and windows, and whether anything went; a character that a cut has parted goes."""
+    for batch in batches:
+        raw, bounds = as_bytes(batch.column(1))
+        for a, b in chunks(bounds, 4 << 20):
+            text = batch.column(1).slice(a, b - a)
+            marks, places = (batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3))
+            left = [_without(raw[bounds[a + i]:bounds[a + i + 1]], own, at) if own or at else (b"", [])
+                    for i, (own, at) in enumerate(zip(marks, places, strict=True))]
+            cut = pa.array([bool(spans) for _, spans in left], pa.bool_())
+            new = pa.array([x.decode("utf-8", "ignore") for x, _ in left], text.type)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), pc.if_else(cut, new, text), cut], names=["rest", "text", "cut"])
+
+
+def _marked(docs: DataFrame, batches: int, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` as (rest, text, runs, places): the other columns, and which runs and windows go."""
+    number, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    doc, fingerprint = F.coalesce(number, F.lit(_NO_ID)), F.xxhash64(text, number.isNull())
+    # per id: most ids have one text, and their documents need no key
+    ids = stage_table(docs.groupBy(doc.alias("d")).agg(
+        F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("size"),
+        (F.min(fingerprint) != F.max(fingerprint)).alias("several")), "ids")
+    several = stage_table(ids.filter("several").select(F.col("d").alias("_d")), "several")
+    base = docs.select(
+        doc.alias("d"), fingerprint.alias("h"), text.alias("text"),
+        F.struct(*(c for c in docs.columns if c != text_col)).alias("rest"))
+    base = base.join(several, F.col("d") == F.col("_d"), "left").withColumn(
+        "h", F.when(F.col("_d").isNotNull(), F.col("h")).otherwise(F.lit(0).cast("long"))).drop("_d")
     shares = [k / batches for k in range(1, batches)]
-    known = base.agg(
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"),
-        F.percentile_approx("doc_id", shares or [0.5], 10_000).alias("cuts")).first()
+    known = ids.agg(
+        F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
+        F.percentile_approx("d", shares or [0.5], 10_000).alias("cuts")).first()
     buckets = max(64, 1 << (known["size"] // BUCKET_BYTES).bit_length())
     cuts = sorted(set(known["cuts"] or [])) if shares else []
     index, found = SuffixIndex(buckets), None
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        part = base
+        part = base.select("d", "h", "text")
         if low is not None:
-            part = part.filter(F.col("doc_id") > low)
+            part = part.filter(F.col("d") > low)
         if high is not None:
-            part = part.filter(F.col("doc_id") <= high)
+            part = part.filter(F.col("d") <= high)
         rows = index.add(part).filter("kind <> 'level'")
         found = rows if found is None else found.union(rows)
-    marks = _explode(found, "mark", PLACE, "doc_id long, run long").groupBy("doc_id").agg(
+    marks = _explode(found, "mark", PLACE, "d long, h long, run long").groupBy("d", "h").agg(
         F.collect_set("run").alias("runs"))
-    parts = _explode(found, "part", PART, "doc_id long, run long, name long")
+    parts = _explode(found, "part", PART, "d long, h long, run long, name long")
     hot = stage_table(parts.groupBy("name").count().filter(F.col("count") > HOT).select(
         "name", F.lit(True).alias("hot")), "hot")
-    asked = parts.join(hot, "name", "left").groupBy("doc_id").agg(F.collect_set(
+    asked = parts.join(hot, "name", "left").groupBy("d", "h").agg(F.collect_set(
         F.struct("run", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
-    contents = base.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(
+    contents = base.join(asked, ["d", "h"]).select("d", "h", "text", "asked").mapInArrow(
         _contents(buckets), "bucket int, kind string, data binary")
-    places = contents.groupBy("bucket").applyInArrow(_resolve, "doc_id long, low long, high long").groupBy(
-        "doc_id").agg(F.collect_set(F.struct("low", "high")).alias("places"))
-    return (
-        base.join(marks, "doc_id", "left").join(places, "doc_id", "left").select("doc_id", "text", "runs", "places")
-        .mapInArrow(_cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
-        .withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))))
+    places = contents.groupBy("bucket").applyInArrow(_resolve, "d long, h long, low long, high long").groupBy(
+        "d", "h").agg(F.collect_set(F.struct("low", "high")).alias("places"))
+    return base.join(marks, ["d", "h"], "left").join(places, ["d", "h"], "left").select(
+        "rest", "text", "runs", "places")
+
+
+def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """Texts without repeated passages: (doc_id, n_bytes long, kept binary, spans array of [start, end)).
+
+    A byte goes if it lies in a string of 100 bytes that also starts earlier: in a document of smaller id, or
+    earlier in the same one; overlaps count, and strings are judged on the input. Matches never cross
+    documents. Texts are UTF-8 bytes; a cut may part a character, so ``kept`` is binary.
+
+    Null or empty texts give empty bytes, and texts under 100 bytes stay whole. Null ids count as the
+    smallest id and come back as null. A document is an id with a text: equal rows are the same document read
+    again, get equal results and don't repeat each other; different texts of one id, null or not, are
+    documents in the order of their fingerprints. An empty table gives an empty result; other columns
+    are ignored. Strings are compared by fingerprints of 96 bits or more, texts of one id by 64.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _marked(rows, batches, "doc_id", "text").mapInArrow(
+        _cut, "rest struct<doc_id:long>, n_bytes long, kept binary, spans array<struct<start:long,end:long>>"
+    ).select("rest.doc_id", "n_bytes", "kept", "spans")
+
+
+def cut_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with all columns, their texts cut as by ``remove_repeats``, and ``cut``: whether anything
+    went. A character that a cut has parted goes."""
+    rows = _marked(docs, batches, id_col, text_col)
+    kind = StructType().add("rest", rows.schema["rest"].dataType).add("text", "string").add("cut", "boolean")
+    return rows.mapInArrow(_cut_texts, kind).select("rest.*", F.col("text").alias(text_col), "cut").select(
+        *docs.columns, "cut")

@@ -66,3 +66,14 @@ def test_repeated_row_survives_all_stages(spark, tmp_path):
     cut = dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, docs, str(tmp_path)).collect()
     assert [r["text"] for r in cut if r["doc_id"] == 3] == [text, text]
     assert text in {r["text"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+
+def test_cut_texts_of_one_id_stay_apart(spark):
+    first, second, third = (" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, first), (3, first + " end"), (3, second), (None, third), (None, second[:90]), (9, third + " tail")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, docs, SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(
+        [(1, first), (3, " end"), (3, second), (None, third), (None, second[:90]), (9, " tail")], key=str)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)

@@ -77,6 +77,41 @@ def test_repeated_row_keeps_its_text(spark, monkeypatch):
         assert got == sorted([(3, alone), (3, alone), (5, shared), (5, shared), (8, tail), (8, tail)])
 
 
+def mixed_ids():
+    """Texts of which many share an id, or have none; some rows are there twice."""
+    texts = [t for _, t in corpus() if t]
+    rng = random.Random(7)
+    rows = [(rng.choice([None, None, 1, 2, 2, 10 + k]), t) for k, t in enumerate(texts)]
+    return rows + rng.sample(rows, 15) + [(None, None), (None, ""), (2, None)]
+
+
+def brute_of_documents(spark, rows):
+    """By (id, text): what brute force leaves; documents of an id in order of fingerprints."""
+    low = -(1 << 63)
+    prints = spark.createDataFrame([(i, t) for i, t in set(rows)], "i long, t string").selectExpr(
+        "i", "t", "xxhash64(t, i is null) h").collect()
+    order = sorted(prints, key=lambda r: (low if r["i"] is None else r["i"], r["h"]))
+    left = brute([(k, r["t"]) for k, r in enumerate(order)])
+    return {(r["i"], r["t"]): left[k] for k, r in enumerate(order)}
+
+
+@pytest.mark.parametrize("hot", [1 << 15, 1])
+def test_texts_of_one_id_or_none_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = mixed_ids()
+    docs = spark.createDataFrame([(i, t, str(k), 1, "y") for k, (i, t) in enumerate(rows)], SCHEMA).repartition(4)
+    want = brute_of_documents(spark, rows)
+    got = [(r["doc_id"], r["n_bytes"], bytes(r["kept"]), [(s["start"], s["end"]) for s in r["spans"]])
+           for r in suffix_dedup.remove_repeats(docs).collect()]
+    assert sorted(got, key=str) == sorted(((row[0], *want[row]) for row in rows), key=str)
+    cut = {int(r["bucket"]): r for r in suffix_dedup.cut_repeats(docs).collect()}
+    assert len(cut) == len(rows) and cut[0].asDict().keys() == {*docs.columns, "cut"}
+    for k, row in enumerate(rows):
+        _, kept, spans = want[row]
+        assert (cut[k]["doc_id"], cut[k]["text"], cut[k]["cut"]) == (
+            row[0], kept.decode("utf-8", "ignore") if spans else row[1], bool(spans))
+
+
 def test_runs_cover_all_windows_and_depend_on_content_only():
     rng = np.random.default_rng(2)
     shared = rng.integers(97, 101, 400).astype(np.uint8)
