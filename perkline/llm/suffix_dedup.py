@@ -46,7 +46,12 @@ _CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
 
 
 class Runs:
-    """The runs of some consecutive texts, in order of place."""
+    """The runs of some consecutive texts of less than 64 MiB together, in order of place.
+
+    Of a slice of one text, ``shift`` and ``number`` say how many bytes and runs of the text lie before it.
+    """
+
+    shift = number = 0
 
     def __init__(self, raw: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> None:
         self.raw, self.bounds, self.length = raw[bounds[0]:bounds[-1]], bounds - bounds[0], length
@@ -80,6 +85,14 @@ class Runs:
         self.first = np.searchsorted(self.text, np.arange(texts + 1))
         self.name = seeded(grams[self.anchor], 11)
 
+    def keep(self, low: int, high: int) -> None:
+        """Leave only the runs that start in [low, high)."""
+        a, b = np.searchsorted(self.low, (low, high))
+        self.low, self.high, self.anchor, self.text = (x[a:b] for x in (self.low, self.high, self.anchor, self.text))
+        self.first = np.searchsorted(self.text, np.arange(len(self.first)))
+        if b > a:
+            self.name = self.name[a:b]
+
     def prints(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
         """Fingerprints of the strings of ``size`` bytes at some places."""
         return mix((self.total[at + size] - self.total[at]) * self.back[at])
@@ -92,10 +105,31 @@ class Runs:
             out["c"] = seeded(self.prints(self.low, size), 12) + seeded(
                 ((self.anchor - self.low) * 1024 + size).astype(np.uint64), 13)
             out["d"], out["h"] = ids[self.text], 0 if keys is None else keys[self.text]
-            out["o"] = np.arange(len(out)) - self.first[self.text]
+            out["o"] = np.arange(len(out)) - self.first[self.text] + self.number
         return out
 
 
+def pieces(raw: np.ndarray, bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int, Runs]]:
+    """Consecutive ranges of texts of at most ``limit`` bytes with their runs; a longer text comes in slices.
+
+    A slice has the runs that start in its ``limit`` bytes. It is read from one byte before them, which tells
+    whether its first window opens a run, up to a run and a window after them.
+    """
+    for a, b in chunks(bounds, limit):
+        size = int(bounds[b] - bounds[a])
+        if size <= limit:
+            yield a, b, Runs(raw, bounds[a:b + 1])
+            continue
+        number = 0
+        for at in range(0, size, limit):
+            low, high = max(at - 1, 0), min(size, at + limit + 2 * LENGTH)
+            runs = Runs(raw, bounds[a] + np.array([low, high]))
+            runs.shift, runs.number = low, number
+            runs.keep(at - low, at - low + limit)
+            number += len(runs.low)
+            yield a, b, runs
+
+
 def pack(rows: np.ndarray) -> bytes:
     """Entries as byte planes, column by column, which compress well."""
     planes = (np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), rows.dtype[name].itemsize)
@@ -157,20 +191,29 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("data", pa.
 
 def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Suffix arrays of some 4 MB of texts, one per bucket. Runs that repeat inside are marked at once."""
+    def stored(parts: list[np.ndarray]) -> pa.RecordBatch:
+        rows = _sorted(np.concatenate(parts))
+        new = _starts(rows, "f", "c")
+        again, rows = rows[_repeats(rows, new, "d", "h", "o")], rows[new]
+        out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
+        cuts = np.searchsorted(
+            rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
+        out += [_row(k, "new", part) for k, part in enumerate(np.split(rows, cuts)) if len(part)]
+        return pa.RecordBatch.from_pylist(out, _SCHEMA)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, bounds = as_bytes(batch.column(2))
             docs = _docs(batch)
-            for low, high in chunks(bounds, 4 << 20):
-                cuts = ((low + a, low + b) for a, b in chunks(bounds[low:high + 1], CHUNK))
-                rows = _sorted(np.concatenate([Runs(raw, bounds[a:b + 1]).entries(docs["d"][a:b], docs["h"][a:b]) for a, b in cuts]))
-                new = _starts(rows, "f", "c")
-                again, rows = rows[_repeats(rows, new, "d", "h", "o")], rows[new]
-                out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
-                cuts = np.searchsorted(
-                    rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
-                out += [_row(k, "new", part) for k, part in enumerate(np.split(rows, cuts)) if len(part)]
-                yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+            parts, size = [], 0
+            for a, b, runs in pieces(raw, bounds, CHUNK):
+                if parts and size + len(runs.raw) > 4 << 20:
+                    yield stored(parts)
+                    parts, size = [], 0
+                parts.append(runs.entries(docs["d"][a:b], docs["h"][a:b]))
+                size += len(runs.raw)
+            if parts:
+                yield stored(parts)
     return run
 
 
@@ -311,18 +354,17 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         for batch in batches:
             raw, bounds = as_bytes(batch.column(2))
             docs, asked = _docs(batch), batch.column(3)
-            for a, b in chunks(bounds, 4 * CHUNK):
-                runs = Runs(raw, bounds[a:b + 1])
+            for a, b, runs in pieces(raw, bounds, 4 * CHUNK):
                 own = asked.slice(a, b - a)
                 text = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
-                wanted = runs.first[text] + own.flatten().field("run").to_numpy()
-                valid = wanted < runs.first[text + 1]
+                wanted = runs.first[text] + own.flatten().field("run").to_numpy() - runs.number
+                valid = (wanted >= runs.first[text]) & (wanted < runs.first[text + 1])
                 wanted, hot = wanted[valid], own.flatten().field("hot").to_numpy(zero_copy_only=False)[valid]
                 out = []
                 name = runs.name[wanted] if len(wanted) else np.zeros(0, np.uint64)
                 low, text = runs.low[wanted], runs.text[wanted]
                 count = runs.high[wanted] - low + 1
-                place = low - runs.bounds[text]
+                place = low - runs.bounds[text] + runs.shift
                 at = np.flatnonzero(hot)
                 if len(at):
                     first, again = _first_windows(_explode_windows(
@@ -378,21 +420,28 @@ def _without(text: np.ndarray, own: list | None, at: list | None) -> tuple[bytes
     """A text without its marked runs and windows, and the maximal removed spans."""
     if not own and not at:
         return text.tobytes(), []
-    edge = np.zeros(len(text) + LENGTH + 1, np.int32)
+    none = np.zeros(0, np.int64)
+    low, high = [none], [none]
     if own:
-        runs = Runs(text, np.array([0, len(text)]))
         own = np.unique(np.asarray(own))
-        own = own[own < len(runs.low)]
-        np.add.at(edge, runs.low[own], 1)
-        np.add.at(edge, runs.high[own] + LENGTH, -1)
+        for _, _, runs in pieces(text, np.array([0, len(text)]), 4 * CHUNK):
+            mine = own[(own >= runs.number) & (own < runs.number + len(runs.low))] - runs.number
+            low.append(runs.low[mine] + runs.shift)
+            high.append(runs.high[mine] + runs.shift + LENGTH)
     if at:
         at = np.array([(x["low"], x["high"]) for x in at])
         at = at[at[:, 1] + LENGTH <= len(text)]
-        np.add.at(edge, at[:, 0], 1)
-        np.add.at(edge, at[:, 1] + LENGTH, -1)
-    gone = np.cumsum(edge[:len(text)]) > 0
-    turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-    return text[~gone].tobytes(), [{"start": int(x), "end": int(y)} for x, y in zip(turns[::2], turns[1::2], strict=True)]
+        low.append(at[:, 0])
+        high.append(at[:, 1] + LENGTH)
+    low, high = np.concatenate(low), np.concatenate(high)
+    if not len(low):
+        return text.tobytes(), []
+    order = np.argsort(low)
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.flatnonzero(np.append(True, low[1:] > high[:-1]))
+    start, end = low[new], high[np.append(new[1:], len(high)) - 1]
+    left = b"".join(text[x:y].tobytes() for x, y in zip(np.append(0, end), np.append(start, len(text)), strict=True))
+    return left, [{"start": int(x), "end": int(y)} for x, y in zip(start, end, strict=True)]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -125,6 +125,41 @@ def test_runs_cover_all_windows_and_depend_on_content_only():
     assert all(mine[p] == a for p, a in offset.items())
 
 
+@pytest.mark.parametrize("alphabet", [26, 2, 1])
+def test_slices_of_a_text_have_its_runs(alphabet):
+    raw = np.random.default_rng(3).integers(97, 97 + alphabet, 6000).astype(np.uint8)
+    bounds = np.array([0, 50, 5600, 6000])
+    for limit in (90, 257, 1000, 5549):
+        low, high, name, number = [], [], [], []
+        for a, b, runs in suffix_dedup.pieces(raw, bounds, limit):
+            shift = bounds[a] + runs.shift
+            low, high, name = [*low, *(runs.low + shift)], [*high, *(runs.high + shift)], [*name, *getattr(runs, "name", [])[:len(runs.low)]]
+            number += runs.entries(np.arange(a, b))["o"].tolist()
+        whole = suffix_dedup.Runs(raw, bounds)
+        assert low == whole.low.tolist() and high == whole.high.tolist() and name == whole.name.tolist()
+        assert number == whole.entries(np.arange(3))["o"].tolist()
+
+
+def test_passages_beyond_64_mib_are_found():
+    rng = np.random.default_rng(5)
+    size = (1 << 26) + (1 << 20)
+    long = rng.integers(97, 123, size).astype(np.uint8)
+    passage = long[size - 5000:size - 1000].tobytes()
+    texts = pa.array([long.tobytes().decode(), "start " + passage.decode() + " end"])
+    zero = pa.array([0, 0], pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), zero, texts], names=["d", "h", "text"])
+    names = [set(), set()]
+    for out in suffix_dedup._arrays(4)(iter([batch.slice(0, 1), batch.slice(1, 1)])):
+        for kind, data in zip(out["kind"].to_pylist(), out["data"].to_pylist(), strict=True):
+            if kind == "new":
+                rows = suffix_dedup.unpack(data, suffix_dedup.ENTRY)
+                for d in (1, 2):
+                    names[d - 1] |= set(rows["c"][rows["d"] == d].tolist())
+    assert len(names[1]) > 60 and len(names[1] - names[0]) <= 12
+    cut = suffix_dedup._without(long, None, [{"low": size - 4000, "high": size - 3901}])
+    assert cut[1] == [{"start": size - 4000, "end": size - 3801}] and len(cut[0]) == size - 199
+
+
 def test_levels_merge_as_a_binary_counter(spark):
     docs = spark.createDataFrame([(i, hashlib.sha256(str(i).encode()).hexdigest() * 5) for i in range(40)],
                                  "doc_id long, text string")
