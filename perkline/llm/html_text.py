@@ -17,13 +17,16 @@ LEAST_PAGES = 10
 SHARE = 0.5
 #: Fixed values of the markup language and of customary names, in natural order.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|select|textarea|title|button|datalist"
+RAW = "script|style|noscript|template|iframe|object|canvas|select|textarea|title|button|datalist"
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr "
     "ul".split())
 CELLS = frozenset(("td", "th", "br"))
 FURNITURE = frozenset("nav aside footer form menu dialog head".split())
+#: Never part of the main text, whatever they hold.
+INLINE = frozenset(("svg", "annotation", "annotation-xml"))
+NEVER = FURNITURE - {"form"} | INLINE
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner billboard breadcrumb breadcrumbs comment comments "
@@ -60,32 +63,79 @@ def is_furniture(tag: str, rest: str, in_article: bool) -> bool:
     return False
 
 
+def is_wrapper(tag: str, rest: str) -> bool:
+    """Whether furniture may hold the page's article: forms, and elements that only a class or id tells."""
+    plain = _ATTRIBUTE.sub(lambda m: "" if m[1].lower() in ("class", "id") else m[0], rest)
+    return tag not in NEVER and (tag == "form" or not is_furniture(tag, plain, True))
+
+
 def blocks(page: str) -> list[tuple[str, str]]:
     """The text blocks of a page's main part in page order, as (tag, text).
 
     The main part is what lies in article elements, else in main elements, else anywhere; furniture and what
     is below it is left out. Unclosed elements end with their parents, a new block ends an open paragraph.
+
+    If no article or main lies outside furniture, wrappers (a form, or an element whose class or id looks like
+    furniture) are kept that hold the page's main, or an article longer than all text outside furniture.
+    """
+    found, level, wrappers = _walk(page, frozenset())
+    if wrappers and not level:
+        spared, _, _ = _walk(page, frozenset(wrappers))
+        sizes: dict[int, int] = {}
+        chains: dict[int, tuple[tuple[int, ...], bool]] = {}
+        for _, _, text, chain, item, main in spared:
+            if item >= 0 and chain:
+                sizes[item] = sizes.get(item, 0) + len(text)
+                known = chains.get(item, (chain, main))
+                chains[item] = min(known[0], chain, key=len), main or known[1]
+        outside = sum(len(b[2]) for b in found)
+        fit = [i for i in sizes if chains[i][1] or sizes[i] > outside]
+        if fit:
+            best = max(fit, key=lambda i: (chains[i][1], -len(chains[i][0]), sizes[i]))
+            chain = set(chains[best][0])
+            found = [b for b in spared if chain.issuperset(b[3])]
+            level = max(b[0] for b in found)
+    return [(tag, text) for where, tag, text, *_ in found if where >= level]
+
+
+def _walk(page: str, spare: frozenset[int]) -> tuple[list[tuple], int, set[int]]:
+    """One pass over a page, in which furniture that opens at places in ``spare`` is kept.
+
+    Gives the blocks (2 in an article or 1 in a main, tag, text, spared elements around it, place of the outermost
+    article or main, whether that is a main), the highest level opened, and the wrappers that hold an article or main.
     """
-    stack: list[tuple[str, bool]] = []
-    found: list[tuple[int, str, str]] = []
+    stack: list[tuple[str, bool, bool, bool]] = []
+    found: list[tuple] = []
     words: list[str] = []
-    dropped = articles = mains = 0
-    level = at = 0
+    chain: list[int] = []
+    closed: list[int] = []
+    wrappers: set[int] = set()
+    dropped = articles = mains = firm = 0
+    level = at = svg = 0
+    item, item_main = -1, False
     block = "body"
 
     def flush() -> None:
         if words:
             text = " ".join(html.unescape("".join(words)).split())
             if text:
-                found.append((2 if articles else 1 if mains else 0, block, text))
+                found.append((2 if articles else 1 if mains else 0, block, text, tuple(chain), item, item_main))
             words.clear()
 
     def pop() -> None:
-        nonlocal dropped, articles, mains
-        name, drop = stack.pop()
+        nonlocal dropped, articles, mains, firm, item, svg
+        name, drop, wrapper, kept = stack.pop()
         dropped -= drop
+        firm -= drop and not wrapper
+        if kept:
+            chain.pop()
+        elif drop and wrapper:
+            closed.pop()
         articles -= name == "article"
         mains -= name == "main"
+        svg -= name == "svg"
+        if not articles and not mains:
+            item = -1
 
     for token in _TOKEN.finditer(page):
         if not dropped and token.start() > at:
@@ -109,6 +159,12 @@ def blocks(page: str) -> list[tuple[str, str]]:
         if tag in BLOCKS:
             flush()
             block = tag
+            while svg:  # a block ends an svg that was never closed
+                inside = next(d for d in range(len(stack) - 1, -1, -1) if stack[d][0] in ("svg", "foreignobject"))
+                if stack[inside][0] != "svg":
+                    break
+                while len(stack) > inside:
+                    pop()
             for depth in range(len(stack) - 1, max(len(stack) - 8, -1), -1):
                 name = stack[depth][0]
                 if name == "p" or name == tag == "li":
@@ -121,11 +177,25 @@ def blocks(page: str) -> list[tuple[str, str]]:
             words.append(" ")
         if tag in VOID or token["rest"].endswith("/"):
             continue
-        drop = is_furniture(tag, token["rest"], articles > 0)
-        if drop and not dropped:
+        furniture = tag in INLINE or is_furniture(tag, token["rest"], articles > 0)
+        kept = furniture and token.start() in spare
+        drop = furniture and not kept
+        wrapper = drop and is_wrapper(tag, token["rest"])
+        if furniture and not dropped and tag not in INLINE:
             flush()
-        stack.append((tag, drop))
+        stack.append((tag, drop, wrapper, kept))
         dropped += drop
+        firm += drop and not wrapper
+        svg += tag == "svg"
+        if kept:
+            chain.append(token.start())
+        elif wrapper:
+            closed.append(token.start())
+        if tag in ("article", "main"):
+            if item < 0:
+                item, item_main = token.start(), tag == "main"
+            if not firm:
+                wrappers.update(closed)
         articles += tag == "article"
         mains += tag == "main"
         if not dropped:
@@ -133,7 +203,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
     if not dropped and at < len(page):
         words.append(page[at:])
     flush()
-    return [(tag, text) for where, tag, text in found if where >= level]
+    return found, level, wrappers
 
 
 def subtree_hash(tag: str, text: str) -> int:

@@ -85,6 +85,28 @@ def test_main_text_by_markup():
     assert html_text.blocks('<a href="' * 3000) != []
 
 
+LONG = "Sentence of the article. " * 9
+
+
+@pytest.mark.parametrize("page", [
+    "<body><form id='aspnetForm' action='x'><nav><p>Menu</p></nav><article><p>{}</p></article><footer>f</footer></form></body>",
+    "<body><p>Slogan</p><div class='layout-sidebar'><main><p>{}</p></main><div class='sidebar'><p>Side</p></div></div></body>",
+    "<div class='comments-enabled'><article><p>{}</p></article><div class='comments'><article><p>Hm</p></article></div></div>",
+    "<article><svg width='1'/><p>{}</p></article>", "<article><svg width='1'><path d='m'><p>{}</p></article>",
+    "<article><svg><text>label</text></svg><p>{}</p></article>", "<article><math/><p>{}</p></article>"])
+def test_article_is_kept_whatever_holds_it(page):
+    assert [t for _, t in html_text.blocks(page.replace("{}", LONG))] == [LONG.strip()]
+
+
+def test_math_text_stays_and_furniture_goes():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p></article>"
+    assert html_text.blocks(page) == [("p", "Let x=1 be.")]
+    rest = "<section class='comments'><article><p>I say</p></article><article><p>Me too</p></article></section>"
+    assert [t for _, t in html_text.blocks(f"<body><div><p>{LONG}</p></div>{rest}</body>")] == [LONG.strip()]
+    assert [t for _, t in html_text.blocks(f"<p>Post</p><aside><article>{LONG}</article></aside>")] == ["Post"]
+    assert [t for _, t in html_text.blocks("<article>" + "<svg>" * 20_000 + "<p>in</p></article>")][-1] == "in"
+
+
 def test_templates_are_removed_per_host(spark):
     rows = [(i, f"http://One.example/{i}?q", full_page(i)) for i in range(12)]
     rows += [(100 + i, f"https://two.example:80/{i}", full_page(i)) for i in range(5)]
