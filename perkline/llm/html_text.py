@@ -212,18 +212,18 @@ def subtree_hash(tag: str, text: str) -> int:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the blocks of each page, and one of all of them for telling pages apart."""
+    """Hashes of the blocks of each page, and one of all of them for telling pages apart, for each of its sites."""
     for batch in batches:
-        hosts, pages, own, each = [], [], [], []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            hashes = {subtree_hash(*b) for b in blocks(page.as_py() or "")}
+        names, pages, own = [], [], []
+        for sites, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            hashes = sorted({subtree_hash(*b) for b in blocks(page.as_py() or "")})
             if hashes:
-                hosts.append(host)
-                own.append(sorted(hashes))
-                pages.append(subtree_hash("page", ",".join(map(str, own[-1]))))
+                names += sites
+                own += [hashes] * len(sites)
+                pages += [subtree_hash("page", ",".join(map(str, hashes)))] * len(sites)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(own, pa.list_(pa.int64()))],
-            names=["host", "page", "subtrees"])
+            [pa.array(names, pa.string()), pa.array(pages, pa.int64()), pa.array(own, pa.list_(pa.int64()))],
+            names=["site", "page", "subtrees"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,33 +248,45 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
+def section_of(url: Column) -> Column:
+    """The first folder of an address's path, after its host; null if the page lies in none."""
+    folder = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1)
+    return F.when(folder != "", F.concat(host_of(url), F.lit("/"), folder))
+
+
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """The main text of each page (page_id, url, html): (page_id, url, text, n_chars), one row each.
 
-    Every block element's subtree is hashed and counted per host over pages that differ in their blocks; those
-    on at least ``least_pages`` such pages and on more than ``share`` of the host's are the site's template
-    and are deleted. Copies of a page count once, so an article that was copied isn't taken for a template. A
-    larger subtree that recurs so often consists of blocks that do. Furniture is told by tag, role, class and
-    id. Blocks are joined by a line feed, white space in a block becomes one blank, character references are
-    decoded.
+    A site is a host, and each first folder of its paths. Every block is hashed and counted per site over pages that
+    differ in their blocks; those on at least ``least_pages`` such pages and on more than ``share`` of the site's
+    are its template and are deleted. So the notice of a section goes though it is on few of a host's pages. Copies
+    of a page count once, so an article that was copied isn't taken for a template. A larger subtree that recurs
+    so often consists of blocks that do. Furniture is told by tag, role, class and id. Blocks are joined by a line
+    feed, white space in a block becomes one blank, character references are decoded.
 
-    Counts are pre-aggregated, so a host of any size is fine; at most a few subtrees per host can recur on half
+    Counts are pre-aggregated, so a host of any size is fine; at most a few subtrees per site can recur on half
     of its pages, and only these are joined to the pages. Null and empty pages have empty text; pages without
     host form a group; repeated rows are extracted each and alike. An empty table gives an empty result; other
     columns are ignored.
     """
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        F.col("html").cast("string").alias("html")).withColumn("host", F.coalesce(host_of(F.col("url")), F.lit("")))
-    seen = stage_table(base.select("host", "html").mapInArrow(
-        _subtrees, "host string, page long, subtrees array<long>").distinct(), "subtrees")
-    sizes = seen.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
+        F.col("html").cast("string").alias("html")).withColumns({
+            "host": F.coalesce(host_of(F.col("url")), F.lit("")), "section": section_of(F.col("url"))})
+    seen = stage_table(base.select(F.array_compact(F.array("host", "section")), "html").mapInArrow(
+        _subtrees, "site string, page long, subtrees array<long>").distinct(), "subtrees")
+    sizes = seen.groupBy("site").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
     counts = (
-        seen.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree")
+        seen.select("site", F.explode("subtrees").alias("subtree")).groupBy("site", "subtree")
         .agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages))
     template = stage_table(
-        counts.join(sizes, "host").filter(F.col("n") > share * F.col("pages"))
-        .groupBy(F.col("host").alias("site")).agg(F.collect_list("subtree").alias("gone")), "templates")
+        counts.join(sizes, "site").filter(F.col("n") > share * F.col("pages"))
+        .groupBy("site").agg(F.collect_list("subtree").alias("gone")), "templates")
+    of_host = template.select(F.col("site").alias("host"), F.col("gone").alias("everywhere"))
+    of_section = template.select(F.col("site").alias("section"), F.col("gone").alias("here"))
+    none = F.array().cast("array<bigint>")
     return (
-        base.join(template, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "gone")
+        base.join(of_host, "host", "left").join(of_section, "section", "left")
+        .select("page_id", "url", "html", F.array_union(
+            F.coalesce("everywhere", none), F.coalesce("here", none)).alias("gone"))
         .mapInArrow(_extract, "page_id long, url string, text string, n_chars long"))

@@ -122,3 +122,14 @@ def test_templates_are_removed_per_host(spark):
     assert text[300] == text[301] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_templates_are_removed_per_section(spark):
+    rows = [(i, f"http://one.example/news/{i}", f"<p>Our news desk</p><p>News {i}</p>") for i in range(12)]
+    rows += [(100 + i, f"http://one.example/shop/a/{i}", f"<p>Our news desk {i}</p><p>Item {i}</p>") for i in range(30)]
+    rows += [(200, "http://one.example/news", "<p>Our news desk</p>"), (201, "http://two.example/news/1", "<p>Our news desk</p>")]
+    pages = spark.createDataFrame([(*r, "p", "h") for r in rows], SCHEMA)
+    text = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    assert len(text) == len(rows) and all(text[i] == f"News {i}" for i in range(12))
+    assert all(text[100 + i] == f"Our news desk {i}\nItem {i}" for i in range(30))
+    assert text[200] == text[201] == "Our news desk"
