@@ -46,7 +46,20 @@ def _vectors(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
-def _assign(centres: np.ndarray, margin: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _close(score: np.ndarray, centres: np.ndarray, least: float) -> np.ndarray:
+    """Which cells each row joins, by its scores: any two unit vectors of cosine ``least`` or more share one.
+
+    Let i and k be their best cells. What x prefers i by and y prefers k by is (x - y)(i - k) together, at most
+    sqrt(2 - 2 least) times the distance of the centres, so one of both is at most half of that.
+    """
+    apart = np.sqrt(np.maximum(
+        (centres * centres).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * centres @ centres.T, 0))
+    best = np.argmax(score, axis=1)
+    margin = np.sqrt(max(2 - 2 * least, 0)) / 2 * apart[best] + 1e-9
+    return score >= score[np.arange(len(score)), best][:, None] - margin
+
+
+def _assign(centres: np.ndarray, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("vec")
@@ -58,8 +71,7 @@ def _assign(centres: np.ndarray, margin: float) -> Callable[[Iterator[pa.RecordB
                 first = np.cumsum(sizes) - sizes
                 at = first[same][:, None] + np.arange(centres.shape[1])
                 score = unit(flat[at]) @ centres.T
-                close = score >= score.max(axis=1, keepdims=True) - margin
-                for i, row in zip(same.tolist(), close, strict=True):
+                for i, row in zip(same.tolist(), _close(score, centres, least), strict=True):
                     cells[i] = np.flatnonzero(row).tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
@@ -107,9 +119,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
 
     Vectors of equal labels and lengths are linked if their cosine in double precision is at least ``least``.
     Equal vectors become one node. Centres are fitted on the at most ``sample`` nodes of least hash; every
-    node goes to each cell whose centre is nearly as close as the closest: within a margin of four standard
-    deviations of what an angle of acos(least) can shift. A linked pair then shares a cell but for about one
-    in ten thousand; the tests measure the recall. A cell of any size is compared block by block, in tasks of
+    node goes to each cell whose score is within half of sqrt(2 - 2 least) times the distance of that centre from
+    its best one, so every linked pair shares a cell. A cell of any size is compared block by block, in tasks of
     two blocks of about ``block_rows`` rows each.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do
@@ -134,10 +145,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
     picked = nodes.filter(F.col("dim") == dim).orderBy(F.xxhash64("node"), "node").limit(sample).select("vec").collect()
     few = unit(np.array([r["vec"] for r in picked], np.float64)) if picked else np.ones((1, 1))
     centres = spherical_kmeans(few, int(min(max(1, -(-n // cell_rows)), MAX_CELLS, len(few))))
-    margin = 4 * np.sqrt(2 * (1 - least * least) / dim)
     placed = stage_table(
         nodes.select("node", "label", "dim", "copies", "vec").mapInArrow(
-            _assign(centres, float(margin)), nodes.select("node", "label", "dim", "copies", "vec").schema
+            _assign(centres, least), nodes.select("node", "label", "dim", "copies", "vec").schema
             .add("cells", ArrayType(IntegerType()))), "cells")
     entries = placed.withColumn("cell", F.explode("cells"))
     sizes = stage_table(

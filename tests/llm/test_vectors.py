@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,27 @@ def test_near_vectors_equal_brute_force(spark, cell_rows, block_rows):
     assert got == brute(data)
 
 
+def test_pairs_along_centre_differences_share_a_cell():
+    rng = np.random.default_rng(3)
+    centres = embed_dedup.unit(rng.normal(size=(12, 384)))
+    left, right = [], []
+    for i in range(12):
+        for k in range(i):
+            middle, step = centres[i] + centres[k], centres[i] - centres[k]
+            middle, step = middle / np.linalg.norm(middle), step / np.linalg.norm(step)
+            half = np.arccos(0.9801) / 2
+            left.append(np.cos(half) * middle + np.sin(half) * step)
+            right.append(np.cos(half) * middle - np.sin(half) * step)
+    x, y = np.array(left), np.array(right)
+    assert ((x * y).sum(axis=1) >= 0.98).all()
+    cells = []
+    batch = pa.RecordBatch.from_arrays([pa.array([*x.tolist(), *y.tolist()])], names=["vec"])
+    for out in embed_dedup._assign(centres, 0.98)(iter([batch])):
+        cells += out.column("cells").to_pylist()
+    assert all(set(a) & set(b) for a, b in zip(cells[:len(x)], cells[len(x):], strict=True))
+    assert sum(map(len, cells)) < len(cells) * 6
+
+
 def test_near_vectors_edge_cases(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1, "", ""), (1, [2.0, 0.0], 1, "", ""), (None, [1.0, 0.0], 1, "", "")], SCHEMA)
     got = sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(df).collect()), key=str)
