@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import embed_dedup, html_text, lm, mixing, near_dup, pieces, quality, suffix_dedup, topk, warc
+from perkline.llm import (
+    embed_dedup, host_rules, html_text, infill, lm, mixing, near_dup, negatives, pieces, quality, suffix_dedup, topk, warc,
+)
 
 #: Vocabulary file of the last operator; a path every driver can read.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -78,6 +80,30 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(docs, pieces.PieceModel.load(PIECES)).drop("text")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the rearranged documents and of the texts rebuilt from them."""
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+    text = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document, and the verdict that its own rules and the record of its host lead to."""
+    judged = host_rules.apply_rules(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "host_rejected", F.array_join("broken", ",").alias("broken"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each vector whose id is divisible by 100, after a change of every seventh label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -89,6 +115,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_host_rules": op12_host_rules,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _OP1 = r"""
@@ -173,10 +202,94 @@ select query_id, rank, vec_id, score from (
 where rank <= 20
 """
 
+_OP11 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, 'null')) as h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u from documents),
+draws as (
+  select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 50
+      then 'plain' when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form from d),
+parts as (
+  select *, array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+    array_to_string(u[greatest(a, b) + 1:n], '') as s from draws)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from parts
+"""
+
+_OP12 = r"""
+with t as (select doc_id, source, coalesce(text, '') as s from documents),
+split as (
+  select *, regexp_extract_all(s, '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(s, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from t),
+windows as (
+  select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] as g
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from split)),
+twice as (select doc_id, i from windows qualify count(*) over (partition by doc_id, g) > 1),
+covered as (
+  select doc_id, count(distinct i + k) as n from twice, (select unnest(range(0, 5)) as k) group by doc_id),
+counts as (
+  select split.doc_id, source, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    len(regexp_extract_all(s, '[#*$%&|<>]')) as n_symbols, len(l) - len(list_distinct(l)) as n_dup_lines,
+    coalesce(n, 0) as n_repeat_words, len(l) as n_lines from split left join covered on covered.doc_id = split.doc_id),
+judged as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed, 10 * n_symbols > n_words as symbols,
+    10 * n_dup_lines > 3 * n_lines as lines, word_chars < 3 * n_words or word_chars > 10 * n_words as word_length from counts),
+failures as (
+  select source, rule, count(*) as n, count_if(failed) as f from (
+    select source, unnest(['base', 'symbols', 'lines', 'word_length']) as rule,
+      unnest([base_failed, symbols, lines, word_length]) as failed from judged) group by source, rule),
+moments as (
+  select rule, (sum(f) + 0.5) / (sum(n) + 1) as mean, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 as spread,
+    count(*) / sum(n) as share from failures group by rule),
+priors as (
+  select rule, mean, case when spread > mean * (1 - mean) * share
+    then least(greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * share) - 1, 1), 1e6) else 1e6 end as strength
+  from moments),
+rates as (
+  select source, rule, (f + mean * strength) / (n + strength) as rate from failures join priors using (rule)),
+hosts as (
+  select source, max(rate) filter (rule = 'base') >= 0.5 as rejected, max(rate) filter (rule = 'symbols') >= 0.05 as on_symbols,
+    max(rate) filter (rule = 'lines') >= 0.05 as on_lines, max(rate) filter (rule = 'word_length') >= 0.05 as on_word_length
+  from rates group by source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, rejected as host_rejected,
+  not base_failed and not rejected and broken = '' as kept, broken
+from (
+  select judged.*, rejected, concat_ws(',', case when symbols and on_symbols then 'symbols' end,
+    case when lines and on_lines then 'lines' end, case when word_length and on_word_length then 'word_length' end) as broken
+  from judged join hosts on judged.source is not distinct from hosts.source)
+"""
+
+_OP13 = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same, list_dot_product(a.e, o.e)::bigint as score
+  from v a join v o on a.vec_id % 100 = 0 and a.vec_id <> o.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, (row_number() over pair)::integer as rank, vec_id as negative_id, positive_score,
+  score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+window pair as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over pair <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": _OP1,
     "op3_embedding_near_dedup": _OP3,
     "op4_source_mixing": _OP4,
     "op5_warc": _OP5,
     "op7_exact_top_k": _OP7,
+    "op11_fill_in_middle": _OP11,
+    "op12_host_rules": _OP12,
+    "op13_hard_negatives": _OP13,
 }
