@@ -22,7 +22,7 @@ from perkline.operators import joins as J
 from perkline.operators import ranking
 from perkline.operators.activity import daily_activity
 from perkline.operators.latest import first_per_key
-from perkline.plans import bi, bronze, gold, monitoring, quality, silver, timeline
+from perkline.plans import bi, bronze, gold, monitoring, quality, rollups, silver, timeline
 from perkline.plans import rules as R
 from perkline.session import scratch_path
 from perkline.sources import jsonl, landing, tables
@@ -174,11 +174,17 @@ class Domain:
         return timeline.gold_employee_benefit_timeline(
             self.stored["sil_employees"], self.stored["sil_sport_activities"], self.validity, window_days)
 
+    def daily_counts(self, window_days: int = 365):
+        """Counts of the timeline per date, from its runs."""
+        return rollups.daily_counts(*timeline.benefit_runs(self.employees, self.activities, self.validity, window_days))
+
     def volumes(self, window_days: int = 365):
+        activities = self.stored["sil_sport_activities"]
+        counts = rollups.daily_counts(
+            *timeline.benefit_runs(self.stored["sil_employees"], activities, self.validity, window_days))
         return monitoring.monitoring_activity_volumes_daily(
-            monitoring.raw_volumes(self.activities_bronze),
-            monitoring.silver_volumes(self.stored["sil_sport_activities"]),
-            monitoring.timeline_volumes(self.stored_timeline(window_days)))
+            monitoring.raw_volumes(self.activities_bronze), monitoring.silver_volumes(activities),
+            rollups.timeline_volumes(counts))
 
     def long_timeline(self):
         """The timeline of more than six years of activity."""
@@ -712,18 +718,19 @@ def agg_daily_counts(d):
 
 @query
 def agg_timeline_daily(d):
-    return monitoring.timeline_volumes(d.timeline())
+    return rollups.timeline_volumes(d.daily_counts())
 
 
 @query
 def agg_timeline_daily_7d(d):
-    return monitoring.timeline_volumes(d.timeline(I.SHORT_WINDOW))
+    return rollups.timeline_volumes(d.daily_counts(I.SHORT_WINDOW))
 
 
 @query
 def agg_timeline_daily_long(d):
     """A trailing year over more than six years of orders, so that the window moves."""
-    return monitoring.timeline_volumes(d.long_timeline())
+    activities = I.long_activities(d.spark, d.sf_dir)
+    return rollups.timeline_volumes(rollups.daily_counts(*timeline.benefit_runs(d.employees, activities, d.validity, 365)))
 
 
 @query
@@ -1010,24 +1017,24 @@ def bi_distribution_mode(d):
 
 @query
 def bi_eligibility_trend(d):
-    return bi.bi_eligibility_trend(d.timeline())
+    return rollups.eligibility_trend(d.daily_counts())
 
 
 @query
 def bi_eligibility_trend_7d(d):
-    return bi.bi_eligibility_trend(d.timeline(I.SHORT_WINDOW))
+    return rollups.eligibility_trend(d.daily_counts(I.SHORT_WINDOW))
 
 
 @query
 def bi_activity_trend(d):
-    return bi.bi_activity_trend(d.timeline(), "contract_type")
+    return rollups.activity_trend(d.employees, d.activities, d.validity, "contract_type")
 
 
 @query
 def bi_activity_trend_filtered(d):
-    chosen = bi.bi_filter(d.timeline(), contract_type=["CDI", "CDD"], transport_mode=["velo", "marche/running"],
-                          date_from="2024-01-08", date_to="2024-01-21")
-    return bi.bi_activity_trend(chosen, "business_unit")
+    return rollups.activity_trend(
+        d.employees, d.activities, d.validity, "business_unit", contract_type=["CDI", "CDD"],
+        transport_mode=["velo", "marche/running"], date_from="2024-01-08", date_to="2024-01-21")
 
 
 # --- data quality ----------------------------------------------------------------------------
@@ -1173,7 +1180,9 @@ def stream_dead_letters(d):
 @query
 def stream_dedup_first(d):
     events = S.readable_events(S.parse_events(S.stream_source(d.spark, path=d.write_messages(rounds=2, altered=True))))
-    return _collect_stream(d, S.stream_dedup_first(events), "deduped").select(
+    path = d.scratch("deduped")
+    S.drain(S.stream_dedup_first(events, path, d.scratch("progress")))
+    return d.spark.read.schema(events.schema).parquet(path).select(
         "event_id", "process_date", "partition_id", "offset_id", "payload_json")
 
 

@@ -122,20 +122,19 @@ def timeline_dates(activities: DataFrame, validity: DataFrame) -> DataFrame:
     return rule_per_date(days, validity, ["rule_version"]).select("snapshot_date")
 
 
-def gold_employee_benefit_timeline(
-    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
-) -> DataFrame:
-    """Snapshot rows for every employee and every date on which anyone was validly active."""
-    daily = stage_daily(activities)
+def rule_calendar(dates: DataFrame, validity: DataFrame, window_days: int) -> DataFrame:
+    """Numbered snapshot dates with the rule of each, and spans of dates under one rule; stored."""
     # mode lists are parsed here, per version; a date without any rule keeps its position
     parsed = validity.withColumn("modes", F.from_json("sportive_transport_modes", "array<string>"))
-    ruled = rule_per_date(distinct_dates(daily), parsed, RULE_FIELDS, keep_uncovered=True)
+    ruled = rule_per_date(dates, parsed, RULE_FIELDS, keep_uncovered=True)
     by_day = Window.orderBy("snapshot_date")
     changed = ~F.col("rule_version").eqNullSafe(F.lag("rule_version").over(by_day))
     spans = ruled.withColumn("changed", changed.cast("int")).withColumn("span", F.sum("changed").over(by_day)).drop("changed")
-    calendar = materialize_calendar(number_dates(spans, window_days))
+    return materialize_calendar(number_dates(spans, window_days))
 
-    runs = employee_runs(employees.select(*EMPLOYEE_FIELDS), daily, calendar, window_days)
+
+def decide_runs(runs: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Runs cut by rule, with the decisions that hold on all their dates."""
     mode = F.col("transport_mode")
     sportive = F.array_contains("modes", mode)
     within = distance_within_rule(
@@ -147,12 +146,26 @@ def gold_employee_benefit_timeline(
         "is_wellbeing_eligible": F.col("activity_count_12m") >= F.col("min_activities_per_year"),
     })
     bonus, wellbeing = F.col("is_bonus_eligible"), F.col("is_wellbeing_eligible")
-    final = decided.withColumns({
+    return decided.withColumns({
         "bonus_amount": F.when(bonus, F.col("potential_bonus_amount")).otherwise(F.lit(0).cast("decimal(18,2)")),
         "wellbeing_days_awarded": F.when(wellbeing, F.col("wellbeing_days")).otherwise(0),
         "wellbeing_reason": wellbeing_reason(wellbeing),
     })
-    return unroll(spread_runs(stage_table(final, "runs")), calendar).select(
+
+
+def benefit_runs(
+    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
+) -> tuple[DataFrame, DataFrame]:
+    """The timeline before it is unrolled: runs of dates with their decisions, and the calendar of their positions."""
+    daily = stage_daily(activities)
+    calendar = rule_calendar(distinct_dates(daily), validity, window_days)
+    runs = employee_runs(employees.select(*EMPLOYEE_FIELDS), daily, calendar, window_days)
+    return decide_runs(runs, calendar), calendar
+
+
+def snapshot_rows(decided: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Decided runs as the rows of the timeline, one per employee and date of ``calendar``."""
+    return unroll(spread_runs(stage_table(decided, "runs")), calendar).select(
         "employee_id", "full_name", "business_unit", "contract_type", "snapshot_date", "transport_mode",
         "distance_km_to_office", "activity_count_on_date",
         F.col("distance_km_on_date").cast("decimal(20,2)").alias("distance_km_on_date"), "duration_min_on_date",
@@ -160,3 +173,10 @@ def gold_employee_benefit_timeline(
         "is_bonus_eligible", "potential_bonus_amount", "bonus_amount", "bonus_reason", "is_wellbeing_eligible",
         "wellbeing_days_awarded", "wellbeing_reason", "rule_version",
     )
+
+
+def gold_employee_benefit_timeline(
+    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
+) -> DataFrame:
+    """Snapshot rows for every employee and every date on which anyone was validly active."""
+    return snapshot_rows(*benefit_runs(employees, activities, validity, window_days))

@@ -6,14 +6,12 @@ its own ids and never reads what earlier batches have landed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import date
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from perkline.defaults import CHANNEL, TOPIC
 from perkline.functions import activity_message
@@ -96,42 +94,38 @@ def _messages(parsed: DataFrame, process_date: str | date | None) -> DataFrame:
         F.coalesce(F.col("is_readable") & (F.col("process_date") != expected), F.lit(False)).alias("other_date"))
 
 
-_DECIDED = (
-    "value string, topic string, partition long, offset long, micros long, is_readable boolean, accepted boolean, "
-    "copies long, other_dates long"
-)
+def first_arrivals(parsed: DataFrame, process_date: str | date | None = None, event_time: str | None = None,
+                   horizon: str | None = None) -> DataFrame:
+    """Stream of parsed messages -> the same messages, and one row more (``is_new``) for each id met for the first time.
 
+    Both branches read one source, so they see the same messages in every micro-batch. The new ids come from the
+    stream's dedup operator, whose state holds ids and nothing else; which copy it meets does not matter, as
+    ``decide`` picks the first of the batch. With a horizon an id is forgotten ``horizon`` of event time after its first copy.
+    """
+    rows = _messages(parsed, process_date)
+    key = F.concat(F.lit("id:"), F.col("event_id")).alias("id")
+    readable = parsed.filter("is_readable")
+    if horizon is None:
+        ids = readable.select(key).dropDuplicates(["id"])
+    else:
+        ids = readable.withWatermark(event_time, horizon).select(key, event_time).dropDuplicatesWithinWatermark(["id"])
+    blank = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c != "id"]
+    return rows.withColumn("is_new", F.lit(False)).unionByName(ids.select("id", *blank, F.lit(True).alias("is_new")))
 
-def _verdict(rows: pd.DataFrame, accepted: bool, copies: int, other_dates: int) -> pd.DataFrame:
-    names = ["value", "topic", "partition", "offset", "micros", "is_readable"]
-    return rows[names].assign(accepted=accepted, copies=copies, other_dates=other_dates)
-
-
-def _decide(horizon_ms: int | None) -> Callable:
-    """First row of a key by partition and offset; accepted if no earlier batch had the key."""
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best, copies, other_dates, latest = None, 0, 0, None
-        for rows in batches:  # a key with many copies comes in pieces, of which only the first row is kept
-            if not rows["is_readable"].iloc[0]:
-                yield _verdict(rows, False, 1, 0)
-                continue
-            copies, other_dates = copies + len(rows), other_dates + int(rows["other_date"].sum())
-            if horizon_ms is not None:
-                latest = max(int(rows["event_ms"].max()), latest or 0)
-            rows = rows if best is None else pd.concat([best, rows])
-            best = rows.sort_values(["partition", "offset"], kind="stable").iloc[:1]
-        if best is None:
-            return
-        new = not state.exists
-        if new:
-            state.update((True,))
-        if latest is not None:
-            state.setTimeoutTimestamp(max(latest + horizon_ms, state.getCurrentWatermarkMs() + 1))
-        yield _verdict(best, new, copies, other_dates)
-    return run
+
+def decide(batch: DataFrame) -> DataFrame:
+    """Rows of ``first_arrivals`` of one micro-batch -> one decided row per id, and every unreadable message.
+
+    The copy with the smallest partition and offset stands for the id; it is accepted if the id is new.
+    ``copies`` counts the messages a row stands for.
+    """
+    is_message = ~F.col("is_new")
+    message = F.struct("value", "topic", "partition", "offset", "micros", "is_readable")
+    place = F.when(is_message, F.struct("partition", "offset", "topic"))
+    return batch.groupBy("id").agg(
+        F.min_by(message, place).alias("m"), F.max("is_new").alias("accepted"), F.count_if(is_message).alias("copies"),
+        F.count_if("other_date").alias("other_dates"),
+    ).filter("m is not null").select("id", "m.*", "accepted", "copies", "other_dates")
 
 
 def _as_messages(decided: DataFrame) -> DataFrame:
@@ -141,48 +135,28 @@ def _as_messages(decided: DataFrame) -> DataFrame:
         F.timestamp_micros("micros").alias("timestamp"))
 
 
-def first_arrivals(parsed: DataFrame, process_date: str | date | None = None) -> DataFrame:
-    """Stream of parsed messages -> one decided row per id and micro-batch, and every unreadable message.
-
-    Inside a micro-batch the smallest partition and offset is first; over batches the state store knows the ids.
-    ``copies`` counts the rows a decided row stands for.
-    """
-    return _messages(parsed, process_date).groupBy("id").applyInPandasWithState(
-        _decide(None), _DECIDED, "seen boolean", "append", GroupStateTimeout.NoTimeout)
-
-
 def first_arrivals_of_batch(parsed: DataFrame, process_date: str | date | None = None) -> DataFrame:
-    """The same decision about one batch that stands alone, without any state."""
-    rows = _messages(parsed, process_date)
-    order = Window.partitionBy("id").orderBy("partition", "offset")
-    whole = Window.partitionBy("id")
-    ranked = rows.withColumns({
-        "at": F.row_number().over(order),
-        "copies": F.when(F.col("is_readable"), F.count("*").over(whole)).otherwise(F.lit(1).cast("long")),
-        "other_dates": F.count_if("other_date").over(whole)})
-    return ranked.filter((F.col("at") == 1) | ~F.col("is_readable")).withColumn("accepted", F.col("is_readable")).select(
-        "value", "topic", "partition", "offset", "micros", "is_readable", "accepted", "copies", "other_dates")
+    """The decision about one batch that stands alone, without any state: every id is new."""
+    rows = _messages(parsed, process_date).withColumn("is_new", F.lit(False))
+    return decide(rows).withColumn("accepted", F.col("is_readable"))
 
 
-def stream_dedup_first(events: DataFrame, event_time: str | None = None, horizon: str | None = None) -> DataFrame:
-    """First event per id, by partition and offset inside a micro-batch and by batches otherwise.
+def stream_dedup_first(events: DataFrame, path: str, checkpoint: str, event_time: str | None = None,
+                       horizon: str | None = None) -> StreamingQuery:
+    """Append the first event per id to the table ``path``, and stop when the input is used up.
 
-    The state store holds ids only. Without a horizon they are remembered forever; with one, an id is
-    forgotten ``horizon`` of event time after its last copy, so state is bounded.
+    First is by partition and offset inside a micro-batch and by batches otherwise. The state store holds ids only. Without
+    a horizon they are remembered forever; with one, an id is forgotten ``horizon`` of event time after its first
+    copy, so state is bounded. A retried batch replaces its own rows.
     """
-    rows = events.withColumn("is_readable", F.lit(True))
-    if horizon is None:
-        decided = first_arrivals(rows)
-    else:
-        timed = rows.withWatermark(event_time, horizon).select(
-            F.concat(F.lit("id:"), F.col("event_id")).alias("id"), F.col("payload_json").alias("value"), "topic",
-            F.col("partition_id").cast("long").alias("partition"), F.col("offset_id").cast("long").alias("offset"),
-            F.unix_micros("consumed_at").alias("micros"), "is_readable", F.lit(False).alias("other_date"),
-            F.unix_millis(event_time).alias("event_ms"), event_time)
-        decided = timed.groupBy("id").applyInPandasWithState(
-            _decide(int(pd.Timedelta(horizon).total_seconds() * 1000)), _DECIDED, "seen boolean", "append",
-            GroupStateTimeout.EventTimeTimeout)
-    return readable_events(parse_events(_as_messages(decided.filter("accepted"))))
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        accepted = readable_events(parse_events(_as_messages(decide(batch).filter("accepted"))))
+        (accepted.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    rows = first_arrivals(events.withColumn("is_readable", F.lit(True)), None, event_time, horizon)
+    return (rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def notifications(accepted: DataFrame, channel: str = CHANNEL) -> DataFrame:
@@ -262,33 +236,30 @@ def land_batch(decided: DataFrame, root: str, stream_id: str, batch_id: int) ->
     The stream's state has already sorted out what the stream itself has seen. Only what streams with other
     checkpoints have landed is compared here; that is fixed while this stream runs, so the work of a batch
     does not grow with the batches before it. Ids, contents and target partitions depend on the input only, so
-    any retry gives the same files.
+    any retry gives the same files. The counts are observed while the progress row is written.
     """
     spark = decided.sparkSession
+    others = _other_streams(spark, root, stream_id)
+    if others is not None:
+        held = others.select(F.concat(F.lit("id:"), F.col("event_id")).alias("held")).distinct()
+        decided = decided.join(held, F.col("id") == F.col("held"), "left").withColumn(
+            "accepted", F.col("accepted") & F.col("held").isNull()).drop("held")
     rows = decided.persist()
     try:
-        others = _other_streams(spark, root, stream_id)
         accepted = readable_events(parse_events(_as_messages(rows.filter("accepted"))))
-        if others is not None:
-            accepted = accepted.join(others.select("event_id").distinct(), "event_id", "left_anti")
-        accepted = accepted.persist()
-        dead = dead_letters(parse_events(_as_messages(rows.filter("not is_readable"))))
-        taken = accepted.agg(F.count("*").alias("accepted"))
-        counts = rows.agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("consumed"), F.count_if(~F.col("is_readable")).alias("unreadable"),
-            F.coalesce(F.sum("other_dates"), F.lit(0)).alias("other_process_date"),
-        ).withColumn("accepted", taken.scalar())
-        counts = counts.withColumn("duplicates", F.col("consumed") - F.col("unreadable") - F.col("accepted")).persist()
         _store(accepted, root, "events", stream_id, batch_id)
         _store(notifications(accepted), root, "messages", stream_id, batch_id)
-        _store(dead, root, "dead_letters", stream_id, batch_id)
-        _store(counts, root, "progress", stream_id, batch_id)
-        seen = counts.first().asDict()
-        accepted.unpersist()
-        counts.unpersist()
+        _store(dead_letters(parse_events(_as_messages(rows.filter("not is_readable")))), root, "dead_letters", stream_id, batch_id)
+        sums = {"consumed": F.col("copies"), "unreadable": F.when(~F.col("is_readable"), F.col("copies")),
+                "other_process_date": F.col("other_dates"), "accepted": F.col("accepted").cast("long")}
+        counts = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
+        counts = counts.withColumn("duplicates", F.col("consumed") - F.col("unreadable") - F.col("accepted"))
+        seen = Observation(f"batch-{batch_id}")
+        observed = counts.observe(seen, *[F.max(c).alias(c) for c in counts.columns])
+        _store(observed, root, "progress", stream_id, batch_id)
     finally:
         rows.unpersist()
-    return seen
+    return dict(seen.get)
 
 
 def start_ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str | date | None = None,
@@ -303,7 +274,7 @@ def start_ingest(messages: DataFrame, root: str, checkpoint: str, process_date:
     def handle(batch: DataFrame, batch_id: int) -> None:
         # the query id is stable over restarts and changes with a new checkpoint
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        counts = land_batch(batch, root, stream_id, batch_id)
+        counts = land_batch(decide(batch), root, stream_id, batch_id)
         if on_batch:
             on_batch(batch_id, counts)
 

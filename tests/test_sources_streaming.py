@@ -155,9 +155,7 @@ def test_stream_dedup_with_and_without_horizon(spark, tmp_path):
     for name, horizon in (("plain", None), ("bounded", "1 day")):
         events = S.readable_events(S.parse_events(S.stream_source(spark, path=source)))
         out = str(tmp_path / name)
-        query = (S.stream_dedup_first(events, "event_ts", horizon).writeStream.format("parquet").option("path", out)
-                 .option("checkpointLocation", str(tmp_path / f"{name}-cp")).trigger(availableNow=True).start())
-        S.drain(query)
+        S.drain(S.stream_dedup_first(events, out, str(tmp_path / f"{name}-cp"), "event_ts", horizon))
         assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [f"a{i}" for i in range(5)]
 
 
@@ -179,7 +177,30 @@ def test_first_copy_wins_inside_a_batch(spark, tmp_path):
     messages(spark, copies).write.json(source)
     for name, horizon in (("plain", None), ("bounded", "1 day")):
         events = S.readable_events(S.parse_events(S.stream_source(spark, path=source)))
-        query = (S.stream_dedup_first(events, "event_ts", horizon).writeStream.format("parquet").option("path", f"{out}-{name}")
-                 .option("checkpointLocation", str(tmp_path / f"{name}-cp")).trigger(availableNow=True).start())
-        S.drain(query)
+        S.drain(S.stream_dedup_first(events, f"{out}-{name}", str(tmp_path / f"{name}-cp"), "event_ts", horizon))
         assert [(r.offset_id, json.loads(r.payload_json)["distance_km"]) for r in spark.read.parquet(f"{out}-{name}").collect()] == [(3, 3.0)]
+
+
+def test_both_branches_of_the_dedup_read_one_source(spark, tmp_path):
+    """What the ids are taken from and what is landed must be the same messages, batch by batch."""
+    chunks = [[(event(10 * k + i), 10 * k + i) for i in range(3)] for k in range(3)]
+    run_stream(spark, tmp_path, chunks, "s")
+    assert [p.name for p in (tmp_path / "s-progress" / "sources").iterdir()] == ["0"]
+
+
+def test_ingestion_runs_without_python_workers(spark, tmp_path):
+    source = str(tmp_path / "in")
+    messages(spark, [(event(1), 1), ("{bad", 2)]).write.json(source)
+    plans = []
+
+    def handle(batch, batch_id):
+        decided = S.decide(batch)
+        plans.append(decided._jdf.queryExecution().executedPlan().toString())
+        decided.write.format("noop").mode("overwrite").save()
+
+    query = (S.first_arrivals(S.parse_events(S.stream_source(spark, path=source))).writeStream.foreachBatch(handle)
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    S.drain(query)
+    stream = query._jsq.explainInternal(True) + "".join(plans)
+    assert plans and "StreamingDeduplicate" in stream
+    assert not any(word in stream for word in ("Python", "Pandas", "Arrow"))
