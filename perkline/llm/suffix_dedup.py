@@ -40,7 +40,9 @@ PART = np.dtype([*DOC, ("o", "<u4"), ("f", "<u8")])
 RUN = np.dtype([("f", "<u8"), *DOC, ("p", "<u4"), ("n", "<u1")])
 WINDOW = np.dtype([("f", "<u8"), ("w", "<u8"), *DOC, ("p", "<u4")])
 SPAN = np.dtype([*DOC, ("p", "<u4"), ("q", "<u4")])
+#: Bytes of text that are worked on at a time, and windows that are compared at a time.
 CHUNK = 1 << 19
+WINDOWS = 1 << 18
 HOT = 1 << 15
 _CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
 
@@ -186,6 +188,16 @@ def _row(bucket: int, kind: str, data: np.ndarray) -> dict:
     return {"bucket": bucket, "kind": kind, "data": pack(data)}
 
 
+def _by_bucket(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The buckets that occur in ``key``, each with the places of its entries; the others cost nothing."""
+    if not len(key):
+        return
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    yield from ((int(key[a]), order[a:b]) for a, b in zip(at, np.append(at[1:], len(key)), strict=True))
+
+
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
 
 
@@ -196,9 +208,8 @@ def _arrays(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         new = _starts(rows, "f", "c")
         again, rows = rows[_repeats(rows, new, "d", "h", "o")], rows[new]
         out = [_row(int(x["d"][0]) % buckets, "mark", _places(x)) for x in [again] if len(x)]
-        cuts = np.searchsorted(
-            rows["f"], (np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - _bits(buckets))))
-        out += [_row(k, "new", part) for k, part in enumerate(np.split(rows, cuts)) if len(part)]
+        key = (rows["f"] >> np.uint64(64 - _bits(buckets))).astype(np.int64)
+        out += [_row(k, "new", rows[x]) for k, x in _by_bucket(key)]
         return pa.RecordBatch.from_pylist(out, _SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,7 +365,7 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         for batch in batches:
             raw, bounds = as_bytes(batch.column(2))
             docs, asked = _docs(batch), batch.column(3)
-            for a, b, runs in pieces(raw, bounds, 4 * CHUNK):
+            for a, b, runs in pieces(raw, bounds, CHUNK):
                 own = asked.slice(a, b - a)
                 text = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
                 wanted = runs.first[text] + own.flatten().field("run").to_numpy() - runs.number
@@ -371,46 +382,70 @@ def _contents(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                         name[at], docs[a:b][text[at]], place[at], lambda x, r=runs: r.prints(x, LENGTH), low[at], count[at]))
                     out.append(_row(int(docs["d"][a]) % buckets, "again", _spans(again)))
                     key = (seeded(first["w"], 21) >> np.uint64(64 - _bits(buckets))).astype(np.int64)
-                    order = np.argsort(key, kind="stable")
-                    cuts = np.searchsorted(key[order], np.arange(1, buckets))
-                    out += [_row(k, "windows", first[x]) for k, x in enumerate(np.split(order, cuts)) if len(x)]
+                    out += [_row(k, "windows", first[x]) for k, x in _by_bucket(key)]
                 at = np.flatnonzero(~hot)
-                key = (name[at] >> np.uint64(64 - _bits(buckets))).astype(np.int64)
-                order = at[np.argsort(key, kind="stable")]
-                cuts = np.searchsorted(np.sort(key), np.arange(1, buckets))
-                for k, x in enumerate(np.split(order, cuts)):
-                    if len(x):
-                        rows = np.zeros(len(x), RUN)
-                        rows["f"], rows["p"], rows["n"] = name[x], place[x], count[x]
-                        rows["d"], rows["h"] = docs["d"][a:b][text[x]], docs["h"][a:b][text[x]]
-                        size = count[x] + LENGTH - 1
-                        inside = np.arange(size.sum()) + np.repeat(low[x] - np.cumsum(size) + size, size)
-                        out.append({"bucket": k, "kind": "runs",
-                                    "data": len(x).to_bytes(4, "little") + pack(rows) + runs.raw[inside].tobytes()})
+                for k, x in _by_bucket((name[at] >> np.uint64(64 - _bits(buckets))).astype(np.int64)):
+                    x = at[x]
+                    rows = np.zeros(len(x), RUN)
+                    rows["f"], rows["p"], rows["n"] = name[x], place[x], count[x]
+                    rows["d"], rows["h"] = docs["d"][a:b][text[x]], docs["h"][a:b][text[x]]
+                    size = count[x] + LENGTH - 1
+                    inside = np.arange(size.sum()) + np.repeat(low[x] - np.cumsum(size) + size, size)
+                    out.append({"bucket": k, "kind": "runs",
+                                "data": len(x).to_bytes(4, "little") + pack(rows) + runs.raw[inside].tobytes()})
                 yield pa.RecordBatch.from_pylist([x for x in out if x["data"]], _SCHEMA)
     return run
 
 
+def _slices(parts: list[np.ndarray]) -> Iterator[tuple[np.uint64, np.uint64]]:
+    """Ranges of names, ends included, of about ``WINDOWS`` windows each; one name stays in one range."""
+    name = np.concatenate([rows["f"] for rows in parts])
+    count = np.concatenate([rows["n"] for rows in parts]).astype(np.int64)
+    order = np.argsort(name, kind="stable")
+    name, total = name[order], np.cumsum(count[order])
+    at = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
+    part = (total[at] - count[order][at]) // WINDOWS
+    opens = at[np.flatnonzero(np.append(True, part[1:] != part[:-1]))]
+    yield from zip(name[opens], name[np.append(opens[1:], len(name)) - 1], strict=True)
+
+
 def _resolve(key: tuple, table: pa.Table) -> pa.Table:
-    """Windows of a bucket that start earlier elsewhere, as spans (d, h, low, high)."""
-    again, parts = [], []
-    for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
+    """Windows of a bucket that start earlier elsewhere, as spans (d, h, low, high).
+
+    Equal windows have equal names, so the names are taken in slices and only the windows of a slice are spelt out.
+    """
+    again, single, parts, texts = [], [], [], []
+    for kind, data in zip(table["kind"], table["data"], strict=True):
+        kind, data = kind.as_py(), data.as_py()
         if kind == "again":
             again.append(unpack(data, SPAN))
         elif kind == "windows":
-            parts.append(unpack(data, WINDOW))
+            single.append(unpack(data, WINDOW))
         else:
-            n = int.from_bytes(data[:4], "little")
-            end = 4 + n * RUN.itemsize
-            rows = unpack(data[4:end], RUN)
-            raw = np.frombuffer(data, np.uint8, offset=end)
-            size = rows["n"].astype(np.int64) + LENGTH - 1
-            bytes_of = Runs(raw, np.array([0, len(raw)]), len(raw) + 1)
-            parts.append(_explode_windows(
-                rows["f"], rows, rows["p"], lambda x, r=bytes_of: r.prints(x, LENGTH), np.cumsum(size) - size,
-                rows["n"].astype(np.int64)))
-    if parts:
-        again.append(_spans(_first_windows(np.concatenate(parts))[1]))
+            end = 4 + int.from_bytes(data[:4], "little") * RUN.itemsize
+            parts.append(unpack(data[4:end], RUN))
+            texts.append(np.frombuffer(data, np.uint8, offset=end))
+    if single:
+        again.append(_spans(_first_windows(np.concatenate(single))[1]))
+        del single
+    starts = []
+    for rows in parts:
+        size = rows["n"].astype(np.int64) + LENGTH - 1
+        starts.append(np.cumsum(size) - size)
+    for first, last in _slices(parts) if parts else ():
+        windows = []
+        for rows, start, raw in zip(parts, starts, texts, strict=True):
+            mine = np.flatnonzero((rows["f"] >= first) & (rows["f"] <= last))
+            if len(mine):
+                own = rows[mine]
+                count = own["n"].astype(np.int64)
+                size = count + LENGTH - 1
+                low = np.cumsum(size) - size
+                inside = np.arange(size.sum()) + np.repeat(start[mine] - low, size)
+                bytes_of = Runs(raw[inside], np.array([0, len(inside)]), len(inside) + 1)
+                windows.append(_explode_windows(
+                    own["f"], own, own["p"], lambda x, r=bytes_of: r.prints(x, LENGTH), low, count))
+        again.append(_spans(_first_windows(np.concatenate(windows))[1]))
     found = np.concatenate(again)
     return pa.table({"d": pa.array(found["d"]), "h": pa.array(found["h"]), "low": pa.array(found["p"].astype(np.int64)),
                      "high": pa.array(found["q"].astype(np.int64))})
@@ -424,7 +459,7 @@ def _without(text: np.ndarray, own: list | None, at: list | None) -> tuple[bytes
     low, high = [none], [none]
     if own:
         own = np.unique(np.asarray(own))
-        for _, _, runs in pieces(text, np.array([0, len(text)]), 4 * CHUNK):
+        for _, _, runs in pieces(text, np.array([0, len(text)]), CHUNK):
             mine = own[(own >= runs.number) & (own < runs.number + len(runs.low))] - runs.number
             low.append(runs.low[mine] + runs.shift)
             high.append(runs.high[mine] + runs.shift + LENGTH)
@@ -445,11 +480,11 @@ def _without(text: np.ndarray, own: list | None, at: list | None) -> tuple[bytes
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove marked runs and windows from the texts, some 4 MB of them at a time."""
+    """Remove marked runs and windows from the texts, some of them at a time."""
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         raw, bounds = as_bytes(batch.column(1))
-        for a, b in chunks(bounds, 4 << 20):
+        for a, b in chunks(bounds, 2 * CHUNK):
             marks, places = (batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3))
             left = [_without(raw[bounds[a + i]:bounds[a + i + 1]], own, at)
                     for i, (own, at) in enumerate(zip(marks, places, strict=True))]
@@ -463,7 +498,7 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without marked runs and windows, and whether anything went; a character that a cut has parted goes."""
     for batch in batches:
         raw, bounds = as_bytes(batch.column(1))
-        for a, b in chunks(bounds, 4 << 20):
+        for a, b in chunks(bounds, 2 * CHUNK):
             text = batch.column(1).slice(a, b - a)
             marks, places = (batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3))
             left = [_without(raw[bounds[a + i]:bounds[a + i + 1]], own, at) if own or at else (b"", [])

@@ -173,3 +173,28 @@ def test_levels_merge_as_a_binary_counter(spark):
     raw, bounds = as_bytes(pa.array([r["text"] for r in docs.collect()]))
     made = suffix_dedup.Runs(raw, bounds).entries(np.arange(40))
     assert entries == len(set(zip(made["f"].tolist(), made["c"].tolist(), strict=True)))
+
+
+def test_windows_resolved_in_slices_of_names_give_the_same_spans(monkeypatch):
+    rng = np.random.default_rng(12)
+    phrase = rng.integers(97, 123, 400, dtype=np.uint8).tobytes().decode()
+    texts = [phrase[k:k + 240] + "".join(chr(c) for c in rng.integers(97, 123, 200)) + phrase[:130 + k] for k in range(0, 120, 7)]
+    runs = [{"run": int(r), "hot": False} for r in range(40)]
+    asked = pa.array([runs] * len(texts), pa.list_(pa.struct([("run", pa.int64()), ("hot", pa.bool_())])))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts), asked],
+        names=["d", "h", "text", "asked"])
+    table = pa.Table.from_batches(list(suffix_dedup._contents(1)(iter([batch]))))
+
+    def resolved(windows):
+        monkeypatch.setattr(suffix_dedup, "WINDOWS", windows)
+        return sorted(tuple(r.values()) for r in suffix_dedup._resolve((pa.scalar(0),), table).to_pylist())
+
+    found = [{(d, p) for d, _, low, high in resolved(n) for p in range(low, high + 1)} for n in (1, 100, 1 << 18)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
+def test_entries_are_dealt_to_the_buckets_that_occur():
+    key = np.array([5, 2, 5, 900_000, 2])
+    assert [(k, x.tolist()) for k, x in suffix_dedup._by_bucket(key)] == [(2, [1, 4]), (5, [0, 2]), (900_000, [3])]
+    assert list(suffix_dedup._by_bucket(key[:0])) == []
