@@ -29,15 +29,18 @@ def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
     groups = near_dup.near_duplicates(docs)
-    gone = groups.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = groups.filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 100 bytes or more that start earlier; what is left empty goes."""
-    cut = suffix_dedup.cut_repeats(docs).filter(~F.col("cut") | F.col("text").rlike(r"\S"))
-    size = F.when(F.col("cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", size).select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    cut = suffix_dedup.cut_repeats(docs.select("doc_id", "text", F.struct(*others).alias("row")))
+    left = cut.filter(~F.col("cut") | F.col("text").rlike(r"\S"))
+    kind = docs.schema["n_chars"].dataType
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("cut"), F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))}
+    return left.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
