@@ -68,18 +68,24 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, tem
     id. Texts play no part, so null, empty and long ones are kept as they are. An empty table gives an empty
     result; columns named ``copy`` or ``position`` are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("copy", "position")]
+    kept = [c for c in docs.columns if c.lower() not in ("copy", "position")]
     steps = poisson_steps(F.col("rate"))
     table = stage_table(rates(docs, source_col, weights, temperature, total).select(
-        F.col("source").alias("_source"), F.col("parts").alias("_parts"), steps.alias("_steps")), "rates")
-    source = F.col(source_col).cast(table.schema["_source"].dataType)
-    joined = docs.select(*kept).join(table, source.eqNullSafe(F.col("_source")))
-    draws = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda part: F.size(
-        F.filter("_steps", lambda step: step <= uniform(F.col(id_col), seed, part))))
-    count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
+        "source", "parts", steps.alias("steps")), "rates")
+    # rows travel as one column, so their names meet no other
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(id_col).alias("id"),
+                       F.col(source_col).cast(table.schema["source"].dataType).alias("of"))
+    joined = rows.join(table, F.col("of").eqNullSafe(F.col("source")))
+
+    def drawn(number: Column) -> Column:
+        return F.size(F.filter("steps", lambda step: step <= number))
+
+    # every draw is hashed once and then compared with all steps
+    numbers = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: uniform(F.col("id"), seed, part))
+    count = F.aggregate(F.transform(numbers, drawn), F.lit(0), lambda a, b: a + b)
     copies = F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>")))
-    rows = joined.select(*kept, copies.alias("copy"))
     position = F.xxhash64(F.md5(F.concat_ws(
-        ":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(str(seed)), F.lit("order"),
+        ":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(str(seed)), F.lit("order"),
         F.col("copy").cast("string"))))
-    return rows.withColumn("position", position).orderBy("position", id_col, "copy")
+    ordered = joined.select("row", "id", copies.alias("copy")).withColumn("position", position).orderBy("position", "id", "copy")
+    return ordered.select("row.*", "copy", "position")

@@ -280,10 +280,11 @@ def encode_decode(docs: DataFrame, model: PieceModel, text_col: str = "text") ->
     bounded vocabulary and goes along with the tasks.
     """
     own = ("n_bytes", "n_tokens", "token_ids", "round_trip")
-    base = docs.select(*[c for c in docs.columns if c not in own and c != text_col], text_col)
+    kept = [c for c in docs.columns if c.lower() not in own]
+    base = docs.select(*[c for c in kept if c != text_col], text_col)
     base = base.withColumn(text_col, base[text_col].cast("string"))
     fields = [*base.schema.fields[:-1], StructField(text_col, StringType())]
     added = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType()),
              StructField("token_ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())]
     out = base.mapInArrow(_code(model, len(base.columns) - 1), StructType([*fields, *added]))
-    return out.select(*[c for c in docs.columns if c not in own], *own)
+    return out.select(*kept, *own)

@@ -194,9 +194,12 @@ def classify(docs: DataFrame, model: Model, host_col: str = "source", path_col:
     empty table gives an empty result; columns named like the results are replaced.
     """
     own = ("evidence", "site", "probability", "kept")
-    base = docs.select(*[c for c in docs.columns if c not in own])
-    slim = base.select(F.col(host_col).alias("_host"), F.col(path_col).alias("_path"),
+    kept = [c for c in docs.columns if c.lower() not in own]
+    others = F.struct(*[c for c in kept if c != text_col]).alias("row")
+    # a row's other columns travel as one, so their names meet no other
+    base = docs.select(F.col(host_col).alias("_host"), F.col(path_col).alias("_path"), others,
                        F.col(text_col).cast("string").alias("_text"))
+    slim = base.drop("row")
     sums = slim.mapInArrow(_scores(model, 2, False), _scored(slim.drop("_text"))).groupBy("_host", "_path").agg(
         F.count("*").alias("n"), F.sum(_chance(F.col("_evidence"))).alias("s"))
     paths = stage_table(sums, "paths")
@@ -211,13 +214,13 @@ def classify(docs: DataFrame, model: Model, host_col: str = "source", path_col:
     close = _strength(below, F.col("mean"))
     site = (F.col("s") + close * F.col("mean")) / (F.col("n") + close)
     sites = stage_table(below.select(F.col("_host").alias("_h"), F.col("_path").alias("_p"), site.alias("site")), "sites")
-    text_at = base.columns.index(text_col)
-    scored = base.mapInArrow(_scores(model, text_at, True), _scored(base))
-    joined = scored.join(sites, F.col(host_col).eqNullSafe(F.col("_h")) & F.col(path_col).eqNullSafe(F.col("_p")))
+    scored = base.mapInArrow(_scores(model, 3, True), _scored(base))
+    joined = scored.join(sites, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p")))
     bounded = F.least(F.greatest("site", F.lit(1e-6)), F.lit(1 - 1e-6))
     shift = F.log(bounded / (1 - bounded)) - float(np.log(prior / (1 - prior)))
     return joined.select(
-        *base.columns, _chance(F.col("_evidence")).alias("evidence"), "site",
+        *[F.col("_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in kept],
+        _chance(F.col("_evidence")).alias("evidence"), "site",
         _chance(F.col("_evidence") + shift).alias("probability"),
         (F.col("_evidence") + shift >= 0).alias("kept"))
 
