@@ -85,7 +85,7 @@ def joined(yearly_cte: str) -> str:
     """
 
 
-def snapshots(acts: str, days: int) -> str:
+def snapshots(acts: str, days: int, known: str = "") -> str:
     """Plain form of the timeline: grid, range join, one group per employee and date."""
     return f"""
         select g.employee_id, g.snapshot_date,
@@ -97,7 +97,7 @@ def snapshots(acts: str, days: int) -> str:
         from (select employee_id, snapshot_date from sil_emp, (select distinct activity_date as snapshot_date
               from {acts} where is_valid_activity)) g
         left join (select * from {acts} where is_valid_activity) a
-          on a.employee_id = g.employee_id and g.snapshot_date - a.activity_date between 0 and {days}
+          on a.employee_id = g.employee_id and g.snapshot_date - a.activity_date between 0 and {days} {known}
         group by all
     """
 
@@ -317,6 +317,8 @@ FRAGMENTS: dict[str, str] = {
         from orders
     """,
     "snap_long": snapshots("long_acts", 365),
+    "snap_known": snapshots("sil_acts", 7, "and a.process_date <= g.snapshot_date"),
+    "decided_known": timeline("snap_known"),
     "decided_365": timeline("snap_365"),
     "decided_7": timeline("snap_7"),
     "decided_long": timeline("snap_long"),
@@ -813,6 +815,9 @@ ORACLE: dict[str, str] = {
         activity_count_total=(select count(*) from sil_acts where is_valid_activity)""", "from bonus /* well_365 sil_acts */"),
     "gold_employee_benefit_timeline": build(TIMELINE, "from decided_365"),
     "gold_employee_benefit_timeline_7d": build(TIMELINE, "from decided_7"),
+    "timeline_refreshed": build(TIMELINE, "from decided_365"),
+    "timeline_refreshed_7d": build(TIMELINE, "from decided_7"),
+    "timeline_known_at": build(TIMELINE, "from decided_known"),
     "timeline_long_history": build("""
         snapshot_date:d; employees=count(*); on_date:i=sum(activity_count_on_date); distance_km:n=sum(distance_km_on_date);
         trailing:i=sum(activity_count_12m); trailing_days:i=sum(sport_days_count_12m); last_activity_date:d=max(last_activity_date);

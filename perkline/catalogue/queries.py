@@ -22,7 +22,7 @@ from perkline.operators import joins as J
 from perkline.operators import ranking
 from perkline.operators.activity import daily_activity
 from perkline.operators.latest import first_per_key
-from perkline.plans import bi, bronze, gold, monitoring, quality, rollups, silver, timeline
+from perkline.plans import bi, bronze, gold, monitoring, quality, refresh, rollups, silver, timeline
 from perkline.plans import rules as R
 from perkline.session import scratch_path
 from perkline.sources import jsonl, landing, tables
@@ -920,6 +920,33 @@ def gold_employee_benefit_timeline_7d(d):
     return d.timeline(I.SHORT_WINDOW)
 
 
+def _refreshed(d, window_days: int):
+    """Stored without the activities of one day and those that came late on two others, then brought up to date."""
+    late = F.col("activity_date") == F.lit("2024-01-20").cast("date")
+    late |= F.col("activity_date").isin("2024-01-08", "2024-01-09") & (F.datediff("process_date", "activity_date") == 2)
+    activities, path = d.stored["sil_sport_activities"], d.scratch("timeline")
+    refresh.store_timeline(path, d.stored["sil_employees"], activities.filter(~late), d.validity, window_days)
+    return refresh.refresh_timeline(
+        path, d.stored["sil_employees"], activities, d.validity, activities.filter(late), window_days).select(
+        *timeline.COLUMNS)
+
+
+@query
+def timeline_refreshed(d):
+    return _refreshed(d, 365)
+
+
+@query
+def timeline_refreshed_7d(d):
+    return _refreshed(d, I.SHORT_WINDOW)
+
+
+@query
+def timeline_known_at(d):
+    """Snapshots as they were known on their dates: activities count once they have been processed."""
+    return timeline.gold_employee_benefit_timeline(d.employees, d.activities, d.validity, I.SHORT_WINDOW, known_at=True)
+
+
 @query
 def timeline_long_history(d):
     """The whole employee x date grid over six years of activity, rolled up per date."""

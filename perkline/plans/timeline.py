@@ -7,11 +7,13 @@ date itself (and what happened on it) per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkline.defaults import WINDOW_DAYS
-from perkline.operators.activity import daily_activity, trailing_intervals
+from perkline.operators.activity import daily_activity, known_activity, known_intervals, trailing_intervals
 from perkline.operators.calendar import distinct_dates, materialize_calendar, number_dates, rule_per_date
 from perkline.plans.gold import bonus_reason, potential_bonus, wellbeing_reason
 from perkline.plans.silver import distance_within_rule
@@ -26,6 +28,12 @@ EMPLOYEE_FIELDS = (
     "employee_id", "full_name", "business_unit", "contract_type", "gross_salary", "transport_mode",
     "distance_km_to_office",
 )
+COLUMNS = (
+    "employee_id", "full_name", "business_unit", "contract_type", "snapshot_date", "transport_mode", "distance_km_to_office",
+    "activity_count_on_date", "distance_km_on_date", "duration_min_on_date", "activity_count_12m", "sport_days_count_12m",
+    "last_activity_date", "last_process_date", "is_bonus_eligible", "potential_bonus_amount", "bonus_amount", "bonus_reason",
+    "is_wellbeing_eligible", "wellbeing_days_awarded", "wellbeing_reason", "rule_version",
+)
 ON_DATE = {"activity_count": "activity_count_on_date", "distance_km": "distance_km_on_date", "duration_min": "duration_min_on_date"}
 TRAILING_COUNTS = ("activity_count_12m", "sport_days_count_12m")
 TRAILING_DATES = ("last_activity_date", "last_process_date")
@@ -36,14 +44,15 @@ def stage_daily(activities: DataFrame) -> DataFrame:
     return stage_table(daily_activity(activities.filter("is_valid_activity")), "daily_activity")
 
 
-def employee_runs(employees: DataFrame, daily: DataFrame, calendar: DataFrame, window_days: int) -> DataFrame:
+def employee_runs(employees: DataFrame, daily: DataFrame, calendar: DataFrame, window_days: int,
+                  intervals: Callable[..., DataFrame] = trailing_intervals) -> DataFrame:
     """Every employee's dates as runs ``begins..ends`` of calendar positions with constant trailing metrics.
 
     Dates before the first activity, or all dates of an idle employee, form a run of zeros. What
     happened on the first date of a run (``on_pos``) rides along.
     """
     last_pos = calendar.count()
-    runs = trailing_intervals(daily, calendar, window_days, last_pos)
+    runs = intervals(daily, calendar, window_days, last_pos)
 
     def piece(begins, ends, active: bool):
         return F.struct(begins.alias("begins"), ends.alias("ends"), F.lit(active).alias("active"))
@@ -154,29 +163,31 @@ def decide_runs(runs: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def benefit_runs(
-    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
+    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS, known_at: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The timeline before it is unrolled: runs of dates with their decisions, and the calendar of their positions."""
-    daily = stage_daily(activities)
+    if known_at:
+        daily = stage_table(known_activity(activities.filter("is_valid_activity")), "known_activity")
+    else:
+        daily = stage_daily(activities)
     calendar = rule_calendar(distinct_dates(daily), validity, window_days)
-    runs = employee_runs(employees.select(*EMPLOYEE_FIELDS), daily, calendar, window_days)
+    runs = employee_runs(employees.select(*EMPLOYEE_FIELDS), daily, calendar, window_days,
+                         known_intervals if known_at else trailing_intervals)
     return decide_runs(runs, calendar), calendar
 
 
 def snapshot_rows(decided: DataFrame, calendar: DataFrame) -> DataFrame:
     """Decided runs as the rows of the timeline, one per employee and date of ``calendar``."""
-    return unroll(spread_runs(stage_table(decided, "runs")), calendar).select(
-        "employee_id", "full_name", "business_unit", "contract_type", "snapshot_date", "transport_mode",
-        "distance_km_to_office", "activity_count_on_date",
-        F.col("distance_km_on_date").cast("decimal(20,2)").alias("distance_km_on_date"), "duration_min_on_date",
-        "activity_count_12m", "sport_days_count_12m", "last_activity_date", "last_process_date",
-        "is_bonus_eligible", "potential_bonus_amount", "bonus_amount", "bonus_reason", "is_wellbeing_eligible",
-        "wellbeing_days_awarded", "wellbeing_reason", "rule_version",
-    )
+    rows = unroll(spread_runs(stage_table(decided, "runs")), calendar)
+    return rows.withColumn("distance_km_on_date", F.col("distance_km_on_date").cast("decimal(20,2)")).select(*COLUMNS)
 
 
 def gold_employee_benefit_timeline(
-    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS
+    employees: DataFrame, activities: DataFrame, validity: DataFrame, window_days: int = WINDOW_DAYS, known_at: bool = False
 ) -> DataFrame:
-    """Snapshot rows for every employee and every date on which anyone was validly active."""
-    return snapshot_rows(*benefit_runs(employees, activities, validity, window_days))
+    """Snapshot rows for every employee and every date on which anyone was validly active.
+
+    With ``known_at`` a snapshot holds only what had been processed by its date, so activities that arrive late leave
+    earlier snapshots as they were; by default they count on their day, whenever they came.
+    """
+    return snapshot_rows(*benefit_runs(employees, activities, validity, window_days, known_at))
