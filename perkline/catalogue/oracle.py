@@ -915,6 +915,10 @@ ORACLE: dict[str, str] = {
     "stream_dedup_first": build("event_id; process_date:d; partition_id; offset_id; payload_json", "from landed"),
     "stream_drain": build("event_id; process_date:d; partition_id; offset_id", "from landed"),
     "stream_notify_once": build(MESSAGE.format(extra="process_date:d;"), "from landed"),
+    "stream_max_messages": build("event_id; partition_id; offset_id; run:i=if(place <= total // 3, 1, 2)", """
+        from (select *, offset_id % 100 <> 57 as ok, count(*) over () as total, row_number() over (order by partition_id, offset_id) as place,
+                     row_number() over (partition by event_id, offset_id % 100 <> 57 order by partition_id, offset_id) as copy from act_raw)
+        where ok and copy = 1 and place <= total // 3 + total // 4"""),
     "stream_progress_metrics": build("""
         consumed=2 * count(*); accepted=count(distinct case when ok then event_id end);
         duplicates=2 * count(case when ok then 1 end) - count(distinct case when ok then event_id end);

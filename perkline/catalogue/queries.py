@@ -1229,3 +1229,14 @@ def stream_progress_metrics(d):
     """Totals of the counts that the running stream wrote batch by batch."""
     names = ("consumed", "accepted", "duplicates", "unreadable", "other_process_date")
     return S.read_sink(d.spark, d.ingest(), "progress").agg(*[F.sum(n).alias(n) for n in names])
+
+
+@query
+def stream_max_messages(d):
+    """Two runs with a limit: a third of all messages, then a quarter of them; which run landed an event."""
+    total = I.messages(d.spark, d.sf_dir).count()
+    root, checkpoint, source = d.scratch("landed"), d.scratch("progress"), d.write_messages()
+    for limit in (total // 3, total // 4):
+        S.ingest(S.stream_source(d.spark, path=source), root, checkpoint, I.INGEST_DATE, max_messages=limit)
+    return S.read_sink(d.spark, root, "events").select(
+        "event_id", "partition_id", "offset_id", F.when(F.col("batch_id") >= 0, 1).otherwise(2).alias("run"))

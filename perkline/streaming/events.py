@@ -9,13 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.java_gateway import JavaObject
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perkline.defaults import CHANNEL, TOPIC
 from perkline.functions import activity_message
 from perkline.functions.dates import as_date
+from perkline.operators.ranking import total_order_rank
+from perkline.session import stage_table
 
 # Columns of a Kafka-protocol source, as strings.
 MESSAGE_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
@@ -262,6 +266,18 @@ def land_batch(decided: DataFrame, root: str, stream_id: str, batch_id: int) ->
     return dict(seen.get)
 
 
+def _start(messages: DataFrame, checkpoint: str, process_date: str | date | None, handle: Callable) -> StreamingQuery:
+    return (
+        first_arrivals(parse_events(messages), process_date).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def _stream_id(batch: DataFrame) -> str:
+    """The id of the query, which is stable over restarts and changes with a new checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def start_ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str | date | None = None,
                  on_batch: Callable[[int, dict[str, int]], None] | None = None) -> StreamingQuery:
     """Consume everything available, batch by batch, then stop. Offsets and seen ids persist in ``checkpoint``.
@@ -272,16 +288,125 @@ def start_ingest(messages: DataFrame, root: str, checkpoint: str, process_date:
     prepare_sinks(messages.sparkSession, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # the query id is stable over restarts and changes with a new checkpoint
-        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        counts = land_batch(decide(batch), root, stream_id, batch_id)
+        counts = land_batch(decide(batch), root, _stream_id(batch), batch_id)
         if on_batch:
             on_batch(batch_id, counts)
 
-    return (
-        first_arrivals(parse_events(messages), process_date).writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return _start(messages, checkpoint, process_date, handle)
+
+
+class LimitReached(RuntimeError):
+    """Ends a run before a micro-batch that is over its limit; the next run starts with that batch."""
+
+
+def decide_messages(batch: DataFrame) -> DataFrame:
+    """Rows of ``first_arrivals`` of one micro-batch -> every message with the decision about it, and its ``position``
+    by partition and offset. Landing them in parts, in any number of runs, lands what ``decide`` says about all."""
+    order = [F.asc("partition"), F.asc("offset"), F.asc("topic")]
+    copies = Window.partitionBy("id")
+    first = F.row_number().over(copies.orderBy(F.asc("is_new"), *order)) == 1
+    judged = batch.withColumn("accepted", first & F.max("is_new").over(copies)).filter("not is_new").select(
+        "id", "value", "topic", "partition", "offset", "micros", "is_readable", "accepted", F.lit(1).cast("long").alias("copies"),
+        F.col("other_date").cast("long").alias("other_dates"))
+    # stored first: ranking reads its input twice, and the stream's state must be asked once
+    return total_order_rank(stage_table(judged, "judged"), order, "position")
+
+
+def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _forget(spark: SparkSession, root: str, stream_id: str, batch_id: int) -> None:
+    """Remove what an attempt at this batch with another limit has landed."""
+    for name in ("events", "messages", "dead_letters", "progress"):
+        day = f"{SINK_KEYS[name]}=*/" if name in SINK_KEYS else ""
+        store, pattern = _files(spark, f"{_sink(root, name)}/stream_id={stream_id}/{day}batch_id={batch_id}")
+        for found in store.globStatus(pattern) or []:
+            store.delete(found.getPath(), True)
+
+
+def _backlog(root: str, stream_id: str, batch_id: int | None = None) -> str:
+    return _sink(root, f"backlog/stream_id={stream_id}") + ("" if batch_id is None else f"/batch_id={batch_id}")
+
+
+def _land_backlog(spark: SparkSession, root: str, checkpoint: str, limit: int | None, on_batch: Callable | None) -> int:
+    """Land messages that earlier runs have read and left for later, ``limit`` at most; returns their number.
+
+    Only batches that the stream has committed count: an uncommitted one is read again and leaves its rest anew. How far
+    a rest has been landed is the sum of the counts its parts have written to ``progress``.
+    """
+    store, metadata = _files(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if not store.exists(metadata):
+        return 0
+    stream_id = spark.read.json(metadata.toString()).first()["id"]
+    store, folder = _files(spark, _backlog(root, stream_id))
+    if not store.exists(folder):
+        return 0
+    batches = sorted(int(f.getPath().getName().split("=")[1]) for f in store.listStatus(folder) if "=" in f.getPath().getName())
+    taken = 0
+    for batch_id in batches:
+        log, committed = _files(spark, f"{checkpoint.rstrip('/')}/commits/{batch_id}")
+        rest = spark.read.parquet(_backlog(root, stream_id, batch_id))
+        ids = -((batch_id + 1) << 32)
+        while log.exists(committed) and (limit is None or taken < limit):
+            own = F.col("stream_id") == stream_id
+            own &= F.col("batch_id").between(ids - (1 << 32) + 1, ids)
+            done = read_sink(spark, root, "progress").filter(own).agg(F.coalesce(F.sum("consumed"), F.lit(0))).first()[0]
+            part = rest.filter(F.col("place") > done)
+            if limit is not None:
+                part = part.filter(F.col("place") <= done + limit - taken)
+            _forget(spark, root, stream_id, ids - done)
+            if part.isEmpty():
+                _, used_up = _files(spark, _backlog(root, stream_id, batch_id))
+                store.delete(used_up, True)
+                break
+            counts = land_batch(part.drop("place"), root, stream_id, ids - done)
+            taken += counts["consumed"]
+            if on_batch:
+                on_batch(ids - done, counts)
+    return taken
+
+
+def ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str | date | None = None,
+           max_messages: int | None = None, on_batch: Callable[[int, dict[str, int]], None] | None = None) -> int:
+    """Consume what is available, or exactly ``max_messages`` of it, and return the number of messages.
+
+    The limit cuts a micro-batch by partition and offset. Its rest has been read and decided, so it is kept in the ``backlog``
+    of the stream and landed by the next run before anything else; later micro-batches are not begun. The reader's
+    ``max_files`` or ``max_offsets`` bounds such a rest.
+    """
+    spark = messages.sparkSession
+    prepare_sinks(spark, root)
+    taken = _land_backlog(spark, root, checkpoint, max_messages, on_batch)
+    if max_messages is not None and taken >= max_messages:
+        return taken
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        nonlocal taken
+        stream_id = _stream_id(batch)
+        if max_messages is None:
+            counts = land_batch(decide(batch), root, stream_id, batch_id)
+        else:
+            left = max_messages - taken
+            if left <= 0:
+                raise LimitReached(f"{max_messages} messages")
+            decided = decide_messages(batch)
+            rest = decided.filter(F.col("position") > left).withColumn("place", F.col("position") - left)
+            _forget(spark, root, stream_id, batch_id)
+            rest.drop("position").write.mode("overwrite").parquet(_backlog(root, stream_id, batch_id))
+            counts = land_batch(decided.filter(F.col("position") <= left).drop("position"), root, stream_id, batch_id)
+        taken += counts["consumed"]
+        if on_batch:
+            on_batch(batch_id, counts)
+
+    query = _start(messages, checkpoint, process_date, handle)
+    try:
+        drain(query)
+    except StreamingQueryException as failure:
+        if LimitReached.__name__ not in str(failure):
+            raise
+    return taken
 
 
 def drain(query: StreamingQuery) -> None:

@@ -204,3 +204,53 @@ def test_ingestion_runs_without_python_workers(spark, tmp_path):
     stream = query._jsq.explainInternal(True) + "".join(plans)
     assert plans and "StreamingDeduplicate" in stream
     assert not any(word in stream for word in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("max_files", [1, 3])
+def test_a_limit_lands_exactly_its_messages_and_the_next_run_goes_on(spark, tmp_path, max_files):
+    values = [event(i % 9, distance_km=float(i)) for i in range(12)] + ["{bad", event(9), event(10), "[]"]
+    chunks = [values[:7], values[7:9], values[9:]]
+    source, offset = str(tmp_path / "in"), 0
+    for chunk in chunks:
+        messages(spark, [(v, offset + k) for k, v in enumerate(chunk)]).coalesce(1).write.mode("append").json(source)
+        offset += len(chunk)
+
+    def run(name, limit):
+        counts = []
+        taken = S.ingest(S.stream_source(spark, path=source, max_files=max_files), str(tmp_path / name), str(tmp_path / f"{name}-cp"),
+                         max_messages=limit, on_batch=lambda b, c: counts.append(c))
+        assert taken == sum(c["consumed"] for c in counts)
+        return taken
+
+    assert run("whole", None) == 16 and run("whole", None) == 0
+    total = 0
+    for limit in (4, 1, 5, 3, 100):
+        taken = run("parts", limit)
+        assert taken == min(limit, 16 - total)
+        total += taken
+        progress = S.read_sink(spark, str(tmp_path / "parts"), "progress").agg(F.sum("consumed")).first()[0]
+        assert progress == total
+        landed_places = [r.offset_id for r in S.read_sink(spark, str(tmp_path / "parts"), "events").collect()]
+        assert all(p < total for p in landed_places)
+    assert run("parts", None) == 0
+    assert landed(spark, str(tmp_path / "parts")) == landed(spark, str(tmp_path / "whole"))
+
+
+def test_an_attempt_with_another_limit_replaces_the_first(spark, tmp_path, monkeypatch):
+    """A run that breaks off after landing, before its batch is committed, leaves nothing that the next one keeps."""
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    messages(spark, [(event(i, process_date=f"2024-01-{i + 1:02d}"), i) for i in range(8)]).coalesce(1).write.json(source)
+    land = S.land_batch
+
+    def broken(*args):
+        land(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(S, "land_batch", broken)
+    with pytest.raises(Exception, match="lost"):
+        S.ingest(S.stream_source(spark, path=source), root, checkpoint, max_messages=6)
+    monkeypatch.setattr(S, "land_batch", land)
+    assert S.ingest(S.stream_source(spark, path=source), root, checkpoint, max_messages=3) == 3
+    assert sorted(r.offset_id for r in S.read_sink(spark, root, "events").collect()) == [0, 1, 2]
+    assert S.ingest(S.stream_source(spark, path=source), root, checkpoint) == 5
+    assert sorted(r.offset_id for r in S.read_sink(spark, root, "events").collect()) == list(range(8))
