@@ -614,6 +614,16 @@ ORACLE: dict[str, str] = {
     "upsert_by_key": build("""
         rule_version; effective_from:d; wellbeing_days:i=if(k % 2 = 0, wellbeing_days + 20, wellbeing_days);
         loaded_at:t=if(k % 2 = 0, loaded_at + interval 2 day, loaded_at)""", "from rules"),
+    "upsert_stored": build("""
+        rule_version; effective_from:d; wellbeing_days:i=if(k % 2 = 0, wellbeing_days + 20, wellbeing_days);
+        loaded_at:t=if(k % 2 = 0, loaded_at + interval 2 day, loaded_at)""", "from rules"),
+    "replace_stored": build("rule_version; rule_path; rule_value_json; value_type",
+                            "from parameters where k % 5 <> 0 or rule_path <> 'limits.ratio'"),
+    "insert_stored": build("event_id; offset_id; process_date:d",
+                           "from act_raw where event_id::bigint % 2 = 1 and offset_id < 1000000000"),
+    "evolve_stored": build("key; name; segment; ingestion_id", """
+        from (select s_suppkey as key, s_name as name, null::varchar as segment, 'old' as ingestion_id from supplier
+        union all select c_custkey, null, c_mktsegment, 'new' from customer)"""),
     "replace_by_key": build("rule_version; rule_path; rule_value_json; value_type",
                             "from parameters where k % 5 <> 0 or rule_path <> 'limits.ratio'"),
     "insert_if_absent": build("event_id; offset_id; process_date:d",

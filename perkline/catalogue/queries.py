@@ -25,7 +25,7 @@ from perkline.operators.latest import first_per_key
 from perkline.plans import bi, bronze, gold, monitoring, quality, refresh, rollups, silver, timeline
 from perkline.plans import rules as R
 from perkline.session import scratch_path
-from perkline.sources import jsonl, landing, tables
+from perkline.sources import jsonl, landing, stored, tables
 from perkline.streaming import events as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -338,6 +338,50 @@ def insert_if_absent(d):
     return accepted.select("event_id", "offset_id", "process_date")
 
 
+@query
+def upsert_stored(d):
+    """The upsert into a table on storage, in two batches."""
+    path, updates = d.scratch("keyed"), _rule_updates(d)
+    stored.create_keyed(d.rules_raw, path, ["rule_version"])
+    late = F.col("loaded_at") > F.lit("2024-01-03").cast("timestamp")
+    for batch in (updates.filter(~late), updates):
+        stored.upsert_stored(path, batch, ["loaded_at"])
+    return stored.read_keyed(d.spark, path).select("rule_version", "effective_from", "wellbeing_days", "loaded_at")
+
+
+@query
+def replace_stored(d):
+    path = d.scratch("keyed")
+    stored.create_keyed(d.parameters_raw, path, ["rule_version"])
+    stored.replace_stored(path, d.parameters_raw.filter(
+        (F.substring("rule_version", 2, 20).cast("bigint") % 5 == 0) & (F.col("rule_path") != "limits.ratio")))
+    return stored.read_keyed(d.spark, path).select("rule_version", "rule_path", "rule_value_json", "value_type")
+
+
+@query
+def insert_stored(d):
+    """What two deliveries of the same events add to a table that holds every second one."""
+    path, events = d.scratch("keyed"), d.activities_raw.select("event_id", "offset_id", "process_date")
+    stored.create_keyed(events.filter(F.col("event_id").cast("bigint") % 2 == 0).withColumn("held", F.lit(True)), path, ["event_id"])
+    for _ in range(2):
+        stored.insert_stored(path, events, [F.col("offset_id").asc()])
+    return stored.read_keyed(d.spark, path).filter("held is null").drop("held")
+
+
+@query
+def evolve_stored(d):
+    """Batches of an old and a new layout in one folder, read back as one table."""
+    path = d.scratch("evolving")
+    batch = [F.lit("f.csv").alias("source_file"), F.lit("2024-01-05").cast("date").alias("process_date")]
+    old = d.table("supplier").select(
+        F.col("s_suppkey").cast("int").alias("key"), F.col("s_name").alias("name"), *batch, F.lit("old").alias("ingestion_id"))
+    new = d.table("customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"), *batch, F.lit("new").alias("ingestion_id"))
+    for rows in (old, new):
+        stored.write_evolving(rows, path, ["ingestion_id"])
+    return stored.read_stored(d.spark, path).select("key", "name", "segment", "ingestion_id")
+
+
 def _write_event_lines(d) -> str:
     path = d.scratch("jsonl")
     jsonl.write_jsonl(d.activities_bronze.select(
