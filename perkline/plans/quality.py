@@ -105,15 +105,16 @@ class Suite:
     table: str
     checks: tuple[Check, ...] = field(default=())
 
-    def columns(self) -> list[str]:
-        return list(dict.fromkeys(c.column for c in self.checks))
+    def split(self) -> tuple[list[Check], list[Check]]:
+        """Checks of single rows, and checks on keys."""
+        return [c for c in self.checks if c.kind not in KEY_CHECKS], [c for c in self.checks if c.kind in KEY_CHECKS]
 
 
 def _required(table: str, *columns: str) -> Suite:
     return Suite(table, tuple(Check("not_null", c) for c in columns))
 
 
-# Expectations of the validation run.
+# Expectations of the validation run.
 SUITES = (
     Suite("sil_employees", (
         Check("not_null", "employee_id"),
@@ -138,7 +139,7 @@ SUITES = (
     )),
 )
 
-# Tests of the models, by layer.
+# Tests of the models, by layer.
 MODEL_SUITES = {
     "bronze": (
         Suite("business_rules_history", (Check("not_null", "rule_version"), Check("unique", "rule_version"))),
@@ -181,49 +182,69 @@ MODEL_SUITES = {
 }
 
 
-def _key_failures(check: Check, per_key: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing rows of a check on keys, from the rows per key: one row (row_count, failing_rows)."""
-    if check.kind == "unique":
-        bad = F.col(check.column).isNotNull() & (F.col("n") > 1)
-        return per_key.agg(F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("failing_rows"))
-    table, column = check.parent
-    parents = tables[table].select(F.col(column).alias(check.column)).distinct()
-    return per_key.join(parents, check.column, "left_anti").filter(F.col(check.column).isNotNull()).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"))
+def _entries(name: str, suites: Sequence[Suite], flags: int) -> list[Column]:
+    """What a row of table ``name`` adds to the stacked keys of all suites.
 
+    One entry (check 0) counts the row and its failures of row checks, one per check on keys carries the key, and one
+    per check of another table that names this one as parent tells that the key exists.
+    """
+    def entry(suite: int, check: int, key: Column, n: int, parent: int, failures: Sequence[Column] = ()) -> Column:
+        marks = [*failures, *[F.lit(False)] * (flags - len(failures))]
+        return F.struct(
+            F.lit(suite).alias("suite"), F.lit(check).alias("check"), key.cast("string").alias("key"), F.lit(n).alias("n"),
+            F.lit(parent).alias("parent"), *[F.coalesce(m, F.lit(False)).cast("int").alias(f"f{i}") for i, m in enumerate(marks)])
+
+    out = []
+    for number, suite in enumerate(suites):
+        rows, keys = suite.split()
+        if suite.table == name:
+            out.append(entry(number, 0, F.lit(None), 1, 0, [c.failure() for c in rows]))
+            out += [entry(number, at, F.col(c.column), 1, 0) for at, c in enumerate(keys, 1)]
+        out += [entry(number, at, F.col(c.parent[1]), 0, 1) for at, c in enumerate(keys, 1) if c.parent[0] == name]
+    return out
 
-def run_suite(df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """(table, check, column, rows, failing rows, success) for one table.
 
-    All row checks share one aggregation pass; checks on keys count rows per key with partial aggregation
-    first. Nothing but the totals leaves the executors.
+def validation_suite(tables: Mapping[str, DataFrame], suites: Sequence[Suite] = SUITES) -> DataFrame:
+    """(table, check, column, rows, failing rows, success) of all checks of all suites.
+
+    Every table is read once: its rows are stacked with those of the others as (suite, check, key) and counted per
+    key in one aggregation, which is partial in the tasks, so what shuffles is one row per task and distinct key. Keys of
+    parents are stacked onto the checks that ask for them, so no join is needed. A second, small aggregation sums up.
     """
-    row_checks = [c for c in suite.checks if c.kind not in KEY_CHECKS]
-    totals = df.select(*suite.columns()).agg(
-        F.count("*").alias("row_count"),
-        *[F.count_if(c.failure()).alias(f"check_{i}") for i, c in enumerate(row_checks)],
-    )
-    parts = []
-    if row_checks:
-        labelled = F.array(*[
-            F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
-                     F.col(f"check_{i}").alias("failing_rows"))
-            for i, c in enumerate(row_checks)
-        ])
-        parts.append(totals.select("row_count", F.inline(labelled)))
-    for check in (c for c in suite.checks if c.kind in KEY_CHECKS):
-        per_key = df.groupBy(check.column).agg(F.count("*").alias("n"))
-        parts.append(_key_failures(check, per_key, tables or {}).select(
-            totals.select("row_count").scalar().alias("row_count"), F.lit(check.kind).alias("check_name"),
-            F.lit(check.column).alias("column_name"), "failing_rows"))
-    results = reduce(DataFrame.unionByName, parts)
-    return results.select(
-        F.lit(suite.table).alias("table_name"), "check_name", "column_name", "row_count", "failing_rows",
-        (F.col("failing_rows") == 0).alias("success"))
+    split = [s.split() for s in suites]
+    flags, most = (max((len(s[k]) for s in split), default=0) for k in (0, 1))
+    names = list(dict.fromkeys([*(s.table for s in suites), *(c.parent[0] for _, keys in split for c in keys if c.parent[0])]))
+    parts = [tables[name].select(F.inline(F.array(*_entries(name, suites, flags)))) for name in names]
+    # a suite of an empty table has results too
+    spark = parts[0].sparkSession
+    parts.append(spark.range(len(suites)).select(
+        F.col("id").cast("int").alias("suite"), F.lit(0).alias("check"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("n"),
+        F.lit(0).alias("parent"), *[F.lit(0).alias(f"f{i}") for i in range(flags)]))
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("suite", "check", "key").agg(
+        F.sum("n").alias("n"), F.max("parent").alias("parent"), *[F.sum(f"f{i}").alias(f"f{i}") for i in range(flags)])
+
+    kinds = [[c.kind for c in keys] for _, keys in split]
+    unique = [F.struct(F.lit(s), F.lit(at)) for s, row in enumerate(kinds) for at, k in enumerate(row, 1) if k == "unique"]
+    is_unique = F.struct("suite", "check").isin(*unique) if unique else F.lit(False)
+    bad = F.col("key").isNotNull() & F.when(is_unique, F.col("n") > 1).otherwise(F.col("parent") == 0)
+    per_suite = per_key.groupBy("suite").agg(
+        F.sum(F.when(F.col("check") == 0, F.col("n"))).alias("row_count"),
+        *[F.sum(F.when(F.col("check") == 0, F.col(f"f{i}"))).alias(f"f{i}") for i in range(flags)],
+        *[F.coalesce(F.sum(F.when((F.col("check") == at) & bad, F.col("n"))), F.lit(0)).alias(f"k{at}") for at in range(1, most + 1)])
+
+    def results(suite: Suite, rows: list[Check], keys: list[Check]) -> Column:
+        found = [*zip(rows, (f"f{i}" for i in range(flags)), strict=False), *zip(keys, (f"k{i}" for i in range(1, most + 1)), strict=False)]
+        return F.array(*[F.struct(
+            F.lit(suite.table).alias("table_name"), F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
+            F.col("row_count").alias("row_count"), F.col(n).alias("failing_rows"), (F.col(n) == 0).alias("success")) for c, n in found])
+
+    labelled = F.coalesce(*[F.when(F.col("suite") == i, results(s, *split[i])) for i, s in enumerate(suites)])
+    return per_suite.select(F.inline(labelled))
 
 
-def validation_suite(tables: Mapping[str, DataFrame], suites: Sequence[Suite] = SUITES) -> DataFrame:
-    return reduce(DataFrame.unionByName, [run_suite(tables[s.table], s, tables) for s in suites])
+def run_suite(df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The results of one table."""
+    return validation_suite({**(tables or {}), suite.table: df}, [suite])
 
 
 def validation_report(results: DataFrame, generated_at: str) -> DataFrame:

@@ -113,3 +113,11 @@ def test_batches_are_written_without_a_file_per_task(spark, tmp_path):
     df = spark.range(0, 4000, 1, 40).selectExpr("id", "concat('f', id % 2) source_file", "date'2024-01-01' process_date")
     tables.write_batches(df, str(tmp_path / "b"))
     assert len(list((tmp_path / "b").rglob("*.parquet"))) <= 4
+
+
+def test_key_checks_share_one_scan_and_one_exchange(spark):
+    text = plan(QUERIES["validation_suite_faults"](spark, SF))
+    assert text.count("Exchange hashpartitioning(suite#") - text.count("Exchange hashpartitioning(suite#", text.index("Initial Plan") if "Initial Plan" in text else len(text)) <= 2
+    for table in ("orders", "customer"):
+        assert len(re.findall(rf"FileScan parquet .*/{table}\.parquet", text)) == 1
+    assert "Join" not in text
