@@ -17,15 +17,19 @@ LEAST_PAGES = 10
 SHARE = 0.5
 #: Fixed values of the markup language and of customary names, in natural order.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|iframe|object|canvas|select|textarea|title|button|datalist"
+#: Elements whose content is text up to their end tag, and elements that show no text of the page.
+RAW = frozenset("iframe script style textarea title".split())
+SILENT = RAW | frozenset("button canvas datalist noscript object select template".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr "
     "ul".split())
 CELLS = frozenset(("td", "th", "br"))
+#: Elements that templates are made of; other inline elements go with the block they are in.
+COUNTED = (BLOCKS | frozenset(("a", "span"))) - frozenset("article body head html main".split())
 FURNITURE = frozenset("nav aside footer form menu dialog head".split())
 #: Never part of the main text, whatever they hold.
-INLINE = frozenset(("svg", "annotation", "annotation-xml"))
+INLINE = frozenset(("svg", "annotation", "annotation-xml")) | SILENT
 NEVER = FURNITURE - {"form"} | INLINE
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 NAMES = frozenset(
@@ -35,15 +39,44 @@ NAMES = frozenset(
     "related respond replies search share sharing sidebar signup skyscraper social sponsor sponsored subscribe "
     "subscription toolbar topbar widget widgets".split())
 PAGE_ONLY = frozenset("header head masthead".split())
+#: Names that are furniture as a whole class only, and words that may stand beside a name in a compound class.
+WHOLE = frozenset("hidden responses reviews".split())
+BESIDE = frozenset(
+    "area bar block box button buttons container content form icons inner item items link links list post posts section "
+    "signup title wrap wrapper".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<raw>{RAW})(?=[\s/>])(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+>"
-    rf"(?:.*?</(?P=raw)\s*+>|.*\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>", re.S | re.I)
+_CLOSES = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PART = re.compile(r"[^a-z0-9]+")
 _ABOUT = re.compile(r"(?:no|not|has|with|without)[-_]")
 
 
+def tokens(page: str) -> Iterator[re.Match]:
+    """Tags and comments in page order. A raw element is passed over up to its end tag; one that has none is an
+    ordinary element, which ends with its parent."""
+    at, open_ended = 0, set()
+    while token := _TOKEN.search(page, at):
+        yield token
+        at, tag = token.end(), (token["tag"] or "").lower()
+        if tag in RAW and not token["end"] and tag not in open_ended:
+            close = _CLOSES[tag].search(page, at)
+            if close:
+                at = close.start()
+            else:
+                open_ended.add(tag)
+
+
+def _is_name(word: str, in_article: bool) -> bool:
+    """Whether a class or id names furniture: by any part of it, but inside an article by all of them."""
+    if _ABOUT.match(word):
+        return False
+    parts = {p for p in _PART.split(word) if p}
+    if in_article:
+        return word in WHOLE or bool(parts & NAMES) and parts <= NAMES | BESIDE
+    return word in WHOLE or bool(parts & (NAMES | PAGE_ONLY))
+
+
 def is_furniture(tag: str, rest: str, in_article: bool) -> bool:
     """Whether an element is no part of the main text, by its tag, role, class, id or being hidden."""
     if tag in FURNITURE or tag == "header" and not in_article:
@@ -53,8 +86,7 @@ def is_furniture(tag: str, rest: str, in_article: bool) -> bool:
     for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            parts = {part for word in value.split() if not _ABOUT.match(word) for part in _PART.split(word)}
-            if parts & NAMES or (not in_article and parts & PAGE_ONLY):
+            if any(_is_name(word, in_article) for word in value.split()):
                 return True
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -137,7 +169,7 @@ def _walk(page: str, spare: frozenset[int]) -> tuple[list[tuple], int, set[int]]
         if not articles and not mains:
             item = -1
 
-    for token in _TOKEN.finditer(page):
+    for token in tokens(page):
         if not dropped and token.start() > at:
             words.append(page[at:token.start()])
         at = token.end()
@@ -165,7 +197,7 @@ def _walk(page: str, spare: frozenset[int]) -> tuple[list[tuple], int, set[int]]
                     break
                 while len(stack) > inside:
                     pop()
-            for depth in range(len(stack) - 1, max(len(stack) - 8, -1), -1):
+            for depth in range(len(stack) - 1, -1, -1):
                 name = stack[depth][0]
                 if name == "p" or name == tag == "li":
                     while len(stack) > depth:
@@ -177,7 +209,7 @@ def _walk(page: str, spare: frozenset[int]) -> tuple[list[tuple], int, set[int]]
             words.append(" ")
         if tag in VOID or token["rest"].endswith("/"):
             continue
-        furniture = tag in INLINE or is_furniture(tag, token["rest"], articles > 0)
+        furniture = tag in INLINE or is_furniture(tag, token["rest"], articles > 0 or mains > 0)
         kept = furniture and token.start() in spare
         drop = furniture and not kept
         wrapper = drop and is_wrapper(tag, token["rest"])
@@ -206,21 +238,86 @@ def _walk(page: str, spare: frozenset[int]) -> tuple[list[tuple], int, set[int]]
     return found, level, wrappers
 
 
-def subtree_hash(tag: str, text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{tag}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(),
-                          "little", signed=True)
+def _digest(*parts: str | bytes) -> bytes:
+    own = hashlib.blake2b(digest_size=8)
+    for part in parts:
+        own.update(part if isinstance(part, bytes) else part.encode("utf-8", "surrogatepass"))
+        own.update(b"\0")
+    return own.digest()
+
+
+def subtrees(page: str) -> list[tuple[int, int, int]]:
+    """Every element that holds text as (start, end, hash), before anything is judged.
+
+    The hash covers the tag, its attributes, and texts and children in order, blanks aside. Void elements belong to
+    their parents' texts; a block ends an open paragraph, and any other element that is not closed ends where its
+    parent does.
+    """
+    found: list[tuple[int, int, int]] = []
+    stack: list[tuple[str, str, int, list[bytes], list[bool]]] = [("", "", 0, [], [False])]
+
+    def text(low: int, high: int) -> None:
+        value = " ".join(page[low:high].split())
+        if value:
+            stack[-1][3].append(value.encode("utf-8", "surrogatepass"))
+            stack[-1][4][0] = True
+
+    def pop(end: int) -> None:
+        tag, rest, start, parts, filled = stack.pop()
+        digest = _digest(tag, rest, *parts)
+        stack[-1][3].append(digest)
+        stack[-1][4][0] |= filled[0]
+        if filled[0] and tag in COUNTED:
+            found.append((start, end, int.from_bytes(digest, "little", signed=True)))
+
+    at = 0
+    for token in tokens(page):
+        text(at, token.start())
+        at, tag = token.end(), (token["tag"] or "").lower()
+        if not tag:
+            continue
+        rest = " ".join(token["rest"].split())
+        if not token["end"]:
+            if tag in BLOCKS:
+                inner = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] in BLOCKS), 0)
+                if inner and (stack[inner][0] == "p" or stack[inner][0] == tag == "li"):
+                    while len(stack) > inner:
+                        pop(token.start())
+            if tag in VOID or rest.endswith("/"):
+                stack[-1][3].append(_digest(tag, rest))
+            else:
+                stack.append((tag, rest, token.start(), [], [False]))
+        elif any(entry[0] == tag for entry in stack):
+            while stack[-1][0] != tag:
+                pop(token.start())
+            pop(at)
+    text(at, len(page))
+    while len(stack) > 1:
+        pop(len(page))
+    return found
+
+
+def without_template(page: str, gone: set[int]) -> str:
+    """The page without the elements whose hashes are ``gone``."""
+    left, at = [], 0
+    for start, end, name in sorted(subtrees(page)):
+        if name in gone and start >= at:
+            left.append(page[at:start])
+            at = end
+    return "".join([*left, page[at:]])
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the blocks of each page, and one of all of them for telling pages apart, for each of its sites."""
+    """Hashes of the elements of each page, and one of all of them for telling pages apart, for each of its sites."""
     for batch in batches:
         names, pages, own = [], [], []
         for sites, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            hashes = sorted({subtree_hash(*b) for b in blocks(page.as_py() or "")})
+            hashes = sorted({h for _, _, h in subtrees(page.as_py() or "")})
             if hashes:
+                whole = int.from_bytes(_digest(",".join(map(str, hashes))), "little", signed=True)
                 names += sites
                 own += [hashes] * len(sites)
-                pages += [subtree_hash("page", ",".join(map(str, hashes)))] * len(sites)
+                pages += [whole] * len(sites)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array(pages, pa.int64()), pa.array(own, pa.list_(pa.int64()))],
             names=["site", "page", "subtrees"])
@@ -232,10 +329,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(low, 512)
             texts = []
             for page, gone in zip(part.column(2), part.column(3).to_pylist(), strict=True):
-                kept = blocks(page.as_py() or "")
-                if gone:
-                    gone = set(gone)
-                    kept = [b for b in kept if subtree_hash(*b) not in gone]
+                page = page.as_py() or ""
+                kept = blocks(without_template(page, set(gone)) if gone else page)
                 texts.append("\n".join(text for _, text in kept))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string()),
@@ -257,11 +352,12 @@ def section_of(url: Column) -> Column:
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """The main text of each page (page_id, url, html): (page_id, url, text, n_chars), one row each.
 
-    A site is a host, and each first folder of its paths. Every block is hashed and counted per site over pages that
-    differ in their blocks; those on at least ``least_pages`` such pages and on more than ``share`` of the site's
-    are its template and are deleted. So the notice of a section goes though it is on few of a host's pages. Copies
-    of a page count once, so an article that was copied isn't taken for a template. A larger subtree that recurs
-    so often consists of blocks that do. Furniture is told by tag, role, class and id. Blocks are joined by a line
+    A site is a host, and each first folder of its paths. Every element subtree is hashed with its tag, attributes and
+    children, before anything is judged, and counted per site over pages that differ in their elements; those on at least
+    ``least_pages`` such pages and on more than ``share`` of the site's are its template and are deleted from the
+    pages. So the notice of a section goes though it is on few of a host's pages. Copies of a page count
+    once, so an article that was copied isn't taken for a template. What is left of a page is split into blocks;
+    furniture that differs from page to page is told by tag, role, class and id. Blocks are joined by a line
     feed, white space in a block becomes one blank, character references are decoded.
 
     Counts are pre-aggregated, so a host of any size is fine; at most a few subtrees per site can recur on half

@@ -133,3 +133,94 @@ def test_templates_are_removed_per_section(spark):
     assert len(text) == len(rows) and all(text[i] == f"News {i}" for i in range(12))
     assert all(text[100 + i] == f"Our news desk {i}\nItem {i}" for i in range(30))
     assert text[200] == text[201] == "Our news desk"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article>a<section id="market-share"><p>real text</p></section></article>', "a\nreal text"),
+    ('<article><p class="ad-free">real</p><div class="search-results-explained">x</div><div class="notice-period">y</div></article>',
+     "real\nx\ny"),
+    ('<article><p>x<button>y</p><p>lost?</p></article>', "x\nlost?"),
+    ('<article><p>x<select><option>y</p><p>lost?</p></article>', "x\nlost?"),
+    ('<article><p>x<noscript>y</p><p>lost?</p></article>', "x\nlost?"),
+    ('<article><p>x<title>y</p><p>lost?</p></article>', "x\nlost?"),
+    ('<article><p>x<script>if (a < b) y()</p><p>lost?</p></article>', "x\nlost?"),
+    ('<article><p>x <button>y</button> z <textarea><p>w</textarea></p></article>', "x z"),
+    ('<script>var t = "</p><article>no</article>";</script><article><p>x</article>', "x"),
+    ('<article><p>x</p><section class="reviews"><article>good</article></section><ol class="responses"><li>me too</ol></article>', "x"),
+    ('<article><p>x</p><p class="hidden">y</p><div class="share-buttons">z</div><div class="related-posts">w</div></article>', "x"),
+    ("<article><p>" + "<b>" * 30 + "x<p>y</article>", "x\ny"),
+])
+def test_what_an_article_holds(page, text):
+    assert "\n".join(t for _, t in html_text.blocks(page)) == text
+
+
+def site_pages():
+    """A host whose menu, notice and footer carry no telling names, and a paragraph that few of its pages share."""
+    rows = []
+    for i in range(24):
+        part = "guides" if i % 4 == 0 else "news"
+        notice = '<div class="x7"><p>Only for readers of guides.</p></div>' if part == "guides" else ""
+        quoted = "<p>A sentence that several pages quote.</p>" if i % 3 == 0 else ""
+        rows.append((i, f"http://site.example/{part}/{i}", (
+            f'<body><div class="x1"><span>Start</span> <a href="/n">News</a></div>{notice}<div class="x2"><h1>Title {i}</h1>'
+            f'<p>Text of page {i}.</p>{quoted}</div><div class="x3">Made with care &copy; 2024</div></body>')))
+    rows += [(100 + i, f"http://small.example/{i}", f'<body><div class="x1">Menu</div><p>Small {i}</p></body>') for i in range(5)]
+    return [*rows, (24, "http://site.example/guides/0", rows[0][2]), (25, "http://site.example/", None)]
+
+
+def brute_template(rows, least, share):
+    """Subtrees by a recursive parse of these well-formed pages, counted per host and folder."""
+    from collections import defaultdict
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.stack, self.all = [["", []]], []
+
+        def handle_starttag(self, tag, attrs):
+            self.stack.append([(tag, tuple(attrs)), []])
+
+        def handle_endtag(self, tag):
+            name, parts = self.stack.pop()
+            tree = (name, tuple(parts))
+            self.stack[-1][1].append(tree)
+            if tag != "body":
+                self.all.append(tree)
+
+        def handle_data(self, data):
+            if data.strip():
+                self.stack[-1][1].append(" ".join(data.split()))
+
+        def handle_entityref(self, name):
+            self.stack[-1][1].append(f"&{name};")
+
+    sites = defaultdict(set)
+    for _, url, page in rows:
+        tree = Tree()
+        tree.feed(page or "")
+        host = url.split("/")[2]
+        for site in {host, *([f"{host}/{url.split('/')[3]}"] if url.count("/") > 3 else [])}:
+            if tree.all:
+                sites[site].add(frozenset(tree.all))
+    out = {}
+    for site, pages in sites.items():
+        trees = set().union(*pages)
+        out[site] = {t for t in trees if sum(t in p for p in pages) >= max(least, 1) and sum(t in p for p in pages) > share * len(pages)}
+    return out
+
+
+def test_counting_finds_what_no_name_tells(spark):
+    rows = site_pages()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df, least_pages=6, share=0.5).collect()}
+    for i in range(24):
+        want = [f"Title {i}", f"Text of page {i}.", *(["A sentence that several pages quote."] if i % 3 == 0 else [])]
+        assert got[i] == "\n".join(want)
+    assert got[100] == "Menu\nSmall 0" and got[24] == got[0] and got[25] == ""
+    plain = {i: "\n".join(t for _, t in html_text.blocks(h or "")) for i, _, h in rows}
+    assert all("Start" in plain[i] and "Made with care" in plain[i] for i in range(24))
+    found = brute_template(rows, 6, 0.5)
+    assert {name[0][0] for name in found["site.example"]} >= {"div", "a", "span"} and found["small.example"] == set()
+    gone = {t[0] for t in found["site.example/guides"]}
+    assert ("div", (("class", "x7"),)) in gone
