@@ -105,13 +105,27 @@ def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
+HISTORY = np.dtype([("name", "<u8"), ("count", "<u4"), ("kinds", "<u4"), ("mass", "<f4")])
+
+
 @dataclass
 class Filter:
-    """Filters of some buckets in one array: bucket b has ``blocks[b]`` blocks from word ``start[b]`` on."""
+    """Filters of some buckets in one array: bucket b has ``blocks[b]`` blocks from word ``start[b]`` on.
+
+    ``histories`` are the words of these buckets in order, each with its count, the kinds of its followers, and the
+    sum of its followers' counts as the filter has them, quantised: what a history's probabilities are shares of.
+    """
 
     data: np.ndarray
     start: np.ndarray
     blocks: np.ndarray
+    histories: np.ndarray
+
+    def statistics(self, names: np.ndarray) -> np.ndarray:
+        """Count, kinds and mass (3 x names) of words as histories, 0 for others."""
+        at = _find(self.histories["name"], names)
+        rows = np.append(self.histories, np.zeros(1, HISTORY))[at]
+        return np.stack([rows[c].astype(np.float32) for c in ("count", "kinds", "mass")])
 
     def levels(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         """The level of each key: membership is probed level by level until it fails.
@@ -294,11 +308,15 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
         number, low = number[at], low[at]
         total = np.bincount(number, count, minlength=len(names)).astype(np.int64)
         kinds = np.bincount(number, minlength=len(names))
+        mass = np.bincount(number, value_of(level_of(count)), minlength=len(names))
         hot = _inside(plan.hot, names)
-        keys = np.concatenate([mix(names[number] + low * np.uint64(ODD)), seeded(names[~hot], 61), seeded(names[~hot], 62)])
-        bits = build_filter(keys, np.concatenate([count, total[~hot], kinds[~hot]]))
+        bits = build_filter(mix(names[number] + low * np.uint64(ODD)), count)
+        rows = np.zeros(int((~hot).sum()), HISTORY)
+        for column, values in zip(HISTORY.names, (names, total, kinds, mass), strict=True):
+            rows[column] = values[~hot]
         out += [{"bucket": bucket, "kind": "filter", "data": bits.tobytes()},
-                {"bucket": bucket, "kind": "hot", "data": pack(names[hot], total[hot], kinds[hot])}]
+                {"bucket": bucket, "kind": "histories", "data": rows.tobytes()},
+                {"bucket": bucket, "kind": "hot", "data": pack(names[hot], total[hot], kinds[hot], mass[hot])}]
         often = _inside(plan.frequent, names) & ~hot
         out.append({"bucket": bucket, "kind": "frequent", "data": pack(names[often], total[often])})
         out.append({"bucket": bucket, "kind": "sums", "data": pack(np.array(
@@ -333,6 +351,7 @@ class Model:
     counts: np.ndarray
     hot_counts: np.ndarray
     hot_kinds: np.ndarray
+    hot_mass: np.ndarray
     tokens: int
     distinct: int
     ends: int
@@ -345,43 +364,54 @@ class Model:
         return np.where(end, self.ends, np.append(self.counts, 0)[at]), end | (at < len(self.plan.frequent))
 
     def probe(self, text: Sequence, part: Filter) -> np.ndarray:
-        """Levels of each token's bigram, count and kinds of followers, from the filters at hand."""
-        own, place = top(text.names, self.plan.buckets), text.place
+        """What the filters at hand know of each token (4 x tokens): the count of its bigram, and its own count, kinds of
+        followers and mass as a history."""
+        place = text.place
         hot = _inside(self.plan.hot, text.names)
         known = np.ones(len(place), bool)
         known[1:] = hot[place[:-1]]
         known[text.cuts[:-1]] = True
         key = bigram_key(text.history, text.tokens)
         bucket = np.where(known, top(key, self.plan.buckets), top(text.history, self.plan.buckets))
-        return np.stack([part.levels(key, bucket), part.levels(seeded(text.names, 61), own)[place],
-                         part.levels(seeded(text.names, 62), own)[place]])
+        pairs = value_of(part.levels(key, bucket)).astype(np.float32)
+        return np.vstack([pairs[None], part.statistics(text.names)[:, place]])
 
-    def score(self, text: Sequence, levels: np.ndarray) -> np.ndarray:
-        """Sum of log10 P(token | history) of each text, with absolute discounting."""
-        if not len(text.tokens):
-            return np.zeros(0)
+    def chances(self, text: Sequence, found: np.ndarray) -> np.ndarray:
+        """P(token | history) of each token, with absolute discounting of quantised counts.
+
+        Every follower gives up the discount, and what all of them give up goes to the single words. A history's
+        mass is the sum of its followers' quantised counts, so its probabilities sum to 1; single words' are exact
+        counts plus 1, and one more for all unknown words.
+        """
         place, n = text.place, len(text.tokens)
-        at = _find(self.plan.hot, text.names)
-        hot = (at < len(self.plan.hot))[place]
-        count = np.where(hot, np.append(self.hot_counts, 0)[at][place], value_of(levels[1]))
-        kinds = np.where(hot, np.append(self.hot_kinds, 0)[at][place], value_of(levels[2]))
+        at = _find(self.plan.hot, text.names)[place]
+        own = at < len(self.plan.hot)
+        count, kinds, mass = (np.where(own, np.append(exact, 0)[at], part.astype(np.float64)) for exact, part in zip(
+            (self.hot_counts, self.hot_kinds, self.hot_mass), found[1:], strict=True))
         count[text.cuts[1:] - 1] = self.ends
         single = (count + 1) / float(self.tokens + self.distinct + 1)
         start = _find(self.plan.hot, np.array([START]))[0]
-        before, follow = np.empty(n), np.empty(n)
-        before[1:], follow[1:] = count[:-1], kinds[:-1]
-        before[text.cuts[:-1]] = np.append(self.hot_counts, 0)[start]
-        follow[text.cuts[:-1]] = np.append(self.hot_kinds, 0)[start]
-        both = np.minimum(value_of(levels[0]), before)
-        follow = np.minimum(follow, before)
-        known = (before > 0) & (follow > 0)
-        whole = np.where(known, before, 1)
-        chance = np.where(known, (np.maximum(both - self.discount, 0) + self.discount * follow * single) / whole, single)
-        return np.add.reduceat(np.log10(np.minimum(chance, 1.0)), text.cuts[:-1])
+        follow, whole = np.empty(n), np.empty(n)
+        follow[1:], whole[1:] = kinds[:-1], mass[:-1]
+        follow[text.cuts[:-1]], whole[text.cuts[:-1]] = (np.append(x, 0)[start] for x in (self.hot_kinds, self.hot_mass))
+        known = whole > 0
+        # a bigram is no more frequent than its words, which unmasks some false members, all of unknown words among them
+        before = np.empty(n)
+        before[1:], before[text.cuts[:-1]] = np.where(own, np.append(self.hot_counts, 0)[at], found[1])[:-1], np.inf
+        most = value_of(level_of(np.minimum(np.minimum(count, before), float(1 << 61)).astype(np.int64)))
+        seen = np.maximum(np.minimum(found[0].astype(np.float64), most) - self.discount, 0)
+        return np.where(known, (seen + self.discount * follow * single) / np.where(known, whole, 1), single)
+
+    def score(self, text: Sequence, found: np.ndarray) -> np.ndarray:
+        """Sum of log10 P(token | history) of each text."""
+        if not len(text.tokens):
+            return np.zeros(0)
+        # a false member may lend a rare history's follower more than the history has
+        return np.add.reduceat(np.log10(np.minimum(self.chances(text, found), 1.0)), text.cuts[:-1])
 
 
 def _scores(model: Model, shards: Broadcast, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Base sums and, with all filters at hand, scores; else the levels for a later pass to put together."""
+    """Base sums and, with all filters at hand, scores; else what was found, for a later step to put together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part: Filter = shards.value
         for batch in batches:
@@ -412,7 +442,7 @@ def _finish(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             raw, bounds = as_bytes(batch.column(1))
             out = []
             for i, passes in enumerate(batch.column(2).to_pylist()):
-                levels = np.max([np.frombuffer(p, np.uint8).reshape(3, -1) for p in passes], axis=0)
+                levels = np.max([np.frombuffer(p, np.float32).reshape(4, -1) for p in passes], axis=0)
                 out.append(model.score(Sequence.of(raw, bounds[i:i + 2]), levels)[0])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["row", "score"])
     return run
@@ -436,6 +466,7 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
     found = stage_table(docs.mapInArrow(_count(plan), "bucket long, kind string, data binary").groupBy(
         "bucket").applyInArrow(_merge(plan), "bucket long, kind string, data binary"), "bigrams")
     counts, hot_counts, hot_kinds = (np.zeros(len(x), np.int64) for x in (plan.frequent, plan.hot, plan.hot))
+    hot_mass = np.zeros(len(plan.hot))
     sums = np.zeros(4, np.int64)
     for row in found.filter("kind in ('hot', 'frequent', 'sums')").toLocalIterator():
         data = unpack(row["data"])
@@ -447,10 +478,11 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
             at = _find(plan.hot, data[0])
             hot_counts[at] += data[1]
             hot_kinds[at] += data[2]
+            hot_mass[at] += data[3]
     own = plan.hot != START
     counts[_find(plan.frequent, plan.hot[own])] = hot_counts[own]
     ends = known["ends"]
-    model = Model(plan, counts, hot_counts, hot_kinds, int(sums[0] + hot_counts[own].sum() + ends),
+    model = Model(plan, counts, hot_counts, hot_kinds, hot_mass, int(sums[0] + hot_counts[own].sum() + ends),
                   int(sums[1] + (hot_counts[own] > 0).sum() + (ends > 0)), ends,
                   float(sums[2] / (sums[2] + 2 * sums[3])) if sums[2] else 0.5)
     return model, found
@@ -458,26 +490,36 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
 
 def filter_groups(found: DataFrame, most: int) -> list[list[tuple[int, int]]]:
     """Buckets with the bytes of their filters, in groups of at most ``most`` bytes."""
-    sizes = sorted((r["bucket"], r["n"]) for r in found.filter("kind = 'filter'").select(
-        "bucket", F.octet_length("data").alias("n")).collect())
+    sizes = sorted((r["bucket"], r["n"]) for r in found.filter("kind in ('filter', 'histories')").groupBy("bucket").agg(
+        F.sum(F.octet_length("data")).alias("n")).collect())
     groups: list[list[tuple[int, int]]] = [[]]
+    size = 0
     for bucket, n in sizes:
-        if groups[-1] and sum(x for _, x in groups[-1]) + n > most:
+        if groups[-1] and size + n > most:
             groups.append([])
+            size = 0
         groups[-1].append((bucket, n))
+        size += n
     return groups
 
 
 def _load(found: DataFrame, group: list[tuple[int, int]], buckets: int) -> Filter:
     start, blocks = np.zeros(buckets, np.uint64), np.zeros(buckets, np.uint64)
-    data, at = np.zeros(max(sum(n for _, n in group) // 8, 1), np.uint64), 0
-    rows = found.filter((F.col("kind") == "filter") & F.col("bucket").isin([b for b, _ in group])).select("bucket", "data")
+    parts, at, histories = [], 0, []
+    low, high = min((b for b, _ in group), default=0), max((b for b, _ in group), default=-1)  # a group is a range of buckets
+    rows = found.filter(F.col("kind").isin("filter", "histories") & F.col("bucket").between(low, high)).select("bucket", "kind", "data")
     for row in rows.toLocalIterator():
+        if row["kind"] == "histories":
+            histories.append((row["bucket"], np.frombuffer(row["data"], HISTORY)))
+            continue
         part = np.frombuffer(row["data"], np.uint64)
         start[row["bucket"]], blocks[row["bucket"]] = at, len(part) // 8
-        data[at:at + len(part)] = part
+        parts.append(part)
         at += len(part)
-    return Filter(data, start, blocks)
+    # buckets are ranges of names, and in each the names are in order
+    ordered = [x for _, x in sorted(histories, key=lambda h: h[0])]
+    return Filter(np.concatenate(parts) if parts else np.zeros(1, np.uint64), start, blocks,
+                  np.concatenate(ordered) if ordered else np.zeros(0, HISTORY))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -487,7 +529,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The model learns from the rows whose crc32 of the id, as text, leaves no 2 modulo 7. Tokens are the words
     and one end. ``base_score`` sums log10((c + 1) / (N + V + 1)) over exact counts. ``score`` is the bigram
     model's log10 probability: absolute discounting of the quantised counts of the filter, backed off to
-    single words; a false member (about 1 in 50 probes) lends an unseen bigram the least count.
+    single words. Probabilities are shares of the history's quantised mass and sum to 1, but for false members (about
+    1 in 50 probes), which lend an unseen bigram the least count.
 
     All bigrams are counted and held, none is pruned. The filter is about ten bits an entry, so it grows with
     the corpus; it is broadcast whole while it has at most ``broadcast_bytes``, and beyond that in groups of

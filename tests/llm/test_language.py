@@ -60,7 +60,7 @@ def test_filter_never_underestimates_and_seldom_errs():
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
     counts = rng.geometric(0.4, 20_000)
     data = lm.build_filter(keys, counts)
-    found = lm.Filter(data, np.zeros(1, np.uint64), np.array([len(data) // 8], np.uint64))
+    found = lm.Filter(data, np.zeros(1, np.uint64), np.array([len(data) // 8], np.uint64), np.zeros(0, lm.HISTORY))
     levels = found.levels(keys, np.zeros(len(keys), np.int64))
     assert (levels >= lm.level_of(counts)).all()
     assert (levels == lm.level_of(counts)).mean() > 0.97
@@ -69,6 +69,81 @@ def test_filter_never_underestimates_and_seldom_errs():
     assert lm.level_of(np.array([1, 2, 3, 4, 5, 6])).tolist() == [1, 2, 3, 4, 4, 5]
 
 
+def exact_model(docs):
+    """Absolute discounting of counts rounded as the filter rounds them, by brute force."""
+    pairs, singles = Counter(), Counter()
+    for text in docs:
+        w = [None, *text.encode().lower().split(), "end"]
+        pairs.update(zip(w, w[1:], strict=False))
+        singles.update(w[1:])
+    ones, twos = (sum(c == k for c in pairs.values()) for k in (1, 2))
+    discount = ones / (ones + 2 * twos)
+    value = {p: float(lm.value_of(lm.level_of(np.array([c])))[0]) for p, c in pairs.items()}
+    mass, kinds = Counter(), Counter()
+    for (h, _), v in value.items():
+        mass[h] += v
+        kinds[h] += 1
+    size = sum(singles.values()) + len(singles) + 1
+
+    def chance(h, w):
+        single = (singles[w] + 1) / size
+        return (max(value.get((h, w), 0) - discount, 0) + discount * kinds[h] * single) / mass[h] if mass[h] else single
+    return chance, singles
+
+
+@pytest.mark.parametrize("size", [500, 1 << 20])
+def test_scores_are_probabilities_and_equal_an_exact_model(spark, size):
+    docs = [(i, t) for i, t in corpus() if t and i is not None and i < 100]
+    rows = [(i, t, zlib.crc32(str(i).encode()) % 7 == 2) for i, t in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    model, found = lm.train(df, 20)
+    chance, singles = exact_model([t for _, t, held in rows if not held])
+    group = [g for part in lm.filter_groups(found, size) for g in part]
+    part = lm._load(found, group, model.plan.buckets)
+    vocabulary = sorted(w for w in singles if w != "end")
+    sums, close = [], []
+    for h in [*vocabulary[:40], b"never"]:
+        texts = pa.array([f"{h.decode()} {w.decode()}" for w in [*vocabulary, b"unheard"]] + [h.decode()])
+        text = lm.Sequence.of(*as_bytes(texts))
+        second = model.chances(text, model.probe(text, part))[text.cuts[:-1] + 1]
+        want = np.array([chance(h, w) for w in [*vocabulary, b"unheard", "end"]])
+        true = np.abs(second / want - 1) < 1e-4
+        assert (second >= want * (1 - 1e-4)).all() and true[-2]  # others are false members, never of an unknown word
+        sums.append(np.where(true, second, want).sum())
+        close += true.tolist()
+    first = lm.Sequence.of(*as_bytes(pa.array([w.decode() for w in [*vocabulary, b"unheard"]] + [""])))
+    opening = model.chances(first, model.probe(first, part))[first.cuts[:-1]]
+    assert opening.sum() == pytest.approx(1, abs=0.02)
+    assert sums == pytest.approx([1] * len(sums), abs=1e-4) and np.mean(close) > 0.97
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(df.select("doc_id", "text"), frequent=20).collect()}
+    exact = {}
+    for i, t, _ in rows:
+        w = [None, *t.encode().lower().split(), "end"]
+        exact[i] = sum(math.log10(chance(a, b)) for a, b in zip(w, w[1:], strict=False))
+    assert all(got[i] > exact[i] - 1e-3 for i in exact)  # a false member raises the score of a text, nothing lowers it
+    assert np.mean([got[i] < exact[i] + 1e-3 for i in exact]) > 0.8
+    assert sum(got.values()) == pytest.approx(sum(exact.values()), rel=0.01)
+
+
+def test_error_rates_of_five_and_seven_probes():
+    """Bits are set by block, so a few more probes gain little: the rates stand in the README."""
+    rng = np.random.default_rng(3)
+    keys, others = (rng.integers(0, 2**63, 200_000).astype(np.uint64) for _ in range(2))
+    rates = {}
+    for probes in (5, 7):
+        blocks = np.uint64(-(-lm.BITS * len(keys) // 512))
+        bits = np.zeros(int(blocks) * 512, bool)
+        for name, held in (("in", keys), ("out", others)):
+            base, prints = lm._block(held, 1, blocks) * np.uint64(512), lm.seeded(held, 1)
+            places = [base + lm._bit(prints, k) for k in range(probes)]
+            if name == "in":
+                for place in places:
+                    bits[place] = True
+            else:
+                rates[probes] = float(np.mean(np.logical_and.reduce([bits[p] for p in places])))
+    assert rates[7] < rates[5] < 1.4 * rates[7] and rates[5] < 0.015, rates
+
+
 def small_model():
     plain = {"▁": -4.0, "a": -5.0, "b": -5.0, "ab": -6.0, "abc": -7.5, "▁a": -4.5, "▁ab": -5.5, "bc": -6.0, "c": -6.0, "é": -7.0,
              "▁▁": -5.0, "éa": -7.0, "caf": -8.0, "café": -9.0}
