@@ -23,8 +23,8 @@ from perkline.session import stage_table
 FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
-CHUNK = 4 << 20
-SCORE_CHUNK = 1 << 21
+CHUNK = 2 << 20
+SCORE_CHUNK = 1 << 20
 BUCKET_BYTES = 12 << 20
 BITS = 10
 PROBES = 5
@@ -109,23 +109,39 @@ HISTORY = np.dtype([("name", "<u8"), ("count", "<u4"), ("kinds", "<u4"), ("mass"
 
 
 @dataclass
-class Filter:
-    """Filters of some buckets in one array: bucket b has ``blocks[b]`` blocks from word ``start[b]`` on.
+class Histories:
+    """Words in order, each with its count, the kinds of its followers, and the sum of its followers' counts as the
+    filter has them, quantised: what a history's probabilities are shares of."""
 
-    ``histories`` are the words of these buckets in order, each with its count, the kinds of its followers, and the
-    sum of its followers' counts as the filter has them, quantised: what a history's probabilities are shares of.
-    """
+    name: np.ndarray
+    count: np.ndarray
+    kinds: np.ndarray
+    mass: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[bytes]) -> Histories:
+        rows = [np.frombuffer(p, HISTORY) for p in parts]
+        return cls(*(np.concatenate([np.zeros(0, HISTORY[c]), *(r[c] for r in rows)]) for c in HISTORY.names))
+
+    def of_words(self, names: np.ndarray) -> np.ndarray:
+        """Count, kinds and mass (3 x names), 0 for words that are no history."""
+        out = np.zeros((3, len(names)), np.float32)
+        at = _find(self.name, names)
+        there = np.flatnonzero(at < len(self.name))
+        for row, column in enumerate((self.count, self.kinds, self.mass)):
+            out[row, there] = column[at[there]]
+        return out
+
+
+@dataclass
+class Filter:
+    """Filters of some buckets in one array: bucket b has ``blocks[b]`` blocks from word ``start[b]`` on; and the
+    histories of these buckets."""
 
     data: np.ndarray
     start: np.ndarray
     blocks: np.ndarray
-    histories: np.ndarray
-
-    def statistics(self, names: np.ndarray) -> np.ndarray:
-        """Count, kinds and mass (3 x names) of words as histories, 0 for others."""
-        at = _find(self.histories["name"], names)
-        rows = np.append(self.histories, np.zeros(1, HISTORY))[at]
-        return np.stack([rows[c].astype(np.float32) for c in ("count", "kinds", "mass")])
+    histories: Histories
 
     def levels(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         """The level of each key: membership is probed level by level until it fails.
@@ -374,7 +390,7 @@ class Model:
         key = bigram_key(text.history, text.tokens)
         bucket = np.where(known, top(key, self.plan.buckets), top(text.history, self.plan.buckets))
         pairs = value_of(part.levels(key, bucket)).astype(np.float32)
-        return np.vstack([pairs[None], part.statistics(text.names)[:, place]])
+        return np.vstack([pairs[None], part.histories.of_words(text.names)[:, place]])
 
     def chances(self, text: Sequence, found: np.ndarray) -> np.ndarray:
         """P(token | history) of each token, with absolute discounting of quantised counts.
@@ -510,16 +526,15 @@ def _load(found: DataFrame, group: list[tuple[int, int]], buckets: int) -> Filte
     rows = found.filter(F.col("kind").isin("filter", "histories") & F.col("bucket").between(low, high)).select("bucket", "kind", "data")
     for row in rows.toLocalIterator():
         if row["kind"] == "histories":
-            histories.append((row["bucket"], np.frombuffer(row["data"], HISTORY)))
+            histories.append((row["bucket"], row["data"]))
             continue
         part = np.frombuffer(row["data"], np.uint64)
         start[row["bucket"]], blocks[row["bucket"]] = at, len(part) // 8
         parts.append(part)
         at += len(part)
     # buckets are ranges of names, and in each the names are in order
-    ordered = [x for _, x in sorted(histories, key=lambda h: h[0])]
     return Filter(np.concatenate(parts) if parts else np.zeros(1, np.uint64), start, blocks,
-                  np.concatenate(ordered) if ordered else np.zeros(0, HISTORY))
+                  Histories.of([x for _, x in sorted(histories, key=lambda h: h[0])]))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
