@@ -25,7 +25,7 @@ HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
 CHUNK = 2 << 20
 SCORE_CHUNK = 1 << 20
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 BITS = 10
 PROBES = 5
 #: The probes of a level in the groups after which the failed keys are dropped.
@@ -250,10 +250,12 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 _SCHEMA = pa.schema([("bucket", pa.int64()), ("kind", pa.string()), ("data", pa.binary())])
 
 
-def _split(key: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(key, kind="stable")
-    cuts = np.searchsorted(key[order], np.arange(1, buckets))
-    return ((k, x) for k, x in enumerate(np.split(order, cuts)) if len(x))
+def _split(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The buckets that occur in ``key``, each with the places of its entries; the others cost nothing."""
+    if len(key):
+        order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        yield from ((int(key[order[a]]), order[a:b]) for a, b in zip(at, np.append(at[1:], len(key)), strict=True))
 
 
 def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -277,7 +279,7 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 pair, count = np.unique(history[learn] * len(names) + found.place[learn], return_counts=True)
                 before, after = names[pair // len(names)], names[pair % len(names)]
                 bucket, _ = plan.history_bucket(before, after)
-                for k, x in _split(bucket, plan.buckets):
+                for k, x in _split(bucket):
                     h = before[x]
                     new = np.ones(len(x), bool)
                     new[1:] = h[1:] != h[:-1]
@@ -290,7 +292,7 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 text = np.repeat(np.arange(b - a), sizes)[rare]
                 pair, times = np.unique(found.place[rare] * (b - a) + text, return_counts=True)
                 word, text = names[pair // (b - a)], pair % (b - a)
-                for k, x in _split(top(word, plan.buckets), plan.buckets):
+                for k, x in _split(top(word, plan.buckets)):
                     out.append({"bucket": k, "kind": "asks", "data": pack(
                         np.array([chunk]), word[x], text[x].astype(np.uint32), times[x].astype(np.uint32))})
                 out.append({"bucket": chunk % plan.buckets, "kind": "texts", "data": pack(
@@ -305,7 +307,8 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         parts, asks, out = [], [], []
-        for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
+        for kind, data in zip(table["kind"], table["data"], strict=True):
+            kind, data = kind.as_py(), data.as_py()
             if kind == "asks":
                 asks.append(unpack(data))
             elif kind == "texts":
@@ -314,7 +317,9 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
                 h, runs, low, high, count = unpack(data)
                 parts.append((np.repeat(h, runs), low | (high.astype(np.uint64) << np.uint64(32)), count))
         history, low, count = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint64) for k in range(3))
+        parts.clear()
         names, number = np.unique(history, return_inverse=True)
+        del history
         order = np.lexsort((low, number))
         number, low, count = number[order], low[order], count[order].astype(np.int64)
         new = np.ones(len(low), bool)
@@ -342,6 +347,7 @@ def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
             own, place = np.unique(text, return_inverse=True)
             out.append({"bucket": int(chunk[0]), "kind": "answers", "data": pack(
                 own, np.bincount(place, times * (c > 0)).astype(np.uint32), np.bincount(place, times * np.log10(c + 1.0)))})
+        pa.default_memory_pool().release_unused()  # the buffers of the bucket before
         return pa.Table.from_pylist(out, _SCHEMA)
     return run
 
