@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,47 +34,58 @@ def _value_type(value: Column, text: Column) -> Column:
     )
 
 
-def nesting_depth(document: Column) -> Column:
-    """How deep the objects of a JSON text nest; braces inside strings don't count."""
-    strings = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    braces = F.regexp_replace(F.regexp_replace(document, strings, ""), r"[^{}]", "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+#: A value with its name, if it has one, or a mark that opens or closes; lists of plain numbers and words are one value.
+_TOKEN = rf'(?:({_STRING})\s*+:\s*+)?+(\[[^\[\]{{}}"]*+\]|[\[\]{{}}]|{_STRING}|[^\[\]{{}},:"\s]++)[\s,]*+'
+#: Behind a name, before a leaf, and between its path and its text. A JSON text holds no such characters.
+_NAME, _LEAF, _TEXT = "\x01", "\x02", "\x03"
 
-    def step(state: Column, brace: Column) -> Column:
-        now = state["now"] + F.when(brace == "{", 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
 
-    return F.aggregate(F.split(braces, "(?<=.)(?=.)"), start, step, lambda state: state["most"])
+def json_leaves(document: Column) -> Column:
+    """Leaves of a JSON text as an array of (path, text), by one pass of a stack machine over its tokens.
+
+    A list is one leaf; inside it only brackets are counted. The state is kept in a few plain strings, as every step
+    copies it: the names of the objects that are open, and the leaves so far. Names stay escaped until the end, so
+    that no name can hold one of the separators.
+    """
+    start = F.struct(F.lit("").alias("open"), F.lit(0).alias("lists"), F.lit("").alias("leaves"))
+    tokens = F.arrays_zip(*[F.regexp_extract_all(document, F.lit(_TOKEN), k).alias(n) for k, n in enumerate(("all", "name", "value"))])
+
+    def step(state: Column, token: Column) -> Column:
+        opened, lists, leaves, value = state["open"], state["lists"], state["leaves"], token["value"]
+        name = token["name"].substr(F.lit(2), F.greatest(F.length(token["name"]) - 2, F.lit(0)))
+        inner = F.concat(leaves, F.when((lists == 1) & (value == "]"), value).otherwise(token["all"]))
+        leaf = F.concat(leaves, F.lit(_LEAF), opened, name, F.lit(_TEXT), value)
+        return F.struct(
+            F.when((lists > 0) | ~value.isin("{", "}"), opened)
+             .when(value == "}", F.regexp_replace(opened, f"[^{_NAME}]*+{_NAME}$", ""))
+             .otherwise(F.concat(opened, name, F.when(token["name"] == "", "").otherwise(_NAME))).alias("open"),
+            (lists + F.when(value == "[", 1).when(value == "]", -1).otherwise(0)).alias("lists"),
+            F.when(lists > 0, inner).when(value.isin("{", "}"), leaves).otherwise(leaf).alias("leaves"))
+
+    def leaf(text: Column) -> Column:
+        parts = F.split(text, _TEXT)
+        path = F.translate(F.ltrim(parts[0], F.lit(_NAME)), _NAME, ".")
+        unescaped = F.try_variant_get(F.parse_json(F.concat(F.lit('"'), path, F.lit('"'))), "$", "string")
+        return F.struct(F.when(F.contains(path, F.lit("\\")), unescaped).otherwise(path).alias("path"), parts[1].alias("text"))
+
+    found = F.split(F.aggregate(tokens, start, step, lambda state: state["leaves"]), _LEAF)
+    return F.transform(F.filter(found, lambda x: x != ""), leaf)
 
 
 def flatten_rules(docs: DataFrame, keys: Sequence[str] = ("rule_version",), payload: str = "rules_payload") -> DataFrame:
     """Flatten a table of JSON documents into (path, JSON value, type) rows.
 
-    Objects recurse with dotted paths, lists are leaves, empty objects vanish. One aggregate finds how deep
-    the documents nest; then every level is one narrow generate step next to the scan. Numbers keep what
-    their text says: ``1.0`` is a float, and an integer of any size an int.
+    Objects recurse with dotted paths, lists are leaves, empty objects vanish; the plan is one generate step next
+    to the scan, however deep the documents nest. Numbers keep what their text says: ``1.0`` is a float, and an
+    integer of any size an int. A text that is not JSON fails the job; a NULL document is one NULL leaf without a path.
     """
-    depth = docs.agg(F.max(nesting_depth(F.col(payload)))).first()[0] or 0
-    nodes = docs.select(*keys, F.lit("").alias("path"), F.parse_json(payload).alias("value"), F.col(payload).alias("text"))
-
-    def members(value: Column) -> Column:
-        return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-
-    def named(prefix: Column, texts: Column) -> Callable[[Column], Column]:
-        return lambda m: F.struct(
-            F.concat(prefix, m["key"]).alias("path"), m["value"].alias("value"),
-            F.try_element_at(texts, m["key"]).alias("text"))
-
-    for _ in range(depth):
-        path, value, text = F.col("path"), F.col("value"), F.col("text")
-        texts = F.from_json(text, "map<string,string>")
-        leaf = F.array(F.struct(path.alias("path"), value.alias("value"), text.alias("text")))
-        prefix = F.concat(path, F.when(path == "", "").otherwise("."))
-        inner = F.transform(members(value), named(prefix, texts))
-        step = F.when(members(value).isNull(), leaf).otherwise(inner)
-        nodes = nodes.select(*keys, F.explode(step).alias("node")).select(*keys, "node.path", "node.value", "node.text")
-
-    value, text = F.col("value"), F.col("text")
+    missing = F.array(F.struct(F.lit("").alias("path"), F.lit(None).cast("string").alias("text")))
+    document = F.col(payload).cast("string")
+    leaves = F.when(F.parse_json(document).isNull(), missing).otherwise(json_leaves(document))
+    nodes = docs.select(*keys, F.inline(leaves))
+    value = F.parse_json("text")
+    text = F.from_json(F.concat(F.lit('{"v":'), F.col("text"), F.lit("}")), "map<string,string>")["v"]
     kind = _value_type(value, text)
     return nodes.select(
         *keys,

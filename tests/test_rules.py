@@ -89,6 +89,29 @@ def test_flatten_keeps_numbers(spark, rows):
         ("e", '[1,[2.5,{"x":1.0}]]', "array"), ("f", '"é"', "str"), ("g", "-7", "int"), ("h", '"12"', "str")]
 
 
+def test_flatten_in_one_pass(spark, rows):
+    """The machine's own traps: escapes, marks inside strings, white space, empty names and lists, texts without an object."""
+    texts = {
+        '{ "a\\"{" : { "b.c" : "x\\\\" } ,\n "l" : [ "]" , { "k" : [ ] } ] , "e" : "" }': [
+            ('a"{.b.c', '"x\\\\"', "str"), ("e", '""', "str"), ("l", '["]",{"k":[]}]', "array")],
+        '{"":{"a":1},"b":{"":2},"n":{"":{"":[]}}}': [("a", "1", "int"), ("b.", "2", "int"), ("n..", "[]", "array")],
+        '{"a":{},"b":[{}],"\\u00e9":{"c":"\\u00e9\\n"}}': [("b", "[{}]", "array"), ("é.c", '"é\\n"', "str")],
+        "[1, {\"a\": 2}]": [("", '[1,{"a":2}]', "array")], " 3 ": [("", "3", "int")], "null": [("", "null", "NoneType")]}
+    for text, leaves in texts.items():
+        assert rows(R.flatten_rules(docs(spark, text), ["id"], "document").drop("id")) == leaves, text
+    none = spark.sql("select 1 id, cast(null as string) document")
+    assert rows(R.flatten_rules(none, ["id"], "document")) == [(1, "", "null", "NoneType")]
+    for broken in ('{"a":', '{"a" 1}', "{]", "", '{"a":"\x02"}'):
+        with pytest.raises(Exception, match="MALFORMED_RECORD|PARSE"):
+            R.flatten_rules(docs(spark, broken), ["id"], "document").collect()
+
+
+def test_flatten_plan_does_not_follow_the_depth(spark):
+    flat, deep = (R.flatten_rules(docs(spark, t), ["id"], "document") for t in ('{"a":1}', '{"k":' * 40 + "1" + "}" * 40))
+    plans = [f._jdf.queryExecution().executedPlan().toString().count("Generate") for f in (flat, deep)]
+    assert plans == [1, 1] and deep.first().rule_path == ".".join("k" * 40)
+
+
 def test_missing_keys(spark):
     broken = docs(spark, DOC, DOC.replace('"wellbeing_days":5,', "").replace('"bonus_rate":0.05,', ""), "[1]")
     complete, rejects = R.split_rule_documents(broken)
