@@ -924,6 +924,7 @@ ORACLE: dict[str, str] = {
     "stream_skip_errors": build("partition_id; offset_id; payload_json='{bad ' || event_id", "from act_raw where offset_id % 100 = 57"),
     "stream_dedup_first": build("event_id; process_date:d; partition_id; offset_id; payload_json", "from landed"),
     "stream_drain": build("event_id; process_date:d; partition_id; offset_id", "from landed"),
+    "stream_compaction": build("event_id; process_date:d; partition_id; offset_id", "from landed"),
     "stream_notify_once": build(MESSAGE.format(extra="process_date:d;"), "from landed"),
     "stream_max_messages": build("event_id; partition_id; offset_id; run:i=if(place <= total // 3, 1, 2)", """
         from (select *, offset_id % 100 <> 57 as ok, count(*) over () as total, row_number() over (order by partition_id, offset_id) as place,

@@ -1284,3 +1284,15 @@ def stream_max_messages(d):
         S.ingest(S.stream_source(d.spark, path=source), root, checkpoint, I.INGEST_DATE, max_messages=limit)
     return S.read_sink(d.spark, root, "events").select(
         "event_id", "partition_id", "offset_id", F.when(F.col("batch_id") >= 0, 1).otherwise(2).alias("run"))
+
+
+@query
+def stream_compaction(d):
+    """Messages delivered twice, landed in two runs; the files of their micro-batches are merged after each run."""
+    total = I.messages(d.spark, d.sf_dir).count()
+    root, checkpoint, source = d.scratch("landed"), d.scratch("progress"), d.write_messages(rounds=2)
+    for limit in (total, None):
+        S.ingest(S.stream_source(d.spark, path=source, max_files=8), root, checkpoint, I.INGEST_DATE, max_messages=limit)
+        S.compact(d.spark, root, checkpoint)
+    S.remove_compacted(d.spark, root)
+    return S.read_sink(d.spark, root, "events").select("event_id", "process_date", "partition_id", "offset_id")

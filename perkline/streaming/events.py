@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from py4j.java_gateway import JavaObject
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from perkline.defaults import CHANNEL, TOPIC
 from perkline.functions import activity_message
 from perkline.functions.dates import as_date
 from perkline.operators.ranking import total_order_rank
 from perkline.session import stage_table
+from perkline.streaming import segments
 
 # Columns of a Kafka-protocol source, as strings.
 MESSAGE_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
@@ -189,6 +192,7 @@ def _sink(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+SINKS = ("events", "messages", "dead_letters", "progress")
 SINK_KEYS = {"events": "process_date", "messages": "process_date"}
 
 
@@ -215,13 +219,16 @@ def prepare_sinks(spark: SparkSession, root: str) -> None:
             "stream_id", *([SINK_KEYS[name]] if name in SINK_KEYS else []), "batch_id").parquet(_sink(root, name))
 
 
+def _schema(spark: SparkSession, name: str) -> StructType:
+    return _empty_sinks(spark)[name].schema.add("stream_id", "string").add("batch_id", "long")
+
+
 def read_sink(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One of the landed tables, with the stream and batch that wrote each row.
 
-    Folders are by stream, processing date and batch; all readers filter on the date.
+    Folders are by stream, processing date and batch, those of compacted batches by date; all readers filter on the date.
     """
-    schema = _empty_sinks(spark)[name].schema.add("stream_id", "string").add("batch_id", "long")
-    return spark.read.schema(schema).parquet(_sink(root, name))
+    return segments.read(spark, _sink(root, name), _schema(spark, name))
 
 
 def _other_streams(spark: SparkSession, root: str, stream_id: str) -> DataFrame | None:
@@ -231,7 +238,12 @@ def _other_streams(spark: SparkSession, root: str, stream_id: str) -> DataFrame
     store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("stream_id=")]
     others = [p.toString() for p in names if p.getName() != f"stream_id={stream_id}"]
-    return spark.read.schema("event_id string").parquet(*others) if others else None
+    merged = [s for s in segments.segments(spark, _sink(root, "events")) if s.stream_id != stream_id]
+    schema = StructType().add("event_id", "string")
+    ids = [spark.read.schema(schema).option("basePath", folder.toString()).parquet(*others).select("event_id")] if others else []
+    if merged:
+        ids.append(segments.of_segments(spark, _sink(root, "events"), merged, schema))
+    return reduce(DataFrame.union, ids) if ids else None
 
 
 def land_batch(decided: DataFrame, root: str, stream_id: str, batch_id: int) -> dict[str, int]:
@@ -319,7 +331,7 @@ def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
 
 def _forget(spark: SparkSession, root: str, stream_id: str, batch_id: int) -> None:
     """Remove what an attempt at this batch with another limit has landed."""
-    for name in ("events", "messages", "dead_letters", "progress"):
+    for name in SINKS:
         day = f"{SINK_KEYS[name]}=*/" if name in SINK_KEYS else ""
         store, pattern = _files(spark, f"{_sink(root, name)}/stream_id={stream_id}/{day}batch_id={batch_id}")
         for found in store.globStatus(pattern) or []:
@@ -330,22 +342,28 @@ def _backlog(root: str, stream_id: str, batch_id: int | None = None) -> str:
     return _sink(root, f"backlog/stream_id={stream_id}") + ("" if batch_id is None else f"/batch_id={batch_id}")
 
 
+def _stream_of(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the query that writes this checkpoint; None if it has never run."""
+    store, metadata = _files(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return spark.read.json(metadata.toString()).first()["id"] if store.exists(metadata) else None
+
+
+def _waiting(spark: SparkSession, root: str, stream_id: str | None) -> list[int]:
+    """Micro-batches with a rest in the backlog."""
+    store, pattern = _files(spark, f"{_sink(root, 'backlog')}/stream_id={stream_id}/batch_id=*")
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in store.globStatus(pattern) or [])
+
+
 def _land_backlog(spark: SparkSession, root: str, checkpoint: str, limit: int | None, on_batch: Callable | None) -> int:
     """Land messages that earlier runs have read and left for later, ``limit`` at most; returns their number.
 
     Only batches that the stream has committed count: an uncommitted one is read again and leaves its rest anew. How far
     a rest has been landed is the sum of the counts its parts have written to ``progress``.
     """
-    store, metadata = _files(spark, f"{checkpoint.rstrip('/')}/metadata")
-    if not store.exists(metadata):
-        return 0
-    stream_id = spark.read.json(metadata.toString()).first()["id"]
-    store, folder = _files(spark, _backlog(root, stream_id))
-    if not store.exists(folder):
-        return 0
-    batches = sorted(int(f.getPath().getName().split("=")[1]) for f in store.listStatus(folder) if "=" in f.getPath().getName())
+    stream_id = _stream_of(spark, checkpoint)
+    store, _ = _files(spark, root)
     taken = 0
-    for batch_id in batches:
+    for batch_id in _waiting(spark, root, stream_id):
         log, committed = _files(spark, f"{checkpoint.rstrip('/')}/commits/{batch_id}")
         rest = spark.read.parquet(_backlog(root, stream_id, batch_id))
         ids = -((batch_id + 1) << 32)
@@ -409,6 +427,28 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str |
     return taken
 
 
+def compact(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Merge the small files of all finished micro-batches of the stream with this checkpoint; how many sinks had some.
+
+    Finished is what the stream has committed, up to the first micro-batch with a rest in the backlog: nothing lands in these
+    batches any more. Runs beside readers, and between the runs of the ingestion.
+    """
+    stream_id = _stream_of(spark, checkpoint)
+    store, pattern = _files(spark, f"{checkpoint.rstrip('/')}/commits/[0-9]*")
+    committed = [int(f.getPath().getName()) for f in store.globStatus(pattern) or [] if f.getPath().getName().isdigit()]
+    rests = (b for b in _waiting(spark, root, stream_id) if not spark.read.parquet(_backlog(root, stream_id, b)).isEmpty())
+    through = min(max(committed, default=-1), next(rests, 1 << 62) - 1)
+    merged = [
+        segments.merge(spark, _sink(root, name), _schema(spark, name), stream_id, through, [SINK_KEYS[name]] if name in SINK_KEYS else [])
+        for name in SINKS]
+    return sum(m is not None for m in merged)
+
+
+def remove_compacted(spark: SparkSession, root: str) -> int:
+    """Remove files that compaction has replaced, once no reader that began before it is left; returns the number of folders."""
+    return sum(segments.remove_merged(spark, _sink(root, name)) for name in SINKS)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait until an available-now query has used up its input; its failure is raised here."""
     query.awaitTermination()
