@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -23,6 +26,8 @@ READ_BYTES = 256 << 10
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+#: Algorithms of digests and the bytes of each.
+DIGESTS = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
 MANIFEST = "path string, records long, bytes long"
 
 
@@ -82,26 +87,103 @@ def members(stream: BinaryIO) -> Iterator[tuple[int, Iterator[bytes]]]:
         yield at, pieces()
 
 
+def header(lines: bytes) -> dict[str, str]:
+    """Fields of a record or message by lower-case name, without the first line; folded lines count to the line before."""
+    unfolded = re.sub(r"\r\n[ \t]+", " ", lines.decode("utf-8", "replace"))
+    return {name.strip().lower(): value.strip() for name, _, value in (x.partition(":") for x in unfolded.split("\r\n")[1:])}
+
+
+def stated_digest(field: str) -> tuple[str, bytes] | None:
+    """Algorithm and value of a digest in hex or base32; None if the algorithm is not at hand."""
+    name, _, value = field.partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if name not in DIGESTS:
+        return None
+    try:
+        if len(value) == 2 * DIGESTS[name]:
+            return name, bytes.fromhex(value)
+        found = base64.b32decode(value.rstrip("=") + "=" * (-len(value.rstrip("=")) % 8), casefold=True)
+    except (ValueError, binascii.Error):
+        found = b""
+    if len(found) != DIGESTS[name]:
+        _fail(f"an unreadable digest: {field[:80]}")
+    return name, found
+
+
+def agrees(field: str | None, *candidates: bytes) -> bool:
+    """Whether one of the candidates has the digest; without a digest that can be verified, any has."""
+    stated = stated_digest(field) if field else None
+    return stated is None or any(hashlib.new(stated[0], c).digest() == stated[1] for c in candidates)
+
+
 def read_record(pieces: Iterator[bytes]) -> tuple[dict[str, str], bytes]:
-    """Header fields (lower-case names) and block of a record, framed by its content length."""
-    buffer = bytearray()
-    while (end := buffer.find(END)) < 0:
+    """Header fields (lower-case names) and block of a record, framed by its content length.
+
+    Records of any writer of versions 0.17 to 1.1 will do; a block digest is verified if there is one.
+    """
+    buffer, seen = bytearray(), 0
+    while (end := buffer.find(END, max(0, seen - len(END)))) < 0:
+        seen = len(buffer)
         buffer += next(pieces, b"") or _fail("a record without end of header")
-    lines = bytes(buffer[:end]).decode().split("\r\n")
-    if lines[0].encode() != VERSION:
-        _fail(f"no record of the expected version: {lines[0][:40]}")
-    fields = {name.strip().lower(): value.strip() for name, _, value in (x.partition(":") for x in lines[1:])}
+    first = bytes(buffer[:end]).split(b"\r\n", 1)[0]
+    if not re.fullmatch(rb"WARC/(0\.1[78]|1\.[01])", first):
+        _fail(f"no record of a known version: {first[:40].decode('utf-8', 'replace')}")
+    fields = header(bytes(buffer[:end]))
     size = int(fields["content-length"])
     for piece in pieces:
         buffer += piece
     block = bytes(buffer[end + 4:end + 4 + size])
     if len(block) < size or bytes(buffer[end + 4 + size:]) != END:
         _fail("a block that differs from its content length")
-    if fields["warc-block-digest"] != f"sha256:{hashlib.sha256(block).hexdigest()}":
+    if not agrees(fields.get("warc-block-digest"), block):
         _fail("a block that differs from its digest")
     return fields, block
 
 
+def unchunked(body: bytes) -> bytes | None:
+    """A body in chunked transfer coding without it; None if it isn't one."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        size = body[at:end].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return None
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(out)
+        out.append(body[end + 2:end + 2 + n])
+        if len(out[-1]) < n:
+            return None
+        at = end + 4 + n
+    return None
+
+
+def content(fields: dict[str, str], block: bytes) -> tuple[bytes | None, int | None, str | None]:
+    """Payload of a record, its size, and its digest as the reader reports it.
+
+    The payload of an HTTP message is its body, of other records the block; a revisit has none but may state size and
+    digest. A payload digest is verified on the body as stored or without its transfer coding, but not if the record
+    holds a part of the payload only.
+    """
+    digest, http = fields.get("warc-payload-digest"), {}
+    payload = raw = block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        head, _, raw = block.partition(END)
+        http = header(head)
+        payload = raw
+        if "chunked" in http.get("transfer-encoding", "").lower():
+            whole = unchunked(raw)
+            payload = raw if whole is None else whole
+    if fields["warc-type"] == "revisit":
+        stated, size = stated_digest(digest) if digest else None, http.get("content-length", "")
+        known = None if stated is None else ("" if stated[0] == "sha256" else f"{stated[0]}:") + stated[1].hex()
+        return None, int(size) if re.fullmatch(r"[0-9]{1,18}", size) else None, known
+    partial = "warc-truncated" in fields or "warc-segment-number" in fields
+    own = hashlib.sha256(payload)
+    if not partial and digest and stated_digest(digest) != ("sha256", own.digest()) and not agrees(digest, payload, raw):
+        _fail("a payload that differs from its digest")
+    return payload, len(payload), own.hexdigest()
+
+
 def _fail(what: str) -> bytes:
     raise ValueError(what)
 
@@ -176,21 +258,17 @@ def _read(with_payload: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             for offset, pieces in members(stream):
                 try:
                     fields, block = read_record(pieces)
+                    body, size, digest = content(fields, block)
                 except (ValueError, KeyError, zlib.error) as error:
                     raise ValueError(f"{path}, record at byte {offset}: {error}") from error
-                head, _, payload = block.partition(END)
-                http = {n.strip().lower(): v.strip() for n, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
-                digest = fields["warc-payload-digest"].partition(":")[2]
-                kind = fields["warc-type"]
-                if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
-                    raise ValueError(f"{path}, record at byte {offset}: a payload that differs from its digest")
                 row = {
                     "page_id": int(fields["x-page-id"]) if "x-page-id" in fields else None,
-                    "url": fields.get("warc-target-uri"), "payload_bytes": int(http[b"content-length"]),
-                    "payload_digest": digest, "record_type": kind,
+                    "url": fields.get("warc-target-uri"), "payload_bytes": size, "payload_digest": digest,
+                    "record_type": fields["warc-type"],
                     "refers_to": int(fields["x-refers-to-page-id"]) if "x-refers-to-page-id" in fields else None,
+                    "record_id": fields.get("warc-record-id"), "refers_to_record": fields.get("warc-refers-to"),
                     "path": path, "offset": offset}
-                yield row | {"payload": payload if kind == "response" else None} if with_payload else row
+                yield row | {"payload": body} if with_payload else row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _SCHEMA if with_payload else _SCHEMA.remove(_SCHEMA.get_field_index("payload"))
@@ -199,7 +277,7 @@ def _read(with_payload: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 held, size = [], 0
                 for row in rows(path):
                     held.append(row)
-                    size += 200 + (row["payload_bytes"] if with_payload else 0)
+                    size += 400 + (len(row["payload"] or b"") if with_payload else 0)
                     if size > 8 << 20:
                         yield pa.RecordBatch.from_pylist(held, schema)
                         held, size = [], 0
@@ -210,18 +288,22 @@ def _read(with_payload: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 _SCHEMA = pa.schema([
     ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-    ("record_type", pa.string()), ("refers_to", pa.int64()), ("path", pa.string()), ("offset", pa.int64()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("refers_to_record", pa.string()), ("path", pa.string()), ("offset", pa.int64()),
     ("payload", pa.binary())])
 
 
 def read_archives(manifest: DataFrame, payload: bool = True) -> DataFrame:
     """Records of the archives in column ``path``, one task per archive, read member by member.
 
-    (page_id, url, payload_bytes, payload_digest, record_type, refers_to, path, offset, payload); a revisit
-    has the size and digest of the full payload and a null payload. Framing and both digests are verified; a
-    damaged archive ends the job with its path and byte. No archives give an empty result.
+    (page_id, url, payload_bytes, payload_digest, record_type, refers_to, record_id, refers_to_record, path, offset,
+    payload). Archives of other writers will do, with one gzip member per record: all record types come as rows, page
+    ids are null. ``payload_digest`` is the hex SHA-256 of the payload; a revisit has a null payload, the size that its HTTP
+    header states, and the digest that it states, in hex and behind ``algorithm:`` if that is not SHA-256. Framing is
+    verified, and what digests there are; a damaged archive ends the job with its path and byte. No archives
+    give an empty result.
     """
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-              "refers_to long, path string, offset long" + (", payload binary" if payload else ""))
+              "refers_to long, record_id string, refers_to_record string, path string, offset long"
+              + (", payload binary" if payload else ""))
     paths = manifest.select("path")
     return paths.repartition(max(1, paths.count())).mapInArrow(_read(payload), schema)

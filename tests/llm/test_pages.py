@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 import io
@@ -59,6 +60,59 @@ def test_reader_frames_members_and_verifies():
         warc.read_record(iter([longer]))
 
 
+def foreign(kind, block, version="1.0", **fields):
+    names = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:x:{kind}>", "Content-Length": len(block)}
+    names |= {k.replace("_", "-"): v for k, v in fields.items()}
+    head = "".join(f"{k}: {v}\r\n" for k, v in names.items())
+    return gzip.compress(f"WARC/{version}\r\n{head}\r\n".encode() + block + b"\r\n\r\n")
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http, page = "application/http; msgtype=response", b"<p>page</p>\r\n\r\nmore"
+    chunked = b"5\r\n<p>pa\r\nE;x=1\r\nge</p>\r\n\r\nmore\r\n0\r\n\r\n"
+    assert warc.unchunked(chunked) == page and warc.unchunked(page) is None and warc.unchunked(b"5\r\nab") is None
+    plain, coded = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n" + page, b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked
+    records = [
+        foreign("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        foreign("response", plain, Content_Type=http, WARC_Target_URI="http://h/\r\n  folded", WARC_Payload_Digest=sha1(page),
+                WARC_Block_Digest=sha1(plain)),
+        foreign("response", coded, Content_Type=http, WARC_Payload_Digest=sha1(page)),
+        foreign("response", coded, Content_Type=http, WARC_Payload_Digest=sha1(chunked).lower()),
+        foreign("response", plain, "1.1", Content_Type=http, WARC_Payload_Digest="blake9:whatever"),
+        foreign("response", plain, Content_Type=http, WARC_Payload_Digest=sha1(b"the whole"), WARC_Truncated="length"),
+        foreign("revisit", b"", WARC_Payload_Digest=sha1(page), WARC_Refers_To="<urn:x:response>"),
+        foreign("resource", page, "0.18", WARC_Payload_Digest="md5:" + hashlib.md5(page).hexdigest()),
+        foreign("metadata", b"")]
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(records))
+    manifest = spark.createDataFrame([(path.as_uri(),)], "path string")
+    got = sorted(warc.read_archives(manifest).collect(), key=lambda r: r["offset"])
+    assert [r["record_type"] for r in got] == [
+        "warcinfo", "request", *["response"] * 5, "revisit", "resource", "metadata"]
+    assert [r["payload"] and bytes(r["payload"]) for r in got] == [
+        b"software: other\r\n", b"", *[page] * 5, None, page, b""]
+    digest = hashlib.sha256(page).hexdigest()
+    assert [r["payload_digest"] for r in got[2:9]] == [*[digest] * 5, "sha1:" + hashlib.sha1(page).hexdigest(), digest]
+    assert [r["payload_bytes"] for r in got[2:9]] == [*[len(page)] * 5, None, len(page)]
+    assert got[2]["url"] == "http://h/ folded" and got[7]["refers_to_record"] == got[2]["record_id"] == "<urn:x:response>"
+    assert {r["page_id"] for r in got} == {None} == {r["refers_to"] for r in got}
+
+
+@pytest.mark.parametrize("record, match", [
+    (foreign("response", b"HTTP/1.0 200\r\n\r\nx", Content_Type="application/http", WARC_Payload_Digest=sha1(b"y")), "payload that differs"),
+    (foreign("resource", b"x", WARC_Block_Digest=sha1(b"y")), "block that differs"),
+    (foreign("resource", b"x", WARC_Payload_Digest="sha1:no digest"), "unreadable digest"),
+    (foreign("resource", b"x", "9.9"), "known version")])
+def test_damaged_records_of_other_writers(record, match):
+    with pytest.raises(ValueError, match=match):
+        warc.content(*warc.read_record(iter([gzip.decompress(record)])))
+
+
 MAIN = "First  para&amp;graph\nwith &eacute; and <b>bold</b>text.<br>More"
 
 
