@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from perkline.llm.html_text import host_of, section_of
 from perkline.llm.text import LETTERS, as_bytes, chunks, words
 from perkline.session import stage_table
 
@@ -179,6 +180,16 @@ def _strength(groups: DataFrame, mean: Column) -> float:
     return float(min(max(1 / max(alike, 1e-6) - 1, 1.0), 1e6))
 
 
+def with_site(docs: DataFrame, url_col: str = "url", host_col: str = "host", path_col: str = "path") -> DataFrame:
+    """``docs`` with the host of each document's address and its first folder below it, for ``classify``.
+
+    Both are null without an address; a page in no folder has a host only. Columns of these names are replaced.
+    """
+    kept = [c for c in docs.columns if c.lower() not in (host_col.lower(), path_col.lower())]
+    url = docs[url_col].cast("string")
+    return docs.select(*[docs[c] for c in kept], host_of(url).alias(host_col), section_of(url).alias(path_col))
+
+
 def classify(docs: DataFrame, model: Model, host_col: str = "source", path_col: str = "lang",
              text_col: str = "text") -> DataFrame:
     """``docs`` with (evidence, site, probability double, kept boolean), one row each.

@@ -103,3 +103,21 @@ def test_site_posteriors_shrink(spark):
     sites = site_logits(rows, evidence, prior, 1e12, 1e12)
     assert sites[0] == pytest.approx(math.log(evidence[0] / (1 - evidence[0])), abs=1e-6)
     assert quality.classify(docs.limit(0), quality.train(docs, labels.limit(0))).count() == 0
+
+
+def test_sites_come_from_addresses(spark):
+    """A page of a folder full of junk is judged by it, the same text elsewhere on the host by the host."""
+    junk, fine = "junk !!! $$$ " * 4, "a fine and quiet sentence about rivers. " * 4
+    urls = [("http://u@Good.org:80/news/{}", fine), ("https://mixed.org/ads/{}", junk), ("https://mixed.org/blog/{}", fine)]
+    rows = [(u.format(i), t) for u, t in urls for i in range(40)]
+    rows += [("https://mixed.org/ads/x", "some words"), ("http://good.org/news/x", "some words"), ("https://mixed.org/page", fine), (None, fine), ("mailto:a", fine)]
+    docs = spark.createDataFrame([(i, u, t, "old") for i, (u, t) in enumerate(rows)], "doc_id long, url string, text string, Host string")
+    sites = quality.with_site(docs)
+    assert sites.columns == ["doc_id", "url", "text", "host", "path"]
+    assert {(r["host"], r["path"]) for r in sites.collect()} == {
+        ("good.org", "good.org/news"), ("mixed.org", "mixed.org/ads"), ("mixed.org", "mixed.org/blog"), ("mixed.org", None), (None, None)}
+    labels = spark.createDataFrame([(i, int(t == fine), 0) for i, (_, t) in enumerate(rows) if i < 120], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.classify(sites, quality.train(docs, labels), "host", "path").collect()}
+    assert len(got) == len(rows) and got[120]["evidence"] == got[121]["evidence"]
+    assert got[120]["site"] < 0.3 < got[121]["site"] and got[120]["probability"] < got[121]["probability"]
+    assert got[40]["site"] == got[79]["site"] < got[122]["site"] < got[0]["site"]

@@ -45,7 +45,7 @@ def corpus():
     return list(zip(ids, texts, strict=True))
 
 
-@pytest.mark.parametrize(("batches", "hot"), [(1, 1 << 15), (4, 1 << 15), (3, 1)])
+@pytest.mark.parametrize(("batches", "hot"), [(1, 1 << 15), (4, 1 << 15), (8, 1 << 15), (3, 1)])
 def test_equals_brute_force(spark, monkeypatch, batches, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     rows = corpus()
@@ -55,6 +55,21 @@ def test_equals_brute_force(spark, monkeypatch, batches, hot):
     assert got == brute(rows)
 
 
+def test_levels_merge_geometrically(spark):
+    """Eight batches give levels like the digits of a binary number; what each batch repeats is found in any level."""
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(400)) + passage for _ in range(24)]
+    index, ranks, marked = suffix_dedup.SuffixIndex(64), [], set()
+    for k in range(8):
+        docs = spark.createDataFrame([(i, texts[i]) for i in range(3 * k, 3 * k + 3)], "d long, text string")
+        found = index.add(docs)
+        marked |= {r["d"] for r in suffix_dedup._explode(found, "mark", suffix_dedup.PLACE, "d long, h long, run long").collect()}
+        ranks.append(sorted(index.levels))
+    assert ranks == [[0], [1], [0, 1], [2], [0, 2], [1, 2], [0, 1, 2], [3]]
+    assert marked == set(range(1, 24))
+
+
 def test_edge_cases(spark):
     text = "word " * 60 + "end"
     rows = [(3, text), (3, text), (None, text), (None, None), (7, "x" + text)]
