@@ -12,7 +12,7 @@ from functools import reduce
 
 from py4j.java_gateway import JavaObject
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -21,17 +21,13 @@ from perkline.defaults import CHANNEL, TOPIC
 from perkline.functions import activity_message
 from perkline.functions.dates import as_date
 from perkline.operators.ranking import total_order_rank
-from perkline.session import stage_table
 from perkline.streaming import segments
 
 # Columns of a Kafka-protocol source, as strings.
 MESSAGE_COLUMNS = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 
-_FIELDS = (
-    "activity_id string, employee_id string, activity_type string, activity_date string, distance_km string, "
-    "duration_min string, calories_burned string, source_system string, event_ts string, process_date string, "
-    "_corrupt string"
-)
+# What parsing needs of a message; its other members are checked as JSON and stay in the payload.
+_FIELDS = "activity_id string, activity_date string, event_ts string, process_date string, _corrupt string"
 
 
 def stream_source(spark: SparkSession, brokers: str | None = None, topic: str = TOPIC, path: str | None = None,
@@ -55,23 +51,30 @@ def stream_source(spark: SparkSession, brokers: str | None = None, topic: str =
     return reader.load().withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
 
 
+def _with_event(messages: DataFrame) -> DataFrame:
+    """Adds ``_event``, the object in the text, and the typed dates of it."""
+    event = F.from_json("value", _FIELDS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    # a value that was read has its key; the keys are only looked for where there is none
+    has_process_date = (F.col("_event.process_date").isNotNull() & F.col("_event._corrupt").isNull()) | F.array_contains(
+        F.json_object_keys("value"), "process_date")
+    processed = F.when(has_process_date, F.col("_event.process_date")).otherwise(F.col("_event.activity_date"))
+    return messages.withColumn("_event", event).withColumns(
+        {"process_date": processed.try_cast("date"), "event_ts": F.col("_event.event_ts").try_cast("timestamp")})
+
+
 def parse_events(messages: DataFrame) -> DataFrame:
     """Event rows with ``is_readable``; works on streams and tables alike.
 
     The processing date falls back to the activity date only when the key is absent. A message is
     readable if it is a JSON object with an id and dates that can be typed.
     """
-    event = F.from_json("value", _FIELDS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    has_process_date = F.array_contains(F.json_object_keys("value"), "process_date")
-    parsed = messages.withColumn("_event", event)
-    row = parsed.select(
+    row = _with_event(messages).select(
         F.col("_event.activity_id").alias("event_id"),
-        F.when(has_process_date, F.col("_event.process_date")).otherwise(F.col("_event.activity_date"))
-         .try_cast("date").alias("process_date"),
+        "process_date",
         "topic",
         F.col("partition").alias("partition_id"),
         F.col("offset").alias("offset_id"),
-        F.col("_event.event_ts").try_cast("timestamp").alias("event_ts"),
+        "event_ts",
         F.col("timestamp").alias("consumed_at"),
         F.col("value").alias("payload_json"),
         F.col("_event._corrupt").isNull().alias("_well_formed"),
@@ -90,17 +93,24 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 
 def _messages(parsed: DataFrame, process_date: str | date | None) -> DataFrame:
-    """What deciding needs: the message, its place, and its key. Unreadable messages are keys of their own."""
+    """What deciding and landing need: the message, its place, its key and what was parsed, so that nothing is parsed
+    again. Unreadable messages are keys of their own."""
     expected = as_date(process_date) if process_date else F.col("process_date")
     numbers = (F.col(c).cast("string") for c in ("partition_id", "offset_id"))
     place = F.concat_ws(":", F.lit("unreadable"), "topic", *numbers)
     return parsed.select(
         F.when(F.col("is_readable"), F.concat(F.lit("id:"), F.col("event_id"))).otherwise(place).alias("id"),
         F.col("payload_json").alias("value"), "topic", F.col("partition_id").cast("long").alias("partition"),
-        F.col("offset_id").cast("long").alias("offset"), F.unix_micros("consumed_at").alias("micros"), "is_readable",
+        F.col("offset_id").cast("long").alias("offset"), F.unix_micros("consumed_at").alias("micros"), "process_date",
+        "event_ts", "is_readable",
         F.coalesce(F.col("is_readable") & (F.col("process_date") != expected), F.lit(False)).alias("other_date"))
 
 
+PARSED = ("process_date", "event_ts")
+PLACE = ("partition", "offset", "topic")
+MESSAGE = ("value", "topic", "partition", "offset", "micros", "process_date", "event_ts", "is_readable")
+
+
 def first_arrivals(parsed: DataFrame, process_date: str | date | None = None, event_time: str | None = None,
                    horizon: str | None = None) -> DataFrame:
     """Stream of parsed messages -> the same messages, and one row more (``is_new``) for each id met for the first time.
@@ -124,22 +134,29 @@ def decide(batch: DataFrame) -> DataFrame:
     """Rows of ``first_arrivals`` of one micro-batch -> one decided row per id, and every unreadable message.
 
     The copy with the smallest partition and offset stands for the id; it is accepted if the id is new.
-    ``copies`` counts the messages a row stands for.
+    ``copies`` counts the messages a row stands for. Rows meet by id before they are aggregated, so that payloads are
+    sorted once and not a second time in front of the shuffle.
     """
     is_message = ~F.col("is_new")
-    message = F.struct("value", "topic", "partition", "offset", "micros", "is_readable")
+    message = F.struct(*MESSAGE)
     place = F.when(is_message, F.struct("partition", "offset", "topic"))
-    return batch.groupBy("id").agg(
+    return batch.repartition("id").groupBy("id").agg(
         F.min_by(message, place).alias("m"), F.max("is_new").alias("accepted"), F.count_if(is_message).alias("copies"),
         F.count_if("other_date").alias("other_dates"),
     ).filter("m is not null").select("id", "m.*", "accepted", "copies", "other_dates")
 
 
-def _as_messages(decided: DataFrame) -> DataFrame:
-    """Decided rows as messages again, to be parsed like any others."""
+def _landable(decided: DataFrame) -> DataFrame:
+    """Decided rows as parsed messages again."""
     return decided.select(
-        F.lit(None).cast("string").alias("key"), "value", "topic", F.col("partition").cast("int").alias("partition"), "offset",
-        F.timestamp_micros("micros").alias("timestamp"))
+        F.when(F.col("is_readable"), F.substr("id", F.lit(len("id:") + 1))).alias("event_id"), "process_date", "topic",
+        F.col("partition").cast("int").alias("partition_id"), F.col("offset").alias("offset_id"), "event_ts",
+        F.timestamp_micros("micros").alias("consumed_at"), F.col("value").alias("payload_json"), "is_readable")
+
+
+def _needed_value() -> Column:
+    """The text of a decided row if it is landed; of other copies only the number is."""
+    return F.when(F.col("accepted") | ~F.col("is_readable"), F.col("value"))
 
 
 def first_arrivals_of_batch(parsed: DataFrame, process_date: str | date | None = None) -> DataFrame:
@@ -157,7 +174,7 @@ def stream_dedup_first(events: DataFrame, path: str, checkpoint: str, event_time
     copy, so state is bounded. A retried batch replaces its own rows.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        accepted = readable_events(parse_events(_as_messages(decide(batch).filter("accepted"))))
+        accepted = readable_events(_landable(decide(batch).filter("accepted")))
         (accepted.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
@@ -197,11 +214,12 @@ SINK_KEYS = {"events": "process_date", "messages": "process_date"}
 
 
 def _store(df: DataFrame, root: str, name: str, stream_id: str, batch_id: int) -> None:
-    """Overwrite exactly this micro-batch's partitions, so a retried batch replaces itself."""
+    """Overwrite exactly this micro-batch's partitions, so a retried batch replaces itself. Rows of tables by date come
+    dealt to dates."""
     keys = ["stream_id", *([SINK_KEYS[name]] if name in SINK_KEYS else []), "batch_id"]
-    (df.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")})
-       .hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*keys).parquet(_sink(root, name)))
+    rows = df.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")})
+    (rows if name in SINK_KEYS else rows.hint("rebalance", *keys)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(_sink(root, name))
 
 
 def _empty_sinks(spark: SparkSession) -> dict[str, DataFrame]:
@@ -260,12 +278,16 @@ def land_batch(decided: DataFrame, root: str, stream_id: str, batch_id: int) ->
         held = others.select(F.concat(F.lit("id:"), F.col("event_id")).alias("held")).distinct()
         decided = decided.join(held, F.col("id") == F.col("held"), "left").withColumn(
             "accepted", F.col("accepted") & F.col("held").isNull()).drop("held")
-    rows = decided.persist()
+    decided = decided.withColumn("value", _needed_value())
+    if "event_ts" not in decided.columns:
+        decided = _with_event(decided).drop("_event")
+    # dealt to dates once, for events and notifications alike
+    rows = decided.hint("rebalance", "process_date").persist()
     try:
-        accepted = readable_events(parse_events(_as_messages(rows.filter("accepted"))))
+        accepted = readable_events(_landable(rows.filter("accepted")))
         _store(accepted, root, "events", stream_id, batch_id)
         _store(notifications(accepted), root, "messages", stream_id, batch_id)
-        _store(dead_letters(parse_events(_as_messages(rows.filter("not is_readable")))), root, "dead_letters", stream_id, batch_id)
+        _store(dead_letters(_landable(rows)), root, "dead_letters", stream_id, batch_id)
         sums = {"consumed": F.col("copies"), "unreadable": F.when(~F.col("is_readable"), F.col("copies")),
                 "other_process_date": F.col("other_dates"), "accepted": F.col("accepted").cast("long")}
         counts = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
@@ -312,16 +334,45 @@ class LimitReached(RuntimeError):
 
 
 def decide_messages(batch: DataFrame) -> DataFrame:
-    """Rows of ``first_arrivals`` of one micro-batch -> every message with the decision about it, and its ``position``
-    by partition and offset. Landing them in parts, in any number of runs, lands what ``decide`` says about all."""
-    order = [F.asc("partition"), F.asc("offset"), F.asc("topic")]
+    """Rows of ``first_arrivals`` of one micro-batch -> every message with the decision about it, and a number ``row`` that
+    tells equal places apart once the rows are stored. Landing them in parts, in any number of runs, lands what ``decide``
+    says about all. What was parsed is left out: only texts that are landed are parsed again, then."""
     copies = Window.partitionBy("id")
-    first = F.row_number().over(copies.orderBy(F.asc("is_new"), *order)) == 1
-    judged = batch.withColumn("accepted", first & F.max("is_new").over(copies)).filter("not is_new").select(
-        "id", "value", "topic", "partition", "offset", "micros", "is_readable", "accepted", F.lit(1).cast("long").alias("copies"),
-        F.col("other_date").cast("long").alias("other_dates"))
-    # stored first: ranking reads its input twice, and the stream's state must be asked once
-    return total_order_rank(stage_table(judged, "judged"), order, "position")
+    first = F.row_number().over(copies.orderBy(F.asc("is_new"), *[F.asc(c) for c in PLACE])) == 1
+    judged = batch.drop(*PARSED).withColumn("accepted", first & F.max("is_new").over(copies)).filter("not is_new")
+    return judged.withColumn("value", _needed_value()).select(
+        "id", *[c for c in MESSAGE if c not in PARSED], "accepted", F.lit(1).cast("long").alias("copies"),
+        F.col("other_date").cast("long").alias("other_dates"), F.monotonically_increasing_id().alias("row"))
+
+
+def _between_places(stored: DataFrame, low: int, high: int | None) -> DataFrame:
+    """The rows behind the first ``low`` ones of stored decided messages, up to the first ``high``, by partition and offset.
+
+    Only places are ranked, and what is carried on are the two rows that bound the part; payloads are neither sorted nor
+    shuffled. Backlogs of earlier versions hold the ``place``.
+    """
+    if "place" in stored.columns:
+        part = stored.filter(F.col("place") > low)
+        return (part if high is None else part.filter(F.col("place") <= high)).drop("place")
+    order = (*PLACE, "row")
+    bounds = [n for n in (low, high) if n]
+    found = {}
+    if bounds:
+        ranked = total_order_rank(stored.select(*order), [F.asc(c) for c in order], "position")
+        found = {r["position"]: r for r in ranked.filter(F.col("position").isin(bounds)).collect()}
+    types = {f.name: f.dataType for f in stored.schema}
+    place = F.struct(*order)
+
+    def bound(at: Row):
+        return F.struct(*[F.lit(at[c]).cast(types[c]).alias(c) for c in order])
+
+    if low and low not in found:
+        stored = stored.limit(0)
+    elif low:
+        stored = stored.filter(place > bound(found[low]))
+    if high is not None:
+        stored = stored.filter(place <= bound(found[high])) if high in found else stored.limit(0) if high < 1 else stored
+    return stored.drop("row")
 
 
 def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
@@ -357,29 +408,29 @@ def _waiting(spark: SparkSession, root: str, stream_id: str | None) -> list[int]
 def _land_backlog(spark: SparkSession, root: str, checkpoint: str, limit: int | None, on_batch: Callable | None) -> int:
     """Land messages that earlier runs have read and left for later, ``limit`` at most; returns their number.
 
-    Only batches that the stream has committed count: an uncommitted one is read again and leaves its rest anew. How far
-    a rest has been landed is the sum of the counts its parts have written to ``progress``.
+    Only batches that the stream has committed count: an uncommitted one is read again and stored anew. How far
+    a batch has been landed is the sum of the counts it and its parts have written to ``progress``.
     """
     stream_id = _stream_of(spark, checkpoint)
     store, _ = _files(spark, root)
     taken = 0
     for batch_id in _waiting(spark, root, stream_id):
         log, committed = _files(spark, f"{checkpoint.rstrip('/')}/commits/{batch_id}")
-        rest = spark.read.parquet(_backlog(root, stream_id, batch_id))
-        ids = -((batch_id + 1) << 32)
+        stored = spark.read.parquet(_backlog(root, stream_id, batch_id))
+        ids, size = -((batch_id + 1) << 32), stored.count()
         while log.exists(committed) and (limit is None or taken < limit):
             own = F.col("stream_id") == stream_id
-            own &= F.col("batch_id").between(ids - (1 << 32) + 1, ids)
-            done = read_sink(spark, root, "progress").filter(own).agg(F.coalesce(F.sum("consumed"), F.lit(0))).first()[0]
-            part = rest.filter(F.col("place") > done)
-            if limit is not None:
-                part = part.filter(F.col("place") <= done + limit - taken)
+            sums = [F.coalesce(F.sum(F.when(c, F.col("consumed"))), F.lit(0)) for c in (F.col("batch_id") < 0, F.col("batch_id") >= 0)]
+            done, before = read_sink(spark, root, "progress").filter(own & (
+                F.col("batch_id").between(ids - (1 << 32) + 1, ids) | (F.col("batch_id") == batch_id))).agg(*sums).first()
+            low = done if "place" in stored.columns else before + done
             _forget(spark, root, stream_id, ids - done)
-            if part.isEmpty():
+            if low >= size:
                 _, used_up = _files(spark, _backlog(root, stream_id, batch_id))
                 store.delete(used_up, True)
                 break
-            counts = land_batch(part.drop("place"), root, stream_id, ids - done)
+            part = _between_places(stored, low, None if limit is None else low + limit - taken)
+            counts = land_batch(part, root, stream_id, ids - done)
             taken += counts["consumed"]
             if on_batch:
                 on_batch(ids - done, counts)
@@ -390,9 +441,9 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str |
            max_messages: int | None = None, on_batch: Callable[[int, dict[str, int]], None] | None = None) -> int:
     """Consume what is available, or exactly ``max_messages`` of it, and return the number of messages.
 
-    The limit cuts a micro-batch by partition and offset. Its rest has been read and decided, so it is kept in the ``backlog``
-    of the stream and landed by the next run before anything else; later micro-batches are not begun. The reader's
-    ``max_files`` or ``max_offsets`` bounds such a rest.
+    The limit cuts a micro-batch by partition and offset. It has been read and decided as a whole, so it is kept in the
+    ``backlog`` of the stream, and the next run lands its rest before anything else; later micro-batches are not begun. The
+    reader's ``max_files`` or ``max_offsets`` bounds such a batch.
     """
     spark = messages.sparkSession
     prepare_sinks(spark, root)
@@ -409,11 +460,17 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, process_date: str |
             left = max_messages - taken
             if left <= 0:
                 raise LimitReached(f"{max_messages} messages")
-            decided = decide_messages(batch)
-            rest = decided.filter(F.col("position") > left).withColumn("place", F.col("position") - left)
             _forget(spark, root, stream_id, batch_id)
-            rest.drop("position").write.mode("overwrite").parquet(_backlog(root, stream_id, batch_id))
-            counts = land_batch(decided.filter(F.col("position") <= left).drop("position"), root, stream_id, batch_id)
+            path = _backlog(root, stream_id, batch_id)
+            # stored first: it is read more than once, and the stream's state must be asked once
+            decide_messages(batch).write.mode("overwrite").parquet(path)
+            stored = spark.read.parquet(path)
+            if stored.count() > left:
+                counts = land_batch(_between_places(stored, 0, left), root, stream_id, batch_id)
+            else:
+                counts = land_batch(stored.drop("row"), root, stream_id, batch_id)
+                store, used_up = _files(spark, path)
+                store.delete(used_up, True)
         taken += counts["consumed"]
         if on_batch:
             on_batch(batch_id, counts)

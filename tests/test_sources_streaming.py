@@ -254,3 +254,60 @@ def test_an_attempt_with_another_limit_replaces_the_first(spark, tmp_path, monke
     assert sorted(r.offset_id for r in S.read_sink(spark, root, "events").collect()) == [0, 1, 2]
     assert S.ingest(S.stream_source(spark, path=source), root, checkpoint) == 5
     assert sorted(r.offset_id for r in S.read_sink(spark, root, "events").collect()) == list(range(8))
+
+
+def test_landing_parses_no_message_again_and_keeps_no_text_of_copies(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "sinks")
+    S.prepare_sinks(spark, root)
+    batch = S.parse_events(messages(spark, [(event(1), 1), ("{bad", 2), (event(1), 3)]))
+    rows = S._messages(batch, "2024-01-03")
+    new = spark.createDataFrame([("id:a1", True)], "id string, is_new boolean")
+    arrivals = rows.withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+    judged = S.decide_messages(arrivals)
+    assert sorted((r.offset, r.accepted, r.value is not None) for r in judged.collect()) == [
+        (1, True, True), (2, False, True), (3, False, False)]
+    expected = S.parse_events(messages(spark, [(event(1), 1)])).drop("is_readable").collect()
+    decided = S.decide(arrivals)
+    plan = decided._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan  # payloads are sorted behind the shuffle only
+    decided = spark.createDataFrame(decided.collect(), decided.schema)
+    parsed = []
+    monkeypatch.setattr(S, "parse_events", lambda *args: parsed.append(args))
+    counts = S.land_batch(decided, root, "q", 0)
+    monkeypatch.undo()
+    assert parsed == [] and counts == {"consumed": 3, "unreadable": 1, "other_process_date": 2, "accepted": 1, "duplicates": 1}
+    assert "process_date" not in judged.columns
+    landed_rows = S.read_sink(spark, root, "events").drop("stream_id", "batch_id")
+    assert landed_rows.columns == S.parse_events(messages(spark, [])).drop("is_readable").columns
+    assert landed_rows.collect() == expected
+
+
+def test_a_limit_ranks_places_and_not_payloads(spark, tmp_path, monkeypatch):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    # equal places: the same messages delivered twice in one micro-batch
+    messages(spark, [(event(i), i) for i in range(6)] * 2).coalesce(1).write.json(source)
+    rank, ranked = S.total_order_rank, []
+
+    def watched(df, *args):
+        ranked.append(set(df.columns))
+        return rank(df, *args)
+
+    monkeypatch.setattr(S, "total_order_rank", watched)
+    for limit, taken in ((5, 5), (2, 2), (None, 5), (None, 0)):
+        assert S.ingest(S.stream_source(spark, path=source), root, checkpoint, max_messages=limit) == taken
+    assert ranked and not any("value" in columns for columns in ranked)
+    assert sorted(r.offset_id for r in S.read_sink(spark, root, "events").collect()) == list(range(6))
+
+
+def test_a_backlog_of_an_earlier_version_is_landed(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    messages(spark, [(event(i), i) for i in range(6)]).coalesce(1).write.json(source)
+    assert S.ingest(S.stream_source(spark, path=source), root, checkpoint, max_messages=2) == 2
+    path = S._backlog(root, S._stream_of(spark, checkpoint), 0)
+    held = spark.read.parquet(path).filter("offset > 1").withColumn("place", F.col("offset") - 1).drop("row")
+    held = spark.createDataFrame(held.collect(), held.schema)
+    held.write.mode("overwrite").parquet(path)
+    for limit, taken in ((1, 1), (None, 3), (None, 0)):
+        assert S.ingest(S.stream_source(spark, path=source), root, checkpoint, max_messages=limit) == taken
+    landed_rows = S.read_sink(spark, root, "events").collect()
+    assert sorted(r.offset_id for r in landed_rows) == list(range(6)) and all(r.process_date and r.event_ts for r in landed_rows)
