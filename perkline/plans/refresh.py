@@ -7,7 +7,7 @@ partitions are read and written again, and in them only rows of the employees co
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
@@ -18,7 +18,9 @@ from perkline.defaults import WINDOW_DAYS
 from perkline.functions.dates import as_date
 from perkline.operators.activity import daily_activity
 from perkline.operators.calendar import distinct_dates
-from perkline.plans.timeline import EMPLOYEE_FIELDS, decide_runs, employee_runs, rule_calendar, snapshot_rows
+from perkline.plans.timeline import (
+    EMPLOYEE_FIELDS, decide_runs, employee_runs, rule_calendar, snapshot_rows, spread_by_date, spread_runs,
+)
 from perkline.session import stage_table
 
 Days = Sequence[tuple[date, date]]
@@ -46,9 +48,8 @@ def _days(df: DataFrame, column: str) -> set[date]:
 
 
 def _write(df: DataFrame, path: str, key: str) -> None:
-    """Replace exactly the partitions that ``df`` brings. The rows are stored first, as they may come from ``path``."""
-    (stage_table(df, "refreshed").hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(key).parquet(path))
+    """Replace exactly the partitions that ``df`` brings; rows that come from ``path`` must have been stored elsewhere."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def _drop(spark: SparkSession, path: str, key: str, days: set[date]) -> None:
@@ -67,7 +68,7 @@ def read_timeline(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _snapshots(employees: DataFrame, daily: DataFrame, validity: DataFrame, spans: Days, window_days: int,
-               dates: DataFrame | None = None) -> DataFrame:
+               dates: DataFrame | None = None, spread: Callable[[DataFrame], DataFrame] = spread_runs) -> DataFrame:
     """Timeline rows of the employees for the snapshot dates in ``spans``, from the days that these look back on.
 
     ``dates`` are the calendar's, by default those of ``daily``.
@@ -82,16 +83,18 @@ def _snapshots(employees: DataFrame, daily: DataFrame, validity: DataFrame, span
     if ends["low"] is None:
         wanted, ends = calendar.limit(0), {"low": 1, "high": 0}
     cut = runs.withColumns({"begins": F.greatest("begins", F.lit(ends["low"])), "ends": F.least("ends", F.lit(ends["high"]))})
-    return snapshot_rows(cut.filter("begins <= ends"), wanted)
+    return snapshot_rows(cut.filter("begins <= ends"), wanted, spread)
 
 
 def store_timeline(path: str, employees: DataFrame, activities: DataFrame, validity: DataFrame,
                    window_days: int = WINDOW_DAYS) -> DataFrame:
     """Build the timeline from scratch into the folder ``path``."""
     spark = employees.sparkSession
-    _write(daily_activity(activities.filter("is_valid_activity")).filter("activity_date is not null"), f"{path}/daily", "activity_date")
+    valid = daily_activity(activities.filter("is_valid_activity")).filter("activity_date is not null")
+    _write(valid.hint("rebalance", "activity_date"), f"{path}/daily", "activity_date")
     daily = _read(spark, path, "daily")
-    _write(_snapshots(employees, daily, validity, [(date(1, 1, 1) + timedelta(days=window_days), date(9999, 12, 31))], window_days),
+    _write(_snapshots(employees, daily, validity, [(date(1, 1, 1) + timedelta(days=window_days), date(9999, 12, 31))], window_days,
+                      spread=spread_by_date),
            f"{path}/timeline", "snapshot_date")
     return read_timeline(spark, path)
 
@@ -112,7 +115,7 @@ def refresh_timeline(path: str, employees: DataFrame, activities: DataFrame, val
         return read_timeline(spark, path)
     own = _merged(days, 0)
     fresh = stage_table(daily_activity(activities.filter("is_valid_activity").filter(_within("activity_date", own))), "fresh")
-    _write(fresh, f"{path}/daily", "activity_date")
+    _write(fresh.hint("rebalance", "activity_date"), f"{path}/daily", "activity_date")
     _drop(spark, f"{path}/daily", "activity_date", days - _days(fresh, "activity_date"))
 
     daily = _read(spark, path, "daily")
@@ -131,6 +134,7 @@ def refresh_timeline(path: str, employees: DataFrame, activities: DataFrame, val
     if new:
         parts.append(_snapshots(employees, daily, validity, _merged(new, 0), window_days))
     if parts:
-        _write(reduce(DataFrame.unionByName, parts), f"{path}/timeline", "snapshot_date")
+        rows = stage_table(reduce(DataFrame.unionByName, parts), "refreshed")
+        _write(rows.hint("rebalance", "snapshot_date"), f"{path}/timeline", "snapshot_date")
     _drop(spark, f"{path}/timeline", "snapshot_date", held - there)
     return read_timeline(spark, path)

@@ -24,6 +24,7 @@ RULE_FIELDS = (
     "max_km_walk_run", "max_km_cycle_scooter_other", "modes",
 )
 ROWS_PER_TASK = 500_000
+DATES_PER_TASK = 4
 EMPLOYEE_FIELDS = (
     "employee_id", "full_name", "business_unit", "contract_type", "gross_salary", "transport_mode",
     "distance_km_to_office",
@@ -97,6 +98,28 @@ def spread_runs(runs: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFram
     return runs.repartition(max(1, -(-int(rows) // rows_per_task)), "employee_id", "begins")
 
 
+def spread_by_date(runs: DataFrame, rows_per_task: int = ROWS_PER_TASK, dates_per_task: int = DATES_PER_TASK) -> DataFrame:
+    """Stored runs, cut at every ``dates_per_task`` dates and dealt to tasks by these blocks of dates.
+
+    What is unrolled from them lies by date already: a writer partitioned by date has large files, and the rows, of
+    which there are many more than runs, need no shuffle. Blocks of many rows are shared by several tasks.
+    """
+    length = F.col("ends") - F.col("begins") + 1
+    size = runs.agg(F.sum(length).alias("rows"), F.min("begins").alias("low"), F.max("ends").alias("high")).first()
+    rows = int(size["rows"] or 0)
+    in_block = dates_per_task * -(-rows // max(1, (size["high"] or 0) - (size["low"] or 0) + 1))
+    shards = max(1, -(-in_block // rows_per_task))
+
+    def block(pos: str):
+        return F.floor((F.col(pos) - 1) / dates_per_task).cast("int")
+
+    cut = runs.withColumn("block", F.explode(F.sequence(block("begins"), block("ends")))).withColumns({
+        "begins": F.greatest("begins", F.col("block") * dates_per_task + 1),
+        "ends": F.least("ends", (F.col("block") + 1) * dates_per_task)})
+    return cut.withColumn("shard", F.pmod(F.xxhash64("employee_id"), F.lit(shards))).repartition(
+        max(1, -(-rows // rows_per_task)), "block", "shard").drop("block", "shard")
+
+
 def activity_grid(employees: DataFrame, daily: DataFrame, dates: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
     """Every employee on every distinct date of ``daily``, with on-date and trailing metrics."""
     calendar = materialize_calendar(number_dates(dates, window_days))
@@ -176,9 +199,9 @@ def benefit_runs(
     return decide_runs(runs, calendar), calendar
 
 
-def snapshot_rows(decided: DataFrame, calendar: DataFrame) -> DataFrame:
+def snapshot_rows(decided: DataFrame, calendar: DataFrame, spread: Callable[[DataFrame], DataFrame] = spread_runs) -> DataFrame:
     """Decided runs as the rows of the timeline, one per employee and date of ``calendar``."""
-    rows = unroll(spread_runs(stage_table(decided, "runs")), calendar)
+    rows = unroll(spread(stage_table(decided, "runs")), calendar)
     return rows.withColumn("distance_km_on_date", F.col("distance_km_on_date").cast("decimal(20,2)")).select(*COLUMNS)
 
 

@@ -6,9 +6,12 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from perkline.catalogue.queries import _sum_of_some
 from perkline.plans import refresh
 from perkline.plans import rules as R
-from perkline.plans.timeline import COLUMNS, gold_employee_benefit_timeline
+from perkline.plans.timeline import COLUMNS, gold_employee_benefit_timeline, spread_by_date
 from tests.domain import silver_activities, silver_employees, three_rules
 
 PEOPLE = [(str(i), "30000", ["velo", "vélo", "marche/running", None][i % 4], str(3 + 4 * i)) for i in range(6)]
@@ -108,3 +111,50 @@ def test_known_at_on_empty_inputs(spark):
     employees, validity = silver_employees(spark, PEOPLE), R.rules_validity(three_rules(spark), "2024-09-01")
     none = silver_activities(spark, list(records(random.Random(1), 5).values())).limit(0)
     assert gold_employee_benefit_timeline(employees, none, validity, 7, known_at=True).count() == 0
+
+
+def test_storing_copies_no_rows_and_shuffles_runs_only(spark, rows, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    employees, validity = silver_employees(spark, PEOPLE), R.rules_validity(three_rules(spark), "2024-09-01")
+    state = records(rng, 40)
+    activities = silver_activities(spark, list(state.values()))
+    staged, written = [], []
+    keep, write = refresh.stage_table, refresh._write
+    monkeypatch.setattr(refresh, "stage_table", lambda df, name: staged.append(name) or keep(df, name))
+
+    def watched(df, path, key):
+        written.append((path.rsplit("/", 1)[1], df._jdf.queryExecution().optimizedPlan().toString()))
+        write(df, path, key)
+
+    monkeypatch.setattr(refresh, "_write", watched)
+    path = str(tmp_path / "t")
+    refresh.store_timeline(path, employees, activities, validity, 30)
+    plan = dict(written)["timeline"]
+    assert "RebalancePartitions" not in plan and plan.count("RepartitionByExpression") == 1
+    changed = activities.filter("employee_id = '1'").select("employee_id", "activity_date")
+    refresh.refresh_timeline(path, employees, activities, validity, changed, 30)
+    assert staged == ["changed", "fresh", "refreshed"]
+    full = gold_employee_benefit_timeline(employees, activities, validity, 30)
+    assert rows(refresh.read_timeline(spark, path).select(*COLUMNS)) == rows(full)
+
+
+def test_blocks_of_dates_keep_every_date_of_a_run(spark, rows):
+    runs = spark.createDataFrame([("a", 1, 11), ("b", 3, 3), ("b", 4, 9), ("c", 2, 2)], "employee_id string, begins int, ends int")
+
+    def dates(df):
+        return rows(df.selectExpr("employee_id", "explode(sequence(begins, ends)) d"))
+
+    for size in (1, 5, 1000):
+        dealt = spread_by_date(runs, size, 4)
+        assert dates(dealt) == dates(runs)
+        assert dealt.filter("floor((begins - 1) / 4) <> floor((ends - 1) / 4)").isEmpty()
+    assert spread_by_date(runs.filter("false")).isEmpty()
+
+
+def test_sums_of_the_grid_leave_zeros_out(spark):
+    df = spark.createDataFrame([(1, "1.50"), (1, "0"), (1, None), (1, "-2.25"), (2, "0"), (3, None)], "g int, t string").selectExpr(
+        "g", "cast(t as decimal(18,2)) x")
+    got = df.groupBy("g").agg(F.sum("x").alias("plain"), _sum_of_some("x"))
+    assert sorted(r.plain for r in got.collect() if r.plain is not None) and all(r.plain == r.x for r in got.collect())
+    assert got.schema["x"].dataType == got.schema["plain"].dataType
+    assert "FILTER" in got._jdf.queryExecution().optimizedPlan().toString()
