@@ -147,7 +147,7 @@ def validity(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
 
 
 def parameters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = rule_documents(spark, sf_dir)
+    docs = R.spread_documents(rule_documents(spark, sf_dir))
     normalized = docs.withColumn("document", R.normalize_rules_payload(F.col("document")))
     return R.flatten_rules(normalized, ["rule_version", "loaded_at"], "document").select(
         "rule_version", "rule_path", "rule_value_json", "value_type", "loaded_at")

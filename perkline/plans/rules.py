@@ -13,6 +13,7 @@ from perkline.defaults import CORE_RULE_KEYS, OPEN_START
 from perkline.functions.dates import as_date
 
 MODES_KEY = "sportive_transport_modes"
+DOCUMENTS_PER_TASK = 2_000
 
 RULE_COLUMNS = (
     "rule_version", "effective_from", "office_address", "bonus_rate", "wellbeing_days",
@@ -73,6 +74,12 @@ def json_leaves(document: Column) -> Column:
     return F.transform(F.filter(found, lambda x: x != ""), leaf)
 
 
+def spread_documents(docs: DataFrame, key: str = "rule_version", documents_per_task: int = DOCUMENTS_PER_TASK) -> DataFrame:
+    """Documents dealt to tasks by their number: flattening one takes far longer than reading it, and a table of few bytes
+    would be read by one task."""
+    return docs.repartition(max(1, -(-docs.count() // documents_per_task)), key)
+
+
 def flatten_rules(docs: DataFrame, keys: Sequence[str] = ("rule_version",), payload: str = "rules_payload") -> DataFrame:
     """Flatten a table of JSON documents into (path, JSON value, type) rows.
 
@@ -186,10 +193,14 @@ def rules_active_at(validity: DataFrame, as_of: str | date) -> DataFrame:
 
 
 def rule_parameters_history(parameters: DataFrame, validity: DataFrame) -> DataFrame:
-    """Key/value rows with the window of their version; here ``is_latest`` means current."""
+    """Key/value rows with the window of their version; here ``is_latest`` means current.
+
+    The windows, one row per version, are the side to look up; the flattened rows look small to the optimizer and are not,
+    so they must not be broadcast.
+    """
     windows = validity.select(
         "rule_version", "effective_from", "effective_to_exclusive", F.col("is_current").alias("is_latest"))
-    return parameters.join(windows, "rule_version").select(
+    return parameters.join(windows.hint("shuffle_hash"), "rule_version").select(
         "rule_version", "effective_from", "effective_to_exclusive", "rule_path", "rule_value_json",
         "value_type", "loaded_at", "is_latest")
 

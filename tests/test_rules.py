@@ -136,3 +136,16 @@ def test_parameters_follow_their_version(spark, rows):
                            "timestamp'2024-01-01' loaded_at union all select 'gone', 'p', '1', 'int', timestamp'2024-01-01'")
     history = R.rule_parameters_history(parameters, R.rules_validity(three_rules(spark), "2024-01-31"))
     assert rows(R.rule_parameters_current(history).select("rule_version", "is_latest")) == [("r2", True)]
+
+
+def test_documents_are_flattened_by_many_tasks_and_never_broadcast(spark):
+    docs = spark.range(50).selectExpr("concat('r', id) rule_version", """concat('{"a":', id, ',"b":{"c":1}}') rules_payload""")
+    dealt = R.spread_documents(docs.coalesce(1), documents_per_task=10)
+    assert dealt.rdd.getNumPartitions() == 5 and sorted(dealt.collect()) == sorted(docs.collect())
+    assert R.spread_documents(docs.filter("false")).isEmpty()
+    windows = docs.selectExpr("rule_version", "date'2024-01-01' effective_from", "cast(null as date) effective_to_exclusive",
+                              "rule_version = 'r7' is_current")
+    flat = R.flatten_rules(dealt).withColumn("loaded_at", F.lit(None).cast("timestamp"))
+    history = R.rule_parameters_history(flat, windows)
+    assert history.count() == 100 and R.rule_parameters_current(history).count() == 2
+    assert "Broadcast" not in history._jdf.queryExecution().executedPlan().toString()
