@@ -1,9 +1,11 @@
 """Language-model scores: quantised bigram counts in a log-frequency Bloom filter, absolute discounting.
 
-Counting and scoring agree on buckets. The bigrams of a word go to the word's bucket, those of a few very
-frequent words are spread by both words. A bucket task has all counts of its bigrams, so it knows the exact
-count of its words as well, and answers two things at once: the bucket's part of the filter, and, for each
-document, the sum over its rarer words of the logarithms of their exact counts.
+Texts are cut into chunks of numbered words, which are stored once. Counting and scoring agree on buckets: the
+bigrams of a word go to the word's bucket, those of a few very frequent words are spread by both words. A bucket
+task has all counts of its bigrams, so it makes the bucket's part of the filter, probes it for all bigrams that
+the chunks have there, and answers each chunk with their levels and with the exact statistics of its rarer words.
+A chunk's answers are put together with its words, which gives the scores: no task holds more than one bucket's
+filter, and texts are read once, whatever the size of the whole.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,6 @@ FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
 CHUNK = 2 << 20
-SCORE_CHUNK = 1 << 20
 BUCKET_BYTES = 6 << 20
 BITS = 10
 PROBES = 5
@@ -32,6 +33,8 @@ PROBES = 5
 DROPS = ((0,), (1, 2), (3, 4))
 SLICE = 1 << 14
 BROADCAST_BYTES = 192 << 20
+#: Bytes of a frequent word with its statistics, as every task has them.
+FREQUENT_BYTES = 32
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOW = np.uint64((1 << 40) - 1)
 #: Lower ends of the quantised counts: the integers from 2 to the power j/2 on, for each j.
@@ -59,16 +62,18 @@ def top(x: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Columns of any integer types as byte planes behind a header of their sizes."""
+    """Columns of any number types as byte planes behind a header of their sizes, compressed."""
     out = [len(columns).to_bytes(1, "little")]
     for c in columns:
         c = np.ascontiguousarray(c)
         out.append(c.dtype.str[1:].encode() + len(c).to_bytes(8, "little"))
         out.append(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes())
-    return b"".join(out)
+    data = b"".join(out)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
+    data = pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     out, at = [], 1
     for _ in range(data[0]):
         kind, n = np.dtype("<" + data[at:at + 2].decode()), int.from_bytes(data[at + 2:at + 10], "little")
@@ -217,12 +222,6 @@ def _sequence(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tokens, history, cuts
 
 
-def _text_prints(tokens: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """A fingerprint of each token sequence."""
-    order = (np.arange(len(tokens)) - np.repeat(cuts[:-1], np.diff(cuts))).astype(np.uint64)
-    return mix(np.add.reduceat(mix(tokens + order * np.uint64(ODD)), cuts[:-1])) if len(tokens) else np.zeros(0, np.uint64)
-
-
 @dataclass
 class Sequence:
     """Tokens of some texts, each with its history, as places in a list of distinct names."""
@@ -238,6 +237,17 @@ class Sequence:
         tokens, history, cuts = _sequence(raw, bounds)
         return cls(tokens, history, cuts, *np.unique(tokens, return_inverse=True))
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """History and word of the distinct bigrams, in order of these names, and the place of each token's bigram."""
+        start = np.searchsorted(self.names, START)
+        names = np.insert(self.names, start, START)
+        place = self.place + (self.place >= start)
+        before = np.empty_like(place)
+        before[1:] = place[:-1]
+        before[self.cuts[:-1]] = start
+        pair, own = np.unique(before * len(names) + place, return_inverse=True)
+        return names[pair // len(names)], names[pair % len(names)], own
+
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -258,119 +268,131 @@ def _split(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield from ((int(key[order[a]]), order[a:b]) for a, b in zip(at, np.append(at[1:], len(key)), strict=True))
 
 
-def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bigram counts of the training texts and the rarer words of all texts, by bucket.
+def _pack_names(plan: Plan, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names in order: the frequent words as steps from place to place among these, and the others."""
+    at = _find(plan.frequent, names)
+    known = at < len(plan.frequent)
+    return np.diff(at[known], prepend=0).astype(np.uint32), names[~known]
 
-    Texts go in chunks with a number of their own; a word asks for its count by chunk and place of the text.
-    """
+
+def _unpack_names(plan: Plan, steps: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.sort(np.append(plan.frequent[np.cumsum(steps, dtype=np.int64)], others))
+
+
+def _cut(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Chunks of texts, each with a number of its own: distinct names, and the tokens as places among these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
         for batch in batches:
             raw, bounds = as_bytes(batch.column(1))
-            ids = batch.column(0).fill_null(0).to_numpy()
+            ids = batch.column(0)
+            there, ids = (x.to_numpy(zero_copy_only=False) for x in (ids.is_valid(), ids.fill_null(0)))
             held = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in chunks(bounds, CHUNK):
-                found, out = Sequence.of(raw, bounds[a:b + 1]), []
-                sizes, names = np.diff(found.cuts), np.append(found.names, START)
-                history = np.empty_like(found.place)
-                history[1:] = found.place[:-1]
-                history[found.cuts[:-1]] = len(found.names)
-                learn = np.repeat(~held[a:b], sizes)
-                pair, count = np.unique(history[learn] * len(names) + found.place[learn], return_counts=True)
-                before, after = names[pair // len(names)], names[pair % len(names)]
+                text = Sequence.of(raw, bounds[a:b + 1])
+                yield pa.RecordBatch.from_pylist([{"bucket": chunk, "kind": "texts", "data": pack(
+                    *_pack_names(plan, text.names), text.place.astype(np.uint32), np.diff(text.cuts).astype(np.uint32),
+                    ids[a:b].astype(np.int64), there[a:b], held[a:b].astype(bool))}], _SCHEMA)
+                chunk += 1
+    return run
+
+
+def _chunk(plan: Plan, data: bytes) -> tuple[Sequence, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a chunk, their ids, which of these are not null, and which texts are held out."""
+    steps, others, place, sizes, ids, there, held = unpack(data)
+    names, place, cuts = _unpack_names(plan, steps, others), place.astype(np.int64), np.append(0, np.cumsum(sizes, dtype=np.int64))
+    tokens = names[place]
+    history = np.empty_like(tokens)
+    history[1:] = tokens[:-1]
+    history[cuts[:-1]] = START
+    return Sequence(tokens, history, cuts, names, place), ids, there, held
+
+
+def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bigrams of the chunks by bucket, each with its count in the training texts; those of other texts only have 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                text, _, _, held = _chunk(plan, data.as_py())
+                before, after, own = text.pairs()
+                count = np.bincount(own[np.repeat(~held, np.diff(text.cuts))], minlength=len(before)).astype(np.uint32)
                 bucket, _ = plan.history_bucket(before, after)
+                after, out = after & _LOW, []
                 for k, x in _split(bucket):
-                    h = before[x]
-                    new = np.ones(len(x), bool)
-                    new[1:] = h[1:] != h[:-1]
-                    at = np.flatnonzero(new)
-                    low = (after[x] & _LOW)
+                    h, low = before[x], after[x]
+                    at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
                     out.append({"bucket": k, "kind": "bigrams", "data": pack(
-                        h[at], np.diff(np.append(at, len(x))).astype(np.uint32), low.astype(np.uint32),
-                        (low >> np.uint64(32)).astype(np.uint8), count[x].astype(np.uint32))})
-                rare = (~_inside(plan.frequent, found.names) & (found.names != END))[found.place]
-                text = np.repeat(np.arange(b - a), sizes)[rare]
-                pair, times = np.unique(found.place[rare] * (b - a) + text, return_counts=True)
-                word, text = names[pair // (b - a)], pair % (b - a)
-                for k, x in _split(top(word, plan.buckets)):
-                    out.append({"bucket": k, "kind": "asks", "data": pack(
-                        np.array([chunk]), word[x], text[x].astype(np.uint32), times[x].astype(np.uint32))})
-                out.append({"bucket": chunk % plan.buckets, "kind": "texts", "data": pack(
-                    np.array([chunk]), ids[a:b].astype(np.int64), _text_prints(found.tokens, found.cuts))})
-                chunk += 1
+                        np.array([chunk]), *_pack_names(plan, h[at]), np.diff(np.append(at, len(x))).astype(np.uint32),
+                        low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), count[x])})
                 yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
 
 
 def _merge(plan: Plan) -> Callable[[tuple, pa.Table], pa.Table]:
-    """A bucket's exact counts: its part of the filter, answers to the documents, and statistics."""
+    """A bucket's exact counts: its part of the filter, answers to the chunks, and statistics."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        parts, asks, out = [], [], []
-        for kind, data in zip(table["kind"], table["data"], strict=True):
-            kind, data = kind.as_py(), data.as_py()
-            if kind == "asks":
-                asks.append(unpack(data))
-            elif kind == "texts":
-                out.append({"bucket": int(unpack(data)[0][0]), "kind": "texts", "data": data})
-            else:
-                h, runs, low, high, count = unpack(data)
-                parts.append((np.repeat(h, runs), low | (high.astype(np.uint64) << np.uint64(32)), count))
-        history, low, count = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint64) for k in range(3))
+        parts, asked, out = [], [], []
+        for data in table["data"]:
+            chunk, steps, others, runs, low, high, count = unpack(data.as_py())
+            h = _unpack_names(plan, steps, others)
+            asked.append((int(chunk[0]), runs))
+            parts.append((np.repeat(h, runs), low | (high.astype(np.uint64) << np.uint64(32)), count))
+        history, low, count = (np.concatenate([p[k] for p in parts]) for k in range(3))
         parts.clear()
-        names, number = np.unique(history, return_inverse=True)
+        names, owner = np.unique(history, return_inverse=True)
         del history
-        order = np.lexsort((low, number))
-        number, low, count = number[order], low[order], count[order].astype(np.int64)
+        order = np.lexsort((low, owner))
+        number, low, count = owner[order], low[order], count[order].astype(np.int64)
         new = np.ones(len(low), bool)
         new[1:] = (number[1:] != number[:-1]) | (low[1:] != low[:-1])
         at = np.flatnonzero(new)
-        count = np.add.reduceat(count, at) if len(at) else count
-        number, low = number[at], low[at]
-        total = np.bincount(number, count, minlength=len(names)).astype(np.int64)
-        kinds = np.bincount(number, minlength=len(names))
-        mass = np.bincount(number, value_of(level_of(count)), minlength=len(names))
-        hot = _inside(plan.hot, names)
-        bits = build_filter(mix(names[number] + low * np.uint64(ODD)), count)
-        rows = np.zeros(int((~hot).sum()), HISTORY)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order, new
+        count, number, low = np.add.reduceat(count, at), number[at], low[at]
+        keys = mix(names[number] + low * np.uint64(ODD))
+        seen = np.flatnonzero(count)
+        learnt, own = count[seen], number[seen]
+        total = np.bincount(own, learnt, minlength=len(names)).astype(np.int64)
+        kinds = np.bincount(own, minlength=len(names))
+        mass = np.bincount(own, value_of(level_of(learnt)), minlength=len(names))
+        bits = build_filter(keys[seen], learnt)
+        found = Filter(bits, np.zeros(1, np.uint64), np.array([len(bits) // 8], np.uint64), Histories.of([]))
+        levels = found.levels(keys, np.zeros(len(keys), np.int64))[place]
+        hot, frequent = _inside(plan.hot, names), _inside(plan.frequent, names)
+        rows = np.zeros(len(names), HISTORY)
         for column, values in zip(HISTORY.names, (names, total, kinds, mass), strict=True):
-            rows[column] = values[~hot]
+            rows[column] = values
+        first, rare = 0, ~hot & ~frequent
+        for chunk, runs in asked:
+            ends = first + np.cumsum(runs, dtype=np.int64)
+            heads = owner[ends - runs]
+            known = rows[heads[rare[heads]]]
+            out.append({"bucket": chunk, "kind": "answers", "data": pack(
+                np.array([bucket]), levels[first:int(ends[-1])], known["count"], known["kinds"], known["mass"])})
+            first = int(ends[-1])
+        once = total > 0
         out += [{"bucket": bucket, "kind": "filter", "data": bits.tobytes()},
-                {"bucket": bucket, "kind": "histories", "data": rows.tobytes()},
-                {"bucket": bucket, "kind": "hot", "data": pack(names[hot], total[hot], kinds[hot], mass[hot])}]
-        often = _inside(plan.frequent, names) & ~hot
-        out.append({"bucket": bucket, "kind": "frequent", "data": pack(names[often], total[often])})
+                {"bucket": bucket, "kind": "histories", "data": rows[once & ~hot].tobytes()}]
+        for kind, x in (("hot", once & hot), ("frequent", once & frequent & ~hot)):
+            out.append({"bucket": bucket, "kind": kind, "data": pack(names[x], total[x], kinds[x], mass[x])})
         out.append({"bucket": bucket, "kind": "sums", "data": pack(np.array(
-            [total[~hot].sum(), (~hot).sum(), (count == 1).sum(), (count == 2).sum()], np.int64))})
-        for chunk, word, text, times in asks:
-            c = np.append(total, 0)[_find(names, word)]
-            own, place = np.unique(text, return_inverse=True)
-            out.append({"bucket": int(chunk[0]), "kind": "answers", "data": pack(
-                own, np.bincount(place, times * (c > 0)).astype(np.uint32), np.bincount(place, times * np.log10(c + 1.0)))})
+            [total[~hot].sum(), (once & ~hot).sum(), (learnt == 1).sum(), (learnt == 2).sum()], np.int64))})
         pa.default_memory_pool().release_unused()  # the buffers of the bucket before
         return pa.Table.from_pylist(out, _SCHEMA)
     return run
 
 
-def _gather(key: tuple, table: pa.Table) -> pa.Table:
-    """The answers of all buckets to a chunk: known rarer words and sums of logarithms of each text."""
-    kinds, blobs = table["kind"].to_pylist(), table["data"].to_pylist()
-    _, ids, prints = next(unpack(data) for kind, data in zip(kinds, blobs, strict=True) if kind == "texts")
-    known, logs = np.zeros(len(ids), np.int64), np.zeros(len(ids))
-    for kind, data in zip(kinds, blobs, strict=True):
-        if kind == "answers":
-            own, count, part = unpack(data)
-            known[own] += count
-            logs[own] += part
-    return pa.table({"id": ids, "print": prints.view(np.int64), "known": known, "logs": logs})
-
-
 @dataclass
 class Model:
-    """Statistics of the training tokens, exact counts of the frequent words, and of the hot histories."""
+    """Statistics of the training tokens; exact counts, kinds of followers and masses of the frequent words, and of the
+    hot histories."""
 
     plan: Plan
     counts: np.ndarray
+    kinds: np.ndarray
+    mass: np.ndarray
     hot_counts: np.ndarray
     hot_kinds: np.ndarray
     hot_mass: np.ndarray
@@ -379,15 +401,20 @@ class Model:
     ends: int
     discount: float
 
-    def base(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact counts of the frequent words and the end (0 for others), and which words these are."""
+    def of_words(self, names: np.ndarray, rare: list[np.ndarray]) -> np.ndarray:
+        """Count, kinds and mass (3 x names), of the rarer words as their buckets have answered; the end has its count."""
         at = _find(self.plan.frequent, names)
         end = names == END
-        return np.where(end, self.ends, np.append(self.counts, 0)[at]), end | (at < len(self.plan.frequent))
+        out = np.zeros((3, len(names)))
+        for row, known, answer in zip(out, (self.counts, self.kinds, self.mass), rare, strict=True):
+            row[:] = np.append(known, 0)[at]
+            row[(at == len(self.plan.frequent)) & ~end] = answer
+        out[0, end] = self.ends
+        return out
 
     def probe(self, text: Sequence, part: Filter) -> np.ndarray:
         """What the filters at hand know of each token (4 x tokens): the count of its bigram, and its own count, kinds of
-        followers and mass as a history."""
+        followers and mass as a history. For texts that the buckets have not answered."""
         place = text.place
         hot = _inside(self.plan.hot, text.names)
         known = np.ones(len(place), bool)
@@ -432,41 +459,33 @@ class Model:
         return np.add.reduceat(np.log10(np.minimum(self.chances(text, found), 1.0)), text.cuts[:-1])
 
 
-def _scores(model: Model, shards: Broadcast, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Base sums and, with all filters at hand, scores; else what was found, for a later step to put together."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part: Filter = shards.value
-        for batch in batches:
-            raw, bounds = as_bytes(batch.column(1))
-            for a, b in chunks(bounds, SCORE_CHUNK):
-                text = Sequence.of(raw, bounds[a:b + 1])
-                levels = model.probe(text, part)
-                count, exact = model.base(text.names)
-                logs = np.where(exact, np.log10(count + 1.0), 0)
-                starts = text.cuts[:-1]
-                columns = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                           pa.array(_text_prints(text.tokens, text.cuts).view(np.int64)), pa.array(np.diff(text.cuts)),
-                           pa.array(np.add.reduceat((count > 0).astype(np.int64)[text.place], starts)),
-                           pa.array(np.add.reduceat(logs[text.place], starts))]
-                if last:
-                    columns.append(pa.array(model.score(text, levels)))
-                else:
-                    columns.append(pa.array([levels[:, x:y].tobytes() for x, y in zip(starts, text.cuts[1:], strict=True)]))
-                yield pa.RecordBatch.from_arrays(columns, names=[
-                    "doc_id", "held_out", "print", "n_tokens", "known", "logs", "score" if last else "levels"])
-    return run
+_SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _finish(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Scores of texts whose levels come from several passes: (doc_id, text, list of levels)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, bounds = as_bytes(batch.column(1))
-            out = []
-            for i, passes in enumerate(batch.column(2).to_pylist()):
-                levels = np.max([np.frombuffer(p, np.float32).reshape(4, -1) for p in passes], axis=0)
-                out.append(model.score(Sequence.of(raw, bounds[i:i + 2]), levels)[0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["row", "score"])
+def _scores(model: Model) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Scores of the texts of a chunk from the answers of all buckets to it."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        answers = []
+        for kind, data in zip(table["kind"].to_pylist(), table["data"], strict=True):
+            if kind == "texts":
+                text, ids, there, held = _chunk(model.plan, data.as_py())
+            else:
+                answers.append(unpack(data.as_py()))
+        answers.sort(key=lambda x: int(x[0][0]))
+        answered, *rare = (np.concatenate([x[k] for x in answers]) for k in range(1, 5))
+        before, after, own = text.pairs()
+        bucket, _ = model.plan.history_bucket(before, after)
+        levels = np.empty(len(before), np.uint8)
+        levels[np.argsort(bucket, kind="stable")] = answered
+        of_words = model.of_words(text.names, rare)
+        found = np.vstack([value_of(levels).astype(np.float32)[own][None], of_words.astype(np.float32)[:, text.place]])
+        count, first, sizes = of_words[0], text.cuts[:-1], np.diff(text.cuts)
+        logs = np.add.reduceat(np.log10(count + 1.0)[text.place], first)
+        return pa.table([
+            pa.array(ids, mask=~there), pa.array(held), pa.array(sizes), pa.array(np.add.reduceat((count > 0).astype(np.int64)[text.place], first)),
+            pa.array(np.full(len(ids), model.tokens, np.int64)),
+            pa.array(logs - float(np.log10(model.tokens + model.distinct + 1)) * sizes), pa.array(model.score(text, found))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -474,8 +493,8 @@ def held_out(doc_id: Column, fold: int = 2, folds: int = 7) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
-    """Count the training rows of ``docs`` (doc_id, text, held_out): the model, and the stored bucket results."""
+def train(docs: DataFrame, frequent: int = FREQUENT, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[Model, DataFrame]:
+    """Count the training rows of ``docs`` (doc_id, text, held_out): the model, and the stored chunks and bucket results."""
     known = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"),
                      F.count_if(~F.col("held_out")).alias("ends")).first()
     parts = max(1, known["n"] // SAMPLE)
@@ -483,19 +502,22 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
     often = sample.select("text").mapInArrow(_sample_counts, "word long, n long").groupBy("word").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     word, seen = often["word"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy()
-    plan = Plan(np.sort(word), np.sort(np.append(word[seen >= HOT_SHARE * seen.sum()], START)),
+    hot = word[seen >= HOT_SHARE * seen.sum()]  # the first of them
+    plan = Plan(np.sort(word[:max(len(hot), broadcast_bytes // FREQUENT_BYTES)]), np.sort(np.append(hot, START)),
                 1 << max(2, int(known["size"] // BUCKET_BYTES).bit_length()))
-    found = stage_table(docs.mapInArrow(_count(plan), "bucket long, kind string, data binary").groupBy(
-        "bucket").applyInArrow(_merge(plan), "bucket long, kind string, data binary"), "bigrams")
-    counts, hot_counts, hot_kinds = (np.zeros(len(x), np.int64) for x in (plan.frequent, plan.hot, plan.hot))
-    hot_mass = np.zeros(len(plan.hot))
+    fields = "bucket long, kind string, data binary"
+    texts = stage_table(docs.select("doc_id", "text", "held_out").mapInArrow(_cut(plan), fields), "chunks")
+    found = stage_table(texts.mapInArrow(_count(plan), fields).groupBy("bucket").applyInArrow(_merge(plan), fields), "bigrams")
+    counts, kinds, hot_counts, hot_kinds = (np.zeros(len(x), np.int64) for x in (plan.frequent, plan.frequent, plan.hot, plan.hot))
+    mass, hot_mass = np.zeros(len(plan.frequent), HISTORY["mass"]), np.zeros(len(plan.hot))
     sums = np.zeros(4, np.int64)
     for row in found.filter("kind in ('hot', 'frequent', 'sums')").toLocalIterator():
         data = unpack(row["data"])
         if row["kind"] == "sums":
             sums += data[0]
         elif row["kind"] == "frequent":
-            counts[_find(plan.frequent, data[0])] += data[1]
+            at = _find(plan.frequent, data[0])
+            counts[at], kinds[at], mass[at] = data[1:]
         else:
             at = _find(plan.hot, data[0])
             hot_counts[at] += data[1]
@@ -504,10 +526,10 @@ def train(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
     own = plan.hot != START
     counts[_find(plan.frequent, plan.hot[own])] = hot_counts[own]
     ends = known["ends"]
-    model = Model(plan, counts, hot_counts, hot_kinds, hot_mass, int(sums[0] + hot_counts[own].sum() + ends),
+    model = Model(plan, counts, kinds, mass, hot_counts, hot_kinds, hot_mass, int(sums[0] + hot_counts[own].sum() + ends),
                   int(sums[1] + (hot_counts[own] > 0).sum() + (ends > 0)), ends,
                   float(sums[2] / (sums[2] + 2 * sums[3])) if sums[2] else 0.5)
-    return model, found
+    return model, found.unionByName(texts)
 
 
 def filter_groups(found: DataFrame, most: int) -> list[list[tuple[int, int]]]:
@@ -554,57 +576,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1 in 50 probes), which lend an unseen bigram the least count.
 
     All bigrams are counted and held, none is pruned. The filter is about ten bits an entry, so it grows with
-    the corpus; it is broadcast whole while it has at most ``broadcast_bytes``, and beyond that in groups of
-    buckets of that size, each in one pass over the texts, whose levels are put together per document. Words
-    in the ``frequent`` most frequent of a sample are looked up in a broadcast table of exact counts, the
-    others in their buckets; the table's choice changes no result.
+    the corpus; it stays in its buckets, which answer the chunks of texts, so work and storage are in proportion to
+    the corpus. Words in the ``frequent`` most frequent of a sample have their statistics in a table that every
+    task gets, of at most ``broadcast_bytes`` beside the very frequent ones; those of the others come from their
+    buckets, which changes no result.
 
     Null and empty texts are one end. Null ids are no held-out rows. Rows that repeat an id and text are counted
     each and scored alike. With nothing to learn from, all counts are 0. An empty table gives an empty result;
     other columns are ignored.
     """
-    spark = docs.sparkSession
     base = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         held_out(F.col(id_col).cast("long")).alias("held_out"))
-    model, found = train(base, frequent)
-    fields = "doc_id long, held_out boolean, print long, n_tokens long, known long, logs double"
-    groups = filter_groups(found, broadcast_bytes)
-    load = [spark.sparkContext.broadcast(_load(found, g, model.plan.buckets)) for g in groups[:1]]
-    if len(groups) == 1:
-        scored = base.mapInArrow(_scores(model, load[0], True), f"{fields}, score double")
-    else:
-        passes = None
-        for group in groups:
-            shards = spark.sparkContext.broadcast(_load(found, group, model.plan.buckets))
-            done = stage_table(base.mapInArrow(_scores(model, shards, False), f"{fields}, levels binary").dropDuplicates(
-                ["doc_id", "print"]), "levels")
-            shards.destroy()
-            passes = done if passes is None else passes.unionByName(done)
-        merged = passes.groupBy("doc_id", "print").agg(F.collect_list("levels").alias("levels"))
-        own = base.mapInArrow(_prints, "doc_id long, print long, text string").dropDuplicates(["doc_id", "print"])
-        ready = own.join(merged, own["doc_id"].eqNullSafe(merged["doc_id"]) & (own["print"] == merged["print"])).select(
-            F.struct(own["doc_id"], own["print"]).alias("row"), "text", "levels")
-        finished = ready.mapInArrow(_finish(model), "row struct<doc_id:long,print:long>, score double").select(
-            F.col("row.doc_id").alias("d"), F.col("row.print").alias("p"), "score")
-        rows = base.mapInArrow(_scores(model, load[0], False), f"{fields}, levels binary").drop("levels")
-        scored = rows.join(finished, rows["doc_id"].eqNullSafe(finished["d"]) & (rows["print"] == finished["p"]))
-    answers = found.filter("kind in ('answers', 'texts')").groupBy("bucket").applyInArrow(
-        _gather, "id long, print long, known long, logs double").dropDuplicates(["id", "print"]).select(
-        F.col("id").alias("a"), F.col("print").alias("t"), F.col("known").alias("more"), F.col("logs").alias("more_logs"))
-    size = float(np.log10(model.tokens + model.distinct + 1))
-    return scored.join(
-        answers, (F.coalesce("doc_id", F.lit(0).cast("long")) == F.col("a")) & (F.col("print") == F.col("t")), "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - size * F.col("n_tokens")).alias("base_score"), "score")
-
-
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, bounds = as_bytes(batch.column(1))
-        for a, b in chunks(bounds, CHUNK):
-            tokens, _, cuts = _sequence(raw, bounds[a:b + 1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(_text_prints(tokens, cuts).view(np.int64)),
-                 batch.column(1).slice(a, b - a)], names=["doc_id", "print", "text"])
+    model, found = train(base, frequent, broadcast_bytes)
+    return found.filter("kind in ('answers', 'texts')").groupBy("bucket").applyInArrow(_scores(model), _SCORES)

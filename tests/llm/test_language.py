@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 
 from perkline.llm import lm, pieces
 from perkline.llm.text import as_bytes
+from perkline.session import application_folder
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -55,6 +57,20 @@ def test_passes_over_parts_of_the_filter_give_the_same_scores(spark):
     assert one == pytest.approx(many)
 
 
+def test_storage_does_not_grow_with_the_filter_against_what_is_broadcast(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+
+    def stored():
+        folder = Path(application_folder(spark).removeprefix("file:"))
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    sizes = [stored()]
+    for most in (lm.BROADCAST_BYTES, 1000):
+        assert lm.score_documents(docs, broadcast_bytes=most).count() == docs.count()
+        sizes.append(stored())
+    assert sizes[2] - sizes[1] < 1.2 * (sizes[1] - sizes[0])
+
+
 def test_filter_never_underestimates_and_seldom_errs():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
