@@ -26,6 +26,9 @@ FREQUENT = 1 << 18
 HOT_SHARE = 1 / 4096
 SAMPLE = 16_384
 CHUNK = 2 << 20
+#: A chunk of texts is so many times that at most, once for each so many buckets.
+CHUNK_GROWTH, CHUNK_BUCKETS = 2, 256
+SCORE_TOKENS = 1 << 16
 BUCKET_BYTES = 6 << 20
 BITS = 10
 PROBES = 5
@@ -194,6 +197,11 @@ class Plan:
     hot: np.ndarray
     buckets: int
 
+    @property
+    def chunk(self) -> int:
+        """Bytes of text in a chunk. As each chunk has a message for each bucket, it is larger where these are many."""
+        return CHUNK * min(max(self.buckets // CHUNK_BUCKETS, 1), CHUNK_GROWTH)
+
     def history_bucket(self, history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hot = _inside(self.hot, history)
         return np.where(hot, top(bigram_key(history, word), self.buckets), top(history, self.buckets)), hot
@@ -210,42 +218,61 @@ def _inside(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return _find(table, x) < len(table)
 
 
-def _sequence(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of consecutive texts with their ends, the history of each, and the bounds of the texts."""
+def _tokens(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of consecutive texts with their ends, and how many each text has."""
     found = words(raw, bounds)
-    texts = len(bounds) - 1
-    tokens = np.insert(found.prints, found.first[1:], END)
-    cuts = found.first + np.arange(texts + 1)
-    history = np.empty_like(tokens)
-    history[1:] = tokens[:-1]
-    history[cuts[:-1]] = START
-    return tokens, history, cuts
+    return np.insert(found.prints, found.first[1:], END), found.counts + 1
 
 
 @dataclass
 class Sequence:
-    """Tokens of some texts, each with its history, as places in a list of distinct names."""
+    """Tokens of some texts as places in a list of distinct names."""
 
-    tokens: np.ndarray
-    history: np.ndarray
     cuts: np.ndarray
     names: np.ndarray
     place: np.ndarray
 
     @classmethod
     def of(cls, raw: np.ndarray, bounds: np.ndarray) -> Sequence:
-        tokens, history, cuts = _sequence(raw, bounds)
-        return cls(tokens, history, cuts, *np.unique(tokens, return_inverse=True))
+        parts = [_tokens(raw, bounds[a:b + 1]) for a, b in chunks(bounds, CHUNK)]
+        tokens, sizes = (np.concatenate([p[k] for p in parts]) for k in range(2))
+        del parts
+        return cls(np.append(0, np.cumsum(sizes)), *np.unique(tokens, return_inverse=True))
+
+    def part(self, a: int, b: int) -> Sequence:
+        """The texts a up to b."""
+        return Sequence(self.cuts[a:b + 1] - self.cuts[a], self.names, self.place[self.cuts[a]:self.cuts[b]])
+
+    @property
+    def tokens(self) -> np.ndarray:
+        return self.names[self.place]
+
+    @property
+    def history(self) -> np.ndarray:
+        """What stands before each token."""
+        out = np.empty(len(self.place), np.uint64)
+        out[1:] = self.tokens[:-1]
+        out[self.cuts[:-1]] = START
+        return out
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """History and word of the distinct bigrams, in order of these names, and the place of each token's bigram."""
         start = np.searchsorted(self.names, START)
         names = np.insert(self.names, start, START)
         place = self.place + (self.place >= start)
-        before = np.empty_like(place)
-        before[1:] = place[:-1]
-        before[self.cuts[:-1]] = start
-        pair, own = np.unique(before * len(names) + place, return_inverse=True)
+        pair = np.empty(len(place), np.int64)
+        pair[1:] = place[:-1]
+        pair[self.cuts[:-1]] = start
+        pair *= len(names)
+        pair += place
+        del place
+        order = np.argsort(pair)
+        pair = pair[order]
+        new = np.append(True, pair[1:] != pair[:-1])
+        own = np.empty(len(pair), np.int32)
+        own[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order
+        pair = pair[new]
         return names[pair // len(names)], names[pair % len(names)], own
 
 
@@ -260,19 +287,12 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 _SCHEMA = pa.schema([("bucket", pa.int64()), ("kind", pa.string()), ("data", pa.binary())])
 
 
-def _split(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The buckets that occur in ``key``, each with the places of its entries; the others cost nothing."""
-    if len(key):
-        order = np.argsort(key, kind="stable")
-        at = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-        yield from ((int(key[order[a]]), order[a:b]) for a, b in zip(at, np.append(at[1:], len(key)), strict=True))
-
-
-def _pack_names(plan: Plan, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names in order: the frequent words as steps from place to place among these, and the others."""
-    at = _find(plan.frequent, names)
+def _pack_names(plan: Plan, names: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names in order, whose places among the frequent words are ``at``: these words as steps from place to place, and the others."""
     known = at < len(plan.frequent)
-    return np.diff(at[known], prepend=0).astype(np.uint32), names[~known]
+    own = at[known]
+    own[1:] -= own[:-1].copy()
+    return own.astype(np.uint32), names[~known]
 
 
 def _unpack_names(plan: Plan, steps: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -288,11 +308,11 @@ def _cut(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
             ids = batch.column(0)
             there, ids = (x.to_numpy(zero_copy_only=False) for x in (ids.is_valid(), ids.fill_null(0)))
             held = batch.column(2).to_numpy(zero_copy_only=False)
-            for a, b in chunks(bounds, CHUNK):
+            for a, b in chunks(bounds, plan.chunk):
                 text = Sequence.of(raw, bounds[a:b + 1])
                 yield pa.RecordBatch.from_pylist([{"bucket": chunk, "kind": "texts", "data": pack(
-                    *_pack_names(plan, text.names), text.place.astype(np.uint32), np.diff(text.cuts).astype(np.uint32),
-                    ids[a:b].astype(np.int64), there[a:b], held[a:b].astype(bool))}], _SCHEMA)
+                    *_pack_names(plan, text.names, _find(plan.frequent, text.names)), text.place.astype(np.uint32),
+                    np.diff(text.cuts).astype(np.uint32), ids[a:b].astype(np.int64), there[a:b], held[a:b].astype(bool))}], _SCHEMA)
                 chunk += 1
     return run
 
@@ -300,12 +320,8 @@ def _cut(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 def _chunk(plan: Plan, data: bytes) -> tuple[Sequence, np.ndarray, np.ndarray, np.ndarray]:
     """The texts of a chunk, their ids, which of these are not null, and which texts are held out."""
     steps, others, place, sizes, ids, there, held = unpack(data)
-    names, place, cuts = _unpack_names(plan, steps, others), place.astype(np.int64), np.append(0, np.cumsum(sizes, dtype=np.int64))
-    tokens = names[place]
-    history = np.empty_like(tokens)
-    history[1:] = tokens[:-1]
-    history[cuts[:-1]] = START
-    return Sequence(tokens, history, cuts, names, place), ids, there, held
+    cuts = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    return Sequence(cuts, _unpack_names(plan, steps, others), place.astype(np.int32)), ids, there, held
 
 
 def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -317,13 +333,20 @@ def _count(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 before, after, own = text.pairs()
                 count = np.bincount(own[np.repeat(~held, np.diff(text.cuts))], minlength=len(before)).astype(np.uint32)
                 bucket, _ = plan.history_bucket(before, after)
-                after, out = after & _LOW, []
-                for k, x in _split(bucket):
-                    h, low = before[x], after[x]
-                    at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                order = np.argsort(bucket, kind="stable")
+                bucket, before, low, count = bucket[order], before[order], after[order] & _LOW, count[order]
+                changes = np.append(True, bucket[1:] != bucket[:-1])
+                heads = np.flatnonzero(changes | np.append(True, before[1:] != before[:-1]))
+                runs = np.diff(np.append(heads, len(before))).astype(np.uint32)
+                names, low, high = before[heads], low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8)
+                at, number, out = _find(plan.frequent, names), np.array([chunk]), []
+                first = np.flatnonzero(changes)
+                ends = np.append(first, len(before))
+                of_heads = np.searchsorted(heads, ends)
+                for k, a, b, x, y in zip(*(z.tolist() for z in (
+                        bucket[first], ends[:-1], ends[1:], of_heads[:-1], of_heads[1:])), strict=True):
                     out.append({"bucket": k, "kind": "bigrams", "data": pack(
-                        np.array([chunk]), *_pack_names(plan, h[at]), np.diff(np.append(at, len(x))).astype(np.uint32),
-                        low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), count[x])})
+                        number, *_pack_names(plan, names[x:y], at[x:y]), runs[x:y], low[a:b], high[a:b], count[a:b])})
                 yield pa.RecordBatch.from_pylist(out, _SCHEMA)
     return run
 
@@ -432,7 +455,7 @@ class Model:
         mass is the sum of its followers' quantised counts, so its probabilities sum to 1; single words' are exact
         counts plus 1, and one more for all unknown words.
         """
-        place, n = text.place, len(text.tokens)
+        place, n = text.place, len(text.place)
         at = _find(self.plan.hot, text.names)[place]
         own = at < len(self.plan.hot)
         count, kinds, mass = (np.where(own, np.append(exact, 0)[at], part.astype(np.float64)) for exact, part in zip(
@@ -453,13 +476,13 @@ class Model:
 
     def score(self, text: Sequence, found: np.ndarray) -> np.ndarray:
         """Sum of log10 P(token | history) of each text."""
-        if not len(text.tokens):
+        if not len(text.place):
             return np.zeros(0)
         # a false member may lend a rare history's follower more than the history has
         return np.add.reduceat(np.log10(np.minimum(self.chances(text, found), 1.0)), text.cuts[:-1])
 
 
-_SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _scores(model: Model) -> Callable[[tuple, pa.Table], pa.Table]:
@@ -477,14 +500,19 @@ def _scores(model: Model) -> Callable[[tuple, pa.Table], pa.Table]:
         bucket, _ = model.plan.history_bucket(before, after)
         levels = np.empty(len(before), np.uint8)
         levels[np.argsort(bucket, kind="stable")] = answered
-        of_words = model.of_words(text.names, rare)
-        found = np.vstack([value_of(levels).astype(np.float32)[own][None], of_words.astype(np.float32)[:, text.place]])
+        pairs, of_words = value_of(levels).astype(np.float32), model.of_words(text.names, rare)
         count, first, sizes = of_words[0], text.cuts[:-1], np.diff(text.cuts)
+        of_words = of_words.astype(np.float32)
+        scores = []
+        for a, b in chunks(text.cuts, SCORE_TOKENS):
+            part = text.part(a, b)
+            scores.append(model.score(part, np.vstack([pairs[own[text.cuts[a]:text.cuts[b]]][None], of_words[:, part.place]])))
+        known = np.add.reduceat((count > 0).astype(np.int64)[text.place], first)
         logs = np.add.reduceat(np.log10(count + 1.0)[text.place], first)
         return pa.table([
-            pa.array(ids, mask=~there), pa.array(held), pa.array(sizes), pa.array(np.add.reduceat((count > 0).astype(np.int64)[text.place], first)),
+            pa.array(ids, mask=~there), pa.array(held), pa.array(sizes), pa.array(known),
             pa.array(np.full(len(ids), model.tokens, np.int64)),
-            pa.array(logs - float(np.log10(model.tokens + model.distinct + 1)) * sizes), pa.array(model.score(text, found))],
+            pa.array(logs - float(np.log10(model.tokens + model.distinct + 1)) * sizes), pa.array(np.concatenate(scores))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 

@@ -71,6 +71,18 @@ def test_storage_does_not_grow_with_the_filter_against_what_is_broadcast(spark):
     assert sizes[2] - sizes[1] < 1.2 * (sizes[1] - sizes[0])
 
 
+def test_chunks_of_any_size_give_the_same_scores(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string").filter("doc_id < 1004")
+    want = {r["doc_id"]: r for r in lm.score_documents(docs).collect()}
+    assert lm.Plan(np.zeros(0), np.zeros(0), 256).chunk == lm.CHUNK < lm.Plan(np.zeros(0), np.zeros(0), 2048).chunk
+    monkeypatch.setattr(lm, "CHUNK", 700)
+    monkeypatch.setattr(lm, "CHUNK_BUCKETS", 1)
+    monkeypatch.setattr(lm, "SCORE_TOKENS", 300)
+    got = {r["doc_id"]: r for r in lm.score_documents(docs).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i][:5] == want[i][:5] and got[i][5:] == pytest.approx(want[i][5:]) for i in want if i != 5)  # twice
+
+
 def test_filter_never_underestimates_and_seldom_errs():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
