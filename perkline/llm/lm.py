@@ -5,7 +5,7 @@ bigrams of a word go to the word's bucket, those of a few very frequent words ar
 task has all counts of its bigrams, so it makes the bucket's part of the filter, probes it for all bigrams that
 the chunks have there, and answers each chunk with their levels and with the exact statistics of its rarer words.
 A chunk's answers are put together with its words, which gives the scores: no task holds more than one bucket's
-filter, and texts are read once, whatever the size of the whole.
+filter, and texts are cut into words once (those of a sample twice), whatever the size of the whole.
 """
 
 from __future__ import annotations
